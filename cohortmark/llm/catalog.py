@@ -4,16 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup
+from . import exact_dup, near_dup, piece_codec, quality
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(documents(spark, sf_dir), piece_model())
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir))
+
+
+def op7_exact_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dup.exact_dup(documents(spark, sf_dir))
 
 
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_dup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_dup.near_dup(documents(spark, sf_dir))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op10_near_dup,)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_quality_rules, op7_exact_dup, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_exact_dup": exact_dup.ORACLE_SQL}
