@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dup, near_dup, piece_codec, quality
+from . import exact_dup, mixing, near_dup, piece_codec, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op7_exact_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dup.exact_dup(documents(spark, sf_dir))
 
@@ -34,7 +38,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_quality_rules, op7_exact_dup, op10_near_dup)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_quality_rules, op5_mixing, op7_exact_dup, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
