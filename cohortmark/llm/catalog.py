@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dup, mixing, near_dup, piece_codec, quality
+from . import chat, exact_dup, mixing, near_dup, pii, piece_codec, quality, secret_scan, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(documents(spark, sf_dir), piece_model())
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
@@ -29,17 +33,29 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii(documents(spark, sf_dir))
+
+
 def op7_exact_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dup.exact_dup(documents(spark, sf_dir))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(documents(spark, sf_dir))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dup(documents(spark, sf_dir))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_quality_rules, op5_mixing, op7_exact_dup, op10_near_dup)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_warc, op3_quality_rules, op5_mixing, op6_pii, op7_exact_dup, op8_secret_scan, op9_chat, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dup": exact_dup.ORACLE_SQL}
+    return {"op2_warc": warc.ORACLE_SQL, "op7_exact_dup": exact_dup.ORACLE_SQL, "op9_chat": chat.ORACLE_SQL}
