@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dup, mixing, near_dup, pii, piece_codec, quality, secret_scan, warc
+from . import chat, exact_dup, main_text, mixing, near_dup, pii, piece_codec, quality, secret_scan, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -54,7 +58,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_warc, op3_quality_rules, op5_mixing, op6_pii, op7_exact_dup, op8_secret_scan, op9_chat, op10_near_dup)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_warc, op3_quality_rules, op4_main_text, op5_mixing, op6_pii, op7_exact_dup, op8_secret_scan, op9_chat, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
