@@ -83,7 +83,7 @@ def permuted(index: np.ndarray, blocks: np.ndarray, key: np.ndarray) -> np.ndarr
         x, h, m = out[todo], half[todo], mask[todo]
         left, right = x >> h, x & m
         for r in range(4):
-            left, right = right, left ^ (B.mix(right + key[todo] * np.uint64(B.STEP) + np.uint64(r + 1) * np.uint64(B.BASE)) & m)
+            left, right = right, left ^ (B.mix(right + key[todo] * np.uint64(B.STEP) + np.uint64((r + 1) * B.BASE & (1 << 64) - 1)) & m)
         out[todo] = left << h | right
         todo = todo[out[todo] >= blocks[todo].astype(np.uint64)]
     return out.astype(np.int64)
@@ -151,6 +151,45 @@ def plan(docs: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLO
     return named, pieces
 
 
+def cut_out(batches, columns: list[str]):
+    """A row for each epoch: the words that the mix takes, in text order; a document taken whole keeps its text as it is."""
+    for batch in batches:
+        index, texts = [], []
+        for r, (text, pieces) in enumerate(zip(batch.column("text").to_pylist(), batch.column("pieces").to_pylist(), strict=True)):
+            raw = (text or "").encode()
+            data = np.frombuffer(raw, np.uint8)
+            first, last, _ = B.words(data, np.array([0, len(data)]))
+            by_epoch: dict[int, list] = {}
+            for p in sorted((p["epoch"], p["word_from"], p["word_to"]) for p in pieces):
+                own = by_epoch.setdefault(p[0], [])
+                if own and own[-1][1] == p[1]:
+                    own[-1][1] = p[2]
+                else:
+                    own.append([p[1], p[2]])
+            for own in by_epoch.values():
+                index.append(r)
+                texts.append(text if own == [[0, len(first)]] else "\n".join(raw[first[a] : last[b - 1] + 1].decode() for a, b in own))
+        rows = batch.take(pa.array(index, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else rows.column(c) for c in columns], names=columns)
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each document and epoch, holding the words taken. ``n_chars`` follows the text.
+
+    Rows that share doc_id and text are one document here.
+    """
+    rows, pieces = plan(docs, **how)
+    if pieces is None:
+        return docs.limit(0)
+    taken = pieces.select("uid", F.struct("epoch", "word_from", "word_to").alias("p")).join(rows.select("uid", "doc_id"), "uid")
+    taken = taken.groupBy("doc_id").agg(F.collect_list("p").alias("pieces"))
+    both = docs.join(taken, "doc_id").select(*docs.columns, "pieces")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    columns = docs.columns
+    out = per_batch(both, lambda it: cut_out(it, columns), schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
+
+
 def mix(docs: DataFrame, **how) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of each row of ``docs`` (doc_id, source, text)."""
     rows, pieces = plan(docs, **how)
