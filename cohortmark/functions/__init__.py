@@ -1 +1 @@
-
+"""Column expressions over sequences, all built from Spark's own functions."""

@@ -2,17 +2,580 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmark.functions import sequence as S
+from cohortmark.operators import classify as C
+from cohortmark.operators import design as D
+from cohortmark.operators import diversity as V
+from cohortmark.operators import intervals as I
+from cohortmark.operators import manifest as M
+from cohortmark.operators import search as H
+from cohortmark.operators import sequences as Q
+from cohortmark.sources import readers as R
+from cohortmark.sources import writers as W
 
-def classify_exact_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").alias("primer"))
+from . import tables as T
+
+_queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_sql: dict[str, str] = {}
+
+
+def registered(sql: str | None = None):
+    def add(f):
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
 
 
-def queries() -> dict:
-    return {"classify_exact_set": classify_exact_set}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+# Classification
+
+
+@registered(f"""
+WITH {T.EDGES}, {T.LABELS_SQL}, g AS (SELECT "group", list_sort(list(DISTINCT m)) AS members FROM (SELECT "group", unnest(members) AS m FROM labels_t) GROUP BY 1)
+SELECT "group", primer FROM hits JOIN g ON hits.targets = g.members""")
+def classify_exact_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which markers hit exactly the members of each group?"""
+    own, hits = T.edge_rows(spark, sf_dir)
+    return C.classify_primers(T.labels(spark), own, hits, T.LOW, T.HIGH)
+
+
+@registered(f"""
+WITH {T.EDGES}, {T.LABELS_SQL}, g AS (SELECT "group", list_sort(list(DISTINCT m)) AS members FROM (SELECT "group", unnest(members) AS m FROM labels_t) GROUP BY 1)
+SELECT "group", count(primer) AS n_primers FROM g LEFT JOIN hits ON hits.targets = g.members GROUP BY 1""")
+def group_summary_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = classify_exact_set(spark, sf_dir)
+    return C.group_summary_outer(C.process_groups(T.labels(spark)), found)
+
+
+@registered(f"""
+WITH {T.EDGES}, {T.LABELS_SQL}, g AS (SELECT "group", list_sort(list(DISTINCT m)) AS members FROM (SELECT "group", unnest(members) AS m FROM labels_t) GROUP BY 1)
+SELECT "group", count(primer) AS n_primers FROM g JOIN hits ON hits.targets = g.members GROUP BY 1""")
+def diagnostic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.diagnostic_counts(classify_exact_set(spark, sf_dir))
+
+
+@registered(f"""
+WITH {T.EDGES}, {T.LABELS_SQL}, g AS (SELECT "group", list_sort(list(DISTINCT m)) AS members FROM (SELECT "group", unnest(members) AS m FROM labels_t) GROUP BY 1)
+SELECT "group" AS "Group", count(primer) AS "NumPrimers", 'out/' || "group" || '_primers.json' AS "Primers" FROM g LEFT JOIN hits ON hits.targets = g.members GROUP BY 1""")
+def write_classification_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.classification_summary(C.process_groups(T.labels(spark)), classify_exact_set(spark, sf_dir), "out")
+
+
+@registered(f'WITH {T.MANIFEST} SELECT "group", string_agg(name, \',\' ORDER BY name) AS members FROM (SELECT DISTINCT unnest(groups) AS "group", name FROM man) GROUP BY 1')
+def process_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.process_groups(T.manifest(spark, sf_dir)).select("group", F.array_join("members", ",").alias("members"))
+
+
+@registered(f"WITH {T.EDGES} SELECT primer, array_to_string(targets, ',') AS targets FROM hits")
+def process_crosshyb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.process_crosshyb(*T.edge_rows(spark, sf_dir), T.LOW, T.HIGH).select("primer", F.array_join("targets", ",").alias("targets"))
+
+
+@registered(f"WITH {T.EDGES} SELECT primer, target FROM edges")
+def edges_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.edges(*T.edge_rows(spark, sf_dir), T.LOW, T.HIGH)
+
+
+@registered(f"SELECT o_orderkey AS ord, o_totalprice AS length FROM orders WHERE o_totalprice > {T.LOW} AND o_totalprice < {T.HIGH}")
+def amplimer_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.amplimer_length_filter(T.edge_rows(spark, sf_dir)[1], T.LOW, T.HIGH).select("ord", "length")
+
+
+@registered("""SELECT doc_id, text FROM (SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY source, doc_id) AS n FROM documents) WHERE n = 1""")
+def dedupe_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = T.read(spark, sf_dir, "documents")
+    rows = d.select(F.col("doc_id").alias("name"), F.col("source").alias("sourcename"), F.col("text").alias("forward_seq"), F.lit("").alias("reverse_seq"))
+    return C.dedupe_primers(rows).select(F.col("name").alias("doc_id"), F.col("forward_seq").alias("text"))
+
+
+@registered(f"""WITH {T.PRIMERS} SELECT name, sourcename, forward_seq, reverse_seq FROM
+  (SELECT *, row_number() OVER (PARTITION BY forward_seq, reverse_seq ORDER BY sourcename, name) AS n FROM primers) WHERE n = 1""")
+def dedupe_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.dedupe_primers(T.primers(spark, sf_dir)).select("name", "sourcename", "forward_seq", "reverse_seq")
+
+
+@registered(f"""WITH {T.PRIMERS} SELECT sourcename, sum((n = 1)::INT)::BIGINT AS kept, sum((n > 1)::INT)::BIGINT AS removed FROM
+  (SELECT *, row_number() OVER (PARTITION BY forward_seq, reverse_seq ORDER BY sourcename, name) AS n FROM primers) GROUP BY 1""")
+def dedupe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.dedupe_counts(T.primers(spark, sf_dir))
+
+
+def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = T.read(spark, sf_dir, "lineitem")
+    return li.select(F.concat(F.lit("m"), F.col("l_partkey").cast("string"), F.lit("_fwd")).alias("query"), F.col("l_quantity").alias("length"))
+
+
+@registered("SELECT DISTINCT 'm' || l_partkey AS name FROM lineitem WHERE l_quantity > 45")
+def primer_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.hit_primers(_hits(spark, sf_dir), 45)
+
+
+@registered("SELECT 'm' || p_partkey AS name, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def screen_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = T.read(spark, sf_dir, "part").select(F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("name"), "p_name")
+    return C.primer_screen_anti(p, _hits(spark, sf_dir), 45)
+
+
+@registered("SELECT o_orderkey AS ord, o_custkey AS primer_name FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)")
+def amplimers_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rich = T.read(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("primer"))
+    return C.amplimers_semi(T.edge_rows(spark, sf_dir)[1], rich).select("ord", "primer_name")
+
+
+@registered("SELECT o_orderpriority AS target, count(DISTINCT o_custkey) AS n_primers, count(*) AS n_amplimers FROM orders GROUP BY 1")
+def collect_amplimers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.collect_amplimers(T.edge_rows(spark, sf_dir)[1])
+
+
+@registered("SELECT o_orderkey AS ord, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey)::INT AS idx FROM orders")
+def number_amplimers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.number_amplimers(T.edge_rows(spark, sf_dir)[1], ["ord"]).select("ord", "idx")
+
+
+@registered("SELECT o_custkey AS name, o_orderkey AS ord, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 3")
+def top_n_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = T.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("name"), F.col("o_orderkey").alias("ord"), (-F.col("o_totalprice")).alias("penalty"))
+    return D.top_n(rows, "name", ["penalty", "ord"], 3).select("name", "ord", "rank")
+
+
+# Manifest
+
+
+@registered(f'WITH {T.MANIFEST} SELECT DISTINCT unnest(groups) AS "group" FROM man')
+def groups_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.distinct_groups(T.manifest(spark, sf_dir))
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name, seqfile FROM man WHERE list_contains(groups, 'EUROPE')")
+def groups_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.group_members(T.manifest(spark, sf_dir), "EUROPE", must_exist=False).select("name", "seqfile")
+
+
+@registered("SELECT o_custkey AS name, last(o_orderkey ORDER BY o_orderkey) AS seqfile FROM orders GROUP BY 1")
+def manifest_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = T.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("name"), F.col("o_orderkey").alias("seqfile"), F.col("o_orderkey").alias("ord"))
+    return M.manifest_last_wins(o)
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name, array_to_string(list_sort(list_distinct(list_concat(groups, ['new', 'odd']))), ',') AS groups FROM man")
+def groups_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = T.manifest(spark, sf_dir)
+    return m.select("name", F.array_join(M.groups_union(F.col("groups"), M.labels_of(F.lit("new,odd"))), ",").alias("groups"))
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name || chr(9) || array_to_string(groups, ',') || chr(9) || seqfile || chr(9) || coalesce(features, '-') AS value FROM man")
+def write_manifest_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.manifest_tab(T.manifest(spark, sf_dir)).select("value")
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name, array_to_string(groups, ',') AS groups, seqfile, features, name AS filestem FROM man")
+def scan_manifest_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest written and read back."""
+    path = T.scratch(spark, "manifest") + ".tab"
+    W.write_manifest_tab(T.manifest(spark, sf_dir), path)
+    return R.scan_manifest_tab(spark, path).select("name", F.array_join("groups", ",").alias("groups"), "seqfile", "features", "filestem")
+
+
+@registered(f"WITH {T.MANIFEST} SELECT count(*) = 0 AS complete FROM man")
+def has_primersearch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.has_primersearch(T.manifest(spark, sf_dir))
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name FROM man WHERE features IS NOT NULL AND name NOT IN (SELECT s_name FROM supplier WHERE s_suppkey % 2 = 0)")
+def check_required_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    there = T.read(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0").select(F.concat(F.lit("in/"), "s_name", F.lit(".fasta")).alias("path"))
+    return M.missing_paths(T.manifest(spark, sf_dir), "features", there).select("name")
+
+
+@registered("SELECT a.n_name AS a, b.n_name AS b, a.n_regionkey FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_name <> b.n_name")
+def pairwise_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.pairwise_permutations(T.read(spark, sf_dir, "nation"), "n_name", "n_regionkey")
+
+
+@registered("SELECT a.n_name AS query, b.n_name AS target FROM nation a, nation b WHERE a.n_nationkey % 2 = 0")
+def all_vs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = T.read(spark, sf_dir, "nation").withColumnRenamed("n_name", "name")
+    return M.all_vs_all(n.where("n_nationkey % 2 = 0"), n)
+
+
+@registered("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def pending_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.pending_work(T.read(spark, sf_dir, "documents").select("doc_id", "source"), T.read(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name, CASE WHEN features IS NOT NULL THEN features || '.f' ELSE seqfile END AS design, regexp_replace(regexp_extract(seqfile, '[^/]*$'), '\\.[^.]*$', '') || '.primer3' AS output FROM man")
+def choose_design_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = T.manifest(spark, sf_dir).withColumn("filtered_seqfile", F.concat("features", F.lit(".f")))
+    return m.select("name", M.design_sequence(True).alias("design"), M.output_name("primer3", S.filestem(F.col("seqfile"))).alias("output"))
+
+
+# Intervals
+
+_ISLANDS = """m0 AS (SELECT chrom, {part}, "start", "end", max("end") OVER (PARTITION BY chrom, {part} ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM {src}),
+m1 AS (SELECT *, sum((b IS NULL OR "start" > b)::INT) OVER (PARTITION BY chrom, {part} ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS id FROM m0),
+merged AS (SELECT chrom, {part}, min("start") AS "start", max("end") AS "end" FROM m1 GROUP BY chrom, {part}, id)"""
+
+
+@registered(f"WITH {T.INTERVALS}, {_ISLANDS.format(part='part', src='(SELECT *, 0 AS part FROM iv)')} SELECT chrom, \"start\", \"end\" FROM merged")
+def interval_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.interval_merge(T.intervals(spark, sf_dir), tile=86_400)
+
+
+@registered(f"""WITH {T.INTERVALS}, {_ISLANDS.format(part='part', src='(SELECT *, 0 AS part FROM iv)')},
+len AS (SELECT DISTINCT chrom, 1735689600 AS length FROM iv), e AS (SELECT chrom, "start", "end" FROM merged UNION ALL SELECT chrom, length, length FROM len),
+gaps AS (SELECT chrom, coalesce(lag("end") OVER (PARTITION BY chrom ORDER BY "start", "end"), 0) AS "start", "start" AS "end" FROM e)
+SELECT chrom, "start"::BIGINT AS "start", "end"::BIGINT AS "end" FROM gaps WHERE "start" < "end" """)
+def interval_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    iv = T.intervals(spark, sf_dir)
+    return I.interval_complement(iv, iv.select("chrom").distinct().withColumn("length", F.lit(1735689600).cast("long")), tile=86_400)
+
+
+@registered(f"""WITH {T.INTERVALS}, {_ISLANDS.format(part='part', src='(SELECT *, 0 AS part FROM iv)')} SELECT chrom, count(*) AS regions, sum("end" - "start")::BIGINT AS covered FROM merged GROUP BY 1""")
+def interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.interval_coverage(I.interval_merge(T.intervals(spark, sf_dir)))
+
+
+_DEPTH = """pts AS (SELECT DISTINCT chrom, pt FROM (SELECT chrom, "start" AS pt FROM merged UNION ALL SELECT chrom, "end" FROM merged)),
+seg AS (SELECT chrom, pt AS s, lead(pt) OVER (PARTITION BY chrom ORDER BY pt) AS e FROM pts),
+dep AS (SELECT seg.chrom, s AS "start", e AS "end", 0 AS p2 FROM seg JOIN merged m ON m.chrom = seg.chrom AND m."start" <= s AND m."end" >= e WHERE e IS NOT NULL GROUP BY 1, 2, 3 HAVING {having}),
+f0 AS (SELECT chrom, p2, "start", "end", max("end") OVER (PARTITION BY chrom ORDER BY "start" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM dep),
+f1 AS (SELECT *, sum((b IS NULL OR "start" > b)::INT) OVER (PARTITION BY chrom ORDER BY "start" ROWS UNBOUNDED PRECEDING) AS id FROM f0)
+SELECT chrom, min("start") AS "start", max("end") AS "end" FROM f1 GROUP BY chrom, id"""
+_THREE = """iv3 AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv)"""
+
+
+def _three(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    iv = T.intervals(spark, sf_dir)
+    return [iv.where("event_type = 'click'"), iv.where("event_type = 'error'"), iv.where("event_type not in ('click', 'error')")]
+
+
+@registered(f"WITH {T.INTERVALS}, {_THREE}, {_ISLANDS.format(part='part', src='iv3')}, {_DEPTH.format(having='max((m.part = 0)::INT) = 1 AND max(m.part) > 0')}")
+def interval_intersect_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, *others = _three(spark, sf_dir)
+    return I.interval_intersect_any(first, others)
+
+
+@registered(f"WITH {T.INTERVALS}, {_THREE}, {_ISLANDS.format(part='part', src='iv3')}, {_DEPTH.format(having='count(DISTINCT m.part) = 3')}")
+def interval_intersect_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.interval_intersect_all(_three(spark, sf_dir))
+
+
+@registered(f"""WITH {T.INTERVALS}, good AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv WHERE event_id % 7 >= 2),
+{_ISLANDS.format(part='part', src='good')}, {_DEPTH.format(having='max((m.part = 0)::INT) = 1 AND max(m.part) > 0').replace('SELECT chrom, min(', 'SELECT chrom AS query, min(')}""")
+def common_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "click", 0).when(F.col("event_type") == "error", 1).otherwise(2)
+    iv = T.intervals(spark, sf_dir).select(F.col("chrom").alias("query"), kind.alias("subject"), "start", "end", (F.col("event_id") % 7).alias("sim_errors"))
+    every = iv.select("query").distinct().crossJoin(spark.range(3).select(F.col("id").cast("int").alias("subject")))
+    # Each user is asked for all three kinds, with or without events of that kind.
+    asked = every.join(iv.select("query", "subject").distinct(), ["query", "subject"], "left_anti").select("query", "subject", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("sim_errors"))
+    return I.common_regions(iv.union(asked), min_sim_errors=2)
+
+
+@registered(f"""WITH {T.INTERVALS} SELECT event_id, greatest(0, "start" - 500)::BIGINT AS "start", least(1735689600, "end" + 500)::BIGINT AS "end" FROM iv""")
+def feature_flank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    iv = T.intervals(spark, sf_dir)
+    wide = I.feature_flank(iv, iv.select("chrom").distinct().withColumn("length", F.lit(1735689600).cast("long")), 500)
+    return wide.select("event_id", "start", "end")
+
+
+@registered(f"""WITH {T.INTERVALS} SELECT event_id FROM iv WHERE event_id % 50 >= 10 AND (event_id % 50)::DOUBLE / ("end" - "start") >= 0.005""")
+def alignment_quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    iv = T.intervals(spark, sf_dir).withColumn("sim_errors", F.col("event_id") % 50)
+    return I.alignment_quality_filter(iv, 10, 0.005).select("event_id")
+
+
+# Sequences
+
+_STITCH = "string_agg(seq, '{sep}' ORDER BY ord)"
+
+
+@registered(f"""WITH {T.SEQUENCES} SELECT name, count(*) > 1 AS stitched, CASE WHEN count(*) > 1 THEN name || '_concatenated' ELSE min(seq_id) END AS seq_id,
+length({_STITCH.format(sep=S.SPACER)})::INT AS length, md5({_STITCH.format(sep=S.SPACER)}) AS digest FROM seqs GROUP BY name""")
+def stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Q.stitch(T.sequences(spark, sf_dir))
+    return s.select("name", "stitched", "seq_id", F.length("seq").alias("length"), F.md5("seq").alias("digest"))
+
+
+@registered(f"WITH {T.SEQUENCES} SELECT name, count(*) AS n_records, count(*) > 1 AS requires_stitch, bool_or(regexp_matches(seq, '{S.AMBIGUOUS}')) AS has_ambiguities FROM seqs GROUP BY 1")
+def validate_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.validate_manifest(T.sequences(spark, sf_dir))
+
+
+_BY_LANG = f"s2 AS (SELECT name || '_' || coalesce(description, '') || '_' || (ord % 10) AS name, seq_id, ord, seq FROM seqs)"
+
+
+@registered(f"""WITH {T.SEQUENCES}, {_BY_LANG}, a AS (SELECT *, bool_or(regexp_matches(seq, '{S.AMBIGUOUS}')) OVER (PARTITION BY name) AS replaced FROM s2)
+SELECT CASE WHEN replaced THEN seq_id || '_noambig' ELSE seq_id END AS seq_id, replaced, md5(CASE WHEN replaced THEN regexp_replace(seq, '{S.AMBIGUOUS}', 'N', 'g') ELSE seq END) AS digest FROM a""")
+def replace_ambiguities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = T.sequences(spark, sf_dir).withColumn("name", F.concat_ws("_", "name", F.coalesce("description", F.lit("")), (F.col("ord") % 10).cast("string")))
+    return Q.replace_ambiguities(s).select("seq_id", "replaced", F.md5("seq").alias("digest"))
+
+
+@registered(f"""WITH {T.SEQUENCES}, st AS (SELECT name, {_STITCH.format(sep=S.SPACER)} AS seq FROM seqs GROUP BY name)
+SELECT name, md5(CASE WHEN regexp_matches(seq, '{S.AMBIGUOUS}') THEN regexp_replace(seq, '{S.AMBIGUOUS}', 'N', 'g') ELSE seq END) AS digest FROM st""")
+def fix_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.fix_sequences(T.sequences(spark, sf_dir)).select("name", F.md5("seq").alias("digest"))
+
+
+@registered(f"""WITH {T.SEQUENCES}, r AS (SELECT name, ord, substr(seq, 1 + greatest(0, 10 - 5)::INT, (least(length(seq), 60 + 5) - greatest(0, 10 - 5))::INT) AS seq FROM seqs WHERE length(seq) >= 60)
+SELECT name || '_filtered' AS seq_id, count(*) AS n_regions, md5(string_agg(seq, '{"N" * 150}' ORDER BY ord)) AS digest FROM r GROUP BY name""")
+def filtered_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = T.sequences(spark, sf_dir)
+    regions = s.where(F.length("seq") >= 60).select("seq_id", F.lit(10).alias("start"), F.lit(60).alias("end"), "ord")
+    return Q.filtered_sequence(s, regions, flank=5).select("seq_id", "n_regions", F.md5("seq").alias("digest"))
+
+
+@registered(f"WITH {T.SEQUENCES} SELECT seq_id, length(seq)::INT AS length FROM seqs")
+def genome_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.genome_lengths(T.sequences(spark, sf_dir))
+
+
+@registered(f"WITH {T.SEQUENCES} SELECT seq_id, md5(reverse(translate(seq, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN'))) AS digest FROM seqs")
+def revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.sequences(spark, sf_dir).select("seq_id", F.md5(S.reverse_complement(F.col("seq"))).alias("digest"))
+
+
+@registered(f"""WITH {T.SEQUENCES}, g AS (SELECT seq_id, substr(seq, 1, 30) AS s FROM seqs), c AS (SELECT *, length(regexp_replace(s, '[^GC]', '', 'g')) AS gc, length(regexp_replace(s, '[^AT]', '', 'g')) AS nat, length(s) AS n FROM g)
+SELECT seq_id, CASE WHEN n > 0 THEN round(100.0 * gc / n, 6) ELSE 0.0 END::DOUBLE AS gc, round(CASE WHEN n < 14 THEN 2.0 * nat + 4.0 * gc ELSE 64.9::DOUBLE + 41.0::DOUBLE * (gc - 16.4::DOUBLE) / n END, 6)::DOUBLE AS tm, regexp_matches(s, 'A{{4}}|C{{4}}|G{{4}}|T{{4}}') AS has_run FROM c""")
+def gc_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.substring("seq", 1, 30)
+    return T.sequences(spark, sf_dir).select("seq_id", F.round(S.gc_percent(s), 6).alias("gc"), F.round(S.melting_temp(s), 6).alias("tm"), S.has_run(s, 3).alias("has_run"))
+
+
+@registered(f"""WITH {T.SEQUENCES}, k AS (SELECT substr(seq, i::INT, 6) AS kmer FROM (SELECT seq, unnest(range(1, length(seq) - 4)) AS i FROM seqs WHERE length(seq) >= 6))
+SELECT kmer, count(*) AS n FROM k WHERE NOT contains(kmer, 'N') GROUP BY 1""")
+def kmer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.windows(T.sequences(spark, sf_dir), 6).groupBy("kmer").agg(F.count("*").alias("n"))
+
+
+@registered("SELECT doc_id, regexp_extract(source || '/' || lang || '.' || doc_id || '.fasta', '([^/]*)\\.[^.]*$', 1) AS stem, source AS sourcename, printf('%s_primer_%05d', source, doc_id) AS name FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")
+def source_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = T.read(spark, sf_dir, "documents").where("lang is not null and source is not null")
+    path = F.concat("source", F.lit("/"), "lang", F.lit("."), F.col("doc_id").cast("string"), F.lit(".fasta"))
+    return d.select("doc_id", S.filestem(path).alias("stem"), F.col("source").alias("sourcename"), F.format_string("%s_primer_%05d", "source", "doc_id").alias("name"))
+
+
+# Amplicons and diversity
+
+
+@registered(f"""WITH {T.SEQUENCES}, p AS (SELECT seq_id, seq, CASE WHEN ord % 2 = 0 THEN 'x' ELSE 'y' END AS fwd, 11 AS a, 11 + 40 + ord % 300 AS b, ord FROM seqs),
+c AS (SELECT *, substr(seq, a, (b - a + 1)::INT) AS s FROM p)
+SELECT 'm' || ord AS primer, 'm' || ord || '_' || seq_id || '_1' AS amplicon_name, md5(CASE WHEN fwd = 'x' THEN s ELSE reverse(translate(s, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) END) AS digest
+FROM c WHERE length(s) > 50 AND length(s) < 300""")
+def extract_amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = T.sequences(spark, sf_dir)
+    name = F.concat(F.lit("m"), F.col("ord").cast("string"))
+    amps = s.select(name.alias("primer_name"), F.col("seq_id").alias("target"), F.lit(1).alias("idx"), F.lit("x").alias("fwd_seq"), F.lit(11).alias("fwd_start"), (51 + F.col("ord") % 300).alias("rev_end"))
+    pairs = s.select(name.alias("name"), F.when(F.col("ord") % 2 == 0, "x").otherwise("y").alias("forward_seq"))
+    out = V.extract_amplicons(amps, pairs, s.select(F.col("seq_id").alias("name"), "seq"))
+    return out.select("primer", "amplicon_name", F.md5("seq").alias("digest"))
+
+
+_PAIRS = "prs AS (SELECT a.primer, a.amplicon_name AS a, b.amplicon_name AS b, hamming(a.seq, b.seq)::DOUBLE / length(a.seq) AS dist FROM amps a JOIN amps b ON a.primer = b.primer AND a.amplicon_name < b.amplicon_name)"
+_SHANNON = """cnt AS (SELECT primer, seq, count(*) AS c FROM amps GROUP BY 1, 2),
+sh AS (SELECT primer, count(*) AS n_unique, (sum(c) - count(*))::BIGINT AS n_nonunique, CASE WHEN count(*) > 1 THEN ln(sum(c)) - sum(c * ln(c)) / sum(c) ELSE 0 END AS h FROM cnt GROUP BY 1)"""
+
+
+@registered(f"WITH {T.AMPLICONS}, {_PAIRS} SELECT primer, a, b, round(dist, 6) AS dist FROM prs")
+def identity_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.pair_distances(T.amplicons(spark, sf_dir)).withColumn("dist", F.round("dist", 6))
+
+
+@registered(f"WITH {T.AMPLICONS} SELECT a.primer, a.amplicon_name AS a, b.amplicon_name AS b, round(levenshtein(a.seq, b.seq) / greatest(length(a.seq), length(b.seq)), 6) AS dist FROM amps a JOIN amps b ON a.primer = b.primer AND a.amplicon_name < b.amplicon_name")
+def amplicon_edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.pair_distances(T.amplicons(spark, sf_dir), aligned=False).withColumn("dist", F.round("dist", 6))
+
+
+@registered(f"""WITH {T.AMPLICONS}, {_PAIRS}, {_SHANNON}, st AS (SELECT primer, avg(dist) AS m, stddev_samp(dist) AS s, min(dist) AS lo, max(dist) AS hi FROM prs GROUP BY 1)
+SELECT sh.primer, round(coalesce(m, 0), 6) AS dist_mean, round(coalesce(s, 0), 6) AS dist_sd, round(coalesce(lo, 0), 6) AS dist_min, round(coalesce(hi, 0), 6) AS dist_max, n_unique, n_nonunique,
+round(h, 6)::DOUBLE AS shannon, round(CASE WHEN n_unique > 1 THEN h / ln(n_unique) ELSE 0 END, 6)::DOUBLE AS evenness FROM sh LEFT JOIN st ON sh.primer = st.primer""")
+def distance_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = V.pairwise_distance_stats(T.amplicons(spark, sf_dir))
+    return s.select("primer", *[F.round(c, 6).alias(c) for c in ("dist_mean", "dist_sd", "dist_min", "dist_max")], "n_unique", "n_nonunique", F.round("shannon", 6).alias("shannon"), F.round("evenness", 6).alias("evenness"))
+
+
+@registered(f"WITH {T.AMPLICONS}, {_SHANNON} SELECT primer, n_unique, n_nonunique, round(h, 6)::DOUBLE AS shannon, round(CASE WHEN n_unique > 1 THEN h / ln(n_unique) ELSE 0 END, 6)::DOUBLE AS evenness FROM sh")
+def shannon_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = V.shannon_index(T.amplicons(spark, sf_dir))
+    return s.select("primer", "n_unique", "n_nonunique", F.round("shannon", 6).alias("shannon"), F.round("evenness", 6).alias("evenness"))
+
+
+@registered(f"WITH {T.AMPLICONS} SELECT primer, count(DISTINCT seq) AS n_unique, count(*) - count(DISTINCT seq) AS n_nonunique FROM amps GROUP BY 1")
+def unique_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.unique_counts(T.amplicons(spark, sf_dir))
+
+
+@registered(f"WITH {T.AMPLICONS} SELECT primer, amplicon_name, seq FROM amps WHERE primer IN (SELECT primer FROM amps GROUP BY 1 HAVING count(*) = 1)")
+def single_sequence_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.single_sequence_passthrough(T.amplicons(spark, sf_dir))
+
+
+_STATS = f"""{T.AMPLICONS}, {_PAIRS}, {_SHANNON}, st AS (SELECT primer, round(avg(dist), 6) AS m FROM prs GROUP BY 1),
+stats AS (SELECT sh.primer, n_unique, n_nonunique, coalesce(m, 0) AS dist_mean FROM sh LEFT JOIN st ON sh.primer = st.primer)"""
+
+
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.pairwise_distance_stats(T.amplicons(spark, sf_dir)).withColumn("dist_mean", F.round("dist_mean", 6))
+
+
+@registered(f"WITH {_STATS} SELECT primer AS label, n_nonunique AS x, dist_mean AS y, round((SELECT max(n_unique) * 1.2::DOUBLE FROM stats), 6)::DOUBLE AS x_max, round((SELECT max(dist_mean) * 1.2::DOUBLE FROM stats), 6)::DOUBLE AS y_max, -0.1::DOUBLE AS x_min, -0.01::DOUBLE AS y_min FROM stats")
+def marker_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = V.marker_scatter(_stats(spark, sf_dir))
+    return s.withColumn("x_max", F.round(F.col("x_max").cast("double"), 6)).withColumn("y_max", F.round("y_max", 6))
+
+
+@registered(f"WITH {_STATS} SELECT primer, n_nonunique, dist_mean FROM stats s WHERE NOT EXISTS (SELECT 1 FROM stats o WHERE o.n_nonunique <= s.n_nonunique AND o.dist_mean >= s.dist_mean AND (o.n_nonunique < s.n_nonunique OR o.dist_mean > s.dist_mean))")
+def marker_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.marker_pareto(_stats(spark, sf_dir)).select("primer", "n_nonunique", "dist_mean")
+
+
+@registered(f"WITH {_STATS} SELECT primer, printf('%.4f', dist_mean) AS dist_mean, n_unique AS \"unique\", n_nonunique AS nonunique FROM stats")
+def write_distance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.distance_summary(_stats(spark, sf_dir)).select("primer", "dist_mean", "unique", "nonunique")
+
+
+# Matching
+
+_KMERS = "SELECT {cols}, substr(seq, i::INT, {k}) AS kmer FROM (SELECT *, unnest(range(1, length(seq) - {k} + 2)) AS i FROM {src} WHERE length(seq) >= {k})"
+
+
+@registered(f"""WITH {T.SEQUENCES}, b AS (SELECT {T.SEQ_SQL} AS seq FROM benchmark), b2 AS (SELECT seq FROM b UNION ALL SELECT reverse(translate(seq, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) FROM b),
+kb AS ({_KMERS.format(cols='1', k=25, src='b2')}), ks AS ({_KMERS.format(cols='seq_id', k=25, src='seqs')})
+SELECT DISTINCT seq_id AS name FROM ks WHERE NOT contains(kmer, 'N') AND kmer IN (SELECT kmer FROM kb)""")
+def offtarget_kmer_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = T.read(spark, sf_dir, "benchmark").select(T.as_sequence(F.col("text")).alias("seq"))
+    return H.offtarget_hits(T.sequences(spark, sf_dir).select(F.col("seq_id").alias("name"), "seq"), b, 24)
+
+
+@registered(f"""WITH {T.PRIMERS}, b AS (SELECT {T.SEQ_SQL} AS seq FROM benchmark), b2 AS (SELECT seq FROM b UNION ALL SELECT reverse(translate(seq, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) FROM b),
+kb AS ({_KMERS.format(cols='1', k=16, src='b2')}), o AS (SELECT name, forward_seq AS seq FROM primers UNION ALL SELECT name, reverse_seq FROM primers), ks AS ({_KMERS.format(cols='name', k=16, src='o')})
+SELECT name FROM primers WHERE name NOT IN (SELECT name FROM ks WHERE NOT contains(kmer, 'N') AND kmer IN (SELECT kmer FROM kb))""")
+def screen_offtarget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = T.read(spark, sf_dir, "benchmark").select(T.as_sequence(F.col("text")).alias("seq"))
+    return H.screen_offtarget(T.primers(spark, sf_dir), b, 15).select("name")
+
+
+def _oligos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = T.read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("oligo"), T.as_sequence(F.col("text")).alias("seq"))
+    return b.where(F.length("seq") >= 60).select("oligo", F.substring("seq", 21, 20).alias("seq")).where(~F.col("seq").contains("N"))
+
+
+_OLIGOS = f"o AS (SELECT item_id::VARCHAR AS oligo, substr({T.SEQ_SQL}, 21, 20) AS seq FROM benchmark WHERE length({T.SEQ_SQL}) >= 60), o1 AS (SELECT * FROM o WHERE NOT contains(seq, 'N')), o2 AS (SELECT oligo, '+' AS strand, seq FROM o1 UNION ALL SELECT oligo, '-', reverse(translate(seq, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) FROM o1)"
+
+
+@registered(f"""WITH {T.SEQUENCES}, {_OLIGOS}, ks AS ({_KMERS.format(cols='seq_id, i', k=20, src='seqs')})
+SELECT oligo, strand, seq_id, (i - 1)::BIGINT AS pos FROM ks JOIN o2 ON o2.seq = ks.kmer""")
+def search_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.search_oligos(_oligos(spark, sf_dir), T.sequences(spark, sf_dir), 0.0).select("oligo", "strand", "seq_id", F.col("pos").cast("long").alias("pos"))
+
+
+@registered(f"""WITH {T.SEQUENCES}, {_OLIGOS}, ks AS ({_KMERS.format(cols='seq_id, i', k=20, src='seqs')}), d AS (SELECT DISTINCT kmer FROM ks),
+h AS (SELECT oligo, strand, kmer, hamming(o2.seq, kmer) AS m FROM d, o2 WHERE (substr(kmer, 1, 6) = substr(seq, 1, 6) AND NOT contains(substr(kmer, 1, 6), 'N'))
+  OR (substr(kmer, 7, 6) = substr(seq, 7, 6) AND NOT contains(substr(kmer, 7, 6), 'N')) OR (substr(kmer, 13, 6) = substr(seq, 13, 6) AND NOT contains(substr(kmer, 13, 6), 'N')))
+SELECT oligo, strand, seq_id, (i - 1)::BIGINT AS pos, m::INT AS mismatches FROM h JOIN ks ON h.kmer = ks.kmer WHERE m <= 2""")
+def search_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.search_oligos(_oligos(spark, sf_dir), T.sequences(spark, sf_dir), 0.1).select("oligo", "strand", "seq_id", F.col("pos").cast("long").alias("pos"), "mismatches")
+
+
+@registered()
+def search_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs cut from the benchmark texts, searched in every document."""
+    b = T.read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("name"), T.as_sequence(F.col("text")).alias("seq")).where(F.length("seq") >= 120)
+    pairs = b.select("name", F.substring("seq", 1, 20).alias("forward_seq"), S.reverse_complement(F.substring("seq", 101, 20)).alias("reverse_seq"))
+    return H.search_primers(pairs, T.sequences(spark, sf_dir), 0.1, 500)
+
+
+@registered()
+def design_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best pairs of each record of the genomes."""
+    s = T.sequences(spark, sf_dir)
+    return D.design_primer_pairs(s.withColumn("name", F.col("seq_id")), D.Design(num_return=3, size_min=20, size_max=20))
+
+
+@registered()
+def conserved_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches that the records of a genome share with the benchmark texts."""
+    b = T.read(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("name"), F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("seq_id"), T.as_sequence(F.col("text")).alias("seq"))
+    return H.conserved_blocks(b.union(T.sequences(spark, sf_dir).where("description = 'en'").select(F.col("seq_id").alias("name"), "seq_id", "seq"))).where("query like 'b%'")
+
+
+# Formats
+
+
+@registered(f"WITH {T.PRIMERS} SELECT name || chr(9) || forward_seq || chr(9) || reverse_seq AS value FROM primers UNION ALL SELECT '# PRIMERS' UNION ALL SELECT '# Name       FWD        REV'")
+def write_primers_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.primers_tsv(T.primers(spark, sf_dir)).select("value")
+
+
+@registered(f"WITH {T.PRIMERS} SELECT '>' || name || '_fwd' || chr(10) || forward_seq AS value FROM primers UNION ALL SELECT '>' || name || '_rev' || chr(10) || reverse_seq FROM primers")
+def write_primers_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.primers_fasta(T.primers(spark, sf_dir)).select("value")
+
+
+@registered(f"WITH {T.PRIMERS} SELECT source || chr(9) || '1' || chr(9) || '80' || chr(9) || name AS value FROM primers")
+def write_primers_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.primers_bed(T.primers(spark, sf_dir).withColumn("source_id", F.col("source"))).select("value")
+
+
+@registered(f"WITH {T.PRIMERS} SELECT name, forward_seq, reverse_seq, 100::BIGINT AS size, 1::BIGINT AS forward_start, 81::BIGINT AS reverse_start, 59.5::DOUBLE AS forward_tm, 45.0::DOUBLE AS reverse_gc FROM primers")
+def scan_primers_eprimer3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports written and read back, with the names that they carry."""
+    path = T.scratch(spark, "eprimer3")
+    W.write_primers(T.primers(spark, sf_dir), path, "eprimer3")
+    return R.scan_primers(spark, path + "/*", "eprimer3", noname=True).select("name", "forward_seq", "reverse_seq", "size", "forward_start", "reverse_start", "forward_tm", "reverse_gc")
+
+
+@registered(f"WITH {T.PRIMERS} SELECT name, forward_seq, reverse_seq, sourcename FROM primers")
+def scan_primers_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = T.scratch(spark, "primers")
+    W.write_primers(T.primers(spark, sf_dir), path, "json")
+    return spark.read.schema(R.PRIMER_SCHEMA).json(path).select("name", "forward_seq", "reverse_seq", "sourcename")
+
+
+@registered(f"WITH {T.SEQUENCES} SELECT seq_id, md5(seq) AS digest FROM seqs WHERE seq <> ''")
+def scan_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences written as FASTA lines and read back."""
+    path = T.scratch(spark, "fasta")
+    T.sequences(spark, sf_dir).where("seq <> ''").select(F.concat(F.lit(">"), "seq_id", F.lit(" x\n"), F.regexp_replace("seq", "(.{60})", "$1\n")).alias("value")).write.text(path)
+    return R.scan_fasta(spark, path).select("seq_id", F.md5("seq").alias("digest"))
+
+
+@registered("SELECT 'm' || l_partkey || '_fwd' AS query, l_quantity::INT AS length, l_orderkey::BIGINT AS sstart FROM lineitem")
+def scan_blast_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = T.read(spark, sf_dir, "lineitem")
+    rows = li.select(F.concat(F.lit("m"), F.col("l_partkey").cast("string"), F.lit("_fwd")), F.lit("db"), F.lit(100.0), F.col("l_quantity").cast("int"), F.lit(0), F.lit(0), F.lit(1), F.lit(20), F.col("l_orderkey"), F.col("l_orderkey"), F.lit(0.1), F.lit(30.0))
+    path = T.scratch(spark, "blast")
+    rows.write.csv(path, sep="\t")
+    return R.scan_blast_hits(spark, path).select("query", "length", "sstart")
+
+
+@registered(f"WITH {T.SEQUENCES}, a AS (SELECT name, ord, length(seq) AS n FROM seqs WHERE length(seq) > 0) SELECT name AS ref, 'd' || ord AS qry, n::BIGINT AS ref_end, (ord % 5)::BIGINT AS sim_errors, CASE WHEN ord % 2 = 0 THEN '3,-4' ELSE '' END AS indels FROM a")
+def scan_delta_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment files, one for each genome, written and read back."""
+    s = T.sequences(spark, sf_dir).where("seq <> ''")
+    n = F.length("seq").cast("long")
+    indels = F.when(F.col("ord") % 2 == 0, F.array(F.lit(3), F.lit(-4))).otherwise(F.array().cast("array<int>")).cast("array<bigint>")
+    rows = s.select(F.col("name").alias("file"), F.lit(1).alias("header_no"), F.col("ord").alias("row_no"), F.col("name").alias("ref"), F.col("seq_id").alias("qry"), n.alias("ref_length"), n.alias("qry_length"), F.lit(1).alias("ref_start"), n.alias("ref_end"), F.lit(1).alias("qry_start"), n.alias("qry_end"), (F.col("ord") % 5).alias("errors"), (F.col("ord") % 5).alias("sim_errors"), F.lit(0).alias("stops"), indels.alias("indels"))
+    head = s.select(F.col("name").alias("file"), F.lit(-1).cast("long").alias("row_no"), F.concat(F.lit("in/"), "name", F.lit(".fas out/x.fas\nNUCMER")).alias("value")).distinct()
+    path = T.scratch(spark, "delta")
+    # Each alignment has a header of its own here, as each record is aligned once.
+    body = W.delta_text(rows.withColumn("header_no", F.col("row_no")))
+    text = head.union(body.select("file", "row_no", "value"))
+    W._text(text, path, ["row_no"], ["file"])
+    out = R.scan_delta_full(spark, path)
+    return out.select("ref", "qry", "ref_end", "sim_errors", F.array_join(F.transform("indels", lambda x: x.cast("string")), ",").alias("indels"))

@@ -1 +1 @@
-
+"""Readers and writers of the table and report formats."""
