@@ -106,8 +106,8 @@ def scan_primers_eprimer3(spark: SparkSession, path: str, noname: bool = False)
 
 
 def scan_primers_primer3(spark: SparkSession, path: str) -> DataFrame:
-    """Pairs of key=value design output; a file without pairs has no rows."""
-    rows = _whole(spark, path).withColumn("m", F.expr("str_to_map(regexp_replace(value, '\r', ''), '\n', '=')"))
+    """Pairs of key=value design output up to the line ``=``; a file without pairs has no rows."""
+    rows = _whole(spark, path).withColumn("m", F.expr("str_to_map(substring_index(regexp_replace(value, '\r', ''), '\n=', 1), '\n', '=')"))
     rows = rows.withColumn("i", F.explode(F.transform(F.filter(F.map_keys("m"), lambda k: k.rlike(r"^PRIMER_PAIR_\d+_PENALTY$")), lambda k: F.regexp_extract(k, r"(\d+)", 1).cast("int"))))
     key = lambda form: F.try_element_at("m", F.format_string(form, "i"))
     cols = [F.format_string("%s_primer_%05d", filestem(F.col("file")), F.col("i") + 1).alias("name"), key("PRIMER_PAIR_%d_PRODUCT_SIZE").cast("long").alias("size")]
