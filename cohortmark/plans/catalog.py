@@ -564,18 +564,164 @@ def scan_blast_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_blast_hits(spark, path).select("query", "length", "sstart")
 
 
-@registered(f"WITH {T.SEQUENCES}, a AS (SELECT name, ord, length(seq) AS n FROM seqs WHERE length(seq) > 0) SELECT name AS ref, 'd' || ord AS qry, n::BIGINT AS ref_end, (ord % 5)::BIGINT AS sim_errors, CASE WHEN ord % 2 = 0 THEN '3,-4' ELSE '' END AS indels FROM a")
-def scan_delta_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignment files, one for each genome, written and read back."""
+def _delta(spark: SparkSession, sf_dir: str) -> str:
+    """Alignment files, one for each genome: each record against its genome, with a header of its own."""
     s = T.sequences(spark, sf_dir).where("seq <> ''")
     n = F.length("seq").cast("long")
     indels = F.when(F.col("ord") % 2 == 0, F.array(F.lit(3), F.lit(-4))).otherwise(F.array().cast("array<int>")).cast("array<bigint>")
-    rows = s.select(F.col("name").alias("file"), F.lit(1).alias("header_no"), F.col("ord").alias("row_no"), F.col("name").alias("ref"), F.col("seq_id").alias("qry"), n.alias("ref_length"), n.alias("qry_length"), F.lit(1).alias("ref_start"), n.alias("ref_end"), F.lit(1).alias("qry_start"), n.alias("qry_end"), (F.col("ord") % 5).alias("errors"), (F.col("ord") % 5).alias("sim_errors"), F.lit(0).alias("stops"), indels.alias("indels"))
+    rows = s.select(F.col("name").alias("file"), F.col("ord").alias("header_no"), F.col("ord").alias("row_no"), F.col("name").alias("ref"), F.col("seq_id").alias("qry"), n.alias("ref_length"), n.alias("qry_length"), F.lit(1).alias("ref_start"), n.alias("ref_end"), F.lit(1).alias("qry_start"), n.alias("qry_end"), (F.col("ord") % 5).alias("errors"), (F.col("ord") % 5).alias("sim_errors"), F.lit(0).alias("stops"), indels.alias("indels"))
     head = s.select(F.col("name").alias("file"), F.lit(-1).cast("long").alias("row_no"), F.concat(F.lit("in/"), "name", F.lit(".fas out/x.fas\nNUCMER")).alias("value")).distinct()
     path = T.scratch(spark, "delta")
-    # Each alignment has a header of its own here, as each record is aligned once.
-    body = W.delta_text(rows.withColumn("header_no", F.col("row_no")))
-    text = head.union(body.select("file", "row_no", "value"))
-    W._text(text, path, ["row_no"], ["file"])
-    out = R.scan_delta_full(spark, path)
+    W._text(head.union(W.delta_text(rows).select("file", "row_no", "value")), path, ["row_no"], ["file"])
+    return path
+
+
+_DELTA = f"{T.SEQUENCES}, a AS (SELECT name, ord, length(seq) AS n FROM seqs WHERE length(seq) > 0)"
+
+
+@registered(f"WITH {_DELTA} SELECT name AS ref, 'd' || ord AS qry, n::BIGINT AS ref_end, (ord % 5)::BIGINT AS sim_errors, CASE WHEN ord % 2 = 0 THEN '3,-4' ELSE '' END AS indels FROM a")
+def scan_delta_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = R.scan_delta_full(spark, _delta(spark, sf_dir))
     return out.select("ref", "qry", "ref_end", "sim_errors", F.array_join(F.transform("indels", lambda x: x.cast("string")), ",").alias("indels"))
+
+
+@registered(f"WITH {_DELTA} SELECT name AS query, 'x' AS subject, 1::BIGINT AS \"start\", n::BIGINT AS \"end\", (ord % 5)::BIGINT AS sim_errors FROM a WHERE ord % 5 >= 2 AND n > 1 AND (ord % 5)::DOUBLE / (n - 1) >= 0.002")
+def scan_delta_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.scan_delta_intervals(spark, _delta(spark, sf_dir), 2, 0.002)
+
+
+@registered("SELECT true AS equal")
+def delta_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full = R.scan_delta_full(spark, _delta(spark, sf_dir))
+    return R.delta_equal(full, full.repartition(3, "qry"))
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name, array_to_string(groups, ',') AS groups, seqfile, features, name AS filestem FROM man")
+def scan_manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = T.scratch(spark, "manifest")
+    W.write_manifest_json(T.manifest(spark, sf_dir), path)
+    return R.scan_manifest_json(spark, path).select("name", F.array_join("groups", ",").alias("groups"), "seqfile", "features", "filestem")
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name, array_to_string(groups, ',') AS groups, seqfile, features FROM man")
+def convert_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TSV to JSON and back again."""
+    tab, js, back = (T.scratch(spark, "m") + x for x in (".tab", ".json", ".conf"))
+    W.write_manifest_tab(T.manifest(spark, sf_dir), tab)
+    W.convert_manifest(spark, tab, js)
+    W.convert_manifest(spark, js, back)
+    return R.scan_manifest_tab(spark, back).select("name", F.array_join("groups", ",").alias("groups"), "seqfile", "features")
+
+
+@registered(f"WITH {T.PRIMERS} SELECT sourcename || '_primer_' || printf('%05d', row_number() OVER (PARTITION BY sourcename ORDER BY name)) AS name, forward_seq, reverse_seq, 100::BIGINT AS size, 0::BIGINT AS forward_start, 99::BIGINT AS reverse_start, sourcename FROM primers")
+def scan_primers_primer3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Design output, a file for each genome, written and read back."""
+    from pyspark.sql import Window
+
+    p = T.primers(spark, sf_dir).withColumn("i", F.row_number().over(Window.partitionBy("sourcename").orderBy("name")) - 1)
+    lines = F.concat_ws("\n", *[F.format_string(form, *cols) for form, cols in (
+        ("PRIMER_PAIR_%d_PENALTY=0.5", ["i"]), ("PRIMER_LEFT_%d=0,20", ["i"]), ("PRIMER_RIGHT_%d=99,20", ["i"]), ("PRIMER_LEFT_%d_SEQUENCE=%s", ["i", "forward_seq"]), ("PRIMER_RIGHT_%d_SEQUENCE=%s", ["i", "reverse_seq"]), ("PRIMER_PAIR_%d_PRODUCT_SIZE=%d", ["i", "size"]),
+    )])
+    text = p.groupBy("sourcename").agg(F.concat_ws("\n", F.collect_list(lines)).alias("value")).withColumn("value", F.concat("value", F.lit("\n=")))
+    path = T.scratch(spark, "primer3")
+    text.withColumn("g", F.col("sourcename")).select("g", "value").repartition("g").write.partitionBy("g").text(path)
+    out = R.scan_primers_primer3(spark, path + "/*").withColumn("g", F.regexp_extract("source", "/g=([^/]*)/", 1))
+    return out.select(F.concat("g", F.lit("_primer_"), F.regexp_extract("name", "([0-9]{5})$", 1)).alias("name"), "forward_seq", "reverse_seq", "size", "forward_start", "reverse_start", F.col("g").alias("sourcename"))
+
+
+@registered("SELECT o_orderpriority AS target, 'c' || o_custkey AS primer_name, o_orderkey::BIGINT AS fwd_start, o_orderkey::BIGINT + 100 AS rev_end FROM orders")
+def scan_target_amplicons_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = T.read(spark, sf_dir, "orders")
+    arm = lambda s: F.array(F.lit("ACGT"), s.cast("string"), s.cast("string"))
+    amp = F.struct(arm(F.col("o_orderkey")).alias("_fwd"), arm(F.col("o_orderkey") + 100).alias("_rev"), F.lit(100).alias("_len"), F.lit("Amplimer 1").alias("_name"), F.lit("s").alias("_seqname"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("primer_name"), F.lit("f").alias("target"), F.lit("s").alias("target_fasta_id"))
+    # A file for each customer's amplimers, by target.
+    rows = o.groupBy("o_custkey", "o_orderpriority").agg(F.collect_list(amp).alias("a")).groupBy("o_custkey").agg(F.map_from_arrays(F.collect_list("o_orderpriority"), F.collect_list("a")).alias("m"))
+    path = T.scratch(spark, "amplicons")
+    rows.select(F.to_json("m").alias("value")).write.text(path)
+    return R.amplicon_rows(spark.read.text(path).select("value")).select("target", "primer_name", F.col("fwd.start").alias("fwd_start"), F.col("rev.end").alias("rev_end"))
+
+
+@registered("SELECT n_name AS target, 'r' || n_nationkey AS report FROM nation")
+def scan_primersearch_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = T.read(spark, sf_dir, "nation").select(F.col("n_name").alias("k"), F.concat(F.lit("r"), F.col("n_nationkey").cast("string")).alias("v"))
+    rows = n.agg(F.to_json(F.map_concat(F.map_from_arrays(F.collect_list("k"), F.collect_list("v")), F.create_map(F.lit("query"), F.lit("q"), F.lit("primers"), F.lit("p")))).alias("value"))
+    path = T.scratch(spark, "index")
+    rows.write.text(path)
+    return R.scan_primersearch_index(spark, path).select("target", "report")
+
+
+@registered(f"""WITH {T.INTERVALS} SELECT 'u' || chrom AS chrom, "start", "end" FROM iv""")
+def scan_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    iv = T.intervals(spark, sf_dir)
+    line = F.concat_ws("\t", F.concat(F.lit("u"), F.col("chrom").cast("string")), F.lit("x"), F.lit("CDS"), (F.col("start") + 1).cast("string"), F.col("end").cast("string"), F.lit("."), F.lit("+"), F.lit("0"), F.lit("id"))
+    path = T.scratch(spark, "gff")
+    iv.select(line.alias("value")).write.text(path)
+    return R.scan_features(spark, path, "gff").select("chrom", "start", "end")
+
+
+@registered(f"WITH {_STATS} SELECT primer, round(dist_mean, 4) AS dist_mean, n_unique::INT AS \"unique\" FROM stats")
+def scan_distance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = T.scratch(spark, "distances")
+    W.write_distance_summary(_stats(spark, sf_dir), path)
+    return R.scan_distance_table(spark, path).select("primer", F.round("dist_mean", 4).alias("dist_mean"), "unique")
+
+
+@registered(f"WITH {T.AMPLICONS} SELECT amplicon_name AS seq_id, seq FROM amps")
+def scan_alignment_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = T.scratch(spark, "aln")
+    W.write_amplicon_fasta(T.amplicons(spark, sf_dir), path)
+    return R.scan_alignment_fasta(spark, path + "/*").select("seq_id", "seq")
+
+
+@registered(f"WITH {T.AMPLICONS} SELECT '>' || amplicon_name || ' Predicted diagnostic amplicon' || chr(10) || seq AS value FROM amps")
+def write_amplicon_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.amplicon_fasta(T.amplicons(spark, sf_dir)).select("value")
+
+
+@registered("SELECT o_orderkey || chr(9) || '1' || chr(9) || '52' || chr(9) || o_custkey AS value FROM orders")
+def write_target_amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = T.read(spark, sf_dir, "orders")
+    place = lambda a, b: F.struct(F.lit("AC").alias("seq"), F.lit(a).alias("start"), F.lit(b).alias("end"))
+    amps = o.select(F.col("o_orderpriority").alias("target"), F.col("o_custkey").cast("string").alias("primer_name"), F.col("o_orderkey").cast("string").alias("target_fasta_id"), place(1, 3).alias("fwd"), place(50, 52).alias("rev"))
+    return W.amplicons_bed(amps).select("value")
+
+
+@registered(f"WITH {T.SEQUENCES} SELECT seq_id, length(seq)::INT AS length FROM seqs WHERE seq <> ''")
+def write_bedgenome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = T.scratch(spark, "bedgenome")
+    W.write_bedgenome(T.sequences(spark, sf_dir).where("seq <> ''"), path)
+    return spark.read.schema("seq_id string, length int").csv(path, sep="\t")
+
+
+@registered("SELECT s_name AS name, count(*) AS n FROM (SELECT s_name, unnest(['SEQUENCE_ID', 'NUM_RETURN', 'SIZE_MIN', 'SIZE_OPT', 'SIZE_MAX', 'WT_LT', 'WT_GT', 'TM_MIN', 'TM_OPT', 'TM_MAX', 'GC_MIN', 'GC_OPT', 'GC_MAX', 'PRODUCT_MIN', 'PRODUCT_OPT', 'PRODUCT_MAX', 'POLY_X', '=']) FROM supplier) GROUP BY 1")
+def write_boulder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = T.read(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
+    return W.boulder_lines(D.boulder_input(names)).groupBy("name").agg(F.count("*").alias("n"))
+
+
+@registered(f"WITH {T.SEQUENCES} SELECT seq_id, substr(seq, 6, 60) AS seq FROM seqs WHERE length(seq) >= 100")
+def region_extract_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = T.sequences(spark, sf_dir)
+    regions = s.where(F.length("seq") >= 100).select("seq_id", F.lit(10).alias("start"), F.lit(60).alias("end"))
+    return Q.region_sequences(s, regions, flank=5).select("seq_id", "seq")
+
+
+@registered(f"WITH {T.PRIMERS} SELECT p.name, s.description, length(s.seq)::INT AS length FROM primers p JOIN seqs s ON p.source = s.seq_id")
+def primers_to_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = T.sequences(spark, sf_dir).select(F.col("seq_id").alias("source"), "description", F.length("seq").alias("length"))
+    return T.primers(spark, sf_dir).select("name", "source").join(s, "source").drop("source")
+
+
+@registered(f"WITH {T.AMPLICONS} SELECT primer, count(*) AS n, string_agg(amplicon_name, ',' ORDER BY amplicon_name) AS names FROM amps GROUP BY 1")
+def index_by_primer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.amplicons(spark, sf_dir).groupBy("primer").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("amplicon_name")), ",").alias("names"))
+
+
+@registered(f"WITH {T.MANIFEST} SELECT name, seqfile FROM man WHERE name = 'Supplier#000000005'")
+def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.lookup(T.manifest(spark, sf_dir), "Supplier#000000005").select("name", "seqfile")
+
+
+@registered(f"""WITH {T.INTERVALS} SELECT chrom, "start", "end" FROM iv ORDER BY 1, 2, 3""")
+def interval_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.interval_sort(T.intervals(spark, sf_dir).select("chrom", "start", "end"))

@@ -141,7 +141,12 @@ def scan_primersearch_report(spark: SparkSession, path: str, lengths: DataFrame
 
 def scan_target_amplicons_json(spark: SparkSession, path: str) -> DataFrame:
     """Amplimers of JSON files that map targets to lists of amplimers."""
-    rows = _whole(spark, path).select(F.explode(F.from_json("value", f"map<string,array<{AMPLIMER}>>")).alias("key", "list")).select("key", F.posexplode("list").alias("i", "a"))
+    return amplicon_rows(_whole(spark, path))
+
+
+def amplicon_rows(texts: DataFrame) -> DataFrame:
+    """Amplimers of JSON texts (``value``)."""
+    rows = texts.select(F.explode(F.from_json("value", f"map<string,array<{AMPLIMER}>>")).alias("key", "list")).select("key", F.posexplode("list").alias("i", "a"))
     arm = lambda c: F.struct(F.get(c, F.lit(0)).alias("seq"), F.get(c, F.lit(1)).cast("long").alias("start"), F.get(c, F.lit(2)).cast("long").alias("end"))
     return rows.select(F.col("key").alias("target"), F.col("a.primer_name").alias("primer_name"), F.col("a._name").alias("amplimer"), F.col("a._seqname").alias("sequence"), F.col("a._len").alias("length"), F.col("a.target").alias("target_file"), F.col("a.target_fasta_id").alias("target_fasta_id"), arm(F.col("a._fwd")).alias("fwd"), arm(F.col("a._rev")).alias("rev"))
 

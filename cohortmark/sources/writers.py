@@ -18,8 +18,14 @@ def _text(rows: DataFrame, path: str, order: list[str], partition: list[str] = (
         rows.orderBy(*order).select("value").write.mode("overwrite").text(path)
 
 
+def manifest_json(manifest: DataFrame) -> DataFrame:
+    """One array of all genomes by name, keys sorted. A manifest is a work list, so it fits one row."""
+    rows = manifest.agg(F.array_sort(F.collect_list(F.struct("name", F.struct(*sorted(FIELDS)).alias("entry")))).alias("x"))
+    return rows.select(F.to_json(F.transform("x", lambda e: e["entry"]), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def write_manifest_json(manifest: DataFrame, path: str) -> None:
-    manifest.select(*sorted(FIELDS)).orderBy("name").write.mode("overwrite").json(path, ignoreNullFields=False)
+    manifest_json(manifest).write.mode("overwrite").text(path)
 
 
 def manifest_tab(manifest: DataFrame) -> DataFrame:
@@ -107,9 +113,12 @@ def write_classification(groups: DataFrame, found: DataFrame, primers: DataFrame
     classification_summary(groups, found, path).orderBy("Group").write.mode("overwrite").csv(f"{path}/summary", sep="\t", header=True)
 
 
+def amplicon_fasta(amplicons: DataFrame) -> DataFrame:
+    return amplicons.select("primer", "amplicon_name", F.concat(F.lit(">"), "amplicon_name", F.lit(" Predicted diagnostic amplicon\n"), "seq").alias("value"))
+
+
 def write_amplicon_fasta(amplicons: DataFrame, path: str) -> None:
-    rows = amplicons.select("primer", "amplicon_name", F.concat(F.lit(">"), "amplicon_name", F.lit(" Predicted diagnostic amplicon\n"), "seq").alias("value"))
-    _text(rows, path, ["amplicon_name"], ["primer"])
+    _text(amplicon_fasta(amplicons), path, ["amplicon_name"], ["primer"])
 
 
 def distance_summary(stats: DataFrame) -> DataFrame:
@@ -134,5 +143,14 @@ def delta_text(rows: DataFrame) -> DataFrame:
     return rows.select("file", "row_no", F.concat(F.when(first, head).otherwise(""), numbers, F.lit("\n"), tail).alias("value"))
 
 
+def boulder_lines(requests: DataFrame) -> DataFrame:
+    """Lines of design requests (name, value)."""
+    return requests.select("name", F.posexplode(F.split("value", "\n")).alias("k", "value"))
+
+
+def write_boulder_input(requests: DataFrame, path: str) -> None:
+    _text(boulder_lines(requests), path, ["k"], ["name"])
+
+
 def write_delta(rows: DataFrame, path: str) -> None:
     _text(delta_text(rows), path, ["row_no"], ["file"])
