@@ -8,8 +8,8 @@ anything is sent, (digest, salt) groups combine what tasks found, and the winner
 holds a third of all rows is thus one row for each task, then one for each salt. Rows then look up their group by digest. Should two
 different texts ever share a digest, the lookup compares texts as well.
 
-Repeated rows count as separate members, the smallest doc_id wins ties. Rows with a null doc_id are members too but stay only if no other
-row can. Extra columns are ignored.
+Repeated rows count as separate members, the smallest doc_id wins ties. Rows with a null doc_id are members too and lose ties;
+where one stays, keep_id is null. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -101,7 +101,7 @@ class Nodes:
             if len(digits) >= 7:
                 keys.append(digits[-10:])
             for k in keys:
-                if k in last and last[k] != i - 1:
+                if k in last and not (last[k] == i - 1 and self.near[i - 1]):
                     edges.append((last[k], i, 1))
                 last[k] = i
             before = text[max(0, s - 24) : s].rsplit(maxsplit=1)
@@ -128,7 +128,13 @@ def matrix(rows: list[list[int]]) -> np.ndarray:
 
 def fitted(rows: list[tuple[list[list[int]], list[int], list[list[int]]]], steps: int = 300) -> dict | None:
     """Weights from (features, labels, edges) of each document."""
-    x, y = [f for r in rows for f in r[0]], np.array([v for r in rows for v in r[1]], np.int64)
+    x, y = [], []
+    for fs, labels, edges in rows:
+        # What the patterns miss beside a labelled repeat is unknown, not outside: it teaches nothing.
+        unknown = {j for a, b, kind in edges if kind for i, j in ((a, b), (b, a)) if max(a, b) < len(labels) and labels[i] and not labels[j]}
+        x += [f for i, f in enumerate(fs) if i not in unknown]
+        y += [v for i, v in enumerate(labels) if i not in unknown]
+    y = np.array(y, np.int64)
     if not len(y) or not y.any():
         return None
     x, k = matrix(x), len(LABELS)
@@ -138,9 +144,10 @@ def fitted(rows: list[tuple[list[list[int]], list[int], list[list[int]]]], steps
         p /= p.sum(axis=1, keepdims=True)
         w += 2.0 * (x.T @ (want - p)) / len(y) - 1e-4 * w
     pair = np.full((2, k, k), 0.5)
+    pair[1] = 0.02
     for _, labels, edges in rows:
         for a, b, kind in edges:
-            if a < len(labels) and b < len(labels):
+            if max(a, b) < len(labels) and not (kind and bool(labels[a]) != bool(labels[b])):
                 pair[kind, labels[a], labels[b]] += 1
                 pair[kind, labels[b], labels[a]] += 1
     # Repeats of one string are one thing: what is known of one holds for the other.

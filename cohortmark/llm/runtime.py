@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step handles (a longer text is a step of its own).
 STEP_BYTES = 1 << 20
+#: At most so many ids (8 bytes each) go out as a broadcast; beyond, the join shuffles.
+BROADCAST_IDS = 2_000_000
 
 
 _shipped: set[str] = set()
@@ -82,6 +84,13 @@ def small_enough(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def by_ids(table: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``table`` whose key is in ``ids``: a broadcast of a counted size, else a shuffled join."""
+    if small_enough(ids, BROADCAST_IDS):
+        ids = F.broadcast(ids)
+    return table.join(ids, key, "left_semi")
+
+
 def text_steps(column: pa.Array, step: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) of successive runs of rows of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

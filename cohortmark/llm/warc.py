@@ -137,7 +137,7 @@ class WarcReader(DataSourceReader):
                 size = 0
             out[-1].paths.append(f.path)
             size += f.size
-        return out
+        return out or [Files([])]
 
     def wanted(self, values: dict) -> bool:
         for name, kind, value in self.tests:
