@@ -6,12 +6,13 @@ are linked if 100 * |A & B| >= 75 * |A | B|; a component is what links reach. Sh
 
 Nulls and empty texts have an empty set and stand alone. Rows with equal sets collapse to one node (the smallest
 doc_id) before any bucket is built, so copies cost one row each. Repeated rows keep one result row each. Extra columns
-are ignored. A null doc_id gets a row too; it is a node like any other only through its text.
+are ignored. A row with a null doc_id takes part only where its text has another row; else its component is null and it is kept.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytescan as B
-from .runtime import cut, join_skewed, per_batch, small_enough, stored, text_steps
+from .runtime import by_ids, cut, join_skewed, per_batch, stored, text_steps
 
 SHINGLE, PERCENT = 5, 75
-BANDS, ROWS = 32, 4
-#: Agreeing minima below this share cannot belong to a pair of 0.75 but with probability under 1e-9 at 128 minima.
-SIGNATURE_FLOOR = 0.5
-#: At most so many ids (8 bytes each) go out as a broadcast; beyond, the join shuffles.
-BROADCAST_IDS = 2_000_000
+#: Buckets come from 32 bands of 4 minima; signatures have 64 groups of 4, the first 32 being the bands.
+BANDS, GROUPS, ROWS = 32, 64, 4
+#: Agreeing minima below this share belong to a pair of 0.75 with probability 4e-7 at 256 minima.
+SIGNATURE_FLOOR = 0.617
+#: Sets of at most so many shingles travel whole with their signature, so that the bucket join confirms them itself.
+SMALL = 200
 
 
 def coefficients(n: int, seed: int = 20240607) -> tuple[np.ndarray, np.ndarray]:
@@ -58,9 +60,9 @@ def shingle_hashes(data: np.ndarray, off: np.ndarray, k: int = SHINGLE) -> tuple
     return full, rows
 
 
-def signatures(batches, bands: int, rows_per_band: int, k: int):
+def signatures(batches, groups: int, k: int):
     """Per row: size of the set, a digest of the set, the minima."""
-    a, b = coefficients(bands * rows_per_band)
+    a, b = coefficients(groups * ROWS)
     for batch in batches:
         for i, j, data, off in text_steps(batch.column("text")):
             h, row = shingle_hashes(data, off, k)
@@ -71,42 +73,61 @@ def signatures(batches, bands: int, rows_per_band: int, k: int):
                 x = h >> np.uint64(32)
                 for c in range(len(a)):
                     sig[has, c] = np.minimum.reduceat((x * a[c] + b[c]) >> np.uint64(32), begin)
-            size, digest = np.zeros(n, np.int64), [b""] * n
+            size, digest, small = np.zeros(n, np.int64), [b""] * n, [None] * n
             for r, s, e in zip(has.tolist(), begin.tolist(), [*begin[1:].tolist(), len(h)], strict=True):
                 own = np.sort(h[s:e])
                 own = own[np.concatenate(([True], own[1:] != own[:-1]))]
                 size[r], digest[r] = len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-            flat = sig.view(np.uint8).reshape(n, -1)
+                if len(own) <= SMALL:
+                    small[r] = own.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(i, n), pa.array(size), pa.array(digest, pa.binary()), pa.array([x.tobytes() for x in flat], pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "sig"],
+                [batch.column("doc_id").slice(i, n), pa.array(size), pa.array(digest, pa.binary()), packed(sig, groups), pa.array(small, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "digest", "sig", "small"],
             )
 
 
-def band_rows(batches, bands: int, rows_per_band: int):
-    """(bucket, node): one row for each band of each node."""
-    weigh = B.powers(B.STEP, rows_per_band + 1)
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(n, bands, rows_per_band).astype(np.uint64)
-        key = B.mix((B.mix(sig + np.uint64(1)) * weigh[1:]).sum(axis=2, dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(B.BASE))
-        node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False).astype(np.int64), bands)
-        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(node)], names=["bucket", "node"])
+def packed(sig: np.ndarray, groups: int) -> pa.Array:
+    """A long for each group: the low bits of its four minima, 15 of 16 (the last 14). Equal longs in one place are a shared bucket."""
+    four = (sig.reshape(len(sig), groups, ROWS) & np.array([0x7FFF, 0x7FFF, 0x7FFF, 0x3FFF], np.uint32)).astype(np.uint64)
+    long = four[:, :, 0] | four[:, :, 1] << np.uint64(16) | four[:, :, 2] << np.uint64(32) | four[:, :, 3] << np.uint64(48)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1, dtype=np.int32) * groups), pa.array(long.reshape(-1).view(np.int64)))
 
 
-def agree(batches, floor: float):
-    """Keep pairs whose signatures agree in at least ``floor`` of their places."""
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(n, -1) for c in ("sig_a", "sig_b"))
-        keep = pa.array((x == y).mean(axis=1) >= floor)
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+def agreeing(a: list, b: list) -> F.Column:
+    """How many minima two signatures share: all lanes but those that differ."""
+    total = F.lit(4 * len(a))
+    for x, y in zip(a, b, strict=True):  # a lane that differs carries into the free bit above it
+        total = total - F.bit_count((x.bitwiseXOR(y) + F.lit(0x3FFF7FFF7FFF7FFF)).bitwiseAND(F.lit(0x4000800080008000)))
+    return total
+
+
+def first_shared(a: list, b: list) -> F.Column:
+    """The first band in which two signatures meet."""
+    found = F.when(a[0] == b[0], 0)
+    for j in range(1, len(a)):
+        found = found.when(a[j] == b[j], j)
+    return found
+
+
+def alike(groups: int, percent: int, floor: float, left: str = "a", right: str = "b") -> F.Column:
+    """Whether sizes and signatures of two nodes allow a link. The columns are <side>_size and <side>_0 .. <side>_<groups - 1>."""
+    a, b = ([F.col(f"{side}_{j}") for j in range(groups)] for side in (left, right))
+    x, y = F.col(f"{left}_size"), F.col(f"{right}_size")
+    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (agreeing(a, b) >= int(floor * groups * ROWS))
 
 
+def confirmed_small(percent: int, left: str = "a", right: str = "b") -> F.Column:
+    """True unless both sets are at hand and not similar enough."""
+    x, y = F.col(f"{left}_small"), F.col(f"{right}_small")
+    both = F.size(F.array_intersect(x, y))
+    return F.when(x.isNull() | y.isNull(), True).otherwise(100 * both >= percent * (F.size(x) + F.size(y) - both))
+
+
+def side(name: str, groups: int) -> list:
+    return [F.col("n_shingles").alias(f"{name}_size"), *(F.col("sig")[j].alias(f"{name}_{j}") for j in range(groups))]
+
+
+@lru_cache(maxsize=256)
 def one_set(text: str | None, k: int) -> np.ndarray:
     data = np.frombuffer((text or "").encode(), np.uint8)
     return np.unique(shingle_hashes(data, np.array([0, len(data)]), k)[0])
@@ -115,32 +136,19 @@ def one_set(text: str | None, k: int) -> np.ndarray:
 def confirmed(batches, k: int, percent: int):
     """Keep pairs whose full shingle sets are similar enough."""
     for batch in batches:
-        a, b, kept, last = batch.column("a"), batch.column("b"), [], (None, None)
+        a, b, kept = batch.column("a"), batch.column("b"), []
         for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-            if last[0] != y:
-                last = (y, one_set(y, k))
-            p, q = one_set(x, k), last[1]
+            p, q = one_set(x, k), one_set(y, k)
             both = len(np.intersect1d(p, q, assume_unique=True))
             kept.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
         keep = pa.array(kept, pa.bool_())
         yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
 
-def by_ids(table: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``table`` whose doc_id is in ``ids``: a broadcast of a counted size, else a shuffled join."""
-    if small_enough(ids, BROADCAST_IDS):
-        ids = F.broadcast(ids)
-    return table.join(ids, "doc_id", "left_semi")
-
-
-def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int, floor: float) -> DataFrame:
-    """Of candidate pairs (a, b) of nodes those that are links: signatures first, then full sets."""
-    pairs = cut(pairs)
-    sig = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
-    sig_b = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-    both = pairs.join(sig, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")
-    near = cut(per_batch(both, lambda it: agree(it, floor), "a long, b long"))
-    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def linked(near: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Of candidate pairs (a, b) those whose full sets are similar enough."""
+    near = cut(near)
+    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     texts = by_ids(docs.select("doc_id", "text"), ids)
     full = near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     full = full.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
@@ -150,6 +158,9 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent:
 def components(edges: DataFrame, most: int = 50) -> DataFrame:
     """(node, comp) of every node that has an edge (a, b): alternating large-star and small-star until nothing changes."""
     both = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    seen = tuple(both.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    if not seen[0]:
+        return both.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     for _ in range(most):
         sym = both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = sym.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -158,8 +169,8 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = join_skewed(large, low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         after = cut(small.where("u <> v").distinct())
-        n, m = both.count(), after.count()
-        same = n == m and after.join(both, ["u", "v"], "left_anti").isEmpty()
+        now = tuple(after.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+        same, seen = now == seen, now
         both = after
         if same:
             break
@@ -168,40 +179,46 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     return both.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(both.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def near_dup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows_per_band: int = ROWS, floor: float = SIGNATURE_FLOOR) -> DataFrame:
+def near_dup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, groups: int = GROUPS, floor: float = SIGNATURE_FLOOR) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of ``docs`` (doc_id, text).
 
     Every bucket is first linked as a star around its smallest node. Then each pair of one bucket whose ends are still
-    in different components is compared as well, so the result misses no link that shares a bucket: a pair at the threshold
-    of 0.75 shares none of 32 bands of 4 with probability 6e-6.
+    in different components is compared as well, once, in the first band that it shares; only pairs whose sizes, signatures and,
+    where they are small, whole sets allow a link leave that join. So the result misses no link that shares a bucket: a pair at the threshold of 0.75 shares none of
+    32 bands of 4 with probability 6e-6.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = per_batch(docs, lambda it: signatures(it, bands, rows_per_band, shingle), "doc_id long, n_shingles long, digest binary, sig binary")
+    rows = per_batch(docs, lambda it: signatures(it, groups, shingle), "doc_id long, n_shingles long, digest binary, sig array<long>, small array<long>")
     rows = stored(rows, "minhash")
     full = rows.where("n_shingles > 0")
-    classes = cut(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size")))
-    nodes = full.join(classes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).select(F.col("doc_id").alias("node"), "sig")
-    nodes = nodes.dropDuplicates(["node"])
-    member = per_batch(nodes, lambda it: band_rows(it, bands, rows_per_band), "bucket long, node long")
+    classes = cut(full.groupBy("digest").agg(F.min("doc_id").alias("node")))
+    nodes = full.join(classes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"])
+    nodes = stored(nodes.select(F.col("doc_id").alias("node"), "n_shingles", "sig", "small").dropDuplicates(["node"]), "nodes")
+    member = nodes.select("node", F.posexplode(F.slice("sig", 1, bands)).alias("band", "key")).withColumn("bucket", F.xxhash64("band", "key"))
     low = member.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("bucket", "low")
     # Only rows of buckets with company go on.
-    member = cut(join_skewed(member, low, "bucket"))
-    star = linked(member.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), nodes, docs, shingle, percent, floor)
-    star = cut(star)
+    member = cut(join_skewed(member.select("node", "band", "bucket"), low, "bucket"))
+    star = member.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    star = star.join(nodes.select(F.col("node").alias("a"), *side("a", groups)), "a").join(nodes.select(F.col("node").alias("b"), *side("b", groups)), "b")
+    star = cut(linked(star.where(alike(groups, percent, floor)).select("a", "b"), docs, shingle, percent))
     comp = cut(components(star))
-    named = member.select("bucket", "node").join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    named = cut(named)
+    named = cut(member.select("bucket", "band", "node").join(comp, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp")))
     # Of each bucket with several components, those outside its main one are compared with all others of the bucket.
     size = named.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     mixed = size.groupBy("bucket").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("k")).where("k > 1").select("bucket", "main")
-    open_rows = cut(join_skewed(named, mixed, "bucket"))
-    rest = open_rows.where("comp <> main").select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"))
-    other = open_rows.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"), "main")
-    cross = join_skewed(rest, other, "bucket").where("ca <> cb and (cb = main or a < b)")
+    open_rows = cut(join_skewed(named, mixed, "bucket").join(nodes, "node"))
+    rest = open_rows.where("comp <> main").select("bucket", "band", F.col("node").alias("a"), F.col("comp").alias("ca"), *side("a", groups), F.col("small").alias("a_small"))
+    other = open_rows.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"), "main", *side("b", groups), F.col("small").alias("b_small"))
+    meet = first_shared([F.col(f"a_{j}") for j in range(bands)], [F.col(f"b_{j}") for j in range(bands)]) == F.col("band")
+    cross = rest.join(other.withColumnRenamed("bucket", "bucket_b"), (F.col("bucket") == F.col("bucket_b")) & F.expr("ca <> cb and (cb = main or a < b)") & meet & alike(groups, percent, floor) & confirmed_small(percent))
+    # A pair may meet in a bucket where one end belongs to the main component and in another where it doesn't: distinct.
     cross = cross.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = linked(cross, nodes, docs, shingle, percent, floor)
-    comp = components(star.union(more))
-    named = classes.join(comp, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp"))
+    more = linked(cross, docs, shingle, percent)
+    label = open_rows.select("node", "comp").distinct()
+    more = more.join(label.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(label.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
+    joined = components(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    named = classes.join(comp, "node", "left").select("digest", F.coalesce("comp", "node").alias("old"))
+    named = named.join(joined.select(F.col("node").alias("old"), F.col("comp").alias("new")), "old", "left").select("digest", F.coalesce("new", "old").alias("comp"))
     out = join_skewed(rows.select("doc_id", "n_shingles", "digest"), named, "digest", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
