@@ -59,9 +59,9 @@ def records(pages: DataFrame, least: int = REVISIT_BYTES, date: str = "2020-01-0
     return rows.select(F.concat(*head, block).alias("value"))
 
 
-def write(pages: DataFrame, path: str, **how) -> None:
-    """Write ``pages`` (page_id, url, html) as WARC files below ``path``."""
-    records(pages, **how).write.option("lineSep", END * 2).text(path)
+def write(pages: DataFrame, path: str, compression: str = "none", **how) -> None:
+    """Write ``pages`` (page_id, url, html) as WARC files below ``path``; compression is none or gzip."""
+    records(pages, **how).write.option("lineSep", END * 2).option("compression", compression).text(path)
 
 
 def read(spark: SparkSession, path: str, payload: str = "digest") -> DataFrame:
@@ -200,7 +200,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """Write every page to archives in the shared folder, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
-    write(pages, path)
+    write(pages, path, compression="gzip")
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) AS long)")
     return read(spark, path).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
