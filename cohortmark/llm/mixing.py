@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytescan as B
-from .runtime import cut, join_skewed, per_batch, text_steps
+from .runtime import cut, per_batch, small_enough, text_steps
 
 BLOCK_WORDS, SHARD_SLOTS, MAX_REPEATS, SEED = 128, 8192, 3, 11
+#: Up to so many rows about sources are broadcast.
+FEW_SOURCES = 10_000
 #: Parts that a source's words are laid out in, each by a task of its own.
 PARTS = 1024
 
@@ -109,13 +111,15 @@ def drawn(sources: DataFrame, slots: int, shard_slots: int, seed: int) -> DataFr
     rows = rows.withColumn("whole", F.floor(F.col("share") * F.col("room"))).withColumn("rest", F.col("share") * F.col("room") - F.col("whole"))
     up = Window.partitionBy("room").orderBy("source_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = cut(rows.withColumn("to", F.sum("rest").over(up)).withColumn("of", F.col("room") - F.sum("whole").over(Window.partitionBy("room"))))
-    whole = rows.where("whole > 0").select("room", "source_id", F.col("whole").alias("n")).join(shard, "room").select("source_id", "shard", "n")
+    # A row or two for each source: sent to the shards while they are few, else the shards are dealt out by room.
+    send = F.broadcast if small_enough(rows, FEW_SOURCES) else (lambda df: df.hint("merge"))
+    whole = shard.join(send(rows.where("whole > 0").select("room", "source_id", F.col("whole").alias("n"))), "room").select("source_id", "shard", "n")
     # ``of`` draws a shard from the categorical distribution of the rests; cells of width 1 make the range join an equi-join.
-    draws = shard.join(rows.groupBy("room").agg(F.max("of").alias("of"), F.max("to").alias("top")), "room").where("of > 0")
+    draws = shard.join(F.broadcast(rows.groupBy("room").agg(F.max("of").alias("of"), F.max("to").alias("top"))), "room").where("of > 0")  # two rows
     draws = draws.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("of").cast("int") - 1))).withColumn("u", unit(F.lit(seed), F.col("shard"), F.col("i")) * F.col("top"))
     spans = rows.where("rest > 0").select("room", "source_id", (F.col("to") - F.col("rest")).alias("from"), "to")
     spans = spans.withColumn("cell", F.explode(F.sequence(F.floor("from"), F.floor("to"))))
-    hit = draws.withColumn("cell", F.floor("u")).join(spans, ["room", "cell"]).where("u >= from and u < to")
+    hit = draws.withColumn("cell", F.floor("u")).join(send(spans), ["room", "cell"]).where("u >= from and u < to")
     more = hit.groupBy("source_id", "shard").agg(F.count("*").alias("n"))
     return whole.union(more).groupBy("source_id", "shard").agg(F.sum("n").alias("n"))
 
@@ -147,7 +151,8 @@ def plan(docs: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLO
     held = laid_out(named, parts)
     held = held.withColumn("block", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))))
     held = held.select("source_id", "block", "uid", F.greatest(F.lit(0), F.col("block") * block - F.col("first")).alias("word_from"), F.least(F.col("size"), (F.col("block") + 1) * block - F.col("first")).alias("word_to"))
-    pieces = held.join(slot, ["source_id", "block"])
+    # Spark cannot know how many slots the explosion makes and would broadcast them: never.
+    pieces = held.join(slot.hint("merge"), ["source_id", "block"])
     return named, pieces
 
 
