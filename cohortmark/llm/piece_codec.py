@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import per_batch
+from .runtime import held, per_batch
 
 SPACE = "▁"
 ONE = (1,)
 #: Chunks whose encoding a task remembers, in each of two generations.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 #: Neighbour checks that a task remembers.
-REMEMBERED_PAIRS = 500_000
+REMEMBERED_PAIRS = 300_000
 
 
 class Codec:
@@ -169,7 +169,7 @@ class Codec:
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for c in self.marked(text or "") for i in self.chunks[c][0]]
+        return [int(i) for c in self.marked(text or "") for i in self.chunks[c].split(",")]
 
     def raw(self, ids) -> bytes:
         """What the ids stand for, the space before the first word included."""
@@ -190,16 +190,22 @@ class Codec:
 
 
 class Chunks(dict):
-    """chunk -> (ids, ids as text, decoded bytes); two generations bound the memory."""
+    """chunk -> its ids as text; two generations bound the memory.
+
+    Each chunk's ids are decoded when they are made. Where that gives anything but the chunk itself, ``odd`` holds it.
+    """
 
     def __init__(self, codec: Codec):
-        self.codec, self.old = codec, {}
+        self.codec, self.old, self.odd = codec, {}, {}
 
-    def __missing__(self, chunk: str):
+    def __missing__(self, chunk: str) -> str:
         found = self.old.get(chunk)
         if found is None:
             ids = self.codec.ids(self.codec.split(chunk))
-            found = (tuple(ids), ",".join(map(str, ids)), self.codec.raw(ids))
+            found = ",".join(map(str, ids))
+            raw = self.codec.raw(ids).decode("utf-8", "replace")
+            if raw != chunk.replace(SPACE, " "):
+                self.odd[chunk] = raw
         if len(chunk) <= 64:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
@@ -207,9 +213,16 @@ class Chunks(dict):
             self[chunk] = found
         return found
 
+    def decoded(self, chunks: list[str]) -> str:
+        """The text that the ids of successive chunks stand for."""
+        odd = self.odd
+        text = "".join([odd.get(c, c) for c in chunks] if odd else chunks).replace(SPACE, " ")
+        return text[1:] if text[:1] == " " else text
+
 
 @lru_cache(maxsize=2)
 def codec(model_path: str) -> Codec:
+    held["piece_codec"] = codec.cache_clear
     return Codec(model_path)
 
 
@@ -222,7 +235,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
             ids = [c.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return per_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), step, "doc_id long, ids array<int>")
+    return per_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), step, "doc_id long, ids array<int>", keep="piece_codec")
 
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
@@ -234,7 +247,7 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
             texts = [c.decode(i or []) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return per_batch(rows.select("doc_id", F.col("ids").cast("array<int>").alias("ids")), step, "doc_id long, text string")
+    return per_batch(rows.select("doc_id", F.col("ids").cast("array<int>").alias("ids")), step, "doc_id long, text string", keep="piece_codec")
 
 
 def digests(docs: DataFrame, model_path: str, rows_at_once: int = 256) -> DataFrame:
@@ -247,12 +260,12 @@ def digests(docs: DataFrame, model_path: str, rows_at_once: int = 256) -> DataFr
                 batch = whole.slice(i, rows_at_once)
                 n, ids, texts = [], [], []
                 for text in batch.column("text").to_pylist():
-                    found = list(map(c.chunks.__getitem__, c.marked(text or "")))
-                    n.append(sum([len(x[0]) for x in found]))
-                    ids.append(hashlib.sha256(",".join([x[1] for x in found]).encode()).hexdigest())
-                    raw = b"".join([x[2] for x in found])
-                    texts.append(hashlib.sha256(raw[1:] if raw[:1] == b" " else raw).hexdigest())
+                    chunks = c.marked(text or "")
+                    csv = ",".join(map(c.chunks.__getitem__, chunks))
+                    n.append(csv.count(",") + 1 if csv else 0)
+                    ids.append(hashlib.sha256(csv.encode()).hexdigest())
+                    texts.append(hashlib.sha256(c.chunks.decoded(chunks).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return per_batch(docs, step, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return per_batch(docs, step, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", keep="piece_codec")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -33,10 +35,32 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def per_batch(df: DataFrame, step: Callable, schema: str) -> DataFrame:
-    """mapInArrow with the package at hand on the executors."""
+#: In a worker: what operators keep from task to task, and how to give it up.
+held: dict[str, Callable[[], None]] = {}
+
+
+def give_up(keep: str | None) -> None:
+    """Free what other operators keep: a worker serves one stage after another."""
+    others = [k for k in held if k != keep]
+    for k in others:
+        held.pop(k)()
+    if others:
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: the memory stays with the process
+            return
+
+
+def per_batch(df: DataFrame, step: Callable, schema: str, keep: str | None = None) -> DataFrame:
+    """mapInArrow with the package at hand on the executors. ``keep`` names what the step keeps from task to task."""
     ship(df.sparkSession)
-    return df.mapInArrow(step, schema)
+
+    def run(batches):
+        give_up(keep)
+        yield from step(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def shared_dir(spark: SparkSession) -> str:
