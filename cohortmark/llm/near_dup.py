@@ -127,7 +127,7 @@ def side(name: str, groups: int) -> list:
     return [F.col("n_shingles").alias(f"{name}_size"), *(F.col("sig")[j].alias(f"{name}_{j}") for j in range(groups))]
 
 
-@lru_cache(maxsize=256)
+@lru_cache(maxsize=64)
 def one_set(text: str | None, k: int) -> np.ndarray:
     data = np.frombuffer((text or "").encode(), np.uint8)
     return np.unique(shingle_hashes(data, np.array([0, len(data)]), k)[0])
@@ -135,14 +135,16 @@ def one_set(text: str | None, k: int) -> np.ndarray:
 
 def confirmed(batches, k: int, percent: int):
     """Keep pairs whose full shingle sets are similar enough."""
-    for batch in batches:
-        a, b, kept = batch.column("a"), batch.column("b"), []
-        for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-            p, q = one_set(x, k), one_set(y, k)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            kept.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
-        keep = pa.array(kept, pa.bool_())
-        yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
+    for whole in batches:
+        for i in range(0, whole.num_rows, 256):
+            batch = whole.slice(i, 256)
+            a, b, kept = batch.column("a"), batch.column("b"), []
+            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
+                p, q = one_set(x, k), one_set(y, k)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                kept.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
+            keep = pa.array(kept, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
 
 def linked(near: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
