@@ -1,7 +1,7 @@
 """Quality rules with n-gram perplexity bands.
 
 Base rules over the words ``[^\\x20\\x09-\\x0D]+`` of the whole text: too few words, too many words in repeated three-word windows.
-Then a modified Kneser-Ney model over characters, counted by Spark over all rows and kept in sorted key arrays,
+Then a modified Kneser-Ney model over characters, counted by Spark over all texts and kept in sorted key arrays,
 gives every text its mean negative log-probability (log-perplexity); documents outside the band of their language,
 below or above, are rejected.
 
@@ -10,7 +10,9 @@ n-grams of four, so a key has 24 bits: whatever the corpus, the model has at mos
 n-grams and that bounds what is broadcast. Counting and scoring read every character of every text.
 
 Nulls count as empty texts: no words, base_failed. Texts too short for one n-gram have no perplexity and are left to the
-base rules. A null language is a language of its own. Repeated rows count as often as they stand. Extra columns are
+base rules. A null language is a language of its own. Bands come from the different texts of a language, so copies neither move nor
+narrow them, are never narrower than the spread of all languages together, and need FEW_TEXTS different texts: a language with fewer is
+left to the base rules. Texts with many copies teach the model once; other repeated rows count as often as they stand. Extra columns are
 ignored. On an empty table the result is empty.
 """
 
@@ -29,6 +31,10 @@ ORDER, BITS = 4, 6
 #: Half-widths of the band in scaled median absolute deviations of the language, for a text of the given length: the mean over n
 #: characters spreads as 1 / sqrt(n). At least LEAST nats a character.
 LOWER, UPPER, LEAST = 5.5, 5.5, 0.04
+#: A language with fewer different texts past the base rules has no band.
+FEW_TEXTS = 20
+#: A text that makes up more than one in so many rows teaches the model once: there are at most as many of them.
+OFTEN = 10_000
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -113,9 +119,34 @@ class Model:
         return out
 
 
+def one_each(batches):
+    """The first row of each text_hash of a task."""
+    seen: set[int] = set()
+    for batch in batches:
+        first = []
+        for i, h in enumerate(batch.column("text_hash").to_pylist()):
+            if h not in seen:
+                seen.add(h)
+                first.append(i)
+        if first:
+            yield batch.take(pa.array(first, pa.int64()))
+
+
+def taught(docs: DataFrame, often: int = OFTEN) -> DataFrame:
+    """The texts that the model counts: all rows, but texts with many copies once, which would else look too likely."""
+    rows = docs.select(F.xxhash64("text").alias("text_hash"), "text")
+    total = docs.count()
+    many = cut(rows.groupBy("text_hash").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") * often > total)).select("text_hash"))
+    if many.isEmpty():
+        return docs.select("text")
+    many = F.broadcast(many)  # at most ``often`` hashes
+    once = per_batch(rows.join(many, "text_hash", "left_semi"), one_each, "text_hash long, text string").dropDuplicates(["text_hash"])
+    return rows.join(many, "text_hash", "left_anti").select("text").union(once.select("text"))
+
+
 def model(docs: DataFrame) -> Model:
-    """Counts in Spark over all rows; what comes back is bounded by 2**24 keys."""
-    top = per_batch(docs.select("text"), counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    """Counts in Spark over all texts; what comes back is bounded by 2**24 keys."""
+    top = per_batch(taught(docs), counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = {ORDER: cut(top)}
     for order in range(ORDER - 1, 0, -1):  # continuation counts: how many different characters stand before
         suffix = F.col("key").bitwiseAND(F.lit((1 << BITS * order) - 1))
@@ -186,8 +217,8 @@ def measured(batches, scorer):
                 ppl = np.where(size > 0, -total / size, np.nan)
             cols = [n_words, chars, symbols, dup_lines, repeat_words]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(i, n), batch.column("lang").slice(i, n), *(pa.array(c.astype(np.int64)) for c in (*cols, size)), pa.array(ppl, from_pandas=True)],
-                names=["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams", "log_perplexity"],
+                [*(batch.column(c).slice(i, n) for c in ("doc_id", "lang", "text_hash")), *(pa.array(c.astype(np.int64)) for c in (*cols, size)), pa.array(ppl, from_pandas=True)],
+                names=["doc_id", "lang", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams", "log_perplexity"],
             )
 
 
@@ -202,24 +233,28 @@ def repeats(h: np.ndarray, row: np.ndarray, later: bool) -> np.ndarray:
     return order[mask]
 
 
-SCHEMA = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, log_perplexity double"
+SCHEMA = "doc_id long, lang string, text_hash long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, log_perplexity double"
 
 
-def quality(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, least: float = LEAST) -> DataFrame:
+def quality(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, least: float = LEAST, few: int = FEW_TEXTS) -> DataFrame:
     """Measures, base_failed and kept of each row of ``docs`` (doc_id, text, lang)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
     spark = docs.sparkSession
     scorer = spark.sparkContext.broadcast(model(docs))
     rows = cut(per_batch(docs, lambda it: measured(it, scorer.value), SCHEMA))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
-    good = rows.where("not base_failed and log_perplexity is not null")
-    middle = good.groupBy(F.col("lang").alias("l")).agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("mid"))
+    # One value for each different text of a language, however often it stands.
+    good = rows.where("not base_failed and log_perplexity is not null").groupBy("lang", "text_hash").agg(F.max("log_perplexity").alias("log_perplexity"), F.max("n_grams").alias("n_grams"))
+    middle = good.groupBy(F.col("lang").alias("l")).agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("mid"), F.count("*").alias("n_texts")).where(F.col("n_texts") >= few)
     spread = good.join(middle, F.col("lang").eqNullSafe(F.col("l"))).select("lang", "mid", (F.abs(F.col("log_perplexity") - F.col("mid")) * F.sqrt("n_grams")).alias("dev"))
-    bands = spread.groupBy("lang").agg(F.max("mid").alias("mid"), (F.percentile_approx("dev", 0.5, 10000) * 1.4826).alias("mad"))
-    bands = bands.select(F.col("lang").alias("band_lang"), "mid", "mad")
+    mad = (F.percentile_approx("dev", 0.5, 10000) * 1.4826).alias("mad")
+    bands = spread.groupBy("lang").agg(F.max("mid").alias("mid"), mad)
+    pooled = spread.agg(mad).first()["mad"] or 0.0
+    bands = bands.select(F.col("lang").alias("band_lang"), "mid", F.greatest("mad", F.lit(pooled)).alias("mad"))
     out = rows.join(bands, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
     width = lambda k: F.greatest(F.col("mad") * k / F.sqrt(F.greatest("n_grams", F.lit(1))), F.lit(least))
     out = out.withColumn("ppl_low", F.col("mid") - width(lower)).withColumn("ppl_high", F.col("mid") + width(upper))
     inside = F.coalesce(F.col("log_perplexity").between(F.col("ppl_low"), F.col("ppl_high")), F.lit(True))
-    return out.withColumn("kept", ~F.col("base_failed") & inside).drop("lang", "band_lang", "mid", "mad")
+    return out.withColumn("kept", ~F.col("base_failed") & inside).drop("lang", "text_hash", "band_lang", "mid", "mad")

@@ -65,3 +65,13 @@ def test_grams_stay_inside_rows():
     assert row.tolist() == [0, 0, 0, 3]
     first, last, r = B.words(data, off)
     assert list(zip(first.tolist(), last.tolist(), r.tolist(), strict=True)) == [(0, 5, 0), (6, 7, 1), (8, 11, 3)]
+
+
+def test_copies_do_not_narrow_the_bands(spark):
+    rows = [r for r in corpus() if r[0] != 900]
+    junk = next(r for r in corpus() if r[0] == 900)
+    copies = [(2000 + i, rows[0][1], "en", "a") for i in range(190)]  # with rows[0] 56 % of 'en'
+    rare = [(3000 + i, r[1], "xx", "a") for i, r in enumerate(rows[1:3])] + [(3002, rows[3][1], None, "a")]
+    got = {r.doc_id: r for r in Q.quality(frame(spark, rows + copies + rare + [junk])).collect()}
+    assert sorted(i for i, r in got.items() if not r.base_failed and not r.kept) == [900]
+    assert sum(r.kept for r in got.values()) > 0.9 * (len(got) - 1)
