@@ -104,8 +104,10 @@ def scanned(batches):
 
 def near(left: DataFrame, right: DataFrame, distance: int) -> DataFrame:
     """Rows of ``left`` with a row of ``right`` in the same document and scope at most ``distance`` code points away."""
-    left = left.withColumn("bin", F.explode(F.array(*[F.floor(F.col("start") / distance) + d for d in (-1, 0, 1)])))
-    right = right.select(F.col("uid").alias("u"), F.col("scope").alias("c"), F.col("start").alias("s"), F.col("end").alias("e"), F.floor(F.col("start") / distance).alias("b"))
+    # A part covers every bin from its start to its end, the left one with ``distance`` on both sides: near parts share a bin.
+    bins = lambda more: F.explode(F.sequence(F.floor((F.col("start") - more) / distance), F.floor((F.col("end") + more) / distance)))
+    left = left.withColumn("bin", bins(distance))
+    right = right.select(F.col("uid").alias("u"), F.col("scope").alias("c"), F.col("start").alias("s"), F.col("end").alias("e"), bins(0).alias("b"))
     gap = F.greatest(F.col("s") - F.col("end"), F.col("start") - F.col("e"))
     on = (F.col("uid") == F.col("u")) & (F.col("scope") == F.col("c")) & (F.col("bin") == F.col("b")) & (gap <= distance)
     return left.join(right, on, "left_semi").drop("bin").distinct()

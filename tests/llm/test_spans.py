@@ -95,3 +95,28 @@ def test_secret_links_need_complements(spark):
         form = ",".join(f"{k}:{s}:{e}" for s, _, e, k in base_secret(text[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(form.encode()).hexdigest()
     assert secret_scan.secret_scan(frame(spark).limit(0)).count() == 0
+
+
+def test_near_equals_brute_force(spark):
+    rng, parts = random.Random(4), []
+    for uid in range(400):
+        at = rng.randint(0, 3000)
+        for side in rng.sample("lr", 2):
+            size = rng.choice([1, 24, 40, 100, 300, 400, 800, 5000])
+            parts.append((side, uid, 0, at, at + size))
+            at += size + rng.choice([0, 1, 200, 399, 400, 401, rng.randint(0, 900)])
+    df = spark.createDataFrame(parts, "side string, uid long, scope long, start long, end long")
+    left, right = (df.where(df.side == s).drop("side") for s in "lr")
+    got = sorted(r.uid for r in secret_scan.near(left, right, 400).collect())
+    r = {p[1]: p for p in parts if p[0] == "r"}
+    want = sorted(p[1] for p in parts if p[0] == "l" and max(r[p[1]][3] - p[4], p[3] - r[p[1]][4]) <= 400)
+    assert got == want and 100 < len(want) < 400
+
+
+def test_links_reach_past_long_parts(spark):
+    jwt = "aZ9x" * 300
+    rows = [(i, "x " * i + f"token={jwt} {'y' * 300} client_id = app-7731", "en", "a") for i in range(0, 400, 40)]
+    rows += [(1000 + i, "x " * i + f"client_id = app-7731 https://h.example.com/{'p' * 900} {'word ' * 10}Zx9fQ2mLw7TbR4kVn8Ys1Hd3", "en", "a") for i in (0, 77)]
+    kinds = {r.doc_id: sorted(x.split(":")[0] for x in r.spans.split(",")) for r in secret_scan.secret_scan(frame(spark, rows)).collect()}
+    assert all(kinds[i] == ["assign", "linked_id"] for i in range(0, 400, 40))
+    assert all(kinds[1000 + i] == ["linked_endpoint"] for i in (0, 77))
