@@ -181,7 +181,7 @@ def cut_out(batches, columns: list[str]):
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each document and epoch, holding the words taken. ``n_chars`` follows the text.
 
-    Rows that share doc_id and text are one document here.
+    Here doc_id must tell rows apart and not be null (the pipeline gives each row a key of its own).
     """
     rows, pieces = plan(docs, **how)
     if pieces is None:

@@ -2,36 +2,66 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; every result is written as Parquet
 and read again.
+
+Stages tell rows apart by a key of their own, not by doc_id: rows with a null doc_id and rows that share one go through like all others.
+Of exact repeats one row stays. Where the smallest doc_id decides, the first row of a doc_id comes in its place, its other rows and rows
+without doc_id after all others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortmark.llm import exact_dup, mixing, near_dup, piece_codec, quality
 from cohortmark.llm.catalog import piece_model
-from cohortmark.llm.runtime import by_ids, stored
+from cohortmark.llm.runtime import BROADCAST_IDS, by_ids, cut, small_enough, stored
+
+#: Names of the row's key and, where the key stands in its place, of the doc_id.
+KEY, OWN = "__row", "__doc_id"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with KEY, different in each row: the doc_id, or an id beyond all doc_ids for a row without one or with one that an earlier row has."""
+    doc_id = F.col("doc_id").cast("long")
+    by_id = docs.groupBy(doc_id.alias("id")).agg(F.count("*").alias("n"))
+    if by_id.where("id is null or n > 1").isEmpty():
+        return docs.withColumn(KEY, doc_id)
+    rows = stored(docs.withColumn("__at", F.monotonically_increasing_id()), "rows")  # written, so that a row keeps its number
+    first = cut(rows.groupBy(doc_id.alias("__id")).agg(F.count("*").alias("n"), F.min("__at").alias("__first")).where("__id is not null and n > 1").select("__id", "__first"))
+    first = F.broadcast(first) if small_enough(first, BROADCAST_IDS) else first.hint("merge")
+    top = rows.agg(F.max(doc_id)).first()[0]
+    later = F.col("doc_id").isNull() | F.coalesce(F.col("__first") != F.col("__at"), F.lit(False))
+    beyond = F.lit(-1 if top is None else top).cast("long") + 1 + F.col("__at")
+    return rows.join(first, doc_id == F.col("__id"), "left").withColumn(KEY, F.when(later, beyond).otherwise(doc_id)).drop("__at", "__id", "__first")
+
+
+def by_key(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``keyed`` with the key as doc_id and the doc_id as OWN."""
+    return rows.withColumnRenamed("doc_id", OWN).withColumnRenamed(KEY, "doc_id")
 
 
-def kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id has a verdict of kept."""
-    return by_ids(docs, stored(verdicts.where("kept").select("doc_id"), "kept"))
+def kept(docs: DataFrame, verdict) -> DataFrame:
+    """Rows of ``docs`` that ``verdict``, an operator, keeps."""
+    rows = keyed(docs)
+    ids = stored(verdict(by_key(rows)).where("kept").select(F.col("doc_id").alias(KEY)), "kept")
+    return by_ids(rows, ids, KEY).select(docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return kept(docs, quality.quality(docs))
+    return kept(docs, quality.quality)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return kept(docs, exact_dup.exact_dup(docs))
+    return kept(docs, exact_dup.exact_dup)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return kept(docs, near_dup.near_dup(docs))
+    return kept(docs, near_dup.near_dup)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(by_key(keyed(docs))).withColumn("doc_id", F.col(OWN)).select(docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
+from collections import Counter
+
 import corpus_pipeline as P
-from helpers import frame
+from helpers import frame, words
 
 from test_mixing import rows as mixing_rows
 from test_quality import corpus
@@ -26,3 +28,26 @@ def test_stages_take_effect(spark):
     assert not any(i >= 6000 for i in ids[2]) and len(ids[2]) == len(ids[1]) - 10
     assert ids[3] <= ids[2] and counts[4] == counts[3] and counts[3] > 0
     assert len(P.STAGES) == 5
+
+
+def test_null_ids_and_repeated_rows_go_through(spark):
+    good = corpus()[:125]
+    texts = [r[1] for r in good]
+    rows = good[:100] + good[:1] * 4 + [(None, t, "en", "a") for t in [*texts[100:120], texts[100], texts[100]]] + [(101, t, "en", "a") for t in texts[120:]]
+    docs = frame(spark, rows, extra=False).selectExpr("*", "cast(length(text) AS bigint) AS n_chars")
+    own = sorted([(r[0], r[1]) for r in good[:100]] + [(None, t) for t in texts[100:120]] + [(101, t) for t in texts[120:]], key=repr)
+    after = []
+    for name, stage in P.STAGES:
+        docs = P.stored(stage(spark, docs, ""), name)
+        after.append(docs.collect())
+    assert len(after[0]) == len(rows)
+    for got in after[1:3]:
+        assert sorted([(r.doc_id, r.text) for r in got], key=repr) == own
+    held, total = {}, 0
+    for i, t in own:
+        held.setdefault(i, []).append(Counter(words(t)))
+        total += len(words(t))
+    taken = [(r.doc_id, Counter(words(r.text))) for r in after[3]]
+    assert all(any(not c - h for h in held[i]) for i, c in taken)
+    assert 0.9 * total <= sum(c.total() for _, c in taken) <= 1.1 * total
+    assert sum(i is None for i, _ in taken) >= 10 and len(after[4]) == len(after[3])
