@@ -1,8 +1,9 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field over the tokens around them.
 
 Nodes of the field are tokens with a digit or an @; all others are outside by definition. Neighbouring nodes share a chain potential;
-repeated or similar tokens (the same digits, the same address) anywhere in a document share a skip potential, each with its last
-occurrence, so the number of edges grows with the tokens. Tokens inside base spans are observed. Loopy message
+repeats (the same digits in a run of neighbouring number tokens, whatever their spelling, or the same address) anywhere in a document share a skip potential
+with a hub node for their key, so the number of edges grows with the tokens. Tokens inside base spans are observed, and so are hubs that they alone
+name. Loopy message
 passing then gives every other node its label, and what is surely not outside becomes an added span (``crf_<kind>``): a
 number or address that a pattern misses in one place but proves in another.
 
@@ -39,6 +40,13 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 TRAIN_DOCS, TRAIN_TOKENS = 2000, 200
 SURE, ROUNDS = 0.95, 8
+#: Messages go on beyond ROUNDS until none moves by more than SETTLED, or for MOST_ROUNDS.
+SETTLED, MOST_ROUNDS = 1e-3, 200
+#: A token that may be part of a spaced number; after a closing mark the number ends.
+NUMBER = re.compile(r"[+(]*[0-9][0-9().-]*[,;:!?]?")
+DOTTED = re.compile(r"[0-9]+(\.[0-9]+){3}")
+#: Numbers are compared by their last digits: so many, or all of a number with SHORT digits at least.
+LONG, SHORT = 10, 7
 CUES = ({"phone", "tel", "telephone", "call", "mobile", "fax"}, {"mail", "email", "e-mail"}, {"ip", "host", "address", "server"}, {"card", "visa", "credit", "cc"})
 MARK = np.zeros(256, bool)
 MARK[[ord(c) for c in "0123456789@"]] = True
@@ -90,24 +98,56 @@ class Nodes:
                     self.label[i] = 1 + x[1]
                     break
         self.near = np.array([i + 1 < len(found) and not text[found[i][1] : found[i + 1][0]].strip(" ") and found[i + 1][0] - found[i][1] <= 2 for i in range(len(found))], bool)
-        last, edges = {}, [(i, i + 1, 0) for i in range(len(found) - 1) if self.near[i]]
+        edges = [(i, i + 1, 0) for i in range(len(found) - 1) if self.near[i]]
+        hubs = [m for m in self.repeats(text, base).values() if len(m) > 1]
+        self.hub_label = np.zeros(len(hubs), np.int64)
+        for h, places in enumerate(hubs):
+            members = sorted({i for place in places for i in place})
+            edges += [(i, len(found) + h, 1) for i in members]
+            kinds = {int(self.label[i]) for i in members} - {0}
+            self.hub_label[h] = kinds.pop() if len(kinds) == 1 else 0
         self.features = []
         for i, (s, e) in enumerate(found):
             token = text[s:e]
             digits = "".join(c for c in token if "0" <= c <= "9")
-            keys = []
-            if "@" in token:
-                keys.append(token.strip(".,;:()<>\"'!?").lower())
-            if len(digits) >= 7:
-                keys.append(digits[-10:])
-            for k in keys:
-                if k in last and not (last[k] == i - 1 and self.near[i - 1]):
-                    edges.append((last[k], i, 1))
-                last[k] = i
             before = text[max(0, s - 24) : s].rsplit(maxsplit=1)
             self.features.append(features(token, digits, before[-1].lower().strip(".,:;()") if before else "", i > 0 and self.near[i - 1], self.near[i]))
         self.edges = np.array(edges, np.int64).reshape(-1, 3)
 
+    def repeats(self, text: str, base: list[tuple[int, int, int, str]]) -> dict:
+        """Key -> its places, each the tokens that hold it."""
+        keys, runs, span, b = {}, [], None, 0
+        for i, (s, e) in enumerate(self.spans):
+            token = text[s:e]
+            bare = token.strip(".,;:()<>[]\"'!?")
+            while b < len(base) and base[b][2] <= s:
+                b += 1
+            own = base[b][:3] if b < len(base) and base[b][0] < e else None
+            if "@" in token:
+                keys.setdefault(bare.lower(), []).append((i,))
+            elif DOTTED.fullmatch(bare):
+                keys.setdefault(bare, []).append((i,))
+            elif NUMBER.fullmatch(token):
+                before = text[self.spans[i - 1][0] : self.spans[i - 1][1]] if i else ""
+                if runs and runs[-1][-1] == i - 1 and self.near[i - 1] and own == span and token[0] != "+" and before[-1] not in ",;:!?":
+                    runs[-1].append(i)
+                else:
+                    runs.append([i])
+            elif sum("0" <= c <= "9" for c in token) >= SHORT:  # a number with letters or marks around it
+                runs.append([i])
+            span = own
+        numbers = []
+        for run in runs:
+            held = [(i, c) for i in run for c in text[slice(*self.spans[i])] if "0" <= c <= "9"]
+            numbers.append((held, "".join(c for _, c in held)))
+        short = {len(d) for _, d in numbers if SHORT <= len(d) < LONG}
+        for held, digits in numbers:
+            ends = [k + 1 for k in range(len(held)) if k + 1 == len(held) or held[k + 1][0] != held[k][0]]
+            for n, k in [(LONG, k) for k in ends] + [(n, len(held)) for n in short]:
+                if k >= n:
+                    keys.setdefault(digits[k - n : k], []).append(tuple(sorted({i for i, _ in held[k - n : k]})))
+        return keys
+
 
 def features(token: str, digits: str, before: str, left: bool, right: bool) -> list[int]:
     n, dots, size = len(digits), token.count("."), len(token)
@@ -129,9 +169,15 @@ def matrix(rows: list[list[int]]) -> np.ndarray:
 def fitted(rows: list[tuple[list[list[int]], list[int], list[list[int]]]], steps: int = 300) -> dict | None:
     """Weights from (features, labels, edges) of each document."""
     x, y = [], []
+    hubs = []
     for fs, labels, edges in rows:
         # What the patterns miss beside a labelled repeat is unknown, not outside: it teaches nothing.
-        unknown = {j for a, b, kind in edges if kind for i, j in ((a, b), (b, a)) if max(a, b) < len(labels) and labels[i] and not labels[j]}
+        named = {}
+        for a, b, kind in edges:
+            if kind:
+                named.setdefault(b, set()).add(labels[a])
+        hubs.append({b: max(k) for b, k in named.items() if len(k - {0}) < 2})
+        unknown = {a for a, b, kind in edges if kind and not labels[a] and named[b] != {0}}
         x += [f for i, f in enumerate(fs) if i not in unknown]
         y += [v for i, v in enumerate(labels) if i not in unknown]
     y = np.array(y, np.int64)
@@ -145,11 +191,16 @@ def fitted(rows: list[tuple[list[list[int]], list[int], list[list[int]]]], steps
         w += 2.0 * (x.T @ (want - p)) / len(y) - 1e-4 * w
     pair = np.full((2, k, k), 0.5)
     pair[1] = 0.02
-    for _, labels, edges in rows:
+    for (_, labels, edges), hub in zip(rows, hubs, strict=True):
         for a, b, kind in edges:
-            if max(a, b) < len(labels) and not (kind and bool(labels[a]) != bool(labels[b])):
-                pair[kind, labels[a], labels[b]] += 1
-                pair[kind, labels[b], labels[a]] += 1
+            if kind:
+                if b not in hub or bool(labels[a]) != bool(hub[b]):
+                    continue
+                other = hub[b]
+            else:
+                other = labels[b]
+            pair[kind, labels[a], other] += 1
+            pair[kind, other, labels[a]] += 1
     # Repeats of one string are one thing: what is known of one holds for the other.
     pair[1] += 25 * np.eye(k)
     pair /= pair.sum(axis=(1, 2), keepdims=True)
@@ -158,18 +209,21 @@ def fitted(rows: list[tuple[list[list[int]], list[int], list[list[int]]]], steps
 
 
 def beliefs(node: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Marginals by loopy sum-product with damping."""
+    """Marginals by loopy sum-product with damping, when messages have settled."""
     total = node
     if len(edges):
         src, dst = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
         back = np.concatenate([np.arange(len(edges), 2 * len(edges)), np.arange(len(edges))])
         psi = np.concatenate([pair[edges[:, 2]], pair[edges[:, 2]].transpose(0, 2, 1)])
         msg = np.zeros((len(src), node.shape[1]))
-        for _ in range(rounds):
+        for r in range(MOST_ROUNDS):
             total = node.copy()
             np.add.at(total, dst, msg)
             new = np.logaddexp.reduce((total[src] - msg[back])[:, :, None] + psi, axis=1)
-            msg = 0.5 * msg + 0.5 * (new - new.max(axis=1, keepdims=True))
+            new = 0.5 * msg + 0.5 * (new - new.max(axis=1, keepdims=True))
+            moved, msg = np.abs(new - msg).max(), new
+            if r + 1 >= rounds and moved < SETTLED:
+                break
         total = node.copy()
         np.add.at(total, dst, msg)
     p = np.exp(total - total.max(axis=1, keepdims=True))
@@ -181,10 +235,12 @@ def added(text: str, base: list[tuple[int, int, int, str]], model: dict, sure: f
     if not len(g.label) or g.label.all():
         return []
     node = matrix(g.features) @ model["w"]
-    seen = g.label > 0
+    node = np.vstack([node, np.zeros((len(g.hub_label), node.shape[1]))])
+    label = np.concatenate([g.label, g.hub_label])
+    seen = label > 0
     node[seen] = -50.0
-    node[seen, g.label[seen]] = 0.0
-    p = beliefs(node, g.edges, model["pair"])
+    node[seen, label[seen]] = 0.0
+    p = beliefs(node, g.edges, model["pair"])[: len(g.label)]
     best = p.argmax(axis=1)
     out, i = [], 0
     while i < len(best):

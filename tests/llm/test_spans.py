@@ -120,3 +120,14 @@ def test_links_reach_past_long_parts(spark):
     kinds = {r.doc_id: sorted(x.split(":")[0] for x in r.spans.split(",")) for r in secret_scan.secret_scan(frame(spark, rows)).collect()}
     assert all(kinds[i] == ["assign", "linked_id"] for i in range(0, 400, 40))
     assert all(kinds[1000 + i] == ["linked_endpoint"] for i in (0, 77))
+
+
+def test_other_spellings_share_the_label(spark):
+    phone = "call +1 743 555 3824 now, " + "or write (743) 555-3824 or 743 555 3824 or 7435553824 there, " * 50
+    card = "paid by 4111 1111 1111 1111 today, " + "card 4111 11111111 1111 again, " * 3
+    rows = hard()[:40] + [(200 + i, f"card 4111 1111 1111 1111 and {i} more", "en", "a") for i in range(20)]
+    rows += [(100, phone, "en", "a"), (101, card, "en", "a"), (102, "rooms 743 555 and 20 30 2020 743 years", "en", "a")]
+    got = {r.doc_id: r for r in pii.pii(frame(spark, rows)).collect()}
+    found = [x.split(":") for x in got[100].spans.split(",") if x.startswith("crf_phone")]
+    assert [re.sub("[^0-9]", "", phone[int(s) : int(e)]) for _, s, e in found] == ["7435553824"] * 150
+    assert got[102].n_added == 0 and got[101].n_card == 4
