@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from cohortmark.sources import readers as R
 from cohortmark.sources import writers as W
