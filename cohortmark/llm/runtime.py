@@ -9,6 +9,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -64,11 +65,13 @@ def per_batch(df: DataFrame, step: Callable, schema: str, keep: str | None = Non
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where the session sets none."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local session may go without one."""
     sc = spark.sparkContext
     found = sc.getCheckpointDir()
     if not found:
         conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf and not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="cohortmark-"))
         found = sc.getCheckpointDir()
     return found
@@ -79,20 +82,45 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so that lost executors cost no recomputation from the start."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Paths of the tables that each open ``passing`` block has written.
+_passing: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Tables that ``stored`` and ``cut`` write inside the block are deleted at its end. What must outlive it is written by the function
+    that the block gets."""
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return stored(df, name, outer=1)
 
+    _passing.append([])
+    try:
+        yield keep
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _passing.pop():
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        gc.collect()  # plans that are no longer held free their shuffle files once the driver's JVM has collected them
+        jvm.System.gc()
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+
+def stored(df: DataFrame, name: str, outer: int = 0) -> DataFrame:
     """Write as Parquet in the shared folder and read it again (column pruning stays possible)."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    if len(_passing) > outer:
+        _passing[-1 - outer].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise in the shared folder, so that lost executors cost no recomputation from the start."""
+    return stored(df, "cut")
+
+
 def join_skewed(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on ``key`` with a second, derived key, so that both sides get an exchange of their own.
 
