@@ -1,9 +1,10 @@
 """Chat formatting: schema fingerprints choose a declarative mapping to canonical turns.
 
-A record is a JSON object in any known layout. The fingerprint is a hash of its sorted nested field paths (arrays
-of any length give one path), so records of one layout share it however they order their fields. Each
-known layout is a mapping, itself only data: where the turns are, which field holds role and text, and what
-roles mean. Unknown fingerprints get no turns and ``layout`` null: they are reported, never dropped.
+A record is a JSON object in any known layout. The fingerprint is a hash of its sorted nested field paths, each with the type of
+its values (arrays of any length give one path, null counts as a text), so records of one layout share it however they order
+their fields. Each known layout is a mapping, itself only data: where the turns are, which field holds role and text, and what
+roles mean. Unknown fingerprints get no turns and ``layout`` null: they are reported, never dropped. What is no JSON, or is nested too deeply to
+be read, has the fingerprint of a null.
 
 The template writes each turn as ``### role: text</turn>`` and a line end. Inside texts and roles a backslash, ``###`` and ``</turn>`` are
 escaped with backslashes, so that reading back gives exactly the texts that went in. Loss covers the text of each assistant turn.
@@ -43,16 +44,22 @@ LAYOUTS = {
 }
 
 
-def paths(value, at: str = "") -> set[str]:
-    if isinstance(value, dict):
-        return set().union(*(paths(v, f"{at}.{k}" if at else k) for k, v in value.items())) if value else {at + "{}"}
-    if isinstance(value, list):
-        return set().union(*(paths(v, at + "[]") for v in value)) if value else {at + "[]"}
-    return {at}
+def paths(value) -> set[str]:
+    """Every path of a value and the type at its end."""
+    out, todo = set(), [("", value)]
+    while todo:
+        at, v = todo.pop()
+        if isinstance(v, dict) and v:
+            todo += [(f"{at}.{k}" if at else k, x) for k, x in v.items()]
+        elif isinstance(v, list) and v:
+            todo += [(at + "[]", x) for x in v]
+        else:
+            out.add(f"{at}:{'text' if v is None or isinstance(v, str) else type(v).__name__}")
+    return out
 
 
 def fingerprint(value) -> str:
-    return hashlib.sha256("\n".join(sorted(paths(value))).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(paths(value))).encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def known(layouts: dict = LAYOUTS) -> dict[str, str]:
@@ -61,10 +68,8 @@ def known(layouts: dict = LAYOUTS) -> dict[str, str]:
     for name, m in layouts.items():
         made: dict = {}
         if "list" in m:
-            for turns in ([1], []):
-                made = {}
-                put(made, m["list"], [put(put({}, m["role"], "x"), m["text"], "x")] if turns else [])
-                out[fingerprint(made)] = name
+            for turns in ([put(put({}, m["role"], "x"), m["text"], "x")], []):
+                out[fingerprint(put({}, m["list"], turns))] = name
         else:
             for _, at in m["pairs"]:
                 for path in at if isinstance(at, tuple) else (at,):
@@ -88,17 +93,21 @@ def pick(value, path: str):
     return value
 
 
+def text_at(value, path: str) -> str:
+    """The text there; halves of surrogate pairs that stand alone become U+FFFD."""
+    text = pick(value, path) or ""
+    return text if text.isascii() else text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
+
+
 def turns(record: dict, mapping: dict) -> list[tuple[str, str]]:
     if "list" in mapping:
         roles = mapping["roles"]
-        got = [(pick(t, mapping["role"]) or "", pick(t, mapping["text"]) or "") for t in pick(record, mapping["list"])]
+        got = [(text_at(t, mapping["role"]), text_at(t, mapping["text"])) for t in pick(record, mapping["list"])]
         return [(roles.get(r, r), t) for r, t in got]
     out = []
     for role, at in mapping["pairs"]:
-        if isinstance(at, tuple):
-            out.append((role, "\n\n".join(x for x in (pick(record, p) or "" for p in at) if x)))
-        else:
-            out.append((role, pick(record, at) or ""))
+        parts = [text_at(record, p) for p in (at if isinstance(at, tuple) else (at,))]
+        out.append((role, "\n\n".join(x for x in parts if x)))
     return out
 
 
@@ -145,7 +154,7 @@ def chat(records: DataFrame, layouts: dict = LAYOUTS) -> DataFrame:
             for text in batch.column("record").to_pylist():
                 try:
                     record = json.loads(text or "null")
-                except ValueError:
+                except (ValueError, RecursionError):
                     record = None
                 mark = fingerprint(record)
                 name = by_print.get(mark) if isinstance(record, dict) else None

@@ -118,3 +118,16 @@ def test_template_is_reversible():
     for _ in range(3000):
         turns = [("".join(rng.choice(bits) for _ in range(rng.randint(0, 4))), "".join(rng.choice(bits) for _ in range(rng.randint(0, 8)))) for _ in range(rng.randint(0, 4))]
         assert chat.parsed(chat.formatted(turns)[0]) == turns
+
+
+def test_odd_records_are_unknown_layouts(spark):
+    deep = "[" * 100_000
+    rows = [
+        (1, '{"prompt": 5, "response": "x"}'), (2, '{"prompt": null, "response": "x"}'), (3, '{"prompt": ["a"], "response": "x"}'), (4, deep), (5, '{"a":' * 5000), (6, "not json"), (7, None),
+        (8, '{"messages": [{"role": "user", "content": {"a": 1}}]}'), (9, '{"messages": [{"role": "user", "content": "a"}, {"role": "user", "content": true}]}'), (10, '{"messages": []}'),
+        (11, '{"prompt": "\\ud83d", "response": "\\ud83d\\ude00"}'), (12, '{"prompt": {}, "response": "x"}'),
+    ]
+    got = {r.conv_id: r for r in chat.chat(spark.createDataFrame(rows, "conv_id long, record string")).collect()}
+    assert {i for i, r in got.items() if r.layout} == {2, 10, 11}
+    assert got[11].formatted == "### user: �</turn>\n### assistant: \U0001f600</turn>\n"
+    assert got[1].fingerprint != got[2].fingerprint and got[2].formatted.startswith("### user: </turn>")
