@@ -9,6 +9,8 @@ does not grow with the number of merges.
 Only the vocabulary and scores are read through the sentencepiece library. Supported are models of merge type with byte fallback and
 the identity normaliser, which is what the given tokenizer has; others raise.
 
+Decoding is of a document's own ids, one after the other. Of equal merges the leftmost goes first, as in the library.
+
 Nulls count as empty texts (no ids, empty decoded text). Texts of any length are encoded whole. Repeated rows give
 repeated results; extra columns are ignored.
 """
@@ -29,9 +31,9 @@ from .runtime import held, per_batch
 SPACE = "▁"
 ONE = (1,)
 #: Chunks whose encoding a task remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Neighbour checks that a task remembers.
-REMEMBERED_PAIRS = 300_000
+REMEMBERED_PAIRS = 200_000
 
 
 class Codec:
@@ -45,9 +47,10 @@ class Codec:
         self.byte_id = {int(p[3:5], 16): i for i, p in enumerate(self.piece) if sp.is_byte(i)}
         if len(self.byte_id) != 256:
             raise ValueError("only models with byte fallback are supported")
-        self.byte_of = {i: b for b, i in self.byte_id.items()}
-        self.control = {i for i in range(len(self.piece)) if sp.is_control(i)}
-        self.unknown = next((i for i in range(len(self.piece)) if sp.is_unknown(i)), -1)
+        #: What an id, in decimal digits, stands for.
+        self.stands_for = {str(i): p.replace(SPACE, " ").encode() for i, p in enumerate(self.piece)}
+        self.stands_for |= {str(i): bytes((b,)) for b, i in self.byte_id.items()}
+        self.stands_for |= {str(i): b"" if sp.is_control(i) else " \u2047 ".encode() for i in range(len(self.piece)) if sp.is_control(i) or sp.is_unknown(i)}
         plain = [i for i in range(len(self.piece)) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
         self.id_of = {self.piece[i]: i for i in plain}
         self.score = {self.piece[i]: sp.get_score(i) for i in plain}
@@ -171,41 +174,22 @@ class Codec:
     def encode(self, text: str | None) -> list[int]:
         return [int(i) for c in self.marked(text or "") for i in self.chunks[c].split(",")]
 
-    def raw(self, ids) -> bytes:
-        """What the ids stand for, the space before the first word included."""
-        out = []
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                out.append(bytes((b,)))
-            elif i == self.unknown:
-                out.append(" ⁇ ".encode())
-            elif i not in self.control:
-                out.append(self.piece[i].replace(SPACE, " ").encode())
-        return b"".join(out)
-
     def decode(self, ids) -> str:
-        text = self.raw(ids).decode("utf-8", "replace")
+        """The text of ids, given as numbers or as decimal digits, without the space before the first word."""
+        text = b"".join(map(self.stands_for.__getitem__, map(str, ids))).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
 class Chunks(dict):
-    """chunk -> its ids as text; two generations bound the memory.
-
-    Each chunk's ids are decoded when they are made. Where that gives anything but the chunk itself, ``odd`` holds it.
-    """
+    """chunk -> its ids as text; two generations bound the memory."""
 
     def __init__(self, codec: Codec):
-        self.codec, self.old, self.odd = codec, {}, {}
+        self.codec, self.old = codec, {}
 
     def __missing__(self, chunk: str) -> str:
         found = self.old.get(chunk)
         if found is None:
-            ids = self.codec.ids(self.codec.split(chunk))
-            found = ",".join(map(str, ids))
-            raw = self.codec.raw(ids).decode("utf-8", "replace")
-            if raw != chunk.replace(SPACE, " "):
-                self.odd[chunk] = raw
+            found = ",".join(map(str, self.codec.ids(self.codec.split(chunk))))
         if len(chunk) <= 64:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
@@ -213,12 +197,6 @@ class Chunks(dict):
             self[chunk] = found
         return found
 
-    def decoded(self, chunks: list[str]) -> str:
-        """The text that the ids of successive chunks stand for."""
-        odd = self.odd
-        text = "".join([odd.get(c, c) for c in chunks] if odd else chunks).replace(SPACE, " ")
-        return text[1:] if text[:1] == " " else text
-
 
 @lru_cache(maxsize=2)
 def codec(model_path: str) -> Codec:
@@ -260,11 +238,11 @@ def digests(docs: DataFrame, model_path: str, rows_at_once: int = 256) -> DataFr
                 batch = whole.slice(i, rows_at_once)
                 n, ids, texts = [], [], []
                 for text in batch.column("text").to_pylist():
-                    chunks = c.marked(text or "")
-                    csv = ",".join(map(c.chunks.__getitem__, chunks))
-                    n.append(csv.count(",") + 1 if csv else 0)
+                    csv = ",".join(map(c.chunks.__getitem__, c.marked(text or "")))
+                    own = csv.split(",") if csv else []
+                    n.append(len(own))
                     ids.append(hashlib.sha256(csv.encode()).hexdigest())
-                    texts.append(hashlib.sha256(c.chunks.decoded(chunks).encode()).hexdigest())
+                    texts.append(hashlib.sha256(c.decode(own).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
