@@ -6,7 +6,7 @@ document, base ones included, go to an interval join by document, scope (a block
 reported if an access identifier is near, a weak identifier if a secret is near, an endpoint if both are.
 The join is a semi-join on bins of the distance, so a place with many parts costs no pairs.
 
-Offsets are code points, ends exclusive. Null and empty texts have no spans. Texts of any length are scanned whole. Repeated rows
+Offsets are code points, ends exclusive. Spans with one start stand in the order of kinds. Null and empty texts have no spans. Texts of any length are scanned whole. Repeated rows
 give repeated results: rows are told apart by an id of their own. Extra columns are ignored.
 """
 
@@ -69,16 +69,14 @@ def parts(text: str, base: list[tuple[int, int, int, str]]) -> list[dict]:
     ids += [(s, e, True) for s, _, e, k in base if k == "access"]
     if not ids:
         return []
-    taken = [(s, e) for s, _, e, _ in base]
-    free = lambda s, e: all(e <= a or s >= b for a, b in taken)
-    found = [("id", s, e, strong) for s, e, strong in ids if strong or free(s, e)]
+    taken = S.Taken((s, e) for s, _, e, _ in base)
+    found = [("id", s, e, strong) for s, e, strong in ids if strong or taken.free(s, e)]
     found += [("secret", s, e, True) for s, _, e, k in base if k != "access"]
-    inside_id = [(s, e) for r, s, e, _ in found if r == "id"]
-    found += [("endpoint", m.start(), m.end(), False) for m in ENDPOINT.finditer(text) if free(*m.span())]
-    links = [(s, e) for r, s, e, _ in found if r == "endpoint"]
+    found += [("endpoint", *m.span(), False) for m in ENDPOINT.finditer(text) if taken.free(*m.span())]
+    named = S.Taken((s, e) for r, s, e, _ in found if r != "secret")
     for m in WEAK_SECRET.finditer(text):
         s, e = m.span()
-        if free(s, e) and random_looking(m[0]) and all(e <= a or s >= b for a, b in inside_id + links):
+        if taken.free(s, e) and named.free(s, e) and random_looking(m[0]):
             found.append(("secret", s, e, False))
     gaps = [m.end() for m in re.finditer(r"\n[\x20\t\r]*\n", text)]
     at = np.searchsorted(gaps, [s for _, s, _, _ in found], "right") if gaps else np.zeros(len(found), int)

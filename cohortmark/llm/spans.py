@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -19,6 +20,24 @@ def digest(spans: list[tuple[int, int, int, str]]) -> str:
     return hashlib.sha256(text_form(spans).encode()).hexdigest()
 
 
+class Taken:
+    """Places that spans cover, asked for in logarithmic time."""
+
+    def __init__(self, spans):
+        self.start, self.end = [], []
+        for s, e in sorted(spans):
+            if self.end and s <= self.end[-1]:
+                self.end[-1] = max(self.end[-1], e)
+            else:
+                self.start.append(s)
+                self.end.append(e)
+
+    def free(self, s: int, e: int) -> bool:
+        """True if no span has a place of [s, e)."""
+        i = bisect_right(self.start, e - 1) - 1
+        return i < 0 or self.end[i] <= s
+
+
 def as_struct(span: tuple[int, int, int, str]) -> dict:
     return dict(zip(("start", "rank", "end", "kind"), span, strict=True))
 
