@@ -1,40 +1,46 @@
 """Quality rules with n-gram perplexity bands.
 
 Base rules over the words ``[^\\x20\\x09-\\x0D]+`` of the whole text: too few words, too many words in repeated three-word windows.
-Then a modified Kneser-Ney model over characters, counted by Spark over all texts and kept in sorted key arrays,
+Then a modified Kneser-Ney model of each language over characters, counted by Spark over all texts and kept in sorted hash arrays,
 gives every text its mean negative log-probability (log-perplexity); documents outside the band of their language,
 below or above, are rejected.
 
-The model works on 64 character classes (letters by themselves, digits, marks, upper case and UTF-8 bytes in groups) and
-n-grams of four, so a key has 24 bits: whatever the corpus, the model has at most 2**24 entries for its longest
-n-grams and that bounds what is broadcast. Counting and scoring read every character of every text.
+A model has 64 character classes (letters by themselves, digits, marks, upper case and UTF-8 bytes in groups) and n-grams of five.
+Nothing is pruned: its size follows the different n-grams of the corpus. What a task holds does not: n-grams are dealt into
+slices by language and the class before the last, with all that scoring an n-gram asks for in one slice; slices are sent one after another,
+each scores its part of all texts, and the parts add up. Most corpora need one slice (``SLICE_KEYS``).
+Languages are told apart by 16 bits of a hash; two that share them would share a model.
 
 Nulls count as empty texts: no words, base_failed. Texts too short for one n-gram have no perplexity and are left to the
 base rules. A null language is a language of its own. Bands come from the different texts of a language, so copies neither move nor
 narrow them, are never narrower than the spread of all languages together, and need FEW_TEXTS different texts: a language with fewer is
-left to the base rules. Texts with many copies teach the model once; other repeated rows count as often as they stand. Extra columns are
-ignored. On an empty table the result is empty.
+left to the base rules. Medians are taken on a fine grid, so reruns agree however the rows are dealt. Texts with many copies teach the
+model once; other repeated rows count as often as they stand. Extra columns are ignored. On an empty table the result is empty.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytescan as B
-from .runtime import cut, per_batch, text_steps
+from .runtime import cut, join_skewed, passing, per_batch, text_steps
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-ORDER, BITS = 4, 6
+ORDER, BITS = 5, 6
 #: Half-widths of the band in scaled median absolute deviations of the language, for a text of the given length: the mean over n
 #: characters spreads as 1 / sqrt(n). At least LEAST nats a character.
-LOWER, UPPER, LEAST = 5.5, 5.5, 0.04
+LOWER, UPPER, LEAST = 5.0, 5.0, 0.03
 #: A language with fewer different texts past the base rules has no band.
 FEW_TEXTS = 20
 #: A text that makes up more than one in so many rows teaches the model once: there are at most as many of them.
 OFTEN = 10_000
+#: n-grams of all orders in a slice, about 20 bytes each.
+SLICE_KEYS = 4_000_000
+#: n-grams that a counting task holds before it passes them on.
+HELD_KEYS = 2_000_000
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -57,62 +63,89 @@ CLASS = classes()
 
 
 def grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Key of each four classes of one row, and the row."""
-    c = CLASS[data].astype(np.uint32)
+    """Key of each five classes of one row, and the row."""
+    c = CLASS[data].astype(np.int64)
     n = len(c) - ORDER + 1
     if n <= 0:
-        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    key = np.zeros(n, np.uint32)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key = np.zeros(n, np.int64)
     for j in range(ORDER):
-        key = key << np.uint32(BITS) | c[j : j + n]
+        key = key << BITS | c[j : j + n]
     size = np.maximum(np.diff(off) - ORDER + 1, 0)
     row = np.repeat(np.arange(len(size)), size)
     at = np.repeat(off[:-1] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(len(row))
     return key[at], row
 
 
+def with_tongue(tongue: np.ndarray, key: np.ndarray, order: int) -> np.ndarray:
+    return tongue << BITS * order | key
+
+
 def counted(batches):
-    """(key, n): n-gram counts of a task, merged as it goes."""
-    keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    """(tongue, key, n): n-gram counts of a task, merged as it goes."""
+    mask = (1 << BITS * ORDER) - 1
+
+    def out(keys, counts):
+        for i in range(0, len(keys), 1 << 16):
+            k, n = keys[i : i + (1 << 16)], counts[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array((k >> BITS * ORDER).astype(np.int32)), pa.array(k & mask), pa.array(n)], names=["tongue", "key", "n"])
+
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        for _, _, data, off in text_steps(batch.column("text")):
-            k, n = np.unique(grams(data, off)[0], return_counts=True)
+        for i, j, data, off in text_steps(batch.column("text")):
+            tongue = batch.column("tongue").slice(i, j - i).to_numpy().astype(np.int64)
+            key, row = grams(data, off)
+            k, n = np.unique(with_tongue(tongue[row], key, ORDER), return_counts=True)
             k, back = np.unique(np.concatenate([keys, k]), return_inverse=True)
             counts = np.bincount(back, np.concatenate([counts, n]), len(k)).astype(np.int64)
             keys = k
-    for i in range(0, len(keys), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 16)].astype(np.int64)), pa.array(counts[i : i + (1 << 16)])], names=["key", "n"])
+            if len(keys) > HELD_KEYS:
+                yield from out(keys, counts)
+                keys, counts = keys[:0], counts[:0]
+    yield from out(keys, counts)
 
 
-def discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """D1, D2, D3+ of modified Kneser-Ney from the counts of counts."""
-    got = counts.agg(*[F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (float(x or 0) for x in got)
-    y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
-    ratio = lambda k, a, b, most: min(max(k - (k + 1) * y * b / a, 0.05), most) if a else most
-    return ratio(1, n1, n2, 0.95), ratio(2, n2, n3, 1.9), ratio(3, n3, n4, 2.85)
+def discounted(counts: DataFrame) -> DataFrame:
+    """``counts`` (tongue, key, n) with ``off``: D1, D2 or D3+ of modified Kneser-Ney from the language's counts of counts."""
+    some = [F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    by = counts.groupBy(F.col("tongue").alias("t")).agg(*some)  # at most 2**16 rows
+    y = F.when(F.col("n1") + F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
+    for k, most in ((1, 0.95), (2, 1.9), (3, 2.85)):
+        a, b = F.col(f"n{k}"), F.col(f"n{k + 1}")
+        by = by.withColumn(f"d{k}", F.when(a > 0, F.least(F.greatest(k - (k + 1) * y * b / a, F.lit(0.05)), F.lit(most))).otherwise(most))
+    off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    rows = counts.join(F.broadcast(by.select("t", "d1", "d2", "d3")), F.col("tongue") == F.col("t"))
+    return rows.select("tongue", "key", "n", F.least(off, F.col("n") * 0.999).alias("off"))
+
+
+def dealt(tongue, last_but_one, slices: int):
+    """The slice of n-grams; the same on columns and on arrays."""
+    return (tongue * (1 << BITS) + last_but_one) * 40503 % 65521 % slices
 
 
 class Model:
-    """Sorted keys and log-probabilities by order, sorted contexts and their backoff weights."""
+    """A slice of all languages' models: by order the sorted keys and log-probabilities, the sorted contexts and their backoff weights."""
 
-    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
-        self.tables = tables
+    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], part: int = 0, slices: int = 1):
+        self.tables, self.part, self.slices = tables, part, slices
 
-    def logp(self, keys: np.ndarray) -> np.ndarray:
+    def logp(self, tongue: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Log-probability of the last class of each n-gram of this slice; 0 for others."""
         out = np.zeros(len(keys))
         left = np.arange(len(keys))
+        if self.slices > 1:
+            left = left[dealt(tongue, keys >> BITS & (1 << BITS) - 1, self.slices) == self.part]
         for order in range(ORDER, 0, -1):
             grams_, logp, contexts, weight = self.tables[order - 1]
             if not len(left):
-                break
-            k = keys[left] & np.uint32((1 << BITS * order) - 1)
+                return out
+            k = with_tongue(tongue[left], keys[left] & (1 << BITS * order) - 1, order)
             at = np.minimum(np.searchsorted(grams_, k), max(len(grams_) - 1, 0))
             hit = grams_[at] == k if len(grams_) else np.zeros(len(k), bool)
             out[left[hit]] += logp[at[hit]]
             left, k = left[~hit], k[~hit]
             if len(left) and len(contexts):
-                c = k >> np.uint32(BITS)
+                c = k >> BITS
                 at = np.minimum(np.searchsorted(contexts, c), len(contexts) - 1)
                 out[left] += np.where(contexts[at] == c, weight[at], 0.0)
         out[left] -= BITS * np.log(2)  # never seen: uniform over the classes
@@ -134,52 +167,72 @@ def one_each(batches):
 
 def taught(docs: DataFrame, often: int = OFTEN) -> DataFrame:
     """The texts that the model counts: all rows, but texts with many copies once, which would else look too likely."""
-    rows = docs.select(F.xxhash64("text").alias("text_hash"), "text")
+    rows = docs.select("text_hash", "tongue", "text")
     total = docs.count()
     many = cut(rows.groupBy("text_hash").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") * often > total)).select("text_hash"))
     if many.isEmpty():
-        return docs.select("text")
+        return rows.select("tongue", "text")
     many = F.broadcast(many)  # at most ``often`` hashes
-    once = per_batch(rows.join(many, "text_hash", "left_semi"), one_each, "text_hash long, text string").dropDuplicates(["text_hash"])
-    return rows.join(many, "text_hash", "left_anti").select("text").union(once.select("text"))
+    once = per_batch(rows.join(many, "text_hash", "left_semi"), one_each, "text_hash long, tongue int, text string").dropDuplicates(["text_hash"])
+    return rows.join(many, "text_hash", "left_anti").select("tongue", "text").union(once.select("tongue", "text"))
 
 
-def model(docs: DataFrame) -> Model:
-    """Counts in Spark over all texts; what comes back is bounded by 2**24 keys."""
-    top = per_batch(taught(docs), counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def model(docs: DataFrame) -> list[DataFrame]:
+    """By order, (tongue, key, p, context, weight): the probability of each n-gram and the backoff weight of its context."""
+    top = per_batch(taught(docs), counted, "tongue int, key long, n long").groupBy("tongue", "key").agg(F.sum("n").alias("n"))
     counts = {ORDER: cut(top)}
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: how many different characters stand before
-        suffix = F.col("key").bitwiseAND(F.lit((1 << BITS * order) - 1))
-        counts[order] = cut(counts[order + 1].groupBy(suffix.alias("key")).agg(F.count("*").alias("n")))
+    low_bits = lambda n: F.col("key").bitwiseAND(F.lit((1 << BITS * n) - 1))
+    for order in range(ORDER - 1, 0, -1):  # continuation counts: how many different classes stand before
+        counts[order] = cut(counts[order + 1].groupBy("tongue", low_bits(order).alias("key")).agg(F.count("*").alias("n")))
     tables, lower = [], None
     for order in range(1, ORDER + 1):
-        d1, d2, d3 = discounts(counts[order])
-        off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        rows = counts[order].withColumn("off", F.least(off, F.col("n") * 0.999)).withColumn("context", F.shiftright("key", BITS))
-        total = rows.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight"))
-        rows = rows.join(total, "context")
+        rows = discounted(counts[order]).withColumn("context", F.shiftright("key", BITS))
+        total = rows.groupBy("tongue", "context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight"))
+        rows = rows.join(total, ["tongue", "context"])
         if lower is None:
             p = rows.withColumn("low", F.lit(1.0 / (1 << BITS)))
         else:
-            suffix = F.col("key").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1))
-            p = rows.withColumn("suffix", suffix).join(lower, "suffix")
-        p = cut(p.select("key", "context", "weight", ((F.col("n") - F.col("off")) / F.col("total") + F.col("weight") * F.col("low")).alias("p")))
-        lower = p.select(F.col("key").alias("suffix"), F.col("p").alias("low"))
-        got = p.select("key", "p").toArrow()
-        k, v = got.column("key").to_numpy().astype(np.uint32), got.column("p").to_numpy()
-        ctx = p.select("context", "weight").distinct().toArrow()
-        c, w = ctx.column("context").to_numpy().astype(np.uint32), ctx.column("weight").to_numpy()
-        i, j = np.argsort(k), np.argsort(c)
-        tables.append((k[i], np.log(v[i]), c[j], np.log(np.maximum(w[j], 1e-12))))
-    return Model(tables)
-
-
-def by_row(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(row, values, n)
+            p = rows.withColumn("suffix", low_bits(order - 1)).join(lower, ["tongue", "suffix"])
+        p = p.select("tongue", "key", "context", "weight", ((F.col("n") - F.col("off")) / F.col("total") + F.col("weight") * F.col("low")).alias("p"))
+        tables.append(cut(p))
+        lower = tables[-1].select("tongue", F.col("key").alias("suffix"), F.col("p").alias("low"))
+    return tables
+
+
+def sent(tables: list[DataFrame], part: int, slices: int) -> Model:
+    """One slice, as arrays. Single classes and the empty context belong to every slice."""
+    arrays = []
+    for order, rows in enumerate(tables, 1):
+        last = F.shiftright("key", BITS).bitwiseAND(F.lit((1 << BITS) - 1))
+        own = rows.where(dealt(F.col("tongue"), last, slices) == part) if slices > 1 and order > 1 else rows
+        got = own.select("tongue", "key", "p").toArrow()
+        contexts = own.select("tongue", "context", "weight").distinct().toArrow()
+        pair = []
+        for table, name, value, n in ((got, "key", "p", order), (contexts, "context", "weight", order - 1)):
+            key = with_tongue(table.column("tongue").to_numpy().astype(np.int64), table.column(name).to_numpy(), n)
+            at = np.argsort(key)
+            pair += [key[at], np.log(np.maximum(table.column(value).to_numpy()[at], 1e-12)).astype(np.float32)]
+        arrays.append(tuple(pair))
+    return Model(arrays, part, slices)
+
+
+def totals(scorer: Model | None, keys: np.ndarray, row: np.ndarray, tongue: np.ndarray) -> np.ndarray:
+    """Sum of log-probabilities of each row."""
+    n = len(tongue)
+    return np.bincount(row, scorer.logp(tongue[row], keys), n) if scorer and len(keys) else np.zeros(n)
+
+
+def scored(batches, scorer: Model):
+    """(row_key, total) of the texts under one slice."""
+    for batch in batches:
+        for i, j, data, off in text_steps(batch.column("text")):
+            tongue = batch.column("tongue").slice(i, j - i).to_numpy().astype(np.int64)
+            total = totals(scorer, *grams(data, off), tongue)
+            yield pa.RecordBatch.from_arrays([batch.column("row_key").slice(i, j - i), pa.array(total)], names=["row_key", "total"])
 
 
 def measured(batches, scorer):
-    """Base measures and log-perplexity of each row."""
+    """Base measures of each row, and its log-probability under one slice."""
     for batch in batches:
         for i, j, data, off in text_steps(batch.column("text")):
             n = j - i
@@ -212,14 +265,12 @@ def measured(batches, scorer):
             repeat_words = np.bincount(row[covered], minlength=n)
             keys, key_row = grams(data, off)
             size = np.bincount(key_row, minlength=n)
-            total = by_row(scorer.logp(keys), key_row, n) if scorer else np.zeros(n)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                ppl = np.where(size > 0, -total / size, np.nan)
-            cols = [n_words, chars, symbols, dup_lines, repeat_words]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).slice(i, n) for c in ("doc_id", "lang", "text_hash")), *(pa.array(c.astype(np.int64)) for c in (*cols, size)), pa.array(ppl, from_pandas=True)],
-                names=["doc_id", "lang", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams", "log_perplexity"],
-            )
+            tongue = batch.column("tongue").slice(i, n).to_numpy().astype(np.int64)
+            total = totals(scorer, keys, key_row, tongue)
+            cols = [pa.array(c.astype(np.int64)) for c in (n_words, chars, symbols, dup_lines, repeat_words, size)]
+            own = ["doc_id", "lang", "text_hash", "row_key"]
+            names = [*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams", "total"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, n) for c in own), *cols, pa.array(total)], names=names)
 
 
 def repeats(h: np.ndarray, row: np.ndarray, later: bool) -> np.ndarray:
@@ -233,28 +284,70 @@ def repeats(h: np.ndarray, row: np.ndarray, later: bool) -> np.ndarray:
     return order[mask]
 
 
-SCHEMA = "doc_id long, lang string, text_hash long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, log_perplexity double"
+SCHEMA = (
+    "doc_id long, lang string, text_hash long, row_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "n_repeat_words long, n_grams long, total double"
+)
 
 
-def quality(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, least: float = LEAST, few: int = FEW_TEXTS) -> DataFrame:
-    """Measures, base_failed and kept of each row of ``docs`` (doc_id, text, lang)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+def medians(rows: DataFrame, value: F.Column, step: float, by: str | None = None) -> DataFrame:
+    """The median of ``value`` on a grid of width ``step``, and the number of rows ``n``, for each ``by`` (or of all rows)."""
+    key = F.lit(0) if by is None else F.col(by)
+    cells = rows.groupBy(key.alias("by"), F.floor(value / step).alias("cell")).agg(F.count("*").alias("k"))
+    every = Window.partitionBy("by")
+    up = every.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.select("by", "cell", F.sum("k").over(up).alias("to"), F.sum("k").over(every).alias("n")).where("2 * to >= n")
+    return cells.groupBy("by").agg(((F.min("cell") + 0.5) * step).alias("median"), F.max("n").alias("n"))
+
+
+def measures(docs: DataFrame, slice_keys: int) -> DataFrame:
+    """SCHEMA's columns for each row, ``total`` over all slices."""
     spark = docs.sparkSession
-    scorer = spark.sparkContext.broadcast(model(docs))
-    rows = cut(per_batch(docs, lambda it: measured(it, scorer.value), SCHEMA))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = rows.withColumn("base_failed", failed)
-    # One value for each different text of a language, however often it stands.
-    good = rows.where("not base_failed and log_perplexity is not null").groupBy("lang", "text_hash").agg(F.max("log_perplexity").alias("log_perplexity"), F.max("n_grams").alias("n_grams"))
-    middle = good.groupBy(F.col("lang").alias("l")).agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("mid"), F.count("*").alias("n_texts")).where(F.col("n_texts") >= few)
-    spread = good.join(middle, F.col("lang").eqNullSafe(F.col("l"))).select("lang", "mid", (F.abs(F.col("log_perplexity") - F.col("mid")) * F.sqrt("n_grams")).alias("dev"))
-    mad = (F.percentile_approx("dev", 0.5, 10000) * 1.4826).alias("mad")
-    bands = spread.groupBy("lang").agg(F.max("mid").alias("mid"), mad)
-    pooled = spread.agg(mad).first()["mad"] or 0.0
-    bands = bands.select(F.col("lang").alias("band_lang"), "mid", F.greatest("mad", F.lit(pooled)).alias("mad"))
+    tables = model(docs)
+    size = sum(t.count() for t in tables)
+    slices = max(1, -(-size // slice_keys))
+    rows, more = None, []
+    for part in range(slices):
+        scorer = spark.sparkContext.broadcast(sent(tables, part, slices))
+        if rows is None:
+            rows = cut(per_batch(docs, lambda it, s=scorer: measured(it, s.value), SCHEMA))
+        else:  # repeated rows share a key and a total
+            own = per_batch(docs.select("row_key", "tongue", "text"), lambda it, s=scorer: scored(it, s.value), "row_key long, total double")
+            more.append(cut(own.groupBy("row_key").agg(F.max("total").alias("more"))))
+        scorer.destroy()
+    for own in more:
+        rows = join_skewed(rows, own, "row_key").withColumn("total", F.col("total") + F.col("more")).drop("more")
+    return rows
+
+
+def prepared(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, text, and what tells texts, rows and languages apart."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("text_hash", F.xxhash64("text")).withColumn("row_key", F.xxhash64("doc_id", "lang", "text"))
+    return docs.withColumn("tongue", F.pmod(F.xxhash64("lang"), F.lit(1 << 16)).cast("int"))
+
+
+def quality(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, least: float = LEAST, few: int = FEW_TEXTS, slice_keys: int = SLICE_KEYS) -> DataFrame:
+    """Measures, base_failed and kept of each row of ``docs`` (doc_id, text, lang)."""
+    docs = prepared(docs)
+    with passing(docs.sparkSession) as keep:
+        rows = measures(docs, slice_keys)
+        failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+        rows = rows.withColumn("base_failed", failed).withColumn("log_perplexity", F.when(F.col("n_grams") > 0, -F.col("total") / F.col("n_grams")))
+        rows = keep(rows, "quality")
+        # One value for each different text of a language, however often it stands.
+        good = rows.where("not base_failed and log_perplexity is not null").groupBy("lang", "text_hash")
+        good = cut(good.agg(F.max("log_perplexity").alias("lp"), F.max("n_grams").alias("n_grams")))
+        middle = medians(good, F.col("lp"), 1e-4, "lang").where(F.col("n") >= few).select(F.col("by").alias("l"), F.col("median").alias("mid"))
+        spread = good.join(middle, F.col("lang").eqNullSafe(F.col("l")))
+        dev = F.abs(F.col("lp") - F.col("mid")) * F.sqrt("n_grams")
+        pooled = medians(spread, dev, 1e-2).first()
+        mad = F.greatest(F.col("median"), F.lit(pooled["median"] if pooled else 0.0)) * 1.4826
+        bands = medians(spread, dev, 1e-2, "lang").select(F.col("by").alias("band_lang"), mad.alias("mad"))
+        bands = keep(bands.join(middle, F.col("band_lang").eqNullSafe(F.col("l"))).select("band_lang", "mid", "mad"), "bands")
     out = rows.join(bands, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
     width = lambda k: F.greatest(F.col("mad") * k / F.sqrt(F.greatest("n_grams", F.lit(1))), F.lit(least))
     out = out.withColumn("ppl_low", F.col("mid") - width(lower)).withColumn("ppl_high", F.col("mid") + width(upper))
     inside = F.coalesce(F.col("log_perplexity").between(F.col("ppl_low"), F.col("ppl_high")), F.lit(True))
-    return out.withColumn("kept", ~F.col("base_failed") & inside).drop("lang", "text_hash", "band_lang", "mid", "mad")
+    out = out.withColumn("kept", ~F.col("base_failed") & inside)
+    return out.drop("lang", "text_hash", "row_key", "total", "band_lang", "mid", "mad")

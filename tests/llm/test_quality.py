@@ -48,21 +48,71 @@ def test_measures_on_hard_rows(spark):
 
 
 def test_model_is_a_distribution(spark):
-    m = Q.model(frame(spark, corpus()))
-    for context in ("ner", "the", "x#q", "  ."):
+    docs = Q.prepared(frame(spark, corpus()))
+    m, tongue = Q.sent(Q.model(docs), 0, 1), docs.select("tongue").first()[0]
+    for context in ("nere", "then", "x#qz", "  .a"):
         head = 0
         for b in context.encode():
             head = head << Q.BITS | int(Q.CLASS[b])
-        p = np.exp(m.logp(np.array([head << Q.BITS | c for c in range(64)], np.uint32)))
+        p = np.exp(m.logp(np.full(64, tongue), np.array([head << Q.BITS | c for c in range(64)])))
         assert math.isclose(p.sum(), 1.0, abs_tol=0.01)
 
 
+def brute_kneser_ney(texts):
+    """Text -> mean negative log-probability under interpolated modified Kneser-Ney over tuples of classes."""
+    classes = {t: [int(Q.CLASS[b]) for b in t.encode()] for t in texts}
+    counts = {Q.ORDER: Counter(tuple(c[i : i + Q.ORDER]) for c in classes.values() for i in range(len(c) - Q.ORDER + 1))}
+    for order in range(Q.ORDER - 1, 0, -1):
+        counts[order] = Counter(g[1:] for g in counts[order + 1])
+    off, total, weight = {}, Counter(), Counter()
+    for order, own in counts.items():
+        n = Counter(own.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
+        d = [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), most) if n[k] else most for k, most in ((1, 0.95), (2, 1.9), (3, 2.85))]
+        for g, k in own.items():
+            off[g] = min(d[min(k, 3) - 1], k * 0.999)
+            total[g[:-1]] += k
+            weight[g[:-1]] += off[g]
+
+    def p(g):
+        if not g:
+            return 1 / 64
+        low = p(g[1:])
+        if not total[g[:-1]]:
+            return low
+        n = counts[len(g)][g]
+        return (n - off[g] if n else 0) / total[g[:-1]] + weight[g[:-1]] / total[g[:-1]] * low
+
+    mean = lambda c: -sum(math.log(p(tuple(c[i : i + Q.ORDER]))) for i in range(len(c) - Q.ORDER + 1)) / max(1, len(c) - Q.ORDER + 1)
+    return {t: mean(c) for t, c in classes.items()}
+
+
+def test_perplexity_equals_brute_force_in_any_number_of_slices(spark):
+    rows = [(i, t[:400], lang, s) for i, t, lang, s in corpus()[:30]] + [(500 + i, t[300:700] + " é日本", "xx", s) for i, t, _, s in corpus()[30:50]]
+    want = {}
+    for lang in ("en", "xx"):
+        want |= brute_kneser_ney([t for _, t, own, _ in rows if own == lang])
+    text = {r[0]: r[1] for r in rows}
+    one = {r.doc_id: r.log_perplexity for r in Q.quality(frame(spark, rows)).collect()}
+    assert all(math.isclose(v, want[text[i]], rel_tol=1e-5) for i, v in one.items())
+    size = sum(t.count() for t in Q.model(Q.prepared(frame(spark, rows))))
+    three = {r.doc_id: r.log_perplexity for r in Q.quality(frame(spark, rows + rows[:2]), slice_keys=-(-size // 3)).collect()}
+    again = {r.doc_id: r.log_perplexity for r in Q.quality(frame(spark, rows + rows[:2])).collect()}
+    assert all(math.isclose(v, again[i], rel_tol=1e-9) for i, v in three.items())
+
+
+def test_medians(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 9.0), ("b", 4.0), (None, 5.0), (None, 7.0)], "k string, v double")
+    got = {r.by: (round(r.median, 2), r.n) for r in Q.medians(df, df.v, 0.01, "k").collect()}
+    assert got == {"a": (2.0, 3), "b": (4.0, 1), None: (5.0, 2)} or got == {"a": (2.01, 3), "b": (4.01, 1), None: (5.01, 2)}
+
+
 def test_grams_stay_inside_rows():
-    texts = [b"abcdef", b"xy", b"", b"ghij"]
+    texts = [b"abcdef", b"xy", b"", b"ghij"]  # five classes each
     data = np.frombuffer(b"".join(texts), np.uint8)
     off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
     keys, row = Q.grams(data, off)
-    assert row.tolist() == [0, 0, 0, 3]
+    assert row.tolist() == [0, 0]
     first, last, r = B.words(data, off)
     assert list(zip(first.tolist(), last.tolist(), r.tolist(), strict=True)) == [(0, 5, 0), (6, 7, 1), (8, 11, 3)]
 
