@@ -1,22 +1,24 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field over the tokens around them.
 
 Nodes of the field are tokens with a digit or an @; all others are outside by definition. Neighbouring nodes share a chain potential;
-repeats (the same digits in a run of neighbouring number tokens, whatever their spelling, or the same address) anywhere in a document share a skip potential
-with a hub node for their key, so the number of edges grows with the tokens. Tokens inside base spans are observed, and so are hubs that they alone
-name. Loopy message
-passing then gives every other node its label, and what is surely not outside becomes an added span (``crf_<kind>``): a
-number or address that a pattern misses in one place but proves in another.
-
-Weights come from a bounded sample of documents (``TRAIN_DOCS``, by hash of doc_id, at most ``TRAIN_TOKENS`` tokens each), labelled by the
-base patterns: node weights by multinomial logistic regression, potentials by smoothed log-odds of the labels at both ends. Everything
-else reads every text whole.
-
-Offsets are code points, ends exclusive. Null and empty texts have no spans. Repeated rows give repeated results. Extra columns
-are ignored. Without any labelled token nothing is added.
+repeats (the same digits in a run of neighbouring number tokens, whatever their spelling, or the same address) anywhere in a document share
+a skip potential with a hub node for their key, so the number of edges grows with the tokens. Tokens inside base spans are observed, and so
+are hubs that they alone name. Loopy message passing then gives every other node its label, and what is surely not outside becomes an added
+span (``crf_<kind>``): a number or address that a pattern misses in one place but proves in another.
+
+All weights, of features, chain and skip edges, are learnt together by pseudo-likelihood: each label given those of its neighbours. The sample is bounded
+(``TRAIN_DOCS`` documents, by hash of doc_id, at most ``TRAIN_TOKENS`` tokens each) and labelled by the base patterns. As these alone would teach that a
+label is what a pattern says, each sampled document also gets, for up to ``RESPELT`` of its spans, the same data in another spelling, with
+its label, and other digits in that spelling, outside. Everything else reads every text whole.
+
+Offsets are code points, ends exclusive. Spans with one start stand in the order of kinds. Null and empty texts have no spans. Repeated
+rows give repeated results. Texts of any length take time in proportion to it. Extra columns are ignored. Without any labelled token nothing is
+added.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
@@ -31,20 +33,23 @@ from .runtime import per_batch, text_steps
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("outside", *KINDS)
 ADDED = {k: len(KINDS) + i for i, k in enumerate(KINDS)}
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 #: A match can only begin where no digit stands before: the same matches, without a second look at long digit runs.
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
-TRAIN_DOCS, TRAIN_TOKENS = 2000, 200
-SURE, ROUNDS = 0.95, 8
+#: From the start of a token on, and never back: one look at each character.
+TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
+TRAIN_DOCS, TRAIN_TOKENS, RESPELT = 2000, 200, 3
+SURE, ROUNDS, DECAY = 0.8, 8, 1e-2
 #: Messages go on beyond ROUNDS until none moves by more than SETTLED, or for MOST_ROUNDS.
 SETTLED, MOST_ROUNDS = 1e-3, 200
 #: A token that may be part of a spaced number; after a closing mark the number ends.
 NUMBER = re.compile(r"[+(]*[0-9][0-9().-]*[,;:!?]?")
-DOTTED = re.compile(r"[0-9]+(\.[0-9]+){3}")
+#: Four numbers with marks between them, and brackets that may stand around the marks of an address.
+DOTTED = re.compile(r"[^0-9]*([0-9]{1,3})[^0-9A-Za-z]{1,3}([0-9]{1,3})[^0-9A-Za-z]{1,3}([0-9]{1,3})[^0-9A-Za-z]{1,3}([0-9]{1,3})[^0-9]*")
+BRACKETS = str.maketrans("", "", "[](){}<>")
 #: Numbers are compared by their last digits: so many, or all of a number with SHORT digits at least.
 LONG, SHORT = 10, 7
 CUES = ({"phone", "tel", "telephone", "call", "mobile", "fax"}, {"mail", "email", "e-mail"}, {"ip", "host", "address", "server"}, {"card", "visa", "credit", "cc"})
@@ -57,12 +62,24 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, odd)) + sum(sum(divmod(2 * int(c), 10)) for c in even)) % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``, found from each @ to both sides."""
+    out, floor, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > floor and text[start - 1] in LOCAL:
+            start -= 1
+        found = DOMAIN.match(text, at + 1) if start < at else None
+        floor = at + 1
+        if found:
+            out.append((start, found.end()))
+            floor = found.end()
+        at = text.find("@", floor)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
-    out = []
-    if "@" in text:
-        for run in EMAIL_RUN.finditer(text):
-            if "@" in run[0]:
-                out += [(run.start() + m.start(), 0, run.start() + m.end(), "email") for m in EMAIL.finditer(run[0])]
+    out = [(s, 0, e, "email") for s, e in emails(text)]
     for m in IP.finditer(text):
         if all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in m[0].split(".")):
             out.append((m.start(), 1, m.end(), "ip"))
@@ -124,9 +141,9 @@ class Nodes:
                 b += 1
             own = base[b][:3] if b < len(base) and base[b][0] < e else None
             if "@" in token:
-                keys.setdefault(bare.lower(), []).append((i,))
-            elif DOTTED.fullmatch(bare):
-                keys.setdefault(bare, []).append((i,))
+                keys.setdefault(bare.lower().translate(BRACKETS), []).append((i,))
+            elif address := DOTTED.fullmatch(token):
+                keys.setdefault(".".join(address.groups()), []).append((i,))
             elif NUMBER.fullmatch(token):
                 before = text[self.spans[i - 1][0] : self.spans[i - 1][1]] if i else ""
                 if runs and runs[-1][-1] == i - 1 and self.near[i - 1] and own == span and token[0] != "+" and before[-1] not in ",;:!?":
@@ -166,46 +183,104 @@ def matrix(rows: list[list[int]]) -> np.ndarray:
     return x
 
 
-def fitted(rows: list[tuple[list[list[int]], list[int], list[list[int]]]], steps: int = 300) -> dict | None:
-    """Weights from (features, labels, edges) of each document."""
-    x, y = [], []
-    hubs = []
+def respelt(text: str, base: list[tuple[int, int, int, str]], rng: random.Random, most: int = RESPELT) -> tuple[str, list[tuple[int, int, int, str]]]:
+    """``text`` with sentences that hold some of its data, or other digits, in spellings that no pattern knows; and where the data stand."""
+    out, spans = text, []
+    for start, rank, end, kind in rng.sample(base, min(most, len(base))):
+        own = text[start:end]
+        for same in (True, False) * 2:
+            digits = [c for c in own if "0" <= c <= "9"]
+            if kind == "email":
+                new = own.replace("@", "[@]") if rng.random() < 0.5 else "<" + own.replace(".", "[.]") + ">"
+                if not same:
+                    new = "".join(rng.choice("abcdefgh") if c.isalpha() else c for c in new)
+            else:
+                if not same:
+                    digits = [rng.choice("0123456789") for _ in digits]
+                if kind == "ip":
+                    mark = rng.choice(("[.]", "-", ":"))
+                    parts, at = [], 0
+                    for p in own.split("."):
+                        parts.append("".join(digits[at : at + len(p)]))
+                        at += len(p)
+                    new = mark.join(parts)
+                else:
+                    mark, size = rng.choice((" ", ".", " ", "-", "")), rng.choice((3, 4))
+                    new = mark.join("".join(digits[i : i + size]) for i in range(0, len(digits), size))
+            out += rng.choice((" see ", " also ", "\nno ", " ref ")) + new
+            if same:
+                spans.append((len(out) - len(new), rank, len(out), kind))
+    return out, spans
+
+
+def taught(text: str, rng: random.Random) -> tuple[list[list[int]], list[int], list[list[int]]]:
+    """Features, labels and edges of one training text with its spellings. Other repeats of labelled data are unknown (label -1)."""
+    base = base_spans(text)
+    longer, more = respelt(text, base, rng)
+    known = base_spans(longer)  # digits of a made-up spelling may happen to match
+    more = [x for x in more if all(x[2] <= s or x[0] >= e for s, _, e, _ in known)]
+    g = Nodes(longer, sorted(known + more), TRAIN_TOKENS + 24 * RESPELT)
+    label = g.label.copy()
+    of = {}
+    for a, b, kind in g.edges:
+        if kind:
+            of.setdefault(b, []).append(a)
+    for members in of.values():
+        if any(g.label[a] for a in members):
+            for a in members:
+                if not g.label[a]:
+                    label[a] = -1
+    return g.features, label.tolist(), g.edges.tolist()
+
+
+def neighbours(labels: np.ndarray, edges: np.ndarray, k: int) -> np.ndarray:
+    """One-hot labels that each node sees: of the node before, of the node after, of other repeats (their hub)."""
+    out = np.zeros((len(labels), 3, k))
+    hubs: dict[int, list[int]] = {}
+    for a, b, kind in edges:
+        if kind:
+            hubs.setdefault(b, []).append(a)
+        else:
+            for at, side, other in ((a, 1, b), (b, 0, a)):
+                if labels[other] >= 0:
+                    out[at, side, labels[other]] = 1
+    for members in hubs.values():
+        n = Counter(int(labels[a]) for a in members if labels[a] >= 0)
+        for a in members:
+            others = [v for v in n if n[v] > (v == labels[a])]
+            kinds = [v for v in others if v] or others
+            if len(kinds) == 1:  # what the other repeats are
+                out[a, 2, kinds[0]] = 1
+    return out.reshape(len(labels), 3 * k)
+
+
+def fitted(rows: list[tuple[list[list[int]], list[int], list[list[int]]]], steps: int = 600, decay: tuple[float, float] = (DECAY, DECAY / 100)) -> dict | None:
+    """Weights from (features, labels, edges) of each document, by pseudo-likelihood."""
+    k = len(LABELS)
+    x, seen, y = [], [], []
     for fs, labels, edges in rows:
-        # What the patterns miss beside a labelled repeat is unknown, not outside: it teaches nothing.
-        named = {}
-        for a, b, kind in edges:
-            if kind:
-                named.setdefault(b, set()).add(labels[a])
-        hubs.append({b: max(k) for b, k in named.items() if len(k - {0}) < 2})
-        unknown = {a for a, b, kind in edges if kind and not labels[a] and named[b] != {0}}
-        x += [f for i, f in enumerate(fs) if i not in unknown]
-        y += [v for i, v in enumerate(labels) if i not in unknown]
-    y = np.array(y, np.int64)
-    if not len(y) or not y.any():
+        labels = np.array(labels, np.int64)
+        if len(labels):
+            use = labels >= 0
+            x.append(matrix(fs)[use])
+            seen.append(neighbours(labels, edges, k)[use])
+            y.append(labels[use])
+    if not y or not (y := np.concatenate(y)).any():
         return None
-    x, k = matrix(x), len(LABELS)
-    w, want = np.zeros((N_FEATURES, k)), np.eye(k)[y]
+    x = np.concatenate([np.concatenate(x), np.concatenate(seen)], axis=1)
+    want, w, speed = np.eye(k)[y], np.zeros((x.shape[1], k)), np.full((x.shape[1], k), 1e-8)
+    weight = np.where(y > 0, 1.0, max(1.0, (y > 0).sum()) / max(1, (y == 0).sum())) if (y == 0).sum() > (y > 0).sum() else np.ones(len(y))
+    held = np.where(np.arange(x.shape[1]) < N_FEATURES, *decay)[:, None]  # what repeats say counts for more than how a token looks
     for _ in range(steps):
-        p = np.exp(x @ w - (x @ w).max(axis=1, keepdims=True))
+        z = x @ w
+        p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        w += 2.0 * (x.T @ (want - p)) / len(y) - 1e-4 * w
-    pair = np.full((2, k, k), 0.5)
-    pair[1] = 0.02
-    for (_, labels, edges), hub in zip(rows, hubs, strict=True):
-        for a, b, kind in edges:
-            if kind:
-                if b not in hub or bool(labels[a]) != bool(hub[b]):
-                    continue
-                other = hub[b]
-            else:
-                other = labels[b]
-            pair[kind, labels[a], other] += 1
-            pair[kind, other, labels[a]] += 1
-    # Repeats of one string are one thing: what is known of one holds for the other.
-    pair[1] += 25 * np.eye(k)
-    pair /= pair.sum(axis=(1, 2), keepdims=True)
-    own = pair.sum(axis=2)
-    return {"w": w, "pair": np.log(pair) - np.log(own[:, :, None]) - np.log(own[:, None, :])}
+        step = x.T @ ((want - p) * weight[:, None]) / weight.sum() - held * w
+        speed += step * step
+        w += 0.5 * step / np.sqrt(speed)
+    before, after, skip = (w[N_FEATURES + i * k : N_FEATURES + (i + 1) * k] for i in range(3))
+    # An edge's potential is one table: a chain edge was learnt from both of its ends, a skip edge is symmetric.
+    return {"w": w[:N_FEATURES], "pair": np.stack([(before + after.T) / 2, (skip + skip.T) / 2])}
 
 
 def beliefs(node: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -238,10 +313,11 @@ def added(text: str, base: list[tuple[int, int, int, str]], model: dict, sure: f
     node = np.vstack([node, np.zeros((len(g.hub_label), node.shape[1]))])
     label = np.concatenate([g.label, g.hub_label])
     seen = label > 0
-    node[seen] = -50.0
+    node[seen] = -1e6  # however many neighbours say otherwise
     node[seen, label[seen]] = 0.0
     p = beliefs(node, g.edges, model["pair"])[: len(g.label)]
     best = p.argmax(axis=1)
+    taken = S.Taken((s, e) for s, _, e, _ in base)
     out, i = [], 0
     while i < len(best):
         k = best[i]
@@ -256,7 +332,7 @@ def added(text: str, base: list[tuple[int, int, int, str]], model: dict, sure: f
             e -= 1
         while s < e and not (text[s].isalnum() or text[s] in "+("):
             s += 1
-        if e > s and all(e <= a or s >= b for a, _, b, _ in base):
+        if taken.free(s, e) and e > s:
             kind = LABELS[k]
             out.append((s, ADDED[kind], e, f"crf_{kind}"))
         i = j + 1
@@ -273,8 +349,7 @@ def train(docs: DataFrame, most: int = TRAIN_DOCS) -> dict | None:
             rows = []
             for text in batch.column("text").to_pylist():
                 if text and re.search("[0-9@]", text):
-                    g = Nodes(text, base_spans(text), TRAIN_TOKENS)
-                    rows.append((g.features, g.label.tolist(), g.edges.tolist()))
+                    rows.append(taught(text, random.Random(len(text))))
             lists = pa.list_(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((lists, pa.list_(pa.int64()), lists))], names=["f", "y", "e"])
 

@@ -1,10 +1,15 @@
 import hashlib
+import itertools
+import math
 import random
 import re
+import time
 
+import numpy as np
 from helpers import frame
 
 from cohortmark.llm import pii, secret_scan
+from cohortmark.llm import spans as S
 
 
 def luhn(d):
@@ -65,8 +70,9 @@ def test_pii_query(spark):
 
 
 def test_skip_edges_carry_labels():
-    rows = [(n.features, n.label.tolist(), n.edges.tolist()) for t in [x[1] for x in hard() if x[1]] for n in [pii.Nodes(t, pii.base_spans(t))]]
-    model = pii.fitted(rows)
+    rng = random.Random(3)
+    model = pii.fitted([pii.taught(t, rng) for t in [x[1] for x in hard() if x[1]]])
+    assert model["pair"].shape == (2, 5, 5)
     text = "+17435553824 was the number, write it as 17435553824 on the form"
     got = pii.added(text, pii.base_spans(text), model, 0.8)
     assert [(text[s:e], k) for s, _, e, k in got] == [("17435553824", "crf_phone")]
@@ -74,6 +80,65 @@ def test_skip_edges_carry_labels():
     assert pii.fitted([]) is None
 
 
+def made_up(rng):
+    word = lambda: "".join(rng.choice("abdeilnorst") for _ in range(rng.randint(2, 8)))
+    data = [lambda: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}", lambda: f"{word()}.{word()}@{word()}.com", lambda: ".".join(str(rng.randint(1, 254)) for _ in range(4)), lambda: str(rng.randint(1, 2030))]
+    return " ".join(rng.choice(data)() if rng.random() < 0.08 else word() for _ in range(80))
+
+
+def test_field_finds_other_spellings_in_texts_it_has_not_seen():
+    rng = random.Random(12)
+    model = pii.fitted([pii.taught(made_up(rng), rng) for _ in range(150)])
+    found = missed = wrong = 0
+    for _ in range(150):
+        text = made_up(rng)
+        longer, planted = pii.respelt(text, pii.base_spans(text), rng)
+        base = pii.base_spans(longer)
+        planted = [x for x in planted if all(x[2] <= s or x[0] >= e for s, _, e, _ in base)]
+        got = pii.added(longer, base, model, pii.SURE)
+        hit = [any(s < x[2] and e > x[0] and k == "crf_" + x[3] for s, _, e, k in got) for x in planted]
+        found, missed = found + sum(hit), missed + len(hit) - sum(hit)
+        wrong += sum(not any(s < x[2] and e > x[0] for x in planted) for s, _, e, _ in got)
+    assert found > 100 and found >= 0.75 * (found + missed) and wrong <= 0.1 * found
+
+
+def test_marginals_equal_enumeration_on_trees_and_are_near_on_loops():
+    rng = np.random.default_rng(1)
+    pair = rng.normal(0, 0.7, (2, 5, 5))
+    pair[1] = (pair[1] + pair[1].T) / 2
+    for edges, near in (([(0, 1, 0), (1, 2, 0), (2, 5, 1), (3, 5, 1), (3, 4, 0)], 1e-3), ([(0, 1, 0), (1, 2, 0), (0, 5, 1), (2, 5, 1), (3, 5, 1), (3, 4, 0)], 0.1)):
+        node = rng.normal(0, 1, (6, 5))
+        want = np.zeros((6, 5))
+        for labels in itertools.product(range(5), repeat=6):
+            p = math.exp(sum(node[i, v] for i, v in enumerate(labels)) + sum(pair[k, labels[a], labels[b]] for a, b, k in edges))
+            for i, v in enumerate(labels):
+                want[i, v] += p
+        want /= want.sum(axis=1, keepdims=True)
+        assert np.abs(pii.beliefs(node, np.array(edges), pair) - want).max() < near
+
+
+def test_long_texts_take_time_in_proportion():
+    texts = ["1 " + "日" * 500_000, "a" * 500_000 + "@", "@" * 200_000, "a@" * 200_000, "1." * 200_000, "+1" * 200_000, "1-" * 200_000, "password" * 50_000 + " " * 200_000, "a." * 200_000 + ":", "x@y.zz " * 20_000]
+    began = time.time()
+    for t in texts:
+        base = pii.base_spans(t)
+        pii.Nodes(t, base)
+        secret_scan.parts(t, secret_scan.base_spans(t, True))
+    many = "client_id = app-7 " + "token=abcdef1 Zx9fQ2mLw7TbR4kVn8Ys1Hd3 client_id=abcd " * 20_000
+    secret_scan.parts(many, secret_scan.base_spans(many, True))
+    assert time.time() - began < 60
+
+
+def test_taken_places():
+    rng = random.Random(2)
+    for _ in range(300):
+        spans = [(s, s + rng.randint(1, 9)) for s in (rng.randrange(60) for _ in range(rng.randint(0, 8)))]
+        taken = S.Taken(spans)
+        for s in range(70):
+            for e in range(s + 1, s + 6):
+                assert taken.free(s, e) == all(e <= a or s >= b for a, b in spans)
+
+
 def test_secret_links_need_complements(spark):
     weak = "Zx9fQ2mLw7TbR4kVn8Ys1Hd3"
     rows = [
