@@ -2,8 +2,8 @@
 
 Each source's words stand in one fixed order (a hash of the document, then doc_id) and are packed into blocks of a fixed number of
 words. The mix has as many slots as all words fill blocks; slots are dealt to output shards, and each shard draws how many of its
-slots each source gets: the whole part of the expected number, and the rest by multinomial draws from a seeded hash. The
-slots of a source are numbered through; slot j reads block perm_e(j mod blocks) of epoch e = j div blocks, where perm_e is a
+slots each source gets: the whole part of the expected number, and the rest by multinomial draws from a seeded hash (what a draw gives a
+source beyond its cap is drawn again among the others). The slots of a source are numbered through; slot j reads block perm_e(j mod blocks) of epoch e = j div blocks, where perm_e is a
 pseudorandom permutation of the source's block indexes. Slots and blocks then meet in a join on (source, block).
 
 A source gives at most ``MAX_REPEATS`` times its size; what its weight would ask beyond goes to the others by weight, so
@@ -12,7 +12,7 @@ MAX_REPEATS passes over its blocks, no document gives more than MAX_REPEATS time
 seed only: reruns agree.
 
 Sizes count the words ``[^\\x20\\x09-\\x0D]+``; null and empty texts have size 0 and are in no block. A null source is a source of its own, last in
-order. Repeated rows are rows of their own. Extra columns are ignored. An empty table gives an empty result.
+order. Repeated rows, rows without doc_id and rows that share one are rows of their own. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytescan as B
-from .runtime import cut, per_batch, small_enough, text_steps
+from .runtime import cut, passing, per_batch, ranked, small_enough, text_steps
 
 BLOCK_WORDS, SHARD_SLOTS, MAX_REPEATS, SEED = 128, 8192, 3, 11
 #: Up to so many rows about sources are broadcast.
 FEW_SOURCES = 10_000
+#: Names of columns that the mix adds to a table's own.
+KEY, PIECES, TEXT = "__row", "__pieces", "__text"
 #: Parts that a source's words are laid out in, each by a task of its own.
 PARTS = 1024
 
@@ -40,19 +42,18 @@ def sizes(batches):
 
 
 def targets(by_source: DataFrame, weights=(1, 2, 3), most: int = MAX_REPEATS) -> DataFrame:
-    """source, source_size, weight, target. ``by_source`` has a row for each source (source, source_size)."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    w = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    rows = by_source.withColumn("weight", w).withColumn("cap", most * F.col("source_size"))
-    everything = Window.partitionBy()
+    """source, source_id, source_size, weight, target. ``by_source`` has a row for each source (source, source_size)."""
+    rows = ranked(by_source, F.col("source").asc_nulls_last()).withColumnRenamed("rank", "source_id")
+    w = F.element_at(F.array(*map(F.lit, weights)), (F.col("source_id") % len(weights) + 1).cast("int"))
+    rows = rows.withColumn("weight", w).withColumn("cap", most * F.col("source_size"))
+    size, weight = (x or 0 for x in rows.agg(F.sum("source_size"), F.sum("weight")).first())
     # Sources fill up in the order of cap / weight: with those before full, the level is what is left by the weight left.
-    before = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0))
-    weight_left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    rows = rows.withColumn("level", left / weight_left).withColumn("full", F.col("level") * F.col("weight") > F.col("cap"))
-    level = F.max(F.when(~F.col("full"), F.col("level"))).over(everything)
-    target = F.when(F.col("full") | level.isNull(), F.col("cap").cast("double")).otherwise(level * F.col("weight"))
-    return rows.select("source", "source_size", "weight", target.cast("double").alias("target"))
+    rows = ranked(rows, F.col("cap") / F.col("weight"), F.col("source_id"), cap_before="cap", weight_before="weight").drop("rank")
+    rows = rows.withColumn("level", (F.lit(size) - F.col("cap_before")) / (F.lit(weight) - F.col("weight_before")))
+    rows = rows.withColumn("full", F.col("level") * F.col("weight") > F.col("cap"))
+    level = rows.where("not full").agg(F.max("level")).first()[0]
+    target = F.col("cap").cast("double") if level is None else F.when(F.col("full"), F.col("cap").cast("double")).otherwise(F.lit(level) * F.col("weight"))
+    return rows.select("source", "source_id", "source_size", "weight", target.cast("double").alias("target"))
 
 
 def unit(*cols) -> F.Column:
@@ -101,29 +102,64 @@ def mapped(batches):
         yield pa.RecordBatch.from_arrays([batch.column("source_id"), batch.column("shard"), batch.column("slot"), pa.array(epoch), pa.array(block)], names=["source_id", "shard", "slot", "epoch", "block"])
 
 
+def chosen(draws: DataFrame, sources: DataFrame, seed: int, kind: str = "kind") -> DataFrame:
+    """The source that each draw (kind, shard, i) hits, from the categorical distribution of its kind: (source_id, shard) with the draw.
+
+    ``sources`` (kind, source_id, rest) holds the distributions, not normalised. Cells of width 1 make the range join an equi-join.
+    """
+    spans = ranked(sources.where("rest > 0"), F.col(kind), F.col("source_id"), to="rest")
+    first = spans.groupBy(kind).agg(F.min("to").alias("zero"), F.sum("rest").alias("of"))  # a row or two
+    spans = spans.join(F.broadcast(first), kind).withColumn("from", F.col("to") - F.col("zero")).withColumn("to", F.col("from") + F.col("rest"))
+    scale = F.greatest(F.lit(1.0), F.col("of"))  # at most about one source a cell
+    spans = cut(spans.withColumn("cell", F.explode(F.sequence(F.floor("from"), F.floor("to")))).select(kind, "cell", "source_id", "from", "to"))
+    draws = draws.join(F.broadcast(first.select(kind, scale.alias("scale"), "of")), kind).withColumn("u", unit(F.lit(seed), F.col("shard"), F.col("i")) * F.col("of"))
+    spans = F.broadcast(spans) if small_enough(spans, FEW_SOURCES) else spans.hint("merge")
+    return draws.withColumn("cell", F.floor("u")).join(spans, [kind, "cell"]).where("u >= from and u < to").select("source_id", "shard")
+
+
 def drawn(sources: DataFrame, slots: int, shard_slots: int, seed: int) -> DataFrame:
     """(source_id, shard, n): slots of each shard that each source gets. ``sources`` has share, the expected part of all slots."""
     spark = sources.sparkSession
     shards = max(1, -(-slots // shard_slots))
-    shard = spark.range(shards).select(F.col("id").alias("shard"), F.least(F.lit(shard_slots), F.lit(slots) - F.col("id") * shard_slots).cast("long").alias("room"))
-    kinds = sorted({min(shard_slots, slots), slots - (shards - 1) * shard_slots})
-    rows = sources.withColumn("room", F.explode(F.array(*[F.lit(k).cast("long") for k in kinds])))
-    rows = rows.withColumn("whole", F.floor(F.col("share") * F.col("room"))).withColumn("rest", F.col("share") * F.col("room") - F.col("whole"))
-    up = Window.partitionBy("room").orderBy("source_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = cut(rows.withColumn("to", F.sum("rest").over(up)).withColumn("of", F.col("room") - F.sum("whole").over(Window.partitionBy("room"))))
-    # A row or two for each source: sent to the shards while they are few, else the shards are dealt out by room.
+    last = slots - (shards - 1) * shard_slots
+    shard = spark.range(shards).select(F.col("id").alias("shard"), F.when(F.col("id") < shards - 1, shard_slots).otherwise(last).cast("long").alias("kind"))
+    rows = sources.withColumn("kind", F.explode(F.array(*[F.lit(k).cast("long") for k in sorted({min(shard_slots, slots), last})])))
+    rows = rows.withColumn("whole", F.floor(F.col("share") * F.col("kind"))).withColumn("rest", F.col("share") * F.col("kind") - F.col("whole"))
+    rows = cut(rows.select("source_id", "kind", "whole", "rest"))
+    # A row or two for each source: sent to the shards while they are few, else the shards are dealt out by kind.
     send = F.broadcast if small_enough(rows, FEW_SOURCES) else (lambda df: df.hint("merge"))
-    whole = shard.join(send(rows.where("whole > 0").select("room", "source_id", F.col("whole").alias("n"))), "room").select("source_id", "shard", "n")
-    # ``of`` draws a shard from the categorical distribution of the rests; cells of width 1 make the range join an equi-join.
-    draws = shard.join(F.broadcast(rows.groupBy("room").agg(F.max("of").alias("of"), F.max("to").alias("top"))), "room").where("of > 0")  # two rows
-    draws = draws.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("of").cast("int") - 1))).withColumn("u", unit(F.lit(seed), F.col("shard"), F.col("i")) * F.col("top"))
-    spans = rows.where("rest > 0").select("room", "source_id", (F.col("to") - F.col("rest")).alias("from"), "to")
-    spans = spans.withColumn("cell", F.explode(F.sequence(F.floor("from"), F.floor("to"))))
-    hit = draws.withColumn("cell", F.floor("u")).join(send(spans), ["room", "cell"]).where("u >= from and u < to")
-    more = hit.groupBy("source_id", "shard").agg(F.count("*").alias("n"))
+    whole = shard.join(send(rows.where("whole > 0").select("kind", "source_id", F.col("whole").alias("n"))), "kind").select("source_id", "shard", "n")
+    left = rows.groupBy("kind").agg((F.col("kind") - F.sum("whole")).cast("int").alias("of"))  # a row or two
+    draws = shard.join(F.broadcast(left), "kind").where("of > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    more = chosen(draws.select("kind", "shard", "i"), rows, seed).groupBy("source_id", "shard").agg(F.count("*").alias("n"))
     return whole.union(more).groupBy("source_id", "shard").agg(F.sum("n").alias("n"))
 
 
+def numbered(got: DataFrame) -> DataFrame:
+    """``got`` (source_id, shard, n) with ``start``: slots of the source in the shards before."""
+    before = Window.partitionBy("source_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return got.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
+def within_caps(got: DataFrame, sources: DataFrame, most: int, seed: int) -> DataFrame:
+    """``got`` with no source over ``most`` passes of its blocks: what a draw gives beyond is drawn again among the sources that have room."""
+    for again in range(1, 1000):
+        rows = numbered(got).join(sources.select("source_id", (most * F.col("blocks")).alias("room")), "source_id")
+        rows = cut(rows.withColumn("n", F.least("n", F.greatest(F.lit(0), F.col("room") - F.col("start")))))
+        lost = got.groupBy("shard").agg(F.sum("n").alias("was")).join(rows.groupBy("shard").agg(F.sum("n").alias("now")), "shard").where("was > now")
+        lost = cut(lost.select("shard", (F.col("was") - F.col("now")).cast("int").alias("lost")))
+        got = rows.where("n > 0").select("source_id", "shard", "n")
+        if lost.isEmpty():
+            return got
+        held = got.groupBy("source_id").agg(F.sum("n").alias("held"))
+        free = sources.join(held, "source_id", "left").where(F.coalesce("held", F.lit(0)) < most * F.col("blocks"))
+        draws = lost.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lost") - 1))).withColumn("kind", F.lit(0))
+        more = chosen(draws, free.select(F.lit(0).alias("kind"), "source_id", F.col("share").alias("rest")), seed + again)
+        more = more.groupBy("source_id", "shard").agg(F.count("*").alias("n"))
+        got = cut(got.union(more).groupBy("source_id", "shard").agg(F.sum("n").alias("n")))
+    raise RuntimeError("slots found no room")
+
+
 def plan(docs: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, most: int = MAX_REPEATS, seed: int = SEED, parts: int = PARTS, weights=(1, 2, 3)):
     """(rows, pieces): every row with its source's figures, and what the mix takes.
 
@@ -133,24 +169,25 @@ def plan(docs: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLO
     rows = per_batch(docs, sizes, "doc_id long, source string, size long")
     rows = cut(rows.withColumn("uid", F.monotonically_increasing_id()))
     by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    sources = targets(by_source, weights, most).withColumn("source_id", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    sources = sources.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
-    sources = sources.withColumn("want", F.when(F.col("source_size") > 0, F.col("target") / (F.col("source_size") / F.col("blocks"))).otherwise(0.0))
-    sources = cut(sources.withColumn("share", F.col("want") / F.greatest(F.sum("want").over(Window.partitionBy()), F.lit(1e-9))))
-    slots = int(round(sources.agg(F.sum("want")).first()[0] or 0))
-    named = rows.join(sources, rows["source"].eqNullSafe(sources["source"]), "left").select(rows["doc_id"], "uid", rows["source"], "size", "source_id", "source_size", "target", "blocks")
-    named = cut(named)
+    sources = targets(by_source, weights, most).withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
+    sources = cut(sources.withColumn("want", F.when(F.col("source_size") > 0, F.col("target") / (F.col("source_size") / F.col("blocks"))).otherwise(0.0)))
+    want = sources.agg(F.sum("want")).first()[0] or 0.0
+    slots = int(round(want))
+    sources = sources.withColumn("share", F.col("want") / max(want, 1e-9))
+    named = rows.join(sources, rows["source"].eqNullSafe(sources["source"]), "left")
+    named = cut(named.select(rows["doc_id"], "uid", rows["source"], "size", "source_id", "source_size", "target", "blocks"))
     if not slots:
         return named, None
-    got = cut(drawn(sources.select("source_id", "share"), slots, shard_slots, seed).join(sources.select("source_id", "blocks"), "source_id"))
-    before = Window.partitionBy("source_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    slot = got.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    got = within_caps(cut(drawn(sources.select("source_id", "share"), slots, shard_slots, seed)), sources, most, seed)
+    slot = numbered(got).join(sources.select("source_id", "blocks"), "source_id")
     slot = slot.select("source_id", "shard", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot"))
-    slot = slot.where(F.col("slot") < most * F.col("blocks"))
-    slot = per_batch(slot.select(F.col("source_id").cast("long").alias("source_id"), "shard", "blocks", "slot"), mapped, "source_id long, shard long, slot long, epoch long, block long")
+    slot = slot.select(F.col("source_id").cast("long").alias("source_id"), "shard", "blocks", "slot")
+    slot = per_batch(slot, mapped, "source_id long, shard long, slot long, epoch long, block long")
     held = laid_out(named, parts)
     held = held.withColumn("block", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))))
-    held = held.select("source_id", "block", "uid", F.greatest(F.lit(0), F.col("block") * block - F.col("first")).alias("word_from"), F.least(F.col("size"), (F.col("block") + 1) * block - F.col("first")).alias("word_to"))
+    word_from = F.greatest(F.lit(0), F.col("block") * block - F.col("first"))
+    word_to = F.least(F.col("size"), (F.col("block") + 1) * block - F.col("first"))
+    held = held.select("source_id", "block", "uid", word_from.alias("word_from"), word_to.alias("word_to"))
     # Spark cannot know how many slots the explosion makes and would broadcast them: never.
     pieces = held.join(slot.hint("merge"), ["source_id", "block"])
     return named, pieces
@@ -160,7 +197,7 @@ def cut_out(batches, columns: list[str]):
     """A row for each epoch: the words that the mix takes, in text order; a document taken whole keeps its text as it is."""
     for batch in batches:
         index, texts = [], []
-        for r, (text, pieces) in enumerate(zip(batch.column("text").to_pylist(), batch.column("pieces").to_pylist(), strict=True)):
+        for r, (text, pieces) in enumerate(zip(batch.column(TEXT).to_pylist(), batch.column(PIECES).to_pylist(), strict=True)):
             raw = (text or "").encode()
             data = np.frombuffer(raw, np.uint8)
             first, last, _ = B.words(data, np.array([0, len(data)]))
@@ -181,14 +218,18 @@ def cut_out(batches, columns: list[str]):
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each document and epoch, holding the words taken. ``n_chars`` follows the text.
 
-    Here doc_id must tell rows apart and not be null (the pipeline gives each row a key of its own).
+    Rows without doc_id, and rows that share one, are rows of their own: the mix then works on a written copy in which each row has a number.
     """
-    rows, pieces = plan(docs, **how)
-    if pieces is None:
-        return docs.limit(0)
-    taken = pieces.select("uid", F.struct("epoch", "word_from", "word_to").alias("p")).join(rows.select("uid", "doc_id"), "uid")
-    taken = taken.groupBy("doc_id").agg(F.collect_list("p").alias("pieces"))
-    both = docs.join(taken, "doc_id").select(*docs.columns, "pieces")
+    doc_id = F.col("doc_id").cast("long")
+    plain = docs.groupBy(doc_id.alias("id")).agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty()
+    with passing(docs.sparkSession) as keep:
+        rows = docs.withColumn(KEY, doc_id) if plain else keep(docs.withColumn(KEY, F.monotonically_increasing_id()), "rows")
+        named, pieces = plan(rows.select(F.col(KEY).alias("doc_id"), "source", "text"), **how)
+        if pieces is None:
+            return docs.limit(0)
+        taken = pieces.select("uid", F.struct("epoch", "word_from", "word_to").alias("p")).join(named.select("uid", F.col("doc_id").alias(KEY)), "uid")
+        taken = keep(taken.groupBy(KEY).agg(F.collect_list("p").alias(PIECES)), "pieces")
+    both = rows.join(taken, KEY).select(F.col("text").cast("string").alias(TEXT), PIECES, *docs.columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     columns = docs.columns
     out = per_batch(both, lambda it: cut_out(it, columns), schema)
@@ -197,8 +238,10 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of each row of ``docs`` (doc_id, source, text)."""
-    rows, pieces = plan(docs, **how)
-    if pieces is None:
-        return rows.select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
-    taken = pieces.groupBy("uid").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("taken"))
+    with passing(docs.sparkSession) as keep:
+        rows, pieces = plan(docs, **how)
+        rows = keep(rows.select("uid", "doc_id", "source", "size", "source_size", "target"), "mix")
+        if pieces is None:
+            return rows.select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+        taken = keep(pieces.groupBy("uid").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("taken")), "taken")
     return rows.join(taken, "uid", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

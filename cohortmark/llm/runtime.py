@@ -13,7 +13,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step handles (a longer text is a step of its own).
@@ -136,6 +136,19 @@ def small_enough(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def ranked(rows: DataFrame, *order: F.Column, **sums: str) -> DataFrame:
+    """``rows`` with ``rank`` (from 0) in the given order and, for each name=column, the column's sum over the rows before. No task sees all rows."""
+    rows = stored(rows.orderBy(*order).withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}), "ranked")
+    totals = {"rank": F.count("*"), **{n: F.sum(c) for n, c in sums.items()}}
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    parts = rows.groupBy("__part").agg(*[v.alias(f"__{n}") for n, v in totals.items()])
+    parts = parts.select("__part", *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}") for n in totals])
+    inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    own = {"rank": F.count("*").over(inside), **{n: F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}}
+    rows = rows.withColumns({f"__own_{n}": v for n, v in own.items()}).join(F.broadcast(parts), "__part")
+    return rows.withColumns({n: F.col(f"__own_{n}") + F.col(f"__{n}") for n in totals}).drop("__part", "__at", *[f"__{n}" for n in totals], *[f"__own_{n}" for n in totals])
+
+
 def by_ids(table: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``table`` whose key is in ``ids``: a broadcast of a counted size, else a shuffled join."""
     if small_enough(ids, BROADCAST_IDS):

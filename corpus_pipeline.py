@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; every result is written as Parquet
 and read again.
 
+What a stage writes on its way is deleted at its end, and the table of ids that its result reads once that result is written.
+
+Null texts count as empty. An empty table gives an empty result. Extra columns, whatever their names, go through to the last stage.
 Stages tell rows apart by a key of their own, not by doc_id: rows with a null doc_id and rows that share one go through like all others.
 Of exact repeats one row stays. Where the smallest doc_id decides, the first row of a doc_id comes in its place, its other rows and rows
 without doc_id after all others.
@@ -15,20 +18,21 @@ from pyspark.sql import functions as F
 
 from cohortmark.llm import exact_dup, mixing, near_dup, piece_codec, quality
 from cohortmark.llm.catalog import piece_model
-from cohortmark.llm.runtime import BROADCAST_IDS, by_ids, cut, small_enough, stored
+from cohortmark.llm.runtime import BROADCAST_IDS, by_ids, passing, small_enough, stored
 
 #: Names of the row's key and, where the key stands in its place, of the doc_id.
 KEY, OWN = "__row", "__doc_id"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, keep) -> DataFrame:
     """``docs`` with KEY, different in each row: the doc_id, or an id beyond all doc_ids for a row without one or with one that an earlier row has."""
     doc_id = F.col("doc_id").cast("long")
     by_id = docs.groupBy(doc_id.alias("id")).agg(F.count("*").alias("n"))
     if by_id.where("id is null or n > 1").isEmpty():
         return docs.withColumn(KEY, doc_id)
-    rows = stored(docs.withColumn("__at", F.monotonically_increasing_id()), "rows")  # written, so that a row keeps its number
-    first = cut(rows.groupBy(doc_id.alias("__id")).agg(F.count("*").alias("n"), F.min("__at").alias("__first")).where("__id is not null and n > 1").select("__id", "__first"))
+    rows = keep(docs.withColumn("__at", F.monotonically_increasing_id()), "rows")  # written, so that a row keeps its number
+    first = rows.groupBy(doc_id.alias("__id")).agg(F.count("*").alias("n"), F.min("__at").alias("__first"))
+    first = keep(first.where("__id is not null and n > 1").select("__id", "__first"), "first")
     first = F.broadcast(first) if small_enough(first, BROADCAST_IDS) else first.hint("merge")
     top = rows.agg(F.max(doc_id)).first()[0]
     later = F.col("doc_id").isNull() | F.coalesce(F.col("__first") != F.col("__at"), F.lit(False))
@@ -43,8 +47,9 @@ def by_key(rows: DataFrame) -> DataFrame:
 
 def kept(docs: DataFrame, verdict) -> DataFrame:
     """Rows of ``docs`` that ``verdict``, an operator, keeps."""
-    rows = keyed(docs)
-    ids = stored(verdict(by_key(rows)).where("kept").select(F.col("doc_id").alias(KEY)), "kept")
+    with passing(docs.sparkSession) as keep:
+        rows = keyed(docs, keep)
+        ids = keep(verdict(by_key(rows)).where("kept").select(F.col("doc_id").alias(KEY)), "kept")
     return by_ids(rows, ids, KEY).select(docs.columns)
 
 
@@ -61,7 +66,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(by_key(keyed(docs))).withColumn("doc_id", F.col(OWN)).select(docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,5 +88,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with passing(spark) as keep:  # the stage's table of ids goes, its result stays
+            docs = keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

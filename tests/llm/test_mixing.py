@@ -74,6 +74,39 @@ def test_mixed_documents_hold_what_is_taken(spark):
     assert sums == {i: n for i, n in taken.items() if n}
 
 
+def test_mixed_documents_tell_rows_apart(spark):
+    data = [(5, " ".join(f"a{k}" for k in range(300)), "en", "x")] * 2 + [(5, " ".join(f"b{k}" for k in range(700)), "en", "x"), (None, " ".join(f"c{k}" for k in range(300)), "en", "y"), (None, None, "en", "y")]
+    docs = frame(spark, data, extra=False).selectExpr("*", "'p' AS pieces", "1 AS uid", "2 AS slot", "length(text) AS n_chars", "7 AS epoch")
+    planned = sum(r.taken for r in M.mix(docs).collect())
+    got = M.mixed_documents(docs).collect()
+    assert abs(planned - 1600) <= 2 * M.BLOCK_WORDS
+    assert sum(len(words(r.text)) for r in got) == planned and {r.doc_id for r in got} == {5, None}
+    assert all(r.pieces == "p" and r.uid == 1 and r.epoch == 7 for r in got)
+    assert M.mixed_documents(docs.limit(0)).columns == docs.columns
+
+
+def test_slots_beyond_a_cap_are_drawn_again(spark):
+    sources = spark.createDataFrame([(0, 2, 0.2), (1, 3, 0.3), (2, 50, 0.5)], "source_id long, blocks long, share double")
+    got = spark.createDataFrame([(0, s, 4) for s in range(3)] + [(1, s, 3) for s in range(3)] + [(2, s, 2) for s in range(3)], "source_id long, shard long, n long")
+    rows = M.within_caps(got, sources, 3, 1).collect()
+    total = {i: sum(r.n for r in rows if r.source_id == i) for i in range(3)}
+    assert total[0] == 6 and total[1] <= 9 and sum(total.values()) == 27
+    assert all(sum(r.n for r in rows if r.shard == s) == 9 for s in range(3))
+
+
+def test_ranks_and_sums_without_one_task(spark):
+    from cohortmark.llm.runtime import ranked
+
+    rng = np.random.default_rng(5)
+    data = [(int(k), i) for i, k in enumerate(rng.integers(0, 90, 500))]
+    got = sorted(map(tuple, ranked(spark.createDataFrame(data, "k long, i long").repartition(7), M.F.col("k"), M.F.col("i"), before="k").select("rank", "k", "i", "before").collect()))
+    want, total = [], 0
+    for n, (k, i) in enumerate(sorted(data)):
+        want.append((n, k, i, total))
+        total += k
+    assert got == want
+
+
 def test_permutation():
     for n in (1, 2, 3, 5, 64, 1000):
         for key in (1, 99):
