@@ -5,10 +5,12 @@ marks), attribute tokens of itself and its ancestors, depth, and its place among
 log-odds that it is main text. Decoding then chooses for every node to keep its whole subtree, drop it, or decide below, by the best sum
 over the tree, so that nothing is kept inside something dropped.
 
-The trees are fitted on a bounded sample of ``TRAIN_PAGES`` pages (by hash of page_id, each of at most ``TRAIN_CHARS`` characters). Labels come by
+The trees are fitted on a bounded sample of ``TRAIN_PAGES`` pages (by hash of page_id, those of at most ``TRAIN_CHARS`` characters first; of a longer one
+so many characters). Labels come by
 construction: the sampled texts are laid into generated layouts with menus, headers, notices, adverts, sidebars, forms,
 comments and footers, in which tags and class names vary or say nothing; the sampled pages themselves are labelled where they use
-HTML's own sectioning tags. Extraction reads every page whole.
+HTML's own sectioning tags. Extraction reads every page whole, in time in proportion to its length, whatever its markup: blocks nested deeper than
+``MOST_DEEP`` count as that deep, and once a quote stays open to the end of a page its tags end at the next ``>``.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined in page order by a line end. A page without any element is one text. Null or
 empty html, and pages without main text, give an empty text. Repeated rows give repeated results; extra columns are ignored.
@@ -28,13 +30,18 @@ from pyspark.sql import functions as F
 
 from .runtime import per_batch
 
-TRAIN_PAGES, TRAIN_CHARS, VARIANTS, TREES, DEPTH = 200, 50_000, 3, 40, 4
+TRAIN_PAGES, TRAIN_CHARS, VARIANTS, TREES, DEPTH = 200, 50_000, 5, 60, 4
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>", re.S)
+#: A tag up to its end, quotes skipped whole: group 1 the slash, 2 the name, 3 the attributes.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 SPACES = re.compile(r"\s+")
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "object", "xmp", "noembed", "noframes"}
+RAW_END = {t: re.compile(f"</{t}", re.I) for t in RAW}
+#: The attribute that marks main text (1) and the rest (0) in generated layouts.
+LABEL = "data-truth"
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 TAG_GROUPS = (
     ("article", "main"), ("section", "div", "center"), ("p",), ("h1", "h2", "h3", "h4", "h5", "h6"), ("ul", "ol", "dl", "menu"), ("li", "dt", "dd"), ("table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption"),
@@ -54,20 +61,65 @@ TOKEN_GROUPS = (
     {"form", "subscribe", "newsletter", "signup", "login", "search", "share", "social", "sharing", "contact", "register", "follow"},
     {"article", "content", "main", "post", "entry", "story", "body", "text", "articlebody", "prose", "maincontent"},
 )
+#: Elements deeper than this stay on this level, as in browsers.
+MOST_DEEP = 512
 N_TOKENS, N_TAGS = len(TOKEN_GROUPS), len(TAG_GROUPS)
 SECTIONING = (0, 7, 8, 9, 10, 11)  # tag groups that ancestors are asked for
 MARKS = re.compile(r"[.,;:!?]")
 N_FEATURES = 14 + N_TAGS + 2 * N_TOKENS + len(SECTIONING)
 
 
-class Page:
-    """Block elements of a page: tag, parent, attribute tokens, and the pieces of text in page order."""
+class Markup:
+    """The tags of a page, one after the other. Every search that fails once is not made again."""
 
     def __init__(self, source: str):
+        self.source, self.quotes_close, self.sections_close = source, True, True
+
+    def next(self, at: int) -> tuple[int, int, re.Match | None] | None:
+        """Start, end and, of a tag, the match of the next markup from ``at`` on; None if only text is left."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                return start, len(source) if end < 0 else end + 3, None
+            first = source[start + 1 : start + 3]
+            if not (first[:1] in ("!", "?") or first[:1].isascii() and first[:1].isalpha() or first[:1] == "/" and first[1:].isascii() and first[1:].isalpha()):
+                at = start + 1
+                continue
+            close = source.find(">", start)
+            if close < 0:
+                return None
+            if first[0] in "!?":
+                end = -1
+                if self.sections_close and source.startswith("<![CDATA[", start):
+                    end = source.find("]]>", start)
+                    self.sections_close = end >= 0
+                return start, close + 1 if end < 0 else end + 3, None
+            tag = TAG.match(source, start) if self.quotes_close else None
+            if not tag:
+                self.quotes_close = False
+                tag = PLAIN_TAG.match(source, start)
+            return start, tag.end(), tag
+        return None
+
+    def end_of(self, tag: str, at: int) -> int:
+        """Where the closing tag of a raw element ends."""
+        found = RAW_END[tag].search(self.source, at)
+        end = self.source.find(">", found.end()) if found else -1
+        return len(self.source) if end < 0 else end + 1
+
+
+class Page:
+    """Block elements of a page: tag, parent, attribute tokens, and the pieces of text in page order.
+
+    ``truth`` holds the labels of generated layouts, the values of their attribute LABEL; it is not read from other pages.
+    """
+
+    def __init__(self, source: str, labelled: bool = False):
         self.tag, self.parent, self.groups, self.truth = ["html"], [-1], [0], [None]
         self.pieces: list[tuple[int, str, int]] = []  # node, text, characters in links
         stack, buffer, links, in_link = [("html", 0)], [], 0, 0
-        at, n = 0, len(source)
+        markup, at, n = Markup(source), 0, len(source)
 
         def flush():
             nonlocal links
@@ -80,24 +132,24 @@ class Page:
                 links = 0
 
         while at < n:
-            m = MARKUP.search(source, at)
-            if not m:
+            found = markup.next(at)
+            if not found:
                 tail = source[at:]
                 buffer.append(tail)
                 links += len(tail) * bool(in_link)
                 break
-            if m.start() > at:
-                part = source[at : m.start()]
+            start, end, m = found
+            if start > at:
+                part = source[at:start]
                 buffer.append(part)
                 links += len(part) * bool(in_link)
-            at = m.end()
-            if m[2] is None:
+            at = end
+            if m is None:
                 continue
             tag, closing = m[2].lower(), m[1]
             if tag in RAW:
                 if not closing and not m[3].endswith("/"):
-                    end = re.compile(f"</{tag}[^>]*>", re.I).search(source, at)
-                    at = end.end() if end else n
+                    at = markup.end_of(tag, at)
                     if tag != "title":
                         buffer.append(" ")
                 continue
@@ -139,11 +191,12 @@ class Page:
                             bits |= BITS.get(t.lower(), 0)
                     elif name == "hidden":
                         bits |= BITS["hidden"]
-                    elif name == "data-truth":
+                    elif labelled and name == LABEL:
                         truth = int(a)
             self.groups.append(bits)
             self.truth.append(truth)
-            stack.append((tag, len(self.tag) - 1))
+            if len(stack) < MOST_DEEP:
+                stack.append((tag, len(self.tag) - 1))
         flush()
 
     def features(self) -> np.ndarray:
@@ -206,7 +259,7 @@ class Page:
                 x[i, 14 + N_TAGS + 2 * N_TOKENS + k] = inside[i] >> t & 1
         return x
 
-    def decode(self, odds: np.ndarray, split_cost: float = 0.5) -> list[str]:
+    def decode(self, odds: np.ndarray, split_cost: float = 1.0) -> list[str]:
         """Best consistent choice of keep, drop or split for each node; the texts of what is kept."""
         n = len(self.tag)
         if n == 1:  # no element at all: the text is all there is
@@ -295,10 +348,10 @@ def layout(texts: list[str], phrases: list[str], rng: random.Random) -> str:
     esc = lambda t: t.replace("&", "&amp;").replace("<", "&lt;")
     phrase = lambda: esc(rng.choice(phrases))
 
-    def box(truth: int | None, tags: tuple, names: tuple, inner: str) -> str:
+    def box(truth: int | None, tags: tuple, names: tuple, inner: str, plain: float = 0.2) -> str:
         tag = rng.choice(tags)
-        name = rng.choice(names) if rng.random() < 0.8 else rng.choice(("c1", "x-7", "col", "box", "wrap", "inner"))
-        mark = "" if truth is None else f' data-truth="{truth}"'
+        name = rng.choice(names) if rng.random() >= plain else rng.choice(("c1", "x-7", "col", "box", "wrap", "inner"))
+        mark = "" if truth is None else f' {LABEL}="{truth}"'
         attr = "" if tag not in ("div", "section", "ul") and rng.random() < 0.5 else f' {rng.choice(("class", "id"))}="{name}"'
         return f"<{tag}{attr}{mark}>{inner}</{tag}>"
 
@@ -314,7 +367,12 @@ def layout(texts: list[str], phrases: list[str], rng: random.Random) -> str:
         k += 1
         if rng.random() < 0.05:
             body.append(rng.choice((ad, form))())
-    main = box(None, ("article", "article", "main", "div", "div", "section"), ("content", "post", "entry-content", "story", "article-body", "main"), "".join(re.sub(r"^<(\w+)", r'<\1 data-truth="1"', x) if "data-truth" not in x[:300].split(">")[0] else x for x in body))
+    marked = [x if LABEL in x[:300].split(">")[0] else re.sub(r"^<(\w+)", rf'<\1 {LABEL}="1"', x) for x in body]
+    if rng.random() < 0.4:  # paragraphs in a block of their own
+        at = rng.randint(0, min(2, len(marked)))
+        marked = [*marked[:at], "<div>", *marked[at:], "</div>"]
+    names = ("content", "post", "entry-content", "story", "article-body", "main")
+    main = box(None, ("article", "article", "main", "div", "div", "section"), names, "".join(marked), plain=0.35)
     comment = lambda: box(None, ("div", "li", "article"), ("comment", "comment-body", "reply"), f"<p>{phrase()}</p>" + f"<p>{phrase()} {phrase()}</p>" * rng.randint(0, 1))
     head = box(0, ("header", "div"), ("header", "site-header", "masthead", "top"), (f"<h2>{phrase()}</h2>" if rng.random() < 0.5 else f"<p>{phrase()}</p>") + (box(0, ("nav", "div", "ul"), ("nav", "menu", "navbar", "breadcrumb"), links()) if rng.random() < 0.5 else ""))
     parts = [
@@ -323,7 +381,7 @@ def layout(texts: list[str], phrases: list[str], rng: random.Random) -> str:
         (0.4, box(0, ("section", "div", "ol", "aside"), ("comments", "comment-list", "responses", "discussion", "reader-comments"), f"<h3>{phrase()}</h3>" * rng.randint(0, 1) + "".join(comment() for _ in range(rng.randint(1, 5))))), (0.3, ad()), (0.8, box(0, ("footer", "footer", "div"), ("footer", "site-footer", "copyright", "legal"), rng.choice((phrase(), lines(rng.randint(1, 3)), links())))),
     ]
     if rng.random() < 0.08:  # nothing but the text
-        return "<body>" + "".join(f'<p data-truth="1">{esc(t)}</p>' for t in texts) + "</body>"
+        return "<body>" + "".join(f'<p {LABEL}="1">{esc(t)}</p>' for t in texts) + "</body>"
     if rng.random() < 0.2:
         parts[4], parts[5] = parts[5], parts[4]
     inner = "".join(x for chance, x in parts if rng.random() < chance)
@@ -348,8 +406,11 @@ def node_truth(page: Page) -> list[int | None]:
 
 def train(pages: DataFrame, most: int = TRAIN_PAGES, seed: int = 5) -> Boosted:
     """Fit on at most ``most`` pages, those of the smallest hashes, laid into generated layouts."""
-    rows = pages.where(F.length("html") <= TRAIN_CHARS).select("page_id", F.xxhash64("page_id", F.lit(9)).alias("h")).orderBy("h", "page_id").limit(most).select("page_id")
-    got = sorted(r.html for r in pages.join(F.broadcast(rows), "page_id", "left_semi").where(F.length("html") <= TRAIN_CHARS).select("html").distinct().limit(most).collect())
+    long = F.length(F.coalesce("html", F.lit(""))) > TRAIN_CHARS
+    rows = pages.where(F.length("html") > 0).select("page_id", long.alias("long"), F.xxhash64("page_id", F.lit(9)).alias("h"))
+    rows = rows.orderBy("long", "h", "page_id").limit(most).select("page_id")
+    got = pages.join(F.broadcast(rows), "page_id", "left_semi").select(F.substring("html", 1, TRAIN_CHARS).alias("html"))  # at most ``most`` ids
+    got = sorted(r.html for r in got.distinct().orderBy("html").limit(most).collect())
     rng, texts = random.Random(seed), []
     known = [Page(h) for h in got]
     for p in known:
@@ -358,7 +419,10 @@ def train(pages: DataFrame, most: int = TRAIN_PAGES, seed: int = 5) -> Boosted:
     xs, ys = [], []
     for own in texts or [["Lorem ipsum dolor sit amet.", "Consectetur adipiscing elit, sed do."] * 4] * 20:
         for _ in range(VARIANTS):
-            page = Page(layout(rng.sample(own, min(len(own), rng.randint(1, 25))), phrases, rng))
+            main = rng.sample(own, min(len(own), rng.randint(1, rng.choice((4, 10, 25)))))
+            if rng.random() < 0.4:  # articles have short paragraphs, too
+                main = [" ".join(t.split()[: rng.randint(6, 40)]) for t in main]
+            page = Page(layout(main, phrases, rng), labelled=True)
             truth = node_truth(page)
             x = page.features()
             use = [i for i, t in enumerate(truth) if t is not None]

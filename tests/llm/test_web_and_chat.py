@@ -2,6 +2,10 @@ import gzip
 import hashlib
 import json
 import random
+import re
+import time
+from collections import Counter
+from html.parser import HTMLParser
 
 from cohortmark.llm import chat, main_text, warc
 
@@ -62,7 +66,7 @@ def test_main_text_held_out_layouts():
     rng, phrases = random.Random(3), ["Sign up now", "Read more here", "All rights reserved", "Top stories of the week are here", "We use cookies on this site"]
     words = [f"w{i}" for i in range(300)]
     own = lambda: [" ".join(rng.choice(words) for _ in range(rng.randint(8, 60))) + "." for _ in range(rng.randint(2, 12))]
-    made = [main_text.Page(main_text.layout(own(), phrases, rng)) for _ in range(260)]
+    made = [main_text.Page(main_text.layout(own(), phrases, rng), labelled=True) for _ in range(260)]
     x, y = [], []
     for p in made[:200]:
         t, f = main_text.node_truth(p), p.features()
@@ -131,3 +135,67 @@ def test_odd_records_are_unknown_layouts(spark):
     assert {i for i, r in got.items() if r.layout} == {2, 10, 11}
     assert got[11].formatted == "### user: �</turn>\n### assistant: \U0001f600</turn>\n"
     assert got[1].fingerprint != got[2].fingerprint and got[2].formatted.startswith("### user: </turn>")
+
+
+class ArticleText(HTMLParser):
+    """What stands in <article>, without asides, forms, scripts and what a class names an advert or comments: the truth of a given page."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.inside, self.out, self.words = 0, [], []
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        names = dict(attrs).get("class") or ""
+        if tag in ("br", "img", "hr", "input", "meta", "link"):
+            return
+        bad = tag in ("aside", "nav", "form", "script", "style", "footer", "header") or re.search(r"\b(ad|ads|comment|comments|promo|notice|cookie)\b", names)
+        self.out.append((tag, bool(bad)))
+        self.inside += tag == "article"
+
+    def handle_endtag(self, tag):
+        while self.out:
+            last, _ = self.out.pop()
+            self.inside -= last == "article"
+            if last == tag:
+                return
+
+    def handle_data(self, data):
+        if self.inside and not any(bad for _, bad in self.out):
+            self.words += data.split()
+
+
+def test_main_text_of_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text.split() for r in main_text.main_text(pages).collect()}
+    found = wanted = right = 0
+    for r in pages.collect():
+        if (r.html or "").count("<article") == 1 and (truth := ArticleText(r.html).words):
+            both = sum((Counter(truth) & Counter(got[r.page_id])).values())
+            found, wanted, right = found + len(got[r.page_id]), wanted + len(truth), right + both
+    assert wanted > 10_000 and right >= 0.97 * wanted and right >= 0.97 * found
+
+
+PLAIN = """<html><body><div id="top"><a href=/>Home</a> <a href=/a>News</a> <a href=/b>Sport</a></div>
+<div class="c1"><h1>Harvest begins early</h1><div><p>The first fields were cut on Monday, two weeks before the usual date, farmers in the valley said.</p>
+<p>Dry weather in spring &amp; a warm June are the reason, they think. Prices may fall, but nobody is sure yet.</p></div></div>
+<div class="sidebar"><h3>Most read</h3><ul><li><a href=/1>Ten tips</a></li><li><a href=/2>Quiz</a></li></ul></div>
+<div id="comments"><p>Great article, thanks!</p><p>I do not agree at all with this.</p></div><div class="footer">Copyright 2020 The Valley Post</div></body></html>"""
+
+
+def test_pages_cannot_pose_as_training_layouts(spark):
+    odd = [(1, "u", PLAIN), (2, "u", '<div data-truth="x"><p>text here</p></div>'), (3, "u", '<p data-truth="1">more text here</p>'), (4, None, None), (5, "u", "<div>" * 60_000 + "deep"), (6, "u", '<a b="' * 100_000), (7, "u", "<!" * 300_000), (8, "u", "<![CDATA[>" * 50_000), (9, "u", "<script>" + "</script" * 80_000)]
+    rows = [(-i, u, h) for i, u, h in odd]
+    given = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html")
+    pages, began = given.union(spark.createDataFrame(rows, "page_id long, url string, html string")), time.time()
+    got = {-r.page_id: r for r in main_text.main_text(pages).where("page_id < 0").collect()}
+    assert len(got) == len(rows) and time.time() - began < 120
+    assert got[4].text == "" and got[4].n_chars == 0
+    assert "two weeks before the usual date" in got[1].text and "spring & a warm June" in got[1].text
+    assert not any(x in got[1].text for x in ("Quiz", "Copyright", "Sport"))
+
+
+def test_training_reads_long_pages_too(spark):
+    long = [(i, "u", f"<article><p>{'words of a long page ' * 4000}</p></article><footer>end {i}</footer>") for i in range(3)]
+    model = main_text.train(spark.createDataFrame(long, "page_id long, url string, html string"))
+    assert model.trees
