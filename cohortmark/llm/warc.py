@@ -1,15 +1,17 @@
 """WARC archives: written by Spark's text writer, read by a Python data source.
 
 Writing is a DataFrame job: a record is one string whose terminator (two line ends) is the writer's line separator, so files appear
-through Spark's commit protocol on any file system that it knows. Equal payloads of at least ``REVISIT_BYTES`` bytes are
+through Spark's commit protocol on any file system that it knows, and uncompressed unless asked for, so that a reader can seek. Equal payloads of at least ``REVISIT_BYTES`` bytes are
 stored once: the largest page_id is the ``response``, others are ``revisit`` records that refer to it.
 
 The source ``warc`` plans partitions from the file listing (small files together, one file never cut), takes filters on
 ``record_type``, ``record_id``, ``target_uri`` and ``refers_to``, reads each record's headers first and seeks over
 blocks that no kept record needs. Option ``payload``: ``digest`` (default: length and SHA-1 from the payload), ``bytes`` (the payload as
-well) or ``skip`` (headers only, no block is read). Files ending in .gz are read through gzip.
+well) or ``skip`` (headers only, no block is read). Files ending in .gz are read through gzip, which inflates what it skips. Files are opened by Arrow's
+file systems under the names that Spark uses (``file:``, ``hdfs:``, ``viewfs:``, ``s3a:``, ``gs:``, ``abfss:``). Reading turns the session's filter pushdown
+to Python sources on.
 
-Null html counts as empty (a response of 0 bytes), null urls as empty. Texts of any length make one record. Repeated rows make
+Null html counts as empty (a response of 0 bytes), null urls as empty. Of equal page_ids with equal payloads each is the response. Texts of any length make one record. Repeated rows make
 repeated records. Extra columns are ignored. No rows make no records. A broken record raises ValueError with file and offset.
 """
 
@@ -25,9 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, StringStartsWith
 
-from .runtime import join_skewed, shared_path, ship
+from .runtime import join_skewed, shared_path, ship, small_enough
 
 REVISIT_BYTES = 1000
+#: At most so many repeated payloads (about 60 bytes each) go out as a broadcast; beyond, the join shuffles the pages.
+FEW_REPEATED = 500_000
 END = "\r\n"
 HTTP = "HTTP/1.1 200 OK" + END + "Content-Type: text/html; charset=utf-8" + END + END
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -39,7 +43,10 @@ def records(pages: DataFrame, least: int = REVISIT_BYTES, date: str = "2020-01-0
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), r"[\r\n]", " ").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("bytes", F.octet_length("html")).withColumn("digest", F.sha1("html"))
     first = rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = join_skewed(rows, first, "digest", "left")
+    if small_enough(first, FEW_REPEATED):  # the payloads stay where they are
+        rows = rows.join(F.broadcast(first), "digest", "left")
+    else:
+        rows = join_skewed(rows, first, "digest", "left")
     revisit = (F.col("bytes") >= least) & F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     name = lambda i: F.concat(F.lit("<urn:page:"), i.cast("string"), F.lit(">"))
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit(END))
@@ -92,8 +99,11 @@ def opened(uri: str):
     """(file system, path) of a path or URI."""
     from pyarrow import fs
 
-    if uri.startswith("file:"):
-        uri = "/" + uri[5:].lstrip("/")
+    scheme, colon, rest = uri.partition(":")
+    if scheme == "file":
+        uri = "/" + rest.lstrip("/")
+    elif scheme in ("s3a", "s3n"):
+        uri = "s3" + colon + rest
     return fs.FileSystem.from_uri(uri)
 
 
@@ -197,12 +207,16 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write every page to archives in the shared folder, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """Write every page to archives in the shared folder, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Responses are read with their payloads; of revisits, which have none, only the headers.
+    """
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
-    write(pages, path, compression="gzip")
+    write(pages, path)
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) AS long)")
-    return read(spark, path).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    both = read(spark, path).where("record_type = 'response'").union(read(spark, path, "skip").where("record_type = 'revisit'"))
+    return both.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 
 ORACLE_SQL = """

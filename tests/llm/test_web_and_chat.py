@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import io
 import json
 import random
 import re
@@ -7,6 +8,8 @@ import time
 from collections import Counter
 from html.parser import HTMLParser
 
+from pyspark.sql.datasource import EqualTo
+
 from cohortmark.llm import chat, main_text, warc
 
 PAGES = [(1, "http://a/1", "<p>" + "x" * 1200), (2, "http://a/2", "<p>" + "x" * 1200), (3, "u\r\nv", "<p>" + "x" * 1200), (4, None, None), (5, "http://b/5", ""), (6, "http://b/6", "short é"), (7, "http://b/7", "short é"), (8, "http://b/8", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n" * 40)]
@@ -42,6 +45,27 @@ def test_warc_reader_filters_and_payloads(spark, tmp_path):
     assert len(reader.partitions()) == len(list(tmp_path.glob("w/part-*")))
 
 
+def test_only_wanted_payloads_are_read(spark, tmp_path, monkeypatch):
+    warc.write(pages(spark).coalesce(1), f"file:{tmp_path}/w")
+    reader = warc.WarcReader({"path": f"{tmp_path}/w", "payload": "digest"})
+    assert list(reader.pushFilters([EqualTo(("record_type",), "revisit")])) == []
+
+    class Counting(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            Counting.taken += n
+            return super().read(n)
+
+    raw = b"".join(p.read_bytes() for p in tmp_path.glob("w/part-*"))
+    got = list(reader.records(Counting(raw), "x"))
+    assert len(got) == 2 and Counting.taken == 0  # revisits hold no block; all others are passed by
+    monkeypatch.setattr(warc, "FEW_REPEATED", 0)
+    again = {r.value for r in warc.records(pages(spark)).collect()}
+    monkeypatch.undo()
+    assert again == {r.value for r in warc.records(pages(spark)).collect()}
+
+
 def test_main_text_on_generated_pages_and_hard_html(spark):
     rng = random.Random(12)
     words = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna".split()
