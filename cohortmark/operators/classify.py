@@ -54,17 +54,23 @@ def group_summary_outer(groups: DataFrame, found: DataFrame) -> DataFrame:
     return groups.select("group").distinct().join(found, "group", "left").groupBy("group").agg(F.count("primer").alias("n_primers"))
 
 
+def _first_pairs(primers: DataFrame) -> DataFrame:
+    """One row ``x``, all columns in one, for each (forward, reverse): partial minima, so a pair that a third of all rows hold is a row for each task."""
+    rest = [c for c in primers.columns if c not in ("sourcename", "name")]
+    return primers.groupBy("forward_seq", "reverse_seq").agg(F.min(F.struct("sourcename", "name", *rest)).alias("x")).select("x")
+
+
 def dedupe_primers(primers: DataFrame) -> DataFrame:
     """The first pair of each (forward, reverse), by genome and then name; a swapped pair is another pair."""
-    w = Window.partitionBy("forward_seq", "reverse_seq").orderBy("sourcename", "name")
-    return primers.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    return _first_pairs(primers).select("x.*").select(primers.columns)
 
 
 def dedupe_counts(primers: DataFrame) -> DataFrame:
     """sourcename, kept, removed."""
-    w = Window.partitionBy("forward_seq", "reverse_seq").orderBy("sourcename", "name")
-    first = (F.row_number().over(w) == 1).cast("long").alias("first")
-    return primers.select("sourcename", first).groupBy("sourcename").agg(F.sum("first").alias("kept"), F.sum(1 - F.col("first")).alias("removed"))
+    primers = primers.select("sourcename", "name", "forward_seq", "reverse_seq")
+    kept = _first_pairs(primers).groupBy(F.col("x.sourcename").alias("s")).agg(F.count("*").alias("kept"))
+    every = primers.groupBy("sourcename").agg(F.count("*").alias("n")).join(kept, F.col("sourcename").eqNullSafe(F.col("s")), "left")
+    return every.select("sourcename", F.coalesce("kept", F.lit(0)).alias("kept"), (F.col("n") - F.coalesce("kept", F.lit(0))).alias("removed"))
 
 
 def hit_primers(hits: DataFrame, max_alignment: int = MAX_ALIGNMENT) -> DataFrame:

@@ -47,10 +47,19 @@ def unique_counts(amplicons: DataFrame) -> DataFrame:
 
 
 def pairwise_distance_stats(amplicons: DataFrame, aligned: bool = True) -> DataFrame:
-    """One row for each primer: mean, sample deviation, least and greatest distance; zeros with fewer than two amplicons."""
-    stats = pair_distances(amplicons, aligned).groupBy("primer").agg(
-        F.avg("dist").alias("dist_mean"), F.stddev_samp("dist").alias("dist_sd"), F.min("dist").alias("dist_min"), F.max("dist").alias("dist_max")
-    )
+    """One row for each primer: mean, sample deviation, least and greatest distance; zeros with fewer than two amplicons.
+
+    Equal sequences collapse first: pairs are of different sequences, each counted as often as it stands, and equal ones add distance 0.
+    """
+    each = amplicons.groupBy("primer", "seq").agg(F.count("*").alias("c"))
+    a, b = each.select("primer", F.col("seq").alias("x"), F.col("c").alias("cx")), each.select(F.col("primer").alias("p"), F.col("seq").alias("y"), F.col("c").alias("cy"))
+    measure = identity_distance if aligned else edit_distance
+    pairs = a.join(b, (F.col("primer") == F.col("p")) & (F.col("x") < F.col("y"))).select("primer", measure(F.col("x"), F.col("y")).alias("d"), (F.col("cx") * F.col("cy")).alias("w"))
+    same = each.where("c > 1").select("primer", F.lit(0.0).alias("d"), (F.col("c") * (F.col("c") - 1) / 2).cast("long").alias("w"))
+    w, d = F.col("w"), F.col("d")
+    stats = pairs.union(same).groupBy("primer").agg(F.sum("w").alias("n"), (F.sum(w * d) / F.sum("w")).alias("dist_mean"), F.sum(w * d * d).alias("dd"), F.min("d").alias("dist_min"), F.max("d").alias("dist_max"))
+    spread = F.greatest(F.col("dd") - F.col("n") * F.col("dist_mean") * F.col("dist_mean"), F.lit(0.0))
+    stats = stats.withColumn("dist_sd", F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1))))
     out = shannon_index(amplicons).join(stats, "primer", "left")
     return out.fillna(0.0, ["dist_mean", "dist_sd", "dist_min", "dist_max"]).select("primer", "dist_mean", "dist_sd", "dist_min", "dist_max", "n_unique", "n_nonunique", "shannon", "evenness")
 

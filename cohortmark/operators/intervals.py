@@ -1,7 +1,7 @@
 """Interval algebra on half-open intervals (chrom, start, end), as windows over sorted ends.
 
-Every operator partitions by chromosome. Where one chromosome would be one task, ``merge`` works on tiles first: within tiles,
-then on what the tiles left over, which is at most what touches.
+Every operator partitions by chromosome. Where one chromosome would be one task, a ``tile`` length makes it many: ``merge`` works within tiles
+first, then on what the tiles left over, which is at most what touches; intersections cut intervals at the ends of tiles and sweep each by itself.
 """
 
 from __future__ import annotations
@@ -36,33 +36,38 @@ def interval_complement(rows: DataFrame, lengths: DataFrame, tile: int | None =
     return gaps.where("start < end")
 
 
-def _depth(rows: DataFrame) -> DataFrame:
+def _depth(rows: DataFrame, tile: int | None = None) -> DataFrame:
     """Segments between neighbouring ends with ``depth``: how many sets (column ``part``) cover them. Each part must be merged."""
-    ends = rows.select("chrom", "part", F.col("start").alias("at"), F.lit(1).alias("d")).union(rows.select("chrom", "part", F.col("end"), F.lit(-1)))
-    step = ends.groupBy("chrom", "at").agg(F.sum("d").alias("d"), F.sum(F.when(F.col("part") == 0, F.col("d")).otherwise(0)).alias("d0"))
-    order = Window.partitionBy("chrom").orderBy("at")
+    by = ["chrom"]
+    if tile:
+        by = ["chrom", "tile"]
+        rows = rows.where("start < end").withColumn("tile", F.explode(F.sequence(F.floor(F.col("start") / tile), F.floor((F.col("end") - 1) / tile))))
+        rows = rows.withColumn("start", F.greatest("start", F.col("tile") * tile)).withColumn("end", F.least("end", (F.col("tile") + 1) * tile))
+    ends = rows.select(*by, "part", F.col("start").alias("at"), F.lit(1).alias("d")).union(rows.select(*by, "part", F.col("end"), F.lit(-1)))
+    step = ends.groupBy(*by, "at").agg(F.sum("d").alias("d"), F.sum(F.when(F.col("part") == 0, F.col("d")).otherwise(0)).alias("d0"))
+    order = Window.partitionBy(*by).orderBy("at")
     run = order.rowsBetween(Window.unboundedPreceding, 0)
     return step.select(
         "chrom", F.col("at").alias("start"), F.lead("at").over(order).alias("end"), F.sum("d").over(run).alias("depth"), F.sum("d0").over(run).alias("first")
     ).where("end is not null")
 
 
-def _parts(sets: list[DataFrame]) -> DataFrame:
+def _parts(sets: list[DataFrame], tile: int | None = None) -> DataFrame:
     out = None
     for i, s in enumerate(sets):
-        rows = interval_merge(s).withColumn("part", F.lit(i))
+        rows = interval_merge(s, tile).withColumn("part", F.lit(i))
         out = rows if out is None else out.union(rows)
     return out
 
 
-def interval_intersect_any(first: DataFrame, others: list[DataFrame]) -> DataFrame:
+def interval_intersect_any(first: DataFrame, others: list[DataFrame], tile: int | None = None) -> DataFrame:
     """Where ``first`` and at least one of ``others`` lie, merged."""
-    return interval_merge(_depth(_parts([first, *others])).where("first > 0 and depth > first"))
+    return interval_merge(_depth(_parts([first, *others], tile), tile).where("first > 0 and depth > first"), tile)
 
 
-def interval_intersect_all(sets: list[DataFrame]) -> DataFrame:
+def interval_intersect_all(sets: list[DataFrame], tile: int | None = None) -> DataFrame:
     """Where all sets lie, merged. An empty set makes the result empty."""
-    return interval_merge(_depth(_parts(sets)).where(F.col("depth") == len(sets)))
+    return interval_merge(_depth(_parts(sets, tile), tile).where(F.col("depth") == len(sets)), tile)
 
 
 def interval_coverage(rows: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def alignment_quality_filter(rows: DataFrame, min_sim_errors: int = 0, min_err_r
     return rows.where(keep & (F.coalesce(rate, F.lit(-1.0)) >= min_err_rate) if min_err_rate > 0 else keep)
 
 
-def common_regions(alignments: DataFrame, min_sim_errors: int = 0, min_err_rate: float = 0.0, mode: str = "any") -> DataFrame:
+def common_regions(alignments: DataFrame, min_sim_errors: int = 0, min_err_rate: float = 0.0, mode: str = "any", tile: int | None = None) -> DataFrame:
     """(query, start, end): what each genome's alignments to the other members have in common.
 
     ``alignments`` has query, subject, start, end, sim_errors. ``any`` takes the first subject's regions where any other
@@ -100,6 +105,6 @@ def common_regions(alignments: DataFrame, min_sim_errors: int = 0, min_err_rate:
     asked = asked.withColumn("part", part).withColumn("k", F.count("*").over(Window.partitionBy("query")))
     good = alignment_quality_filter(alignments, min_sim_errors, min_err_rate).join(asked, ["query", "subject"])
     rows = _islands(good.select(F.col("query").alias("chrom"), "part", "start", "end"), ["chrom", "part"])
-    seg = _depth(rows).join(asked.select(F.col("query").alias("chrom"), "k").distinct(), "chrom")
+    seg = _depth(rows, tile).join(asked.select(F.col("query").alias("chrom"), "k").distinct(), "chrom")
     many = (F.col("first") > 0) & (F.col("depth") > F.col("first")) if mode == "any" else F.col("depth") == F.col("k")
-    return interval_merge(seg.where(F.when(F.col("k") == 1, F.col("depth") > 0).otherwise(many))).withColumnRenamed("chrom", "query")
+    return interval_merge(seg.where(F.when(F.col("k") == 1, F.col("depth") > 0).otherwise(many)), tile).withColumnRenamed("chrom", "query")

@@ -17,8 +17,9 @@ SUFFIX = {"eprimer3": ".eprimer3", "primer3": ".primer3", "prodigal": ".gff", "f
 
 def manifest_last_wins(rows: DataFrame, order: str = "ord") -> DataFrame:
     """Of rows with one name the last stays; the result has no order column."""
-    w = Window.partitionBy("name").orderBy(F.col(order).desc())
-    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", order)
+    rest = [c for c in rows.columns if c not in ("name", order)]
+    last = rows.groupBy("name").agg(F.max_by(F.struct(*rest), F.col(order)).alias("x"))
+    return last.select(*[F.col("name") if c == "name" else F.col(f"x.`{c}`") for c in rows.columns if c != order])
 
 
 def with_filestem(rows: DataFrame) -> DataFrame:

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from cohortmark.functions.sequence import hamming, kmers, reverse_complement
 
-from .sequences import chunked
+from .sequences import pieces, sized
 
-CHUNK = 100_000
+#: Bases of the pieces that long records are cut into, in two steps.
+CHUNK, LARGE = 400, 20_000
 
 
 def windows(sequences: DataFrame, k: int, step: int = CHUNK) -> DataFrame:
-    """(name, seq_id, pos, kmer): every window of k bases without N; long records go through overlapping pieces."""
-    rows = chunked(sequences, step, k - 1).withColumn("x", F.explode(kmers(F.col("seq"), k)))
-    rows = rows.where(F.col("x.pos") < step)
+    """(name, seq_id, pos, kmer): every window of k bases without N; records go through overlapping pieces."""
+    rows = pieces(sequences, 0, k - 1, step, max(step, LARGE)).withColumn("x", F.explode(kmers(F.col("seq"), k)))
+    rows = rows.where(F.col("x.pos") < F.col("own"))
     return rows.select("name", "seq_id", (F.col("offset") + F.col("x.pos")).alias("pos"), F.col("x.kmer").alias("kmer")).where(~F.col("kmer").contains("N"))
 
 
@@ -23,25 +24,31 @@ def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1
     """(oligo, strand, seq_id, pos, mismatches): where each oligo (oligo, seq) lies with at most int(mismatch * length) mismatches.
 
     An oligo with m allowed mismatches is cut into m + 1 seeds, one of which must match exactly: seeds join the windows of
-    their length, candidates are then compared in full. Both strands; pos counts from 0 on the forward strand.
+    their length, and candidates are compared in full with the bases around the window, which travel with it. Both strands; pos counts from 0 on
+    the forward strand.
     """
-    both = oligos.select("oligo", F.lit("+").alias("strand"), F.upper("seq").alias("oseq")).union(oligos.select("oligo", F.lit("-"), reverse_complement(F.upper(F.col("seq")))))
+    plus = oligos.select("oligo", F.lit("+").alias("strand"), F.upper("seq").alias("oseq"))
+    both = plus.union(plus.select("oligo", F.lit("-"), reverse_complement(F.col("oseq"))))
     both = both.withColumn("n", F.length("oseq")).withColumn("m", F.floor(F.lit(mismatch) * F.col("n") + 1e-9).cast("int"))
     both = both.withColumn("size", F.floor(F.col("n") / (F.col("m") + 1)).cast("int"))
     seeds = both.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m")))).withColumn("at", F.col("i") * F.col("size"))
-    seeds = seeds.withColumn("seed", F.substring("oseq", F.col("at") + 1, F.col("size")))
-    sizes = sorted(r[0] for r in seeds.select("size").distinct().collect())  # a handful of lengths
+    seeds = seeds.withColumn("seed", F.substring("oseq", F.col("at") + 1, F.col("size"))).drop("i")
+    sizes = sorted(tuple(r) for r in seeds.groupBy("size").agg(F.max("n")).collect())  # a handful of lengths
     texts = sequences.select("name", "seq_id", F.upper("seq").alias("seq"))
     found = None
-    for k in sizes:
-        w = windows(texts, k).withColumnRenamed("kmer", "seed")
-        hits = seeds.where(F.col("size") == k).join(w, "seed").select("oligo", "strand", "oseq", "n", "m", "name", "seq_id", (F.col("pos") - F.col("at")).alias("pos"))
+    for k, longest in sizes:
+        w = pieces(texts, longest, longest + k, CHUNK, LARGE).withColumn("x", F.explode(kmers(F.col("seq"), k)))
+        w = w.where((F.col("x.pos") >= F.col("lead")) & (F.col("x.pos") < F.col("lead") + F.col("own")))
+        w = w.withColumn("seed", F.col("x.kmer")).where(~F.col("seed").contains("N"))
+        hits = w.join(sized(seeds.where(F.col("size") == k)), "seed").withColumn("first", F.col("x.pos") - F.col("at"))
+        hits = hits.where((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.length("seq")))
+        site = F.substring(F.col("seq"), F.col("first") + 1, F.col("n"))
+        hits = hits.withColumn("mismatches", hamming(F.col("oseq"), site).cast("int")).where("mismatches <= m")
+        hits = hits.select("oligo", "strand", "name", "seq_id", (F.col("offset") - F.col("lead") + F.col("first")).alias("pos"), "n", "mismatches")
         found = hits if found is None else found.union(hits)
     if found is None:
         return oligos.select("oligo").limit(0).selectExpr("oligo", "'' strand", "'' name", "'' seq_id", "0 pos", "0 n", "0 mismatches")
-    whole = found.distinct().join(texts.select("seq_id", F.col("seq").alias("whole")), "seq_id").where("pos >= 0 and pos + n <= length(whole)")
-    whole = whole.withColumn("site", F.expr("substring(whole, pos + 1, n)")).withColumn("mismatches", hamming(F.col("oseq"), F.col("site")).cast("int"))
-    return whole.where("mismatches <= m").select("oligo", "strand", "name", "seq_id", "pos", "n", "mismatches")
+    return found.distinct()
 
 
 def search_primers(primers: DataFrame, sequences: DataFrame, mismatch: float = 0.1, max_product: int = 5000) -> DataFrame:
@@ -70,7 +77,7 @@ def offtarget_hits(queries: DataFrame, database: DataFrame, max_alignment: int =
     known = known.union(known.select(reverse_complement(F.col("seq")))).select(F.lit("").alias("name"), F.lit("").alias("seq_id"), "seq")
     known = windows(known, k).select("kmer").distinct()
     own = queries.select("name", F.lit("").alias("seq_id"), F.upper("seq").alias("seq"))
-    return windows(own, k).join(known, "kmer", "left_semi").select("name").distinct()
+    return windows(own, k).join(sized(known), "kmer", "left_semi").select("name").distinct()
 
 
 def screen_offtarget(primers: DataFrame, database: DataFrame, max_alignment: int = 15) -> DataFrame:

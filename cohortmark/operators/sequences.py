@@ -32,8 +32,9 @@ def stitch(sequences: DataFrame, spacer: str = SPACER) -> DataFrame:
 
 def replace_ambiguities(sequences: DataFrame) -> DataFrame:
     """In genomes with any ambiguity code, write N for each and mark every record's id."""
-    any_here = F.max(is_ambiguous(F.col("seq"))).over(Window.partitionBy("name"))
-    rows = sequences.withColumn("replaced", any_here)
+    names = sequences.where(is_ambiguous(F.col("seq"))).select(F.col("name").alias("__name"), F.lit(True).alias("__any")).distinct()
+    rows = sequences.join(sized(names), F.col("name").eqNullSafe(F.col("__name")), "left")
+    rows = rows.withColumn("replaced", F.coalesce("__any", F.lit(False))).drop("__name", "__any")
     return rows.withColumn("seq", F.when(F.col("replaced"), without_ambiguities(F.col("seq"))).otherwise(F.col("seq"))).withColumn(
         "seq_id", F.when(F.col("replaced"), F.concat("seq_id", F.lit("_noambig"))).otherwise(F.col("seq_id"))
     )
@@ -63,8 +64,25 @@ def filtered_sequence(sequences: DataFrame, regions: DataFrame, flank: int = 0,
     )
 
 
-def chunked(sequences: DataFrame, size: int, overlap: int) -> DataFrame:
-    """Long records as overlapping pieces (seq_id, offset, seq): what spans at most ``overlap`` + 1 bases lies whole in some piece."""
-    step = F.sequence(F.lit(0), F.greatest(F.length("seq") - 1, F.lit(0)), F.lit(size))
-    rows = sequences.withColumn("offset", F.explode(step))
-    return rows.withColumn("seq", F.substring(F.col("seq"), F.col("offset") + 1, F.lit(size + overlap)))
+def sized(rows: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``rows``, narrow ones, to be sent to all tasks if they are at most ``most``: counts no further than that."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows.hint("merge")
+
+
+def pieces(sequences: DataFrame, before: int, after: int, size: int, large: int) -> DataFrame:
+    """Records as short pieces with ``offset`` of the bases that are a piece's own, ``own``, how many, ``lead``, how many of the neighbour's stand before
+    them in ``seq`` (up to ``before``; up to ``after`` follow).
+
+    Cut in two steps: finding a place in a text means walking to it, so short pieces are cut from large ones.
+    """
+
+    def cut(rows: DataFrame, n: int) -> DataFrame:
+        rows = rows.withColumn("__at", F.explode(F.sequence(F.lit(0), F.greatest(F.col("own") - 1, F.lit(0)), F.lit(n))))
+        rows = rows.withColumn("__lead", F.least(F.col("lead") + F.col("__at"), F.lit(before)))
+        rows = rows.withColumn("__own", F.least(F.lit(n), F.col("own") - F.col("__at")))
+        text = F.substring(F.col("seq"), F.col("lead") + F.col("__at") - F.col("__lead") + 1, F.col("__lead") + F.col("__own") + after)
+        rows = rows.withColumn("seq", text).withColumn("offset", F.col("offset") + F.col("__at"))
+        return rows.withColumn("own", F.col("__own")).withColumn("lead", F.col("__lead")).drop("__at", "__lead", "__own")
+
+    rows = sequences.withColumns({"offset": F.lit(0), "own": F.length("seq"), "lead": F.lit(0)})
+    return cut(cut(rows, large), size)

@@ -207,10 +207,10 @@ def pairwise_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.pairwise_permutations(T.read(spark, sf_dir, "nation"), "n_name", "n_regionkey")
 
 
-@registered("SELECT a.n_name AS query, b.n_name AS target FROM nation a, nation b WHERE a.n_nationkey % 2 = 0")
+@registered("SELECT a.s_name AS query, b.n_name AS target FROM supplier a, nation b")
 def all_vs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = T.read(spark, sf_dir, "nation").withColumnRenamed("n_name", "name")
-    return M.all_vs_all(n.where("n_nationkey % 2 = 0"), n)
+    s, n = T.read(spark, sf_dir, "supplier").withColumnRenamed("s_name", "name"), T.read(spark, sf_dir, "nation").withColumnRenamed("n_name", "name")
+    return M.all_vs_all(s, n)
 
 
 @registered("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -259,6 +259,10 @@ SELECT chrom, min("start") AS "start", max("end") AS "end" FROM f1 GROUP BY chro
 _THREE = """iv3 AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv)"""
 
 
+#: Thirty days: so long is the part of a user's time that one task sweeps.
+TILE = 30 * 86_400
+
+
 def _three(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     iv = T.intervals(spark, sf_dir)
     return [iv.where("event_type = 'click'"), iv.where("event_type = 'error'"), iv.where("event_type not in ('click', 'error')")]
@@ -267,12 +271,12 @@ def _three(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 @registered(f"WITH {T.INTERVALS}, {_THREE}, {_ISLANDS.format(part='part', src='iv3')}, {_DEPTH.format(having='max((m.part = 0)::INT) = 1 AND max(m.part) > 0')}")
 def interval_intersect_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, *others = _three(spark, sf_dir)
-    return I.interval_intersect_any(first, others)
+    return I.interval_intersect_any(first, others, TILE)
 
 
 @registered(f"WITH {T.INTERVALS}, {_THREE}, {_ISLANDS.format(part='part', src='iv3')}, {_DEPTH.format(having='count(DISTINCT m.part) = 3')}")
 def interval_intersect_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.interval_intersect_all(_three(spark, sf_dir))
+    return I.interval_intersect_all(_three(spark, sf_dir), TILE)
 
 
 @registered(f"""WITH {T.INTERVALS}, good AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv WHERE event_id % 7 >= 2),
@@ -283,7 +287,7 @@ def common_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = iv.select("query").distinct().crossJoin(spark.range(3).select(F.col("id").cast("int").alias("subject")))
     # Each user is asked for all three kinds, with or without events of that kind.
     asked = every.join(iv.select("query", "subject").distinct(), ["query", "subject"], "left_anti").select("query", "subject", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("sim_errors"))
-    return I.common_regions(iv.union(asked), min_sim_errors=2)
+    return I.common_regions(iv.union(asked), min_sim_errors=2, tile=TILE)
 
 
 @registered(f"""WITH {T.INTERVALS} SELECT event_id, greatest(0, "start" - 500)::BIGINT AS "start", least(1735689600, "end" + 500)::BIGINT AS "end" FROM iv""")
@@ -350,10 +354,10 @@ def revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.sequences(spark, sf_dir).select("seq_id", F.md5(S.reverse_complement(F.col("seq"))).alias("digest"))
 
 
-@registered(f"""WITH {T.SEQUENCES}, g AS (SELECT seq_id, substr(seq, 1, 30) AS s FROM seqs), c AS (SELECT *, length(regexp_replace(s, '[^GC]', '', 'g')) AS gc, length(regexp_replace(s, '[^AT]', '', 'g')) AS nat, length(s) AS n FROM g)
+@registered(f"""WITH {T.SEQUENCES}, g AS (SELECT seq_id, seq AS s FROM seqs), c AS (SELECT *, length(regexp_replace(s, '[^GC]', '', 'g')) AS gc, length(regexp_replace(s, '[^AT]', '', 'g')) AS nat, length(s) AS n FROM g)
 SELECT seq_id, CASE WHEN n > 0 THEN round(100.0 * gc / n, 6) ELSE 0.0 END::DOUBLE AS gc, round(CASE WHEN n < 14 THEN 2.0 * nat + 4.0 * gc ELSE 64.9::DOUBLE + 41.0::DOUBLE * (gc - 16.4::DOUBLE) / n END, 6)::DOUBLE AS tm, regexp_matches(s, 'A{{4}}|C{{4}}|G{{4}}|T{{4}}') AS has_run FROM c""")
 def gc_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.substring("seq", 1, 30)
+    s = F.col("seq")
     return T.sequences(spark, sf_dir).select("seq_id", F.round(S.gc_percent(s), 6).alias("gc"), F.round(S.melting_temp(s), 6).alias("tm"), S.has_run(s, 3).alias("has_run"))
 
 
@@ -504,14 +508,14 @@ def search_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def design_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best pairs of each record of the genomes."""
     s = T.sequences(spark, sf_dir)
-    return D.design_primer_pairs(s.withColumn("name", F.col("seq_id")), D.Design(num_return=3, size_min=20, size_max=20))
+    return D.design_primer_pairs(s.withColumn("name", F.col("seq_id")), D.Design())
 
 
 @registered()
 def conserved_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches that the records of a genome share with the benchmark texts."""
     b = T.read(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("name"), F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("seq_id"), T.as_sequence(F.col("text")).alias("seq"))
-    return H.conserved_blocks(b.union(T.sequences(spark, sf_dir).where("description = 'en'").select(F.col("seq_id").alias("name"), "seq_id", "seq"))).where("query like 'b%'")
+    return H.conserved_blocks(b.union(T.sequences(spark, sf_dir).select(F.col("seq_id").alias("name"), "seq_id", "seq"))).where("query like 'b%'")
 
 
 # Formats
@@ -666,10 +670,10 @@ def scan_distance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_distance_table(spark, path).select("primer", F.round("dist_mean", 4).alias("dist_mean"), "unique")
 
 
-@registered(f"WITH {T.AMPLICONS} SELECT amplicon_name AS seq_id, seq FROM amps")
+@registered(f"WITH {T.HEADS} SELECT amplicon_name AS seq_id, seq FROM amps")
 def scan_alignment_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = T.scratch(spark, "aln")
-    W.write_amplicon_fasta(T.amplicons(spark, sf_dir), path)
+    W.write_amplicon_fasta(T.heads(spark, sf_dir), path)
     return R.scan_alignment_fasta(spark, path + "/*").select("seq_id", "seq")
 
 

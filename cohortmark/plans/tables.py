@@ -18,9 +18,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def local(spark: SparkSession) -> str:
+    """A folder of this machine, for a local session without spark.checkpoint.dir."""
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="cohortmark-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path that driver and executors share: below spark.checkpoint.dir where the session has one."""
-    top = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cohortmark-")
+    top = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or local(spark)
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -101,9 +108,20 @@ def labels(spark: SparkSession) -> DataFrame:
 
 
 def amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 100 bases of each document that has them, as amplicons of its source and length class."""
+    """Windows of 100 bases along each document, end to end, as amplicons; eight neighbours belong to one primer."""
+    s = sequences(spark, sf_dir).withColumn("w", F.explode(F.sequence(F.lit(0), F.floor(F.length("seq") / 100).cast("int")))).where((F.col("w") + 1) * 100 <= F.length("seq"))
+    primer = F.concat_ws("_", "seq_id", F.floor(F.col("w") / 8).cast("string"))
+    return s.select(primer.alias("primer"), F.concat_ws("_", "seq_id", F.col("w").cast("string")).alias("amplicon_name"), F.substring("seq", F.col("w") * 100 + 1, F.lit(100)).alias("seq"))
+
+
+AMPLICONS = f"""{SEQUENCES}, amps AS (SELECT seq_id || '_' || (w // 8) AS primer, seq_id || '_' || w AS amplicon_name, substr(seq, (w * 100 + 1)::INT, 100) AS seq
+  FROM (SELECT *, unnest(range(0, length(seq) // 100)) AS w FROM seqs))"""
+
+
+def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 100 bases of each document that has them, as amplicons of its source and length class: as many files as there are sources."""
     s = sequences(spark, sf_dir).where(F.length("seq") >= 100)
     return s.select(F.concat_ws("_", "name", (F.col("ord") % 25).cast("string")).alias("primer"), F.col("seq_id").alias("amplicon_name"), F.substring("seq", 1, 100).alias("seq"))
 
 
-AMPLICONS = f"{SEQUENCES}, amps AS (SELECT name || '_' || (ord % 25) AS primer, seq_id AS amplicon_name, substr(seq, 1, 100) AS seq FROM seqs WHERE length(seq) >= 100)"
+HEADS = f"{SEQUENCES}, amps AS (SELECT name || '_' || (ord % 25) AS primer, seq_id AS amplicon_name, substr(seq, 1, 100) AS seq FROM seqs WHERE length(seq) >= 100)"
