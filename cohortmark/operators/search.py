@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortmark.functions.sequence import hamming, kmers, reverse_complement
+from cohortmark.functions.sequence import hamming, reverse_complement
 
 from .sequences import pieces, sized
 
 #: Bases of the pieces that long records are cut into, in two steps.
-CHUNK, LARGE = 400, 20_000
+CHUNK, LARGE = 200, 10_000
 
 
 def windows(sequences: DataFrame, k: int, step: int = CHUNK) -> DataFrame:
     """(name, seq_id, pos, kmer): every window of k bases without N; records go through overlapping pieces."""
-    rows = pieces(sequences, 0, k - 1, step, max(step, LARGE)).withColumn("x", F.explode(kmers(F.col("seq"), k)))
-    rows = rows.where(F.col("x.pos") < F.col("own"))
-    return rows.select("name", "seq_id", (F.col("offset") + F.col("x.pos")).alias("pos"), F.col("x.kmer").alias("kmer")).where(~F.col("kmer").contains("N"))
+    rows = _windows(pieces(sequences, 0, k - 1, step, max(step, LARGE)), k)
+    return rows.select("name", "seq_id", (F.col("offset") + F.col("p")).alias("pos"), "kmer")
+
+
+def _windows(rows: DataFrame, k: int) -> DataFrame:
+    """``pieces`` with ``p`` and ``kmer`` of each window without N that begins among a piece's own bases."""
+    last = F.least(F.col("lead") + F.col("own"), F.length("seq") - k + 1) - 1
+    rows = rows.where(last >= F.col("lead")).withColumn("p", F.explode(F.sequence(F.col("lead"), last)))
+    return rows.withColumn("kmer", F.substring(F.col("seq"), F.col("p") + 1, F.lit(k))).where(~F.col("kmer").contains("N"))
 
 
 def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1) -> DataFrame:
@@ -37,10 +43,8 @@ def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1
     texts = sequences.select("name", "seq_id", F.upper("seq").alias("seq"))
     found = None
     for k, longest in sizes:
-        w = pieces(texts, longest, longest + k, CHUNK, LARGE).withColumn("x", F.explode(kmers(F.col("seq"), k)))
-        w = w.where((F.col("x.pos") >= F.col("lead")) & (F.col("x.pos") < F.col("lead") + F.col("own")))
-        w = w.withColumn("seed", F.col("x.kmer")).where(~F.col("seed").contains("N"))
-        hits = w.join(sized(seeds.where(F.col("size") == k)), "seed").withColumn("first", F.col("x.pos") - F.col("at"))
+        w = _windows(pieces(texts, longest, longest + k, CHUNK, LARGE), k).withColumnRenamed("kmer", "seed")
+        hits = w.join(sized(seeds.where(F.col("size") == k)), "seed").withColumn("first", F.col("p") - F.col("at"))
         hits = hits.where((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.length("seq")))
         site = F.substring(F.col("seq"), F.col("first") + 1, F.col("n"))
         hits = hits.withColumn("mismatches", hamming(F.col("oseq"), site).cast("int")).where("mismatches <= m")

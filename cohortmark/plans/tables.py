@@ -38,6 +38,9 @@ def as_sequence(text) -> F.Column:
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources as genomes, their documents as records."""
     d = read(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    if d.rdd.getNumPartitions() < cores:  # a table of few row groups is dealt out once: what follows multiplies its rows
+        d = d.select("doc_id", "source", "lang", "text").repartition(cores)
     return d.select(F.col("source").alias("name"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("seq_id"), F.col("lang").alias("description"), F.col("doc_id").alias("ord"), as_sequence(F.col("text")).alias("seq"))
 
 
