@@ -87,6 +87,34 @@ def amplimers_semi(amplimers: DataFrame, primers: DataFrame) -> DataFrame:
     return amplimers.join(primers.select(F.col("primer").alias("primer_name")).distinct(), "primer_name", "left_semi")
 
 
+def primers_to_source(primers: DataFrame, genomes: DataFrame, source: str = "source") -> DataFrame:
+    """Pairs with the columns of the genome (or record) that they were designed on."""
+    return primers.join(genomes, source).drop(source)
+
+
+def split_on_targets(amplimers: DataFrame, target: str | None = None) -> DataFrame:
+    """Amplimers with their targets as ``part``, by which a writer splits them; or those of one target."""
+    rows = amplimers.withColumn("part", F.col("target"))
+    return rows if target is None else rows.where(F.col("target") == target)
+
+
+def names_of(rows: DataFrame, *columns: str) -> DataFrame:
+    """What a collection holds, sorted: its labels, primers, targets or any other columns, each once."""
+    return rows.select(*columns).distinct().orderBy(*columns)
+
+
+def index_by_primer(amplicons: DataFrame) -> DataFrame:
+    """primer, rank (from 1, by name), amplicon_name: the amplicons of each primer, as rows."""
+    order = Window.partitionBy("primer").orderBy("amplicon_name")
+    return amplicons.select("primer", F.row_number().over(order).alias("rank"), "amplicon_name")
+
+
+def number_primers(primers: DataFrame, stem: str = "sourcename", order: str = "name") -> DataFrame:
+    """Names <stem>_primer_<ordinal from 1 of each stem, five digits>, in the given order."""
+    n = F.row_number().over(Window.partitionBy(stem).orderBy(order))
+    return primers.withColumn("name", F.format_string("%s_primer_%05d", F.col(stem), n))
+
+
 def collect_amplimers(reports: DataFrame) -> DataFrame:
     """All reports' amplimers by the genome they lie in: target, n_primers, n_amplimers."""
     return reports.groupBy("target").agg(F.count_distinct("primer_name").alias("n_primers"), F.count("*").alias("n_amplimers"))

@@ -282,12 +282,23 @@ def interval_intersect_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""WITH {T.INTERVALS}, good AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv WHERE event_id % 7 >= 2),
 {_ISLANDS.format(part='part', src='good')}, {_DEPTH.format(having='max((m.part = 0)::INT) = 1 AND max(m.part) > 0').replace('SELECT chrom, min(', 'SELECT chrom AS query, min(')}""")
 def common_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.common_regions(_asked(spark, sf_dir), min_sim_errors=2, tile=TILE)
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as genomes, events as their alignments to one of three kinds."""
     kind = F.when(F.col("event_type") == "click", 0).when(F.col("event_type") == "error", 1).otherwise(2)
     iv = T.intervals(spark, sf_dir).select(F.col("chrom").alias("query"), kind.alias("subject"), "start", "end", (F.col("event_id") % 7).alias("sim_errors"))
     every = iv.select("query").distinct().crossJoin(spark.range(3).select(F.col("id").cast("int").alias("subject")))
     # Each user is asked for all three kinds, with or without events of that kind.
     asked = every.join(iv.select("query", "subject").distinct(), ["query", "subject"], "left_anti").select("query", "subject", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("sim_errors"))
-    return I.common_regions(iv.union(asked), min_sim_errors=2, tile=TILE)
+    return iv.union(asked)
+
+
+@registered(f"""WITH {T.INTERVALS}, good AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv WHERE event_id % 7 >= 2),
+{_ISLANDS.format(part='part', src='good')}, {_DEPTH.format(having='count(DISTINCT m.part) = 3').replace('SELECT chrom, min(', 'SELECT chrom AS query, min(')}""")
+def common_regions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.common_regions(_asked(spark, sf_dir), min_sim_errors=2, mode="all", tile=TILE)
 
 
 @registered(f"""WITH {T.INTERVALS} SELECT event_id, greatest(0, "start" - 500)::BIGINT AS "start", least(1735689600, "end" + 500)::BIGINT AS "end" FROM iv""")
@@ -594,10 +605,13 @@ def scan_delta_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_delta_intervals(spark, _delta(spark, sf_dir), 2, 0.002)
 
 
-@registered("SELECT true AS equal")
+@registered("SELECT true AS equal, 'same' AS table UNION ALL SELECT count(*) = 0, 'moved' FROM documents WHERE length(regexp_replace(lower(text), '[^a-z]', '', 'g')) > 0")
 def delta_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table against its own rows in another order, and against rows that end one base later."""
     full = R.scan_delta_full(spark, _delta(spark, sf_dir))
-    return R.delta_equal(full, full.repartition(3, "qry"))
+    same = R.delta_equal(full, full.repartition(3, "qry")).withColumn("table", F.lit("same"))
+    moved = R.delta_equal(full, full.withColumn("ref_end", F.col("ref_end") + 1)).withColumn("table", F.lit("moved"))
+    return same.union(moved)
 
 
 @registered(f"WITH {T.MANIFEST} SELECT name, array_to_string(groups, ',') AS groups, seqfile, features, name AS filestem FROM man")
@@ -713,12 +727,84 @@ def region_extract_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"WITH {T.PRIMERS} SELECT p.name, s.description, length(s.seq)::INT AS length FROM primers p JOIN seqs s ON p.source = s.seq_id")
 def primers_to_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = T.sequences(spark, sf_dir).select(F.col("seq_id").alias("source"), "description", F.length("seq").alias("length"))
-    return T.primers(spark, sf_dir).select("name", "source").join(s, "source").drop("source")
+    return C.primers_to_source(T.primers(spark, sf_dir).select("name", "source"), s)
 
 
-@registered(f"WITH {T.AMPLICONS} SELECT primer, count(*) AS n, string_agg(amplicon_name, ',' ORDER BY amplicon_name) AS names FROM amps GROUP BY 1")
+@registered(f"WITH {T.AMPLICONS} SELECT primer, row_number() OVER (PARTITION BY primer ORDER BY amplicon_name)::INT AS rank, amplicon_name FROM amps")
 def index_by_primer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.amplicons(spark, sf_dir).groupBy("primer").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("amplicon_name")), ",").alias("names"))
+    return C.index_by_primer(T.amplicons(spark, sf_dir))
+
+
+@registered(f"WITH {T.PRIMERS} SELECT printf('%s_primer_%05d', sourcename, row_number() OVER (PARTITION BY sourcename ORDER BY name)) AS name, forward_seq FROM primers")
+def number_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.number_primers(T.primers(spark, sf_dir).select("name", "sourcename", "forward_seq")).select("name", "forward_seq")
+
+
+@registered("SELECT DISTINCT o_orderpriority AS target, o_custkey AS primer_name FROM orders")
+def collection_accessors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.names_of(T.edge_rows(spark, sf_dir)[1], "target", "primer_name")
+
+
+#: Length of every target of the written search reports.
+REPORT_LENGTH = 1_000_000
+_REPORT = """hits AS (SELECT 'q' || (o_orderkey % 3) AS query, regexp_replace(o_orderpriority, '[^A-Z0-9]', '', 'g') AS target, 'c' || o_custkey AS primer_name, o_orderkey,
+  row_number() OVER (PARTITION BY o_orderkey % 3, o_orderpriority, o_custkey ORDER BY o_orderkey) AS idx FROM orders)"""
+
+
+@registered(f"""WITH {_REPORT} SELECT query, target, primer_name, idx::INT AS idx, 'Amplimer ' || idx AS amplimer, o_orderkey::BIGINT AS fwd_start, (o_orderkey + 4)::BIGINT AS fwd_end,
+(o_orderkey % 3)::INT AS fwd_mismatches, ({REPORT_LENGTH} - 7 - o_orderkey + 1)::BIGINT AS rev_end, ({REPORT_LENGTH} - 7 - o_orderkey + 1 - 5)::BIGINT AS rev_start, (60 + o_orderkey % 200)::BIGINT AS length FROM hits""")
+def scan_primersearch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as amplimers of their customers, written as reports by query and target and read back."""
+    o = T.read(spark, sf_dir, "orders")
+    key, text = F.col("o_orderkey"), lambda c: c.cast("string")
+    query, target = F.concat(F.lit("q"), text(key % 3)), F.regexp_replace("o_orderpriority", "[^A-Z0-9]", "")
+    hit = F.concat(
+        F.lit("\n\tSequence: s \n\t\n\tACGT hits forward strand at "), text(key), F.lit(" with "), text(key % 3), F.lit(" mismatches\n\tACGTA hits reverse strand at ["),
+        text(key + 7), F.lit("] with 0 mismatches\n\tAmplimer length: "), text(60 + key % 200), F.lit(" bp\n"),
+    )
+    rows = o.select(F.concat_ws("_ps_", query, target).alias("report"), "o_custkey", F.struct(key, hit.alias("hit")).alias("x"))
+    rows = rows.groupBy("report", "o_custkey").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    amplimers = F.transform("x", lambda x, i: F.concat(F.lit("Amplimer "), (i + 1).cast("string"), x["hit"]))
+    rows = rows.select("report", F.concat(F.lit("\nPrimer name c"), text(F.col("o_custkey")), F.lit("\n"), F.array_join(amplimers, "")).alias("value"))
+    path = T.scratch(spark, "reports")
+    rows.write.partitionBy("report").text(path)
+    lengths = o.select(target.alias("target")).distinct().withColumn("target_length", F.lit(REPORT_LENGTH))
+    found = R.scan_primersearch_report(spark, path, lengths)
+    whole = lambda *cs: [F.col(c).cast("long").alias(c) for c in cs]
+    return found.select("query", "target", "primer_name", "idx", "amplimer", *whole("fwd_start", "fwd_end"), "fwd_mismatches", *whole("rev_end", "rev_start", "length"))
+
+
+_TARGETS = "SELECT o_orderpriority AS target, 'c' || o_custkey AS primer_name, o_orderkey::BIGINT AS fwd_start, (o_orderkey + 100)::BIGINT AS rev_end FROM orders"
+
+
+@registered(_TARGETS)
+def split_on_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amplimers written by target, as JSON and BED, and read back with the targets that the folders name."""
+    o = T.read(spark, sf_dir, "orders")
+    place = lambda at: F.struct(F.lit("AC").alias("seq"), at.alias("start"), (at + 2).alias("end"))
+    name = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    amps = o.select(F.col("o_orderpriority").alias("target"), name.alias("primer_name"), F.lit("s").alias("target_fasta_id"), place(F.col("o_orderkey")).alias("fwd"), place(F.col("o_orderkey") + 98).alias("rev"))
+    path = T.scratch(spark, "targets")
+    W.write_target_amplicons(C.split_on_targets(amps), path)
+    json = spark.read.json(f"{path}/json").select(F.col("part").alias("target"), "primer_name", F.col("fwd.start").alias("fwd_start"), F.col("rev.end").alias("rev_end"))
+    bed = spark.read.schema("id string, fwd_start long, rev_end long, primer_name string, part string").csv(f"{path}/bed", sep="\t")
+    bed = bed.select(F.col("part").alias("target"), "primer_name", "fwd_start", "rev_end")
+    return json.intersectAll(bed)
+
+
+@registered(f"""
+WITH {T.EDGES}, {T.LABELS_SQL}, g AS (SELECT "group", list_sort(list(DISTINCT m)) AS members FROM (SELECT "group", unnest(members) AS m FROM labels_t) GROUP BY 1),
+f AS (SELECT "group", primer FROM g LEFT JOIN hits ON hits.targets = g.members), n AS (SELECT "group", count(primer)::INT AS "NumPrimers" FROM f GROUP BY 1)
+SELECT "group" AS "Group", "NumPrimers", coalesce(primer::VARCHAR, '') AS name, coalesce(sourcename, '') AS sourcename FROM f JOIN n USING ("group") LEFT JOIN own ON own.name = f.primer""")
+def write_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary and primers by label, written and read back; labels without primers have a row without one."""
+    own, _ = T.edge_rows(spark, sf_dir)
+    path = T.scratch(spark, "classification")
+    W.write_classification(C.process_groups(T.labels(spark)), classify_exact_set(spark, sf_dir), own, path)
+    summary = spark.read.schema("Group string, NumPrimers int, Primers string").csv(f"{path}/summary", sep="\t", header=True)
+    found = spark.read.schema("name long, sourcename string, group string").json(f"{path}/primers")
+    rows = summary.join(found.withColumnRenamed("group", "label"), F.col("Group") == F.col("label"), "left")
+    return rows.select("Group", "NumPrimers", F.coalesce(F.col("name").cast("string"), F.lit("")).alias("name"), F.coalesce("sourcename", F.lit("")).alias("sourcename"))
 
 
 @registered(f"WITH {T.MANIFEST} SELECT name, seqfile FROM man WHERE name = 'Supplier#000000005'")

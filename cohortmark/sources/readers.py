@@ -119,15 +119,15 @@ def scan_primers_primer3(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_primersearch_report(spark: SparkSession, path: str, lengths: DataFrame | None = None) -> DataFrame:
-    """Amplimers of search reports named <query>_ps_<target>. With ``lengths`` (target, target_length) the reverse primer's
+    """Amplimers of search reports named <query>_ps_<target>, files or folders of parts. With ``lengths`` (target, target_length) the reverse primer's
     coordinates on the forward strand come too."""
     rows = _whole(spark, path).select("file", F.explode(F.slice(F.split("value", "Primer name "), 2, 1_000_000_000)).alias("record"))
     rows = rows.withColumn("primer_name", F.regexp_extract("record", r"^(\S+)", 1))
     rows = rows.select("file", "primer_name", F.posexplode(F.split("record", r"(?m)^\s*Amplimer (?=\d)")).alias("i", "hit")).where("i > 0")
     strand = lambda which, g: F.regexp_extract("hit", rf"(\S+) hits {which} strand at \[?(\d+)\]? with (\d+) mismatches", g)
-    stem = filestem(F.col("file"))
+    named = lambda g: F.regexp_extract("file", r"([^/=]+)_ps_([^/]+?)(\.[^/.]+)?(/part-[^/]*)?$", g)
     out = rows.select(
-        F.substring_index(stem, "_ps_", 1).alias("query"), F.substring_index(stem, "_ps_", -1).alias("target"), "primer_name", F.col("i").alias("idx"),
+        named(1).alias("query"), named(2).alias("target"), "primer_name", F.col("i").alias("idx"),
         F.concat(F.lit("Amplimer "), F.regexp_extract("hit", r"^(\d+)", 1)).alias("amplimer"), F.regexp_extract("hit", r"Sequence: (\S+)", 1).alias("sequence"),
         strand("forward", 1).alias("fwd_seq"), strand("forward", 2).cast("long").alias("fwd_start"), strand("forward", 3).cast("int").alias("fwd_mismatches"),
         strand("reverse", 1).alias("rev_seq"), strand("reverse", 2).cast("long").alias("rev_pos"), strand("reverse", 3).cast("int").alias("rev_mismatches"),

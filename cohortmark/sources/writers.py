@@ -94,9 +94,12 @@ def amplicons_bed(amplimers: DataFrame) -> DataFrame:
 
 
 def write_target_amplicons(amplimers: DataFrame, path: str) -> None:
-    """JSON and BED by target, below ``path``/json and ``path``/bed."""
-    amplimers.repartition("target").sortWithinPartitions("target", "primer_name").write.partitionBy("target").mode("overwrite").json(f"{path}/json")
-    _text(amplicons_bed(amplimers), f"{path}/bed", ["primer_name"], ["target"])
+    """JSON and BED by target, below ``path``/json and ``path``/bed; the folders name the target as ``part``."""
+    from cohortmark.operators.classify import split_on_targets
+
+    rows = split_on_targets(amplimers)
+    rows.repartition("part").sortWithinPartitions("part", "primer_name").write.partitionBy("part").mode("overwrite").json(f"{path}/json")
+    _text(amplicons_bed(amplimers).withColumnRenamed("target", "part"), f"{path}/bed", ["primer_name"], ["part"])
 
 
 def classification_summary(groups: DataFrame, found: DataFrame, prefix: str) -> DataFrame:
