@@ -31,7 +31,7 @@ from .runtime import held, per_batch
 SPACE = "▁"
 ONE = (1,)
 #: Chunks whose encoding a task remembers, in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Neighbour checks that a task remembers.
 REMEMBERED_PAIRS = 200_000
 
