@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dup, main_text, mixing, near_dup, pii, piece_codec, quality, secret_scan, warc
+from . import chat, exact_dup, lexical, main_text, merkle, mixing, near_dup, pii, piece_codec, quality, secret_scan, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +57,27 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dup(documents(spark, sf_dir))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_warc, op3_quality_rules, op4_main_text, op5_mixing, op6_pii, op7_exact_dup, op8_secret_scan, op9_chat, op10_near_dup)}
+    found = (
+        op1_sentencepiece, op2_warc, op3_quality_rules, op4_main_text, op5_mixing, op6_pii, op7_exact_dup, op8_secret_scan, op9_chat, op10_near_dup,
+        op12_merkle, op13_lexical,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE_SQL, "op7_exact_dup": exact_dup.ORACLE_SQL, "op9_chat": chat.ORACLE_SQL}
+    return {
+        "op2_warc": warc.ORACLE_SQL,
+        "op7_exact_dup": exact_dup.ORACLE_SQL,
+        "op9_chat": chat.ORACLE_SQL,
+        "op12_merkle": merkle.ORACLE_SQL,
+        "op13_lexical": lexical.ORACLE_SQL,
+    }
