@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dup, lexical, main_text, merkle, mixing, near_dup, pii, piece_codec, quality, secret_scan, warc
+from . import chat, exact_dup, lexical, main_text, merkle, mixing, near_dup, neighbours, pii, piece_codec, quality, secret_scan, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dup(documents(spark, sf_dir))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
 
@@ -68,7 +72,7 @@ def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     found = (
         op1_sentencepiece, op2_warc, op3_quality_rules, op4_main_text, op5_mixing, op6_pii, op7_exact_dup, op8_secret_scan, op9_chat, op10_near_dup,
-        op12_merkle, op13_lexical,
+        op11_neighbours, op12_merkle, op13_lexical,
     )
     return {f.__name__: f for f in found}
 
