@@ -1,10 +1,11 @@
 """Mixing sources to target weights.
 
 Each source's words stand in one fixed order (a hash of the document, then doc_id) and are packed into blocks of a fixed number of
-words. The mix has as many slots as all words fill blocks; slots are dealt to output shards, and each shard draws how many of its
-slots each source gets: the whole part of the expected number, and the rest by multinomial draws from a seeded hash (what a draw gives a
-source beyond its cap is drawn again among the others). The slots of a source are numbered through; slot j reads block perm_e(j mod blocks) of epoch e = j div blocks, where perm_e is a
-pseudorandom permutation of the source's block indexes. Slots and blocks then meet in a join on (source, block).
+words. The mix has as many slots as all words fill blocks; each source's number is fixed by its target, and the slots are dealt to output shards by one pseudorandom
+permutation of all of them. So the number of slots that a source gets in a shard is a multinomial draw, conditioned on the sources' totals: shards differ as multinomial
+draws do, and no source misses its target (draws without the condition leave a source of 100 slots 10 percent off). The slots of a source are numbered through; slot j
+reads block perm_e(j mod blocks) of epoch e = j div blocks, where perm_e is a pseudorandom permutation of the source's block indexes. Slots and blocks
+then meet in a join on (source, block).
 
 A source gives at most ``MAX_REPEATS`` times its size; what its weight would ask beyond goes to the others by weight, so
 ``target`` is min(MAX_REPEATS * source_size, level * weight) with one common level. As no source has more slots than
@@ -21,15 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from . import bytescan as B
-from .runtime import cut, passing, per_batch, ranked, small_enough, text_steps
+from .runtime import cut, free_names, passing, per_batch, quoted, ranked, text_steps
 
 BLOCK_WORDS, SHARD_SLOTS, MAX_REPEATS, SEED = 128, 8192, 3, 11
-#: Up to so many rows about sources are broadcast.
-FEW_SOURCES = 10_000
-#: Names of columns that the mix adds to a table's own.
-KEY, PIECES, TEXT = "__row", "__pieces", "__text"
+#: Slots that one row makes.
+SLOT_RUN = 1 << 16
 #: Parts that a source's words are laid out in, each by a task of its own.
 PARTS = 1024
 
@@ -56,11 +56,6 @@ def targets(by_source: DataFrame, weights=(1, 2, 3), most: int = MAX_REPEATS) ->
     return rows.select("source", "source_id", "source_size", "weight", target.cast("double").alias("target"))
 
 
-def unit(*cols) -> F.Column:
-    """A uniform number in [0, 1) from the given columns."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 53)) / F.lit(float(1 << 53))
-
-
 def laid_out(docs: DataFrame, parts: int) -> DataFrame:
     """Rows of size over 0 with ``first``: words of the source before the document."""
     part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
@@ -92,72 +87,27 @@ def permuted(index: np.ndarray, blocks: np.ndarray, key: np.ndarray) -> np.ndarr
     return out.astype(np.int64)
 
 
-def mapped(batches):
-    """Slots with the block that each reads."""
+def mapped(batches, slots: int, shard_slots: int, seed: int):
+    """Slots with their shard and the block that each reads."""
     for batch in batches:
-        slot, blocks, source = (batch.column(c).to_numpy() for c in ("slot", "blocks", "source_id"))
+        slot, blocks, source, before = (batch.column(c).to_numpy() for c in ("slot", "blocks", "source_id", "before"))
         epoch = slot // blocks
         key = B.mix(source.astype(np.uint64) * np.uint64(1 << 20) + epoch.astype(np.uint64))
         block = permuted(slot % blocks, blocks, key)
-        yield pa.RecordBatch.from_arrays([batch.column("source_id"), batch.column("shard"), batch.column("slot"), pa.array(epoch), pa.array(block)], names=["source_id", "shard", "slot", "epoch", "block"])
+        place = permuted(before + slot, np.full(len(slot), slots), np.full(len(slot), B.mix(np.array([seed], np.uint64))[0]))
+        yield pa.RecordBatch.from_arrays([batch.column("source_id"), pa.array(place // shard_slots), batch.column("slot"), pa.array(epoch), pa.array(block)], names=["source_id", "shard", "slot", "epoch", "block"])
 
 
-def chosen(draws: DataFrame, sources: DataFrame, seed: int, kind: str = "kind") -> DataFrame:
-    """The source that each draw (kind, shard, i) hits, from the categorical distribution of its kind: (source_id, shard) with the draw.
-
-    ``sources`` (kind, source_id, rest) holds the distributions, not normalised. Cells of width 1 make the range join an equi-join.
-    """
-    spans = ranked(sources.where("rest > 0"), F.col(kind), F.col("source_id"), to="rest")
-    first = spans.groupBy(kind).agg(F.min("to").alias("zero"), F.sum("rest").alias("of"))  # a row or two
-    spans = spans.join(F.broadcast(first), kind).withColumn("from", F.col("to") - F.col("zero")).withColumn("to", F.col("from") + F.col("rest"))
-    scale = F.greatest(F.lit(1.0), F.col("of"))  # at most about one source a cell
-    spans = cut(spans.withColumn("cell", F.explode(F.sequence(F.floor("from"), F.floor("to")))).select(kind, "cell", "source_id", "from", "to"))
-    draws = draws.join(F.broadcast(first.select(kind, scale.alias("scale"), "of")), kind).withColumn("u", unit(F.lit(seed), F.col("shard"), F.col("i")) * F.col("of"))
-    spans = F.broadcast(spans) if small_enough(spans, FEW_SOURCES) else spans.hint("merge")
-    return draws.withColumn("cell", F.floor("u")).join(spans, [kind, "cell"]).where("u >= from and u < to").select("source_id", "shard")
-
-
-def drawn(sources: DataFrame, slots: int, shard_slots: int, seed: int) -> DataFrame:
-    """(source_id, shard, n): slots of each shard that each source gets. ``sources`` has share, the expected part of all slots."""
-    spark = sources.sparkSession
-    shards = max(1, -(-slots // shard_slots))
-    last = slots - (shards - 1) * shard_slots
-    shard = spark.range(shards).select(F.col("id").alias("shard"), F.when(F.col("id") < shards - 1, shard_slots).otherwise(last).cast("long").alias("kind"))
-    rows = sources.withColumn("kind", F.explode(F.array(*[F.lit(k).cast("long") for k in sorted({min(shard_slots, slots), last})])))
-    rows = rows.withColumn("whole", F.floor(F.col("share") * F.col("kind"))).withColumn("rest", F.col("share") * F.col("kind") - F.col("whole"))
-    rows = cut(rows.select("source_id", "kind", "whole", "rest"))
-    # A row or two for each source: sent to the shards while they are few, else the shards are dealt out by kind.
-    send = F.broadcast if small_enough(rows, FEW_SOURCES) else (lambda df: df.hint("merge"))
-    whole = shard.join(send(rows.where("whole > 0").select("kind", "source_id", F.col("whole").alias("n"))), "kind").select("source_id", "shard", "n")
-    left = rows.groupBy("kind").agg((F.col("kind") - F.sum("whole")).cast("int").alias("of"))  # a row or two
-    draws = shard.join(F.broadcast(left), "kind").where("of > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
-    more = chosen(draws.select("kind", "shard", "i"), rows, seed).groupBy("source_id", "shard").agg(F.count("*").alias("n"))
-    return whole.union(more).groupBy("source_id", "shard").agg(F.sum("n").alias("n"))
-
-
-def numbered(got: DataFrame) -> DataFrame:
-    """``got`` (source_id, shard, n) with ``start``: slots of the source in the shards before."""
-    before = Window.partitionBy("source_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return got.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-
-
-def within_caps(got: DataFrame, sources: DataFrame, most: int, seed: int) -> DataFrame:
-    """``got`` with no source over ``most`` passes of its blocks: what a draw gives beyond is drawn again among the sources that have room."""
-    for again in range(1, 1000):
-        rows = numbered(got).join(sources.select("source_id", (most * F.col("blocks")).alias("room")), "source_id")
-        rows = cut(rows.withColumn("n", F.least("n", F.greatest(F.lit(0), F.col("room") - F.col("start")))))
-        lost = got.groupBy("shard").agg(F.sum("n").alias("was")).join(rows.groupBy("shard").agg(F.sum("n").alias("now")), "shard").where("was > now")
-        lost = cut(lost.select("shard", (F.col("was") - F.col("now")).cast("int").alias("lost")))
-        got = rows.where("n > 0").select("source_id", "shard", "n")
-        if lost.isEmpty():
-            return got
-        held = got.groupBy("source_id").agg(F.sum("n").alias("held"))
-        free = sources.join(held, "source_id", "left").where(F.coalesce("held", F.lit(0)) < most * F.col("blocks"))
-        draws = lost.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lost") - 1))).withColumn("kind", F.lit(0))
-        more = chosen(draws, free.select(F.lit(0).alias("kind"), "source_id", F.col("share").alias("rest")), seed + again)
-        more = more.groupBy("source_id", "shard").agg(F.count("*").alias("n"))
-        got = cut(got.union(more).groupBy("source_id", "shard").agg(F.sum("n").alias("n")))
-    raise RuntimeError("slots found no room")
+def dealt(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
+    """(source_id, shard, slot, epoch, block) of every slot. ``sources`` (source_id, blocks, total) has a row for each source."""
+    rows = ranked(sources.select(F.col("source_id").cast("long").alias("source_id"), F.col("blocks").cast("long").alias("blocks"), F.col("total").cast("long").alias("total")), F.col("source_id"), before="total")
+    rows = cut(rows.where("total > 0").drop("rank"))
+    slots = rows.agg(F.sum("total")).first()[0] or 0
+    run = rows.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / SLOT_RUN))))
+    run = run.repartition(max(1, -(-slots // (4 * SLOT_RUN))), "source_id", "run")  # a hot source's slots are made by many tasks
+    at = F.explode(F.sequence(F.col("run") * SLOT_RUN, F.least((F.col("run") + 1) * SLOT_RUN, "total") - 1)).alias("slot")
+    slot = run.select("source_id", "blocks", F.col("before").cast("long").alias("before"), at)
+    return per_batch(slot, lambda b: mapped(b, slots, shard_slots, seed), "source_id long, shard long, slot long, epoch long, block long")
 
 
 def plan(docs: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, most: int = MAX_REPEATS, seed: int = SEED, parts: int = PARTS, weights=(1, 2, 3)):
@@ -171,18 +121,12 @@ def plan(docs: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLO
     by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = targets(by_source, weights, most).withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
     sources = cut(sources.withColumn("want", F.when(F.col("source_size") > 0, F.col("target") / (F.col("source_size") / F.col("blocks"))).otherwise(0.0)))
-    want = sources.agg(F.sum("want")).first()[0] or 0.0
-    slots = int(round(want))
-    sources = sources.withColumn("share", F.col("want") / max(want, 1e-9))
+    sources = sources.withColumn("total", F.least(F.round("want").cast("long"), most * F.col("blocks")))
     named = rows.join(sources, rows["source"].eqNullSafe(sources["source"]), "left")
     named = cut(named.select(rows["doc_id"], "uid", rows["source"], "size", "source_id", "source_size", "target", "blocks"))
-    if not slots:
+    if sources.where("total > 0").isEmpty():
         return named, None
-    got = within_caps(cut(drawn(sources.select("source_id", "share"), slots, shard_slots, seed)), sources, most, seed)
-    slot = numbered(got).join(sources.select("source_id", "blocks"), "source_id")
-    slot = slot.select("source_id", "shard", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot"))
-    slot = slot.select(F.col("source_id").cast("long").alias("source_id"), "shard", "blocks", "slot")
-    slot = per_batch(slot, mapped, "source_id long, shard long, slot long, epoch long, block long")
+    slot = dealt(sources, shard_slots, seed)
     held = laid_out(named, parts)
     held = held.withColumn("block", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))))
     word_from = F.greatest(F.lit(0), F.col("block") * block - F.col("first"))
@@ -193,11 +137,11 @@ def plan(docs: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLO
     return named, pieces
 
 
-def cut_out(batches, columns: list[str]):
+def cut_out(batches, columns: list[str], piece: str, whole: str):
     """A row for each epoch: the words that the mix takes, in text order; a document taken whole keeps its text as it is."""
     for batch in batches:
         index, texts = [], []
-        for r, (text, pieces) in enumerate(zip(batch.column(TEXT).to_pylist(), batch.column(PIECES).to_pylist(), strict=True)):
+        for r, (text, pieces) in enumerate(zip(batch.column(whole).to_pylist(), batch.column(piece).to_pylist(), strict=True)):
             raw = (text or "").encode()
             data = np.frombuffer(raw, np.uint8)
             first, last, _ = B.words(data, np.array([0, len(data)]))
@@ -218,22 +162,24 @@ def cut_out(batches, columns: list[str]):
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each document and epoch, holding the words taken. ``n_chars`` follows the text.
 
-    Rows without doc_id, and rows that share one, are rows of their own: the mix then works on a written copy in which each row has a number.
+    Rows without doc_id, and rows that share one, are rows of their own: the mix then works on a written copy in which each row has a number. What it adds on the way
+    has names that no column of ``docs`` has.
     """
     doc_id = F.col("doc_id").cast("long")
+    key, piece, whole = free_names(docs, "row", "pieces", "whole")
     plain = docs.groupBy(doc_id.alias("id")).agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty()
     with passing(docs.sparkSession) as keep:
-        rows = docs.withColumn(KEY, doc_id) if plain else keep(docs.withColumn(KEY, F.monotonically_increasing_id()), "rows")
-        named, pieces = plan(rows.select(F.col(KEY).alias("doc_id"), "source", "text"), **how)
+        rows = docs.withColumn(key, doc_id) if plain else keep(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+        named, pieces = plan(rows.select(F.col(key).alias("doc_id"), "source", "text"), **how)
         if pieces is None:
             return docs.limit(0)
-        taken = pieces.select("uid", F.struct("epoch", "word_from", "word_to").alias("p")).join(named.select("uid", F.col("doc_id").alias(KEY)), "uid")
-        taken = keep(taken.groupBy(KEY).agg(F.collect_list("p").alias(PIECES)), "pieces")
-    both = rows.join(taken, KEY).select(F.col("text").cast("string").alias(TEXT), PIECES, *docs.columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    columns = docs.columns
-    out = per_batch(both, lambda it: cut_out(it, columns), schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
+        taken = pieces.select("uid", F.struct("epoch", "word_from", "word_to").alias("p")).join(named.select("uid", F.col("doc_id").alias(key)), "uid")
+        taken = keep(taken.groupBy(key).agg(F.collect_list("p").alias(piece)), "pieces")
+    both = rows.join(taken, key).select(F.col("text").cast("string").alias(whole), piece, *quoted(docs.columns))
+    columns = [f"c{i}" if c != "text" else c for i, c in enumerate(docs.columns)]  # by place: mapInArrow takes no names with dots
+    schema = StructType([StructField(c, f.dataType) for c, f in zip(columns, docs.schema, strict=True)])
+    out = per_batch(both.toDF(whole, piece, *columns), lambda it: cut_out(it, columns, piece, whole), schema).toDF(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:

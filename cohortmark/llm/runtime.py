@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +83,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-#: Paths of the tables that each open ``passing`` block has written.
-_passing: list[list[str]] = []
+#: Paths of the tables that each open ``passing`` block of this thread has written.
+_passing: ContextVar[tuple[list[str], ...]] = ContextVar("passing", default=())
 
 
 @contextmanager
@@ -94,12 +95,15 @@ def passing(spark: SparkSession):
     def keep(df: DataFrame, name: str) -> DataFrame:
         return stored(df, name, outer=1)
 
-    _passing.append([])
+    written: list[str] = []
+    before = _passing.get()
+    _passing.set((*before, written))
     try:
         yield keep
     finally:
+        _passing.set(before)
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _passing.pop():
+        for path in written:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(conf).delete(at, True)
         gc.collect()  # plans that are no longer held free their shuffle files once the driver's JVM has collected them
@@ -110,8 +114,9 @@ def stored(df: DataFrame, name: str, outer: int = 0) -> DataFrame:
     """Write as Parquet in the shared folder and read it again (column pruning stays possible)."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    if len(_passing) > outer:
-        _passing[-1 - outer].append(path)
+    open_blocks = _passing.get()
+    if len(open_blocks) > outer:
+        open_blocks[-1 - outer].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -149,6 +154,22 @@ def ranked(rows: DataFrame, *order: F.Column, **sums: str) -> DataFrame:
     return rows.withColumns({n: F.col(f"__own_{n}") + F.col(f"__{n}") for n in totals}).drop("__part", "__at", *[f"__{n}" for n in totals], *[f"__own_{n}" for n in totals])
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(columns: list[str]) -> list[F.Column]:
+    """Columns by names that may hold dots or quotes."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def by_ids(table: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``table`` whose key is in ``ids``: a broadcast of a counted size, else a shuffled join."""
     if small_enough(ids, BROADCAST_IDS):

@@ -162,7 +162,8 @@ class WarcReader(DataSourceReader):
         for path in partition.paths:
             with system.open_input_file(path) as raw:
                 source = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
-                for row in self.records(io.BufferedReader(source, 1 << 20), path):
+                size_known = None if source is not raw else raw.size()
+                for row in self.records(io.BufferedReader(source, 1 << 20), path, size_known):
                     rows.append(row)
                     size += len(row[-1] or b"")
                     if len(rows) >= 2000 or size >= 16 << 20:
@@ -171,7 +172,8 @@ class WarcReader(DataSourceReader):
         if rows:
             yield batch(rows)
 
-    def records(self, source, path: str):
+    def records(self, source, path: str, size_known: int | None = None):
+        """Rows of a file. A seek may run past the end of a plain file without a word, so its size is asked first; in a compressed one it stops early."""
         while line := source.readline():
             if line.strip() == b"":
                 continue
@@ -184,7 +186,9 @@ class WarcReader(DataSourceReader):
             length = int(head.get("content-length", 0))
             values = {name: head.get(field) for name, field in self.FIELDS.items()}
             if self.payload == "skip" or not self.wanted(values):
-                source.seek(length, 1)
+                end = source.tell() + length
+                if size_known is not None and end > size_known or source.seek(length, 1) < end:
+                    raise ValueError(f"cut record at the end of {path}")
                 if not self.wanted(values):
                     continue
                 size, digest, payload = head.get("x-payload-length"), head.get("warc-payload-digest", "").rpartition(":")[2], None

@@ -85,13 +85,30 @@ def test_mixed_documents_tell_rows_apart(spark):
     assert M.mixed_documents(docs.limit(0)).columns == docs.columns
 
 
-def test_slots_beyond_a_cap_are_drawn_again(spark):
-    sources = spark.createDataFrame([(0, 2, 0.2), (1, 3, 0.3), (2, 50, 0.5)], "source_id long, blocks long, share double")
-    got = spark.createDataFrame([(0, s, 4) for s in range(3)] + [(1, s, 3) for s in range(3)] + [(2, s, 2) for s in range(3)], "source_id long, shard long, n long")
-    rows = M.within_caps(got, sources, 3, 1).collect()
-    total = {i: sum(r.n for r in rows if r.source_id == i) for i in range(3)}
-    assert total[0] == 6 and total[1] <= 9 and sum(total.values()) == 27
-    assert all(sum(r.n for r in rows if r.shard == s) == 9 for s in range(3))
+def test_shards_draw_multinomial_counts_of_fixed_totals(spark):
+    total = {0: 10_000, 1: 25_000, 2: 65_000, 3: 7}
+    sources = spark.createDataFrame([(s, n // 2 + 1, n) for s, n in total.items()], "source_id long, blocks long, total long")
+    got = M.dealt(sources, 500, 11).collect()
+    assert len(got) == sum(total.values())
+    count = np.zeros((201, 4))
+    for r in got:
+        count[r.shard, r.source_id] += 1
+    assert count.sum(0).tolist() == list(total.values()) and set(count.sum(1)[:200]) == {500}
+    share = np.array([total[s] for s in range(3)]) / sum(total.values())
+    spread, wanted = count[:200, :3].std(0), np.sqrt(500 * share * (1 - share))
+    assert (abs(spread / wanted - 1) < 0.2).all()
+    held = {(r.source_id, r.epoch, r.block) for r in got}
+    assert len(held) == len(got)  # no block twice in an epoch
+    assert sorted(map(tuple, got)) == sorted(map(tuple, M.dealt(sources, 500, 11).collect()))
+
+
+def test_mixed_documents_with_clashing_columns(spark):
+    data = rows()[:60] + [(None, "a b c", "en", "hot"), (3, "d e f", "en", "hot")]
+    docs = frame(spark, data, extra=False).selectExpr("*", "doc_id * 3 AS __row", "'mine' AS row", "'t' AS __text", "'u' AS whole", "1 AS pieces", "2 AS at", "'d' AS `a.b`")
+    got = M.mixed_documents(docs)
+    assert got.columns == docs.columns
+    rows_ = got.collect()
+    assert rows_ and all((r["__row"], r.row, r["__text"], r.whole, r.pieces, r["at"], r["a.b"]) == (None if r.doc_id is None else r.doc_id * 3, "mine", "t", "u", 1, 2, "d") for r in rows_)
 
 
 def test_ranks_and_sums_without_one_task(spark):

@@ -51,3 +51,19 @@ def test_null_ids_and_repeated_rows_go_through(spark):
     assert all(any(not c - h for h in held[i]) for i, c in taken)
     assert 0.9 * total <= sum(c.total() for _, c in taken) <= 1.1 * total
     assert sum(i is None for i, _ in taken) >= 10 and len(after[4]) == len(after[3])
+
+
+def test_clashing_columns_and_an_empty_table(spark):
+    good = corpus()[:60]
+    rows = good[:50] + [(None, good[50][1], "en", "a"), (good[0][0], good[51][1], "en", "a"), good[1]]
+    names = ["__row", "row", "__text", "__at", "at", "__doc_id", "own", "first_at", "id", "n", "kept", "a.b"]
+    docs = frame(spark, rows, extra=False).selectExpr("*", "cast(length(text) AS bigint) AS n_chars", *[f"concat('{n}', md5(text)) AS `{n}`" for n in names])
+    mine = {tuple(r[n] for n in names) for r in docs.collect()}
+    columns, empty = docs.columns, docs.limit(0)
+    for name, stage in P.STAGES[:-1]:
+        docs = P.stored(stage(spark, docs, ""), name)
+        assert docs.columns == columns and {tuple(r[n] for n in names) for r in docs.collect()} <= mine
+        empty = P.stored(stage(spark, empty, ""), name)
+        assert empty.columns == columns and empty.count() == 0
+    assert docs.count() > 40
+    assert P.STAGES[-1][1](spark, docs, "").count() == docs.count() and P.STAGES[-1][1](spark, empty, "").count() == 0

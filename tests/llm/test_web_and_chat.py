@@ -8,6 +8,7 @@ import time
 from collections import Counter
 from html.parser import HTMLParser
 
+import pytest
 from pyspark.sql.datasource import EqualTo
 
 from cohortmark.llm import chat, main_text, warc
@@ -223,3 +224,20 @@ def test_training_reads_long_pages_too(spark):
     long = [(i, "u", f"<article><p>{'words of a long page ' * 4000}</p></article><footer>end {i}</footer>") for i in range(3)]
     model = main_text.train(spark.createDataFrame(long, "page_id long, url string, html string"))
     assert model.trees
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+@pytest.mark.parametrize("payload", ["skip", "bytes"])
+def test_a_cut_record_raises_in_every_mode(spark, tmp_path, payload, zipped):
+    record = lambda i, body: f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+    whole = record(1, "a" * 500) + record(2, "b" * 500)
+    pack = gzip.compress if zipped else bytes
+    name = "x.warc.gz" if zipped else "x.warc"
+    (tmp_path / "good").mkdir()
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "good" / name).write_bytes(pack(whole))
+    (tmp_path / "cut" / name).write_bytes(pack(whole[:-300]))
+    assert warc.read(spark, str(tmp_path / "good"), payload).count() == 2
+    for rows in (warc.read(spark, str(tmp_path / "cut"), payload), warc.read(spark, str(tmp_path / "cut"), payload).where("record_type = 'request'")):
+        with pytest.raises(Exception, match="cut record"):
+            rows.count()
