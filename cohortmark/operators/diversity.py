@@ -7,20 +7,22 @@ from pyspark.sql import functions as F
 
 from cohortmark.functions.sequence import edit_distance, identity_distance, reverse_complement
 
+from . import tiles
 from .classify import MAX_AMPLICON, MIN_AMPLICON
 
 
 def extract_amplicons(amplimers: DataFrame, primers: DataFrame, sequences: DataFrame, low: int = MIN_AMPLICON, high: int = MAX_AMPLICON) -> DataFrame:
     """primer, target, idx, amplicon_name, seq: the region of each numbered amplimer, read in its primer's direction.
 
-    ``amplimers`` has primer_name, target, idx, fwd_seq, fwd_start (from 1), rev_end; ``sequences`` has name, seq. Only lengths
-    strictly between the bounds stay; numbering is that of ``amplimers``.
+    ``amplimers`` has primer_name, target, idx, fwd_seq, fwd_start (from 1), rev_end; ``sequences`` has name, seq, whole or in tiles (name, tile, seq). Only
+    lengths strictly between the bounds stay; numbering is that of ``amplimers``.
     """
-    rows = amplimers.join(primers.select(F.col("name").alias("primer_name"), "forward_seq"), "primer_name").join(sequences.select(F.col("name").alias("target"), F.col("seq").alias("whole")), "target")
-    a, b = F.least("fwd_start", "rev_end"), F.greatest("fwd_start", "rev_end")
-    cut = F.substring(F.col("whole"), a.cast("int"), (b - a + 1).cast("int"))
-    rows = rows.withColumn("seq", F.when(F.col("forward_seq") == F.col("fwd_seq"), cut).otherwise(reverse_complement(cut)))
-    rows = rows.where((F.length("seq") > low) & (F.length("seq") < high))
+    cut = sequences if "tile" in sequences.columns else tiles.tiled(sequences.select("name", "seq"))
+    rows = amplimers.join(primers.select(F.col("name").alias("primer_name"), "forward_seq"), "primer_name")
+    first, last = F.least("fwd_start", "rev_end"), F.greatest("fwd_start", "rev_end")
+    rows = rows.select("target", "primer_name", "idx", (F.col("forward_seq") == F.col("fwd_seq")).alias("plus"), (first - 1).alias("start"), last.alias("end"))
+    rows = tiles.regions(cut.withColumnRenamed("name", "target"), rows, "target")
+    rows = rows.where((F.length("seq") > low) & (F.length("seq") < high)).withColumn("seq", F.when(F.col("plus"), F.col("seq")).otherwise(reverse_complement(F.col("seq"))))
     name = F.concat_ws("_", "primer_name", "target", F.col("idx").cast("string"))
     return rows.select(F.col("primer_name").alias("primer"), "target", "idx", name.alias("amplicon_name"), "seq")
 

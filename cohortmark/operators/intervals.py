@@ -1,7 +1,7 @@
-"""Interval algebra on half-open intervals (chrom, start, end), as windows over sorted ends.
+"""Interval algebra on half-open intervals (chrom, start, end), as scans along sorted ends (see ``scans``).
 
-Every operator partitions by chromosome. Where one chromosome would be one task, a ``tile`` length makes it many: ``merge`` works within tiles
-first, then on what the tiles left over, which is at most what touches; intersections cut intervals at the ends of tiles and sweep each by itself.
+No task holds a chromosome: partitions are runs of the sorted rows, and one carried row leads from each to the next. ``parts`` asks for a number of
+partitions; without it Spark chooses.
 """
 
 from __future__ import annotations
@@ -9,65 +9,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scans
 
-def _islands(rows: DataFrame, by: list[str]) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)
-    rows = rows.withColumn("__new", fresh).withColumn("__id", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy(*by, "__id").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__id")
 
+def interval_merge(rows: DataFrame, parts: int | None = None) -> DataFrame:
+    """Union of overlapping and book-ended intervals."""
+    return scans.merge(rows, ["chrom"], parts)
 
-def interval_merge(rows: DataFrame, tile: int | None = None) -> DataFrame:
-    """Union of overlapping and book-ended intervals. With ``tile``, first within tiles by start, so a long chromosome is many tasks."""
-    rows = rows.select("chrom", "start", "end")
-    if tile:
-        rows = _islands(rows.withColumn("tile", F.floor(F.col("start") / tile)), ["chrom", "tile"]).drop("tile")
-    return _islands(rows, ["chrom"])
 
-
-def interval_complement(rows: DataFrame, lengths: DataFrame, tile: int | None = None) -> DataFrame:
+def interval_complement(rows: DataFrame, lengths: DataFrame, parts: int | None = None) -> DataFrame:
     """Gaps between the intervals of each chromosome of ``lengths`` (chrom, length), the ends included."""
-    merged = interval_merge(rows, tile)
-    inner = lengths.join(merged, "chrom").select("chrom", "start", F.least("end", "length").alias("end"))
-    ends = lengths.select("chrom", F.col("length").alias("start"), F.col("length").alias("end"))
-    order = Window.partitionBy("chrom").orderBy("start", "end")
-    gaps = inner.union(ends).select("chrom", F.lag("end", 1, 0).over(order).cast("long").alias("start"), F.col("start").cast("long").alias("end"))
-    return gaps.where("start < end")
-
-
-def _depth(rows: DataFrame, tile: int | None = None) -> DataFrame:
-    """Segments between neighbouring ends with ``depth``: how many sets (column ``part``) cover them. Each part must be merged."""
-    by = ["chrom"]
-    if tile:
-        by = ["chrom", "tile"]
-        rows = rows.where("start < end").withColumn("tile", F.explode(F.sequence(F.floor(F.col("start") / tile), F.floor((F.col("end") - 1) / tile))))
-        rows = rows.withColumn("start", F.greatest("start", F.col("tile") * tile)).withColumn("end", F.least("end", (F.col("tile") + 1) * tile))
-    ends = rows.select(*by, "part", F.col("start").alias("at"), F.lit(1).alias("d")).union(rows.select(*by, "part", F.col("end"), F.lit(-1)))
-    step = ends.groupBy(*by, "at").agg(F.sum("d").alias("d"), F.sum(F.when(F.col("part") == 0, F.col("d")).otherwise(0)).alias("d0"))
-    order = Window.partitionBy(*by).orderBy("at")
-    run = order.rowsBetween(Window.unboundedPreceding, 0)
-    return step.select(
-        "chrom", F.col("at").alias("start"), F.lead("at").over(order).alias("end"), F.sum("d").over(run).alias("depth"), F.sum("d0").over(run).alias("first")
-    ).where("end is not null")
-
-
-def _parts(sets: list[DataFrame], tile: int | None = None) -> DataFrame:
+    whole = lengths.select("chrom", F.lit(0).cast("long").alias("start"), F.col("length").cast("long").alias("end"), F.lit(0).alias("part"))
+    merged = interval_merge(rows, parts).withColumn("part", F.lit(1))
+    return _depth(whole.union(merged), parts).where("first > 0 and depth = first").select("chrom", "start", "end")
+
+
+def _depth(rows: DataFrame, parts: int | None = None) -> DataFrame:
+    """Segments between neighbouring ends with ``depth``: how many sets (column ``part``) cover them, and ``first``: whether set 0 does. Each part must be merged."""
+    rows = rows.where("start < end")
+    first = F.when(F.col("part") == 0, 1).otherwise(0)
+    ends = rows.select("chrom", F.col("start").alias("at"), F.lit(1).alias("d"), first.alias("d0")).union(rows.select("chrom", "end", F.lit(-1), -first))
+    return scans.depth(ends, ["chrom"], parts)
+
+
+def _merged_sets(sets: list[DataFrame], parts: int | None = None) -> DataFrame:
+    """All sets, each merged by itself, with its number as ``part``: one scan."""
     out = None
     for i, s in enumerate(sets):
-        rows = interval_merge(s, tile).withColumn("part", F.lit(i))
+        rows = s.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.lit(i).alias("part"))
         out = rows if out is None else out.union(rows)
-    return out
+    return scans.merge(out, ["chrom", "part"], parts)
 
 
-def interval_intersect_any(first: DataFrame, others: list[DataFrame], tile: int | None = None) -> DataFrame:
+def interval_intersect_any(first: DataFrame, others: list[DataFrame], parts: int | None = None) -> DataFrame:
     """Where ``first`` and at least one of ``others`` lie, merged."""
-    return interval_merge(_depth(_parts([first, *others], tile), tile).where("first > 0 and depth > first"), tile)
+    return interval_merge(_depth(_merged_sets([first, *others], parts), parts).where("first > 0 and depth > first"), parts)
 
 
-def interval_intersect_all(sets: list[DataFrame], tile: int | None = None) -> DataFrame:
+def interval_intersect_all(sets: list[DataFrame], parts: int | None = None) -> DataFrame:
     """Where all sets lie, merged. An empty set makes the result empty."""
-    return interval_merge(_depth(_parts(sets, tile), tile).where(F.col("depth") == len(sets)), tile)
+    return interval_merge(_depth(_merged_sets(sets, parts), parts).where(F.col("depth") == len(sets)), parts)
 
 
 def interval_coverage(rows: DataFrame) -> DataFrame:
@@ -92,7 +73,7 @@ def alignment_quality_filter(rows: DataFrame, min_sim_errors: int = 0, min_err_r
     return rows.where(keep & (F.coalesce(rate, F.lit(-1.0)) >= min_err_rate) if min_err_rate > 0 else keep)
 
 
-def common_regions(alignments: DataFrame, min_sim_errors: int = 0, min_err_rate: float = 0.0, mode: str = "any", tile: int | None = None) -> DataFrame:
+def common_regions(alignments: DataFrame, min_sim_errors: int = 0, min_err_rate: float = 0.0, mode: str = "any", parts: int | None = None) -> DataFrame:
     """(query, start, end): what each genome's alignments to the other members have in common.
 
     ``alignments`` has query, subject, start, end, sim_errors. ``any`` takes the first subject's regions where any other
@@ -104,7 +85,7 @@ def common_regions(alignments: DataFrame, min_sim_errors: int = 0, min_err_rate:
     part = F.row_number().over(Window.partitionBy("query").orderBy("subject")) - 1
     asked = asked.withColumn("part", part).withColumn("k", F.count("*").over(Window.partitionBy("query")))
     good = alignment_quality_filter(alignments, min_sim_errors, min_err_rate).join(asked, ["query", "subject"])
-    rows = _islands(good.select(F.col("query").alias("chrom"), "part", "start", "end"), ["chrom", "part"])
-    seg = _depth(rows, tile).join(asked.select(F.col("query").alias("chrom"), "k").distinct(), "chrom")
+    rows = scans.merge(good.select(F.col("query").alias("chrom"), "part", "start", "end"), ["chrom", "part"], parts)
+    seg = _depth(rows, parts).join(asked.select(F.col("query").alias("chrom"), "k").distinct(), "chrom")
     many = (F.col("first") > 0) & (F.col("depth") > F.col("first")) if mode == "any" else F.col("depth") == F.col("k")
-    return interval_merge(seg.where(F.when(F.col("k") == 1, F.col("depth") > 0).otherwise(many)), tile).withColumnRenamed("chrom", "query")
+    return interval_merge(seg.where(F.when(F.col("k") == 1, F.col("depth") > 0).otherwise(many)), parts).withColumnRenamed("chrom", "query")

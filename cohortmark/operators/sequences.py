@@ -15,7 +15,7 @@ def in_order(sep: str, ord_col: str = "ord", seq: str = "seq"):
 
 
 def stitch(sequences: DataFrame, spacer: str = SPACER) -> DataFrame:
-    """One record for each genome. Several records are joined in order with spacers under a new id; a single one stays as it is."""
+    """One record for each genome, whole (``tiles.stitch`` has it in tiles, for genomes beyond 2 GB). Several records are joined in order with spacers under a new id; a single one stays as it is."""
     many = F.col("n") > 1
     rows = sequences.groupBy("name").agg(
         F.count("*").alias("n"), in_order(spacer).alias("joined"), F.min("seq_id").alias("id"), F.min("description").alias("about")
@@ -49,19 +49,15 @@ def genome_lengths(sequences: DataFrame) -> DataFrame:
     return sequences.select("seq_id", F.length("seq").alias("length"))
 
 
-def region_sequences(sequences: DataFrame, regions: DataFrame, flank: int = 0) -> DataFrame:
-    """Sequence of each region (seq_id, start, end; from 0, half open), widened by ``flank`` within the record."""
-    joined = regions.join(sequences.select("seq_id", "name", F.col("seq").alias("whole")), "seq_id")
-    joined = joined.withColumn("start", F.greatest(F.lit(0), F.col("start") - flank)).withColumn("end", F.least(F.length("whole"), F.col("end") + flank))
-    return joined.withColumn("seq", F.substring(F.col("whole"), F.col("start") + 1, F.col("end") - F.col("start"))).drop("whole")
-
-
 def filtered_sequence(sequences: DataFrame, regions: DataFrame, flank: int = 0, spacer_length: int = 150, suffix: str = "filtered") -> DataFrame:
-    """Regions of each genome, in the order ``ord`` of the feature file, joined by runs of N. Genomes without regions have no row."""
-    parts = region_sequences(sequences, regions, flank)
-    return parts.groupBy("name").agg(in_order("N" * spacer_length).alias("seq"), F.count("*").alias("n_regions")).select(
-        F.concat("name", F.lit(f"_{suffix}")).alias("seq_id"), "name", "n_regions", "seq"
-    )
+    """Regions of each genome, in the order ``ord`` of the feature file, joined by runs of N, as whole records (``tiles.filtered`` has them in tiles). Genomes
+    without regions have no row."""
+    from . import tiles
+
+    cut = tiles.tiled(sequences)
+    whole = tiles.assembled(tiles.filtered(cut, regions, flank, spacer_length, suffix), ["name", "seq_id"])
+    n = regions.join(sequences.select("seq_id", F.col("name").alias("__name")), "seq_id").groupBy("__name").agg(F.count("*").alias("n_regions"))
+    return whole.join(n, F.col("name").eqNullSafe(F.col("__name"))).select("seq_id", "name", "n_regions", "seq")
 
 
 def sized(rows: DataFrame, most: int = 1_000_000) -> DataFrame:

@@ -15,6 +15,7 @@ from cohortmark.operators import intervals as I
 from cohortmark.operators import manifest as M
 from cohortmark.operators import search as H
 from cohortmark.operators import sequences as Q
+from cohortmark.operators import tiles as L
 from cohortmark.sources import readers as R
 from cohortmark.sources import writers as W
 
@@ -233,7 +234,7 @@ merged AS (SELECT chrom, {part}, min("start") AS "start", max("end") AS "end" FR
 
 @registered(f"WITH {T.INTERVALS}, {_ISLANDS.format(part='part', src='(SELECT *, 0 AS part FROM iv)')} SELECT chrom, \"start\", \"end\" FROM merged")
 def interval_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.interval_merge(T.intervals(spark, sf_dir), tile=86_400)
+    return I.interval_merge(T.intervals(spark, sf_dir))
 
 
 @registered(f"""WITH {T.INTERVALS}, {_ISLANDS.format(part='part', src='(SELECT *, 0 AS part FROM iv)')},
@@ -242,7 +243,7 @@ gaps AS (SELECT chrom, coalesce(lag("end") OVER (PARTITION BY chrom ORDER BY "st
 SELECT chrom, "start"::BIGINT AS "start", "end"::BIGINT AS "end" FROM gaps WHERE "start" < "end" """)
 def interval_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
     iv = T.intervals(spark, sf_dir)
-    return I.interval_complement(iv, iv.select("chrom").distinct().withColumn("length", F.lit(1735689600).cast("long")), tile=86_400)
+    return I.interval_complement(iv, iv.select("chrom").distinct().withColumn("length", F.lit(1735689600).cast("long")))
 
 
 @registered(f"""WITH {T.INTERVALS}, {_ISLANDS.format(part='part', src='(SELECT *, 0 AS part FROM iv)')} SELECT chrom, count(*) AS regions, sum("end" - "start")::BIGINT AS covered FROM merged GROUP BY 1""")
@@ -259,10 +260,6 @@ SELECT chrom, min("start") AS "start", max("end") AS "end" FROM f1 GROUP BY chro
 _THREE = """iv3 AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv)"""
 
 
-#: Thirty days: so long is the part of a user's time that one task sweeps.
-TILE = 30 * 86_400
-
-
 def _three(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     iv = T.intervals(spark, sf_dir)
     return [iv.where("event_type = 'click'"), iv.where("event_type = 'error'"), iv.where("event_type not in ('click', 'error')")]
@@ -271,18 +268,18 @@ def _three(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 @registered(f"WITH {T.INTERVALS}, {_THREE}, {_ISLANDS.format(part='part', src='iv3')}, {_DEPTH.format(having='max((m.part = 0)::INT) = 1 AND max(m.part) > 0')}")
 def interval_intersect_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, *others = _three(spark, sf_dir)
-    return I.interval_intersect_any(first, others, TILE)
+    return I.interval_intersect_any(first, others)
 
 
 @registered(f"WITH {T.INTERVALS}, {_THREE}, {_ISLANDS.format(part='part', src='iv3')}, {_DEPTH.format(having='count(DISTINCT m.part) = 3')}")
 def interval_intersect_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.interval_intersect_all(_three(spark, sf_dir), TILE)
+    return I.interval_intersect_all(_three(spark, sf_dir))
 
 
 @registered(f"""WITH {T.INTERVALS}, good AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv WHERE event_id % 7 >= 2),
 {_ISLANDS.format(part='part', src='good')}, {_DEPTH.format(having='max((m.part = 0)::INT) = 1 AND max(m.part) > 0').replace('SELECT chrom, min(', 'SELECT chrom AS query, min(')}""")
 def common_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.common_regions(_asked(spark, sf_dir), min_sim_errors=2, tile=TILE)
+    return I.common_regions(_asked(spark, sf_dir), min_sim_errors=2)
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +295,7 @@ def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""WITH {T.INTERVALS}, good AS (SELECT chrom, "start", "end", CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS part FROM iv WHERE event_id % 7 >= 2),
 {_ISLANDS.format(part='part', src='good')}, {_DEPTH.format(having='count(DISTINCT m.part) = 3').replace('SELECT chrom, min(', 'SELECT chrom AS query, min(')}""")
 def common_regions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.common_regions(_asked(spark, sf_dir), min_sim_errors=2, mode="all", tile=TILE)
+    return I.common_regions(_asked(spark, sf_dir), min_sim_errors=2, mode="all")
 
 
 @registered(f"""WITH {T.INTERVALS} SELECT event_id, greatest(0, "start" - 500)::BIGINT AS "start", least(1735689600, "end" + 500)::BIGINT AS "end" FROM iv""")
@@ -347,12 +344,19 @@ def fix_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.fix_sequences(T.sequences(spark, sf_dir)).select("name", F.md5("seq").alias("digest"))
 
 
-@registered(f"""WITH {T.SEQUENCES}, r AS (SELECT name, ord, substr(seq, 1 + greatest(0, 10 - 5)::INT, (least(length(seq), 60 + 5) - greatest(0, 10 - 5))::INT) AS seq FROM seqs WHERE length(seq) >= 60)
-SELECT name || '_filtered' AS seq_id, count(*) AS n_regions, md5(string_agg(seq, '{"N" * 150}' ORDER BY ord)) AS digest FROM r GROUP BY name""")
+_CUT = "SELECT name, {cols}t AS tile, md5(substr(seq, (t * 10000 + 1)::INT, 10000)) AS digest FROM (SELECT *, unnest(range(0, greatest(1, (length(seq) + 9999) // 10000))) AS t FROM {src})"
+
+
+@registered(f"""WITH {T.SEQUENCES}, st AS (SELECT name, count(*) > 1 AS stitched, {_STITCH.format(sep=S.SPACER)} AS seq FROM seqs GROUP BY name)
+{_CUT.format(cols="stitched, ", src="st")}""")
+def stitch_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.stitch(T.tiles(spark, sf_dir)).select("name", "stitched", "tile", F.md5("seq").alias("digest"))
+
+
+@registered(f"""WITH {T.SEQUENCES}, {T.REGIONS}, r AS (SELECT name, string_agg(substr(seq, a + 1, (b - a)::INT), '{"N" * 150}' ORDER BY ord, w) AS seq FROM regs GROUP BY name)
+{_CUT.format(cols="", src="r")}""")
 def filtered_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = T.sequences(spark, sf_dir)
-    regions = s.where(F.length("seq") >= 60).select("seq_id", F.lit(10).alias("start"), F.lit(60).alias("end"), "ord")
-    return Q.filtered_sequence(s, regions, flank=5).select("seq_id", "n_regions", F.md5("seq").alias("digest"))
+    return L.filtered(T.tiles(spark, sf_dir), T.regions(T.sequences(spark, sf_dir)), flank=5).select("name", "tile", F.md5("seq").alias("digest"))
 
 
 @registered(f"WITH {T.SEQUENCES} SELECT seq_id, length(seq)::INT AS length FROM seqs")
@@ -388,16 +392,19 @@ def source_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Amplicons and diversity
 
 
-@registered(f"""WITH {T.SEQUENCES}, p AS (SELECT seq_id, seq, CASE WHEN ord % 2 = 0 THEN 'x' ELSE 'y' END AS fwd, 11 AS a, 11 + 40 + ord % 300 AS b, ord FROM seqs),
-c AS (SELECT *, substr(seq, a, (b - a + 1)::INT) AS s FROM p)
-SELECT 'm' || ord AS primer, 'm' || ord || '_' || seq_id || '_1' AS amplicon_name, md5(CASE WHEN fwd = 'x' THEN s ELSE reverse(translate(s, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) END) AS digest
+@registered(f"""WITH {T.SEQUENCES}, p AS (SELECT *, CASE WHEN ord % 2 = 0 THEN 'x' ELSE 'y' END AS fwd, w * 400 + 11 AS a, w * 400 + 11 + 40 + ord % 300 AS b
+  FROM (SELECT *, unnest(range(0, length(seq) // 400 + 1)) AS w FROM seqs)),
+c AS (SELECT *, substr(seq, a::INT, (b - a + 1)::INT) AS s FROM p)
+SELECT 'm' || ord AS primer, 'm' || ord || '_' || seq_id || '_' || (w + 1) AS amplicon_name, md5(CASE WHEN fwd = 'x' THEN s ELSE reverse(translate(s, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) END) AS digest
 FROM c WHERE length(s) > 50 AND length(s) < 300""")
 def extract_amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amplimers at every 400th base of each text."""
     s = T.sequences(spark, sf_dir)
-    name = F.concat(F.lit("m"), F.col("ord").cast("string"))
-    amps = s.select(name.alias("primer_name"), F.col("seq_id").alias("target"), F.lit(1).alias("idx"), F.lit("x").alias("fwd_seq"), F.lit(11).alias("fwd_start"), (51 + F.col("ord") % 300).alias("rev_end"))
+    name = F.concat(F.lit("m"), F.col("ord").cast("string")).alias("primer_name")
+    at = s.select(name, F.col("seq_id").alias("target"), "ord", F.explode(F.sequence(F.lit(0), F.floor(F.length("seq") / 400).cast("int"))).alias("w"))
+    amps = at.select("primer_name", "target", (F.col("w") + 1).alias("idx"), F.lit("x").alias("fwd_seq"), (F.col("w") * 400 + 11).alias("fwd_start"), (F.col("w") * 400 + 51 + F.col("ord") % 300).alias("rev_end"))
     pairs = s.select(name.alias("name"), F.when(F.col("ord") % 2 == 0, "x").otherwise("y").alias("forward_seq"))
-    out = V.extract_amplicons(amps, pairs, s.select(F.col("seq_id").alias("name"), "seq"))
+    out = V.extract_amplicons(amps, pairs, T.tiles(spark, sf_dir).select(F.col("seq_id").alias("name"), "tile", "seq"))
     return out.select("primer", "amplicon_name", F.md5("seq").alias("digest"))
 
 
@@ -570,6 +577,16 @@ def scan_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_fasta(spark, path).select("seq_id", F.md5("seq").alias("digest"))
 
 
+@registered(f"""WITH {T.SEQUENCES} SELECT seq_id, tile, md5(substr(seq, (tile * 10000 + 1)::INT, 10000)) AS digest
+FROM (SELECT *, unnest(range(0, greatest(1, (length(seq) + 9999) // 10000))) AS tile FROM seqs)""")
+def scan_fasta_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences written as lines of 60 bases and read back as tiles."""
+    path = T.scratch(spark, "fasta")
+    lines = F.concat(F.lit(">"), "seq_id", F.lit(" x\n"), F.regexp_replace("seq", "(.{60})", "$1\n"))
+    T.sequences(spark, sf_dir).select(lines.alias("value")).write.text(path)
+    return R.scan_fasta_tiles(spark, path).select("seq_id", "tile", F.md5("seq").alias("digest"))
+
+
 @registered("SELECT 'm' || l_partkey || '_fwd' AS query, l_quantity::INT AS length, l_orderkey::BIGINT AS sstart FROM lineitem")
 def scan_blast_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = T.read(spark, sf_dir, "lineitem")
@@ -717,11 +734,10 @@ def write_boulder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.boulder_lines(D.boulder_input(names)).groupBy("name").agg(F.count("*").alias("n"))
 
 
-@registered(f"WITH {T.SEQUENCES} SELECT seq_id, substr(seq, 6, 60) AS seq FROM seqs WHERE length(seq) >= 100")
+@registered(f"WITH {T.SEQUENCES}, {T.REGIONS} SELECT seq_id, a::BIGINT AS start, md5(substr(seq, a + 1, (b - a)::INT)) AS digest FROM regs")
 def region_extract_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = T.sequences(spark, sf_dir)
-    regions = s.where(F.length("seq") >= 100).select("seq_id", F.lit(10).alias("start"), F.lit(60).alias("end"))
-    return Q.region_sequences(s, regions, flank=5).select("seq_id", "seq")
+    return L.regions(T.tiles(spark, sf_dir), T.regions(s), flank=5).select("seq_id", "start", F.md5("seq").alias("digest"))
 
 
 @registered(f"WITH {T.PRIMERS} SELECT p.name, s.description, length(s.seq)::INT AS length FROM primers p JOIN seqs s ON p.source = s.seq_id")

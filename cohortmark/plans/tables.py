@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmark.operators.storage import scratch, stored  # noqa: F401  (queries write below it)
+from cohortmark.operators.tiles import tiled
+
 #: Fixed value: bases that letters a to z stand for.
 BASES = "ACGTACGTACGTACGTACGTACGNRY"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -18,19 +18,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def local(spark: SparkSession) -> str:
-    """A folder of this machine, for a local session without spark.checkpoint.dir."""
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return tempfile.mkdtemp(prefix="cohortmark-")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path that driver and executors share: below spark.checkpoint.dir where the session has one."""
-    top = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or local(spark)
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def as_sequence(text) -> F.Column:
     return F.translate(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z]", ""), LETTERS, BASES)
 
@@ -58,6 +45,22 @@ def primers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A region of 50 bases with 5 more on either side begins at every 500th base, 10 bases on.
+REGIONS = """regs AS (SELECT seq_id, name, ord, w, seq, w * 500 + 5 AS a, least(length(seq), w * 500 + 65) AS b FROM
+  (SELECT *, unnest(range(0, (length(seq) - 60) // 500 + 1)) AS w FROM seqs WHERE length(seq) >= 60))"""
+
+
+def regions(sequences: DataFrame) -> DataFrame:
+    w = F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - 60) / 500).cast("int"))).alias("w")
+    rows = sequences.where(F.length("seq") >= 60).select("seq_id", "ord", w)
+    return rows.select("seq_id", (F.col("w") * 500 + 10).alias("start"), (F.col("w") * 500 + 60).alias("end"), (F.col("ord") * 1_000_000 + F.col("w")).alias("ord"))
+
+
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequences as stored tiles."""
+    return stored(tiled(sequences(spark, sf_dir)), "tiles")
+
+
 PRIMERS = f"{SEQUENCES}, primers AS (SELECT 'p' || ord AS name, substr(seq, 1, 20) AS forward_seq, substr(seq, 81, 20) AS reverse_seq, name AS sourcename, seq_id AS source FROM seqs WHERE length(seq) >= 100)"
 
 

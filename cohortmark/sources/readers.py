@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortmark.functions.sequence import filestem
+from cohortmark.operators import scans, tiles
 from cohortmark.operators.manifest import FIELDS
+from cohortmark.operators.sequences import sized
 
 PRIMER_FIELDS = ["name string", "size long"] + [f"{arm}_{k}" for arm in ("forward", "reverse", "internal") for k in ("seq string", "start long", "length long", "tm double", "gc double")] + ["source string", "sourcename string"]
 PRIMER_SCHEMA = ", ".join(PRIMER_FIELDS)
@@ -21,6 +23,17 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("ord", F.struct("block", "i")).drop("block", "i")
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows of text files (``file``, ``block``: where the split that they come from begins) with ``ord``, their place in the file from 0. Only counts of the splits
+    are exchanged, no row."""
+    rows = rows.withColumn("__i", F.monotonically_increasing_id())
+    each = rows.groupBy(F.col("file").alias("__f"), F.col("block").alias("__b")).agg(F.min("__i").alias("__lo"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__f").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))  # a row for each split
+    each = each.withColumn("__base", F.coalesce(before, F.lit(0)))
+    rows = rows.join(sized(each), (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    return rows.withColumn("ord", F.col("__base") + F.col("__i") - F.col("__lo")).drop("__f", "__b", "__lo", "__n", "__base", "__i")
+
+
 def _checked(ok: Column, value: Column, message: str) -> Column:
     return F.when(ok, value).otherwise(F.raise_error(F.lit(message)).cast("string"))
 
@@ -53,11 +66,28 @@ def scan_manifest_json(spark: SparkSession, path: str) -> DataFrame:
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(file, name, seq_id, description, ord, seq) of each record; records end where the next header begins, so files may be split."""
     rows = spark.read.option("lineSep", "\n>").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    rows = rows.withColumn("i", F.monotonically_increasing_id()).withColumn("value", F.regexp_replace("value", "^[\\s>]+", "")).where("value <> ''")
+    rows = numbered(rows.withColumn("value", F.regexp_replace("value", "^[\\s>]+", "")).where("value <> ''"))
     head = F.substring_index("value", "\n", 1)
     body = F.when(F.col("value").contains("\n"), F.expr("substring(value, length(substring_index(value, '\n', 1)) + 2)")).otherwise("")
-    order = F.row_number().over(Window.partitionBy("file").orderBy("block", "i")) - 1
-    return rows.select("file", filestem(F.col("file")).alias("name"), F.regexp_extract(head, r"^(\S*)", 1).alias("seq_id"), F.trim(F.regexp_replace(head, "\r", "")).alias("description"), order.alias("ord"), F.regexp_replace(body, r"\s", "").alias("seq"))
+    return rows.select("file", filestem(F.col("file")).alias("name"), F.regexp_extract(head, r"^(\S*)", 1).alias("seq_id"), F.trim(F.regexp_replace(head, "\r", "")).alias("description"), F.col("ord").cast("int").alias("ord"), F.regexp_replace(body, r"\s", "").alias("seq"))
+
+
+def scan_fasta_tiles(spark: SparkSession, path: str, size: int = tiles.SIZE) -> DataFrame:
+    """(name, seq_id, description, ord, tile, seq): records of any length as tiles, from their lines. Only numbers are sorted: a scan gives each line its record
+    and its place in it."""
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    rows = numbered(rows.withColumn("value", F.trim(F.regexp_replace("value", "\r", ""))).where("value <> ''"))
+    head = F.col("value").startswith(">")
+    rows = rows.withColumn("head", head).withColumn("seq", F.when(head, "").otherwise(F.regexp_replace("value", r"\s", "")))
+    steps = rows.select("file", F.col("ord").alias("at"), F.when(F.col("head"), 1).otherwise(0).alias("d"), F.length("seq").alias("d0"))
+    ends = steps.groupBy("file").agg((F.max("at") + 1).alias("at")).select("file", "at", F.lit(0), F.lit(0))
+    run = scans.depth(steps.union(ends), ["file"]).select(F.col("file").alias("__f"), F.col("start").alias("__at"), F.col("depth").alias("record"), F.col("first").alias("upto"))
+    rows = rows.join(run, (F.col("file") == F.col("__f")) & (F.col("ord") == F.col("__at"))).drop("__f", "__at")
+    title = F.expr("substring(value, 2)")
+    heads = rows.where("head").select(F.col("file").alias("__f"), F.col("record").alias("__r"), F.col("upto").alias("base"), F.regexp_extract(title, r"^\s*(\S*)", 1).alias("seq_id"), F.trim(title).alias("description"))
+    rows = rows.join(sized(heads), (F.col("file") == F.col("__f")) & (F.col("record") == F.col("__r")))
+    rows = rows.select(filestem(F.col("file")).alias("name"), "seq_id", "description", (F.col("record") - 1).cast("int").alias("ord"), (F.col("upto") - F.length("seq") - F.col("base")).alias("at"), "seq")
+    return tiles.laid(rows, ["name", "seq_id", "description", "ord"], size)
 
 
 def load_fasta_ids(spark: SparkSession, path: str) -> DataFrame:

@@ -14,43 +14,11 @@ without doc_id after all others.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortmark.llm import exact_dup, mixing, near_dup, piece_codec, quality
 from cohortmark.llm.catalog import piece_model
-from cohortmark.llm.runtime import BROADCAST_IDS, by_ids, passing, small_enough, stored
-
-#: Names of the row's key and, where the key stands in its place, of the doc_id.
-KEY, OWN = "__row", "__doc_id"
-
-
-def keyed(docs: DataFrame, keep) -> DataFrame:
-    """``docs`` with KEY, different in each row: the doc_id, or an id beyond all doc_ids for a row without one or with one that an earlier row has."""
-    doc_id = F.col("doc_id").cast("long")
-    by_id = docs.groupBy(doc_id.alias("id")).agg(F.count("*").alias("n"))
-    if by_id.where("id is null or n > 1").isEmpty():
-        return docs.withColumn(KEY, doc_id)
-    rows = keep(docs.withColumn("__at", F.monotonically_increasing_id()), "rows")  # written, so that a row keeps its number
-    first = rows.groupBy(doc_id.alias("__id")).agg(F.count("*").alias("n"), F.min("__at").alias("__first"))
-    first = keep(first.where("__id is not null and n > 1").select("__id", "__first"), "first")
-    first = F.broadcast(first) if small_enough(first, BROADCAST_IDS) else first.hint("merge")
-    top = rows.agg(F.max(doc_id)).first()[0]
-    later = F.col("doc_id").isNull() | F.coalesce(F.col("__first") != F.col("__at"), F.lit(False))
-    beyond = F.lit(-1 if top is None else top).cast("long") + 1 + F.col("__at")
-    return rows.join(first, doc_id == F.col("__id"), "left").withColumn(KEY, F.when(later, beyond).otherwise(doc_id)).drop("__at", "__id", "__first")
-
-
-def by_key(rows: DataFrame) -> DataFrame:
-    """``rows`` of ``keyed`` with the key as doc_id and the doc_id as OWN."""
-    return rows.withColumnRenamed("doc_id", OWN).withColumnRenamed(KEY, "doc_id")
-
-
-def kept(docs: DataFrame, verdict) -> DataFrame:
-    """Rows of ``docs`` that ``verdict``, an operator, keeps."""
-    with passing(docs.sparkSession) as keep:
-        rows = keyed(docs, keep)
-        ids = keep(verdict(by_key(rows)).where("kept").select(F.col("doc_id").alias(KEY)), "kept")
-    return by_ids(rows, ids, KEY).select(docs.columns)
+from cohortmark.llm.runtime import passing, stored  # noqa: F401  (tests write stages as run does)
+from cohortmark.llm.stages import kept
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

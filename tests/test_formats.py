@@ -1,6 +1,7 @@
 """Readers and writers on small files."""
 
 import json
+import random
 
 import pytest
 from frames import rows
@@ -36,6 +37,25 @@ def test_manifest_json_and_convert(spark, tmp_path):
         R.scan_manifest_json(spark, put(tmp_path / "b.json", json.dumps([one])))
 
 
+@pytest.mark.parametrize("size", [7, 10_000])
+def test_fasta_tiles_of_split_files(spark, tmp_path, size):
+    rng = random.Random(size)
+    own = ["".join(rng.choice("ACGT") for _ in range(rng.choice([0, 1, 5, 40, 90]))) for _ in range(60)]
+    text = "".join(f">r{i} about\r\n" + "".join(s[k : k + 9] + "\n" for k in range(0, len(s), 9)) + "\n" * (i % 2) for i, s in enumerate(own))
+    p = put(tmp_path / "g.fasta", text)
+    put(tmp_path / "h.fasta", ">one\nAC\nGT\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = R.scan_fasta_tiles(spark, [p, str(tmp_path / "h.fasta")], size).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert max(len(r.seq) for r in got) <= size
+    whole = {}
+    for r in sorted(got, key=lambda r: r.tile):
+        whole[r.name, r.ord, r.seq_id] = whole.get((r.name, r.ord, r.seq_id), "") + r.seq
+    assert whole == {**{("g", i, f"r{i}"): s for i, s in enumerate(own)}, ("h", 0, "one"): "ACGT"}
+
+
 def test_fasta_split_files(spark, tmp_path):
     text = "".join(f">r{i} about {i}\nACGT\nAC{'G' * (i % 7)}\n" for i in range(300))
     p = put(tmp_path / "g.fasta", text)
@@ -46,6 +66,7 @@ def test_fasta_split_files(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [(r.seq_id, r.description, r.seq) for r in got] == [(f"r{i}", f"r{i} about {i}", "ACGTAC" + "G" * (i % 7)) for i in range(300)]
     assert {r.name for r in got} == {"g"}
+    assert [r.ord for r in got] == list(range(300))
     with pytest.raises(Exception, match="differ in length"):
         R.scan_alignment_fasta(spark, p).collect()
 
