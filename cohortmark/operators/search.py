@@ -15,11 +15,11 @@ CHUNK, LARGE = 200, 10_000
 
 def windows(sequences: DataFrame, k: int, step: int = CHUNK) -> DataFrame:
     """(name, seq_id, pos, kmer): every window of k bases without N; records go through overlapping pieces."""
-    rows = _windows(pieces(sequences, 0, k - 1, step, max(step, LARGE)), k)
+    rows = placed_windows(pieces(sequences, 0, k - 1, step, max(step, LARGE)), k)
     return rows.select("name", "seq_id", (F.col("offset") + F.col("p")).alias("pos"), "kmer")
 
 
-def _windows(rows: DataFrame, k: int) -> DataFrame:
+def placed_windows(rows: DataFrame, k: int) -> DataFrame:
     """``pieces`` with ``p`` and ``kmer`` of each window without N that begins among a piece's own bases."""
     last = F.least(F.col("lead") + F.col("own"), F.length("seq") - k + 1) - 1
     rows = rows.where(last >= F.col("lead")).withColumn("p", F.explode(F.sequence(F.col("lead"), last)))
@@ -43,7 +43,7 @@ def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1
     texts = sequences.select("name", "seq_id", F.upper("seq").alias("seq"))
     found = None
     for k, longest in sizes:
-        w = _windows(pieces(texts, longest, longest + k, CHUNK, LARGE), k).withColumnRenamed("kmer", "seed")
+        w = placed_windows(pieces(texts, longest, longest + k, CHUNK, LARGE), k).withColumnRenamed("kmer", "seed")
         hits = w.join(sized(seeds.where(F.col("size") == k)), "seed").withColumn("first", F.col("p") - F.col("at"))
         hits = hits.where((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.length("seq")))
         site = F.substring(F.col("seq"), F.col("first") + 1, F.col("n"))

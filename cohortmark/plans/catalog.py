@@ -11,6 +11,7 @@ from cohortmark.functions import sequence as S
 from cohortmark.operators import classify as C
 from cohortmark.operators import design as D
 from cohortmark.operators import diversity as V
+from cohortmark.operators import extend as X
 from cohortmark.operators import intervals as I
 from cohortmark.operators import manifest as M
 from cohortmark.operators import search as H
@@ -492,6 +493,47 @@ def screen_offtarget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.screen_offtarget(T.primers(spark, sf_dir), b, 15).select("name")
 
 
+_ARM = "query, minus, seq_id, shift, a"
+_GROWN = """{side}1 AS (SELECT *, sum(CASE WHEN hit THEN 1 ELSE -3 END) OVER (PARTITION BY {arm} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS sc FROM m WHERE {part}),
+{side}2 AS (SELECT *, greatest(0, max(sc) OVER (PARTITION BY {arm} ORDER BY {order} ROWS UNBOUNDED PRECEDING)) - sc AS fall FROM {side}1),
+{side}3 AS (SELECT *, max(fall) OVER (PARTITION BY {arm} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS deepest FROM {side}2),
+{side} AS (SELECT {arm}, arg_max({far}, sc * 1000 - {far}) AS far FROM {side}3 WHERE deepest <= 10 AND sc > 0 GROUP BY ALL)"""
+_HITS = f"""b AS (SELECT item_id::VARCHAR AS seq_id, {T.SEQ_SQL} AS seq FROM benchmark),
+o AS (SELECT name || '_fwd' AS query, forward_seq AS s FROM primers UNION ALL SELECT name || '_rev', reverse_seq FROM primers),
+o2 AS (SELECT query, false AS minus, s FROM o UNION ALL SELECT query, true, reverse(translate(s, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) FROM o),
+sd AS (SELECT query, minus, s, a, substr(s, (a + 1)::INT, 11) AS kmer FROM (SELECT *, unnest(range(0, length(s) - 10)) AS a FROM o2)),
+dw AS (SELECT seq_id, seq, p, substr(seq, (p + 1)::INT, 11) AS kmer FROM (SELECT *, unnest(range(0, length(seq) - 10)) AS p FROM b WHERE length(seq) >= 11)),
+h AS (SELECT query, minus, s, seq_id, seq, p - a AS shift, a FROM sd JOIN dw USING (kmer) WHERE regexp_matches(kmer, '^[ACGT]+$')),
+m AS (SELECT {_ARM}, length(s) AS n, i, shift + i >= 0 AND substr(seq, greatest(shift + i + 1, 1)::INT, 1) = substr(s, (i + 1)::INT, 1) AND substr(s, (i + 1)::INT, 1) IN ('A', 'C', 'G', 'T') AS hit
+  FROM (SELECT *, unnest(range(0, length(s))) AS i FROM h)),
+{_GROWN.format(side="r", arm=_ARM, order="i", part="i >= a + 11", far="(i - a - 10)")},
+{_GROWN.format(side="l", arm=_ARM, order="i DESC", part="i < a", far="(a - i)")},
+e AS (SELECT {_ARM}, n, a - coalesce(l.far, 0) AS f, a + 11 + coalesce(r.far, 0) AS t FROM (SELECT DISTINCT {_ARM}, n FROM m) LEFT JOIN l USING ({_ARM}) LEFT JOIN r USING ({_ARM})),
+g AS (SELECT DISTINCT query, minus, seq_id, shift, n, f, t, matched FROM (SELECT {_ARM}, e.n, f, t, count(*) FILTER (hit AND i >= f AND i < t) AS matched FROM e JOIN m USING ({_ARM}) GROUP BY ALL)),
+bits AS (SELECT *, (1.374::DOUBLE * (4 * matched - 3 * (t - f)) - ln(0.711::DOUBLE)) / ln(2.0::DOUBLE) AS bits FROM g),
+aligned AS (SELECT query, seq_id AS subject, round(100.0::DOUBLE * matched / (t - f), 3) AS pident, (t - f)::INT AS length, (t - f - matched)::INT AS mismatch, 0 AS gapopen,
+  (CASE WHEN minus THEN n - t + 1 ELSE f + 1 END)::INT AS qstart, (CASE WHEN minus THEN n - f ELSE t END)::INT AS qend,
+  (CASE WHEN minus THEN shift + t ELSE shift + f + 1 END)::BIGINT AS sstart, (CASE WHEN minus THEN shift + f + 1 ELSE shift + t END)::BIGINT AS send,
+  round(n * (SELECT sum(length(seq)) FROM b)::DOUBLE * pow(2.0::DOUBLE, -bits), 6) AS evalue, round(bits, 1) AS bitscore FROM bits)"""
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("seq_id"), T.as_sequence(F.col("text")).alias("seq"))
+
+
+@registered(f"WITH {T.PRIMERS}, {_HITS} SELECT * FROM aligned")
+def offtarget_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments of all primers' oligos with the items, with mismatches."""
+    found = X.hits(X.primer_oligos(T.primers(spark, sf_dir)), _items(spark, sf_dir))
+    return found.withColumn("evalue", F.round("evalue", 6))
+
+
+@registered(f"WITH {T.PRIMERS}, {_HITS} SELECT name FROM primers WHERE name NOT IN (SELECT regexp_replace(query, '_(fwd|rev)$', '') FROM aligned WHERE length > 15)")
+def screen_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs without an alignment of more than 15 bases, mismatches included."""
+    return X.screen(T.primers(spark, sf_dir), _items(spark, sf_dir)).select("name")
+
+
 def _oligos(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = T.read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("oligo"), T.as_sequence(F.col("text")).alias("seq"))
     return b.where(F.length("seq") >= 60).select("oligo", F.substring("seq", 21, 20).alias("seq")).where(~F.col("seq").contains("N"))
