@@ -7,36 +7,34 @@ below or above, are rejected.
 
 A model has 64 character classes (letters by themselves, digits, marks, upper case and UTF-8 bytes in groups) and n-grams of five.
 Nothing is pruned: its size follows the different n-grams of the corpus. What a task holds does not: n-grams are dealt into
-slices by language and the class before the last, with all that scoring an n-gram asks for in one slice; slices are sent one after another,
-each scores its part of all texts, and the parts add up. Most corpora need one slice (``SLICE_KEYS``).
-Languages are told apart by 16 bits of a hash; two that share them would share a model.
+slices by language and their last two classes, the largest of these cells first, each to the smallest slice so far. A slice has all that scoring its n-grams asks for
+(the weight of a context is in every slice that has n-grams which end it); slices are sent one after another, each scores its part of all texts, and the parts add up.
+Most corpora need one slice (``SLICE_KEYS``). Languages are told apart by 16 bits of a hash; two that share them would share a model.
 
 Nulls count as empty texts: no words, base_failed. Texts too short for one n-gram have no perplexity and are left to the
-base rules. A null language is a language of its own. Bands come from the different texts of a language, so copies neither move nor
-narrow them, are never narrower than the spread of all languages together, and need FEW_TEXTS different texts: a language with fewer is
-left to the base rules. Medians are taken on a fine grid, so reruns agree however the rows are dealt. Texts with many copies teach the
-model once; other repeated rows count as often as they stand. Extra columns are ignored. On an empty table the result is empty.
+base rules. A null language is a language of its own. The model counts each different text of a language once. Bands come from the different texts of a language, so
+copies neither move nor narrow them, and are never narrower than the spread of all languages together; the only text of a language is its own median and stays.
+Medians are taken on a fine grid, so reruns agree however the rows are dealt. Very long texts are a step of their own. Extra columns are ignored. On an empty table the result is empty.
 """
 
 from __future__ import annotations
 
+import heapq
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytescan as B
-from .runtime import cut, join_skewed, passing, per_batch, text_steps
+from .runtime import BROADCAST_IDS, cut, join_skewed, passing, per_batch, small_enough, text_steps
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 ORDER, BITS = 5, 6
 #: Half-widths of the band in scaled median absolute deviations of the language, for a text of the given length: the mean over n
 #: characters spreads as 1 / sqrt(n). At least LEAST nats a character.
 LOWER, UPPER, LEAST = 5.0, 5.0, 0.03
-#: A language with fewer different texts past the base rules has no band.
-FEW_TEXTS = 20
-#: A text that makes up more than one in so many rows teaches the model once: there are at most as many of them.
-OFTEN = 10_000
 #: n-grams of all orders in a slice, about 20 bytes each.
 SLICE_KEYS = 4_000_000
 #: Text bytes measured at once: the arrays of a step take about 60 times as much.
@@ -120,23 +118,65 @@ def discounted(counts: DataFrame) -> DataFrame:
     return rows.select("tongue", "key", "n", F.least(off, F.col("n") * 0.999).alias("off"))
 
 
-def dealt(tongue, last_but_one, slices: int):
-    """The slice of n-grams; the same on columns and on arrays."""
-    return (tongue * (1 << BITS) + last_but_one) * 40503 % 65521 % slices
+@dataclass
+class Deal:
+    """Which slice the n-grams of a cell, a language with their last two classes, go to. ``heads`` holds the slice of unseen cells, by language and last class but one."""
+
+    slices: int
+    cells: np.ndarray
+    slice_of: np.ndarray
+    heads: np.ndarray
+    head_slice: np.ndarray
+
+    def __call__(self, tongue: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        cell = tongue << 2 * BITS | keys & (1 << 2 * BITS) - 1
+        out = found(self.heads, cell >> BITS, self.head_slice, 0)
+        return found(self.cells, cell, self.slice_of, out)
+
+
+def found(table: np.ndarray, keys: np.ndarray, values: np.ndarray, other) -> np.ndarray:
+    """``values`` at the places of ``keys`` in the sorted ``table``, else ``other``."""
+    if not len(table):
+        return np.broadcast_to(other, keys.shape).copy()
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, values[at], other)
+
+
+def cell_column() -> F.Column:
+    return F.shiftleft(F.col("tongue").cast("long"), 2 * BITS).bitwiseOR(F.col("key").bitwiseAND(F.lit((1 << 2 * BITS) - 1)))
+
+
+def deal(tables: list[DataFrame], slices: int) -> Deal:
+    """The largest cells first, each to the smallest slice: at most 4096 cells a language come to the driver."""
+    every = None
+    for rows in tables[1:]:
+        own = rows.groupBy(cell_column().alias("cell")).agg(F.count("*").alias("n"))
+        every = own if every is None else every.union(own)
+    got = every.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cell, n = got.column("cell").to_numpy(), got.column("n").to_numpy()
+    order = np.lexsort((cell, -n))
+    heap, slice_of = [(0, i) for i in range(slices)], np.zeros(len(cell), np.int64)
+    for i in order.tolist():
+        size, k = heapq.heappop(heap)
+        slice_of[i] = k
+        heapq.heappush(heap, (size + int(n[i]), k))
+    heads, first = np.unique(cell[order] >> BITS, return_index=True)
+    at = np.argsort(cell)
+    return Deal(slices, cell[at], slice_of[at], heads, slice_of[order][first])
 
 
 class Model:
     """A slice of all languages' models: by order the sorted keys and log-probabilities, the sorted contexts and their backoff weights."""
 
-    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], part: int = 0, slices: int = 1):
-        self.tables, self.part, self.slices = tables, part, slices
+    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], part: int = 0, how: Deal | None = None):
+        self.tables, self.part, self.how = tables, part, how
 
     def logp(self, tongue: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Log-probability of the last class of each n-gram of this slice; 0 for others."""
         out = np.zeros(len(keys))
         left = np.arange(len(keys))
-        if self.slices > 1:
-            left = left[dealt(tongue, keys >> BITS & (1 << BITS) - 1, self.slices) == self.part]
+        if self.how:
+            left = left[self.how(tongue, keys) == self.part]
         for order in range(ORDER, 0, -1):
             grams_, logp, contexts, weight = self.tables[order - 1]
             if not len(left):
@@ -155,11 +195,11 @@ class Model:
 
 
 def one_each(batches):
-    """The first row of each text_hash of a task."""
-    seen: set[int] = set()
+    """The first row of each text_hash and language of a task."""
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
         first = []
-        for i, h in enumerate(batch.column("text_hash").to_pylist()):
+        for i, h in enumerate(zip(batch.column("text_hash").to_pylist(), batch.column("tongue").to_pylist(), strict=True)):
             if h not in seen:
                 seen.add(h)
                 first.append(i)
@@ -167,15 +207,14 @@ def one_each(batches):
             yield batch.take(pa.array(first, pa.int64()))
 
 
-def taught(docs: DataFrame, often: int = OFTEN) -> DataFrame:
-    """The texts that the model counts: all rows, but texts with many copies once, which would else look too likely."""
+def taught(docs: DataFrame) -> DataFrame:
+    """The texts that the model counts: each different one of a language once. Only texts that have copies are exchanged, and of these one for each task."""
     rows = docs.select("text_hash", "tongue", "text")
-    total = docs.count()
-    many = cut(rows.groupBy("text_hash").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") * often > total)).select("text_hash"))
+    many = cut(rows.groupBy("text_hash").agg(F.count("*").alias("n")).where("n > 1").select("text_hash"))
     if many.isEmpty():
         return rows.select("tongue", "text")
-    many = F.broadcast(many)  # at most ``often`` hashes
-    once = per_batch(rows.join(many, "text_hash", "left_semi"), one_each, "text_hash long, tongue int, text string").dropDuplicates(["text_hash"])
+    many = F.broadcast(many) if small_enough(many, BROADCAST_IDS) else many
+    once = per_batch(rows.join(many, "text_hash", "left_semi"), one_each, "text_hash long, tongue int, text string").dropDuplicates(["text_hash", "tongue"])
     return rows.join(many, "text_hash", "left_anti").select("tongue", "text").union(once.select("tongue", "text"))
 
 
@@ -201,21 +240,26 @@ def model(docs: DataFrame) -> list[DataFrame]:
     return tables
 
 
-def sent(tables: list[DataFrame], part: int, slices: int) -> Model:
+def sent(tables: list[DataFrame], part: int, how: Deal | None) -> Model:
     """One slice, as arrays. Single classes and the empty context belong to every slice."""
     arrays = []
     for order, rows in enumerate(tables, 1):
-        last = F.shiftright("key", BITS).bitwiseAND(F.lit((1 << BITS) - 1))
-        own = rows.where(dealt(F.col("tongue"), last, slices) == part) if slices > 1 and order > 1 else rows
+        own, around = rows, rows
+        if how and order > 1:
+            spark, mine = rows.sparkSession, how.cells[how.slice_of == part]
+            heads = np.union1d(mine >> BITS, how.heads[how.head_slice == part])
+            column = lambda a: F.broadcast(spark.createDataFrame(pa.table({"__c": pa.array(a, pa.int64())})))  # noqa: E731  (at most 4096 a language)
+            own = rows.join(column(mine), cell_column() == F.col("__c"), "left_semi")
+            around = rows.join(column(heads), F.shiftright(cell_column(), BITS) == F.col("__c"), "left_semi")
         got = own.select("tongue", "key", "p").toArrow()
-        contexts = own.select("tongue", "context", "weight").distinct().toArrow()
+        contexts = around.select("tongue", "context", "weight").distinct().toArrow()
         pair = []
         for table, name, value, n in ((got, "key", "p", order), (contexts, "context", "weight", order - 1)):
             key = with_tongue(table.column("tongue").to_numpy().astype(np.int64), table.column(name).to_numpy(), n)
             at = np.argsort(key)
             pair += [key[at], np.log(np.maximum(table.column(value).to_numpy()[at], 1e-12)).astype(np.float32)]
         arrays.append(tuple(pair))
-    return Model(arrays, part, slices)
+    return Model(arrays, part, how)
 
 
 def totals(scorer: Model | None, keys: np.ndarray, row: np.ndarray, tongue: np.ndarray) -> np.ndarray:
@@ -308,9 +352,10 @@ def measures(docs: DataFrame, slice_keys: int) -> DataFrame:
     tables = model(docs)
     size = sum(t.count() for t in tables)
     slices = max(1, -(-size // slice_keys))
+    how = deal(tables, slices) if slices > 1 else None
     rows, more = None, []
     for part in range(slices):
-        scorer = spark.sparkContext.broadcast(sent(tables, part, slices))
+        scorer = spark.sparkContext.broadcast(sent(tables, part, how))
         if rows is None:
             rows = cut(per_batch(docs, lambda it, s=scorer: measured(it, s.value), SCHEMA))
         else:  # repeated rows share a key and a total
@@ -329,7 +374,7 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.withColumn("tongue", F.pmod(F.xxhash64("lang"), F.lit(1 << 16)).cast("int"))
 
 
-def quality(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, least: float = LEAST, few: int = FEW_TEXTS, slice_keys: int = SLICE_KEYS) -> DataFrame:
+def quality(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, least: float = LEAST, slice_keys: int = SLICE_KEYS) -> DataFrame:
     """Measures, base_failed and kept of each row of ``docs`` (doc_id, text, lang)."""
     docs = prepared(docs)
     with passing(docs.sparkSession) as keep:
@@ -340,7 +385,7 @@ def quality(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, least:
         # One value for each different text of a language, however often it stands.
         good = rows.where("not base_failed and log_perplexity is not null").groupBy("lang", "text_hash")
         good = cut(good.agg(F.max("log_perplexity").alias("lp"), F.max("n_grams").alias("n_grams")))
-        middle = medians(good, F.col("lp"), 1e-4, "lang").where(F.col("n") >= few).select(F.col("by").alias("l"), F.col("median").alias("mid"))
+        middle = medians(good, F.col("lp"), 1e-4, "lang").select(F.col("by").alias("l"), F.col("median").alias("mid"))
         spread = good.join(middle, F.col("lang").eqNullSafe(F.col("l")))
         dev = F.abs(F.col("lp") - F.col("mid")) * F.sqrt("n_grams")
         pooled = medians(spread, dev, 1e-2).first()

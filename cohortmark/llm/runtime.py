@@ -48,10 +48,16 @@ def give_up(keep: str | None) -> None:
         held.pop(k)()
     if others:
         gc.collect()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):  # another C library: the memory stays with the process
-            return
+        trim()
+
+
+def trim() -> None:
+    """Give memory that nothing uses back to the machine: a worker stays, idle, after its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: the memory stays with the process
+        return
 
 
 def per_batch(df: DataFrame, step: Callable, schema: str, keep: str | None = None) -> DataFrame:
@@ -61,6 +67,7 @@ def per_batch(df: DataFrame, step: Callable, schema: str, keep: str | None = Non
     def run(batches):
         give_up(keep)
         yield from step(batches)
+        trim()
 
     return df.mapInArrow(run, schema)
 

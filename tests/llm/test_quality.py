@@ -49,7 +49,7 @@ def test_measures_on_hard_rows(spark):
 
 def test_model_is_a_distribution(spark):
     docs = Q.prepared(frame(spark, corpus()))
-    m, tongue = Q.sent(Q.model(docs), 0, 1), docs.select("tongue").first()[0]
+    m, tongue = Q.sent(Q.model(docs), 0, None), docs.select("tongue").first()[0]
     for context in ("nere", "then", "x#qz", "  .a"):
         head = 0
         for b in context.encode():
@@ -125,3 +125,18 @@ def test_copies_do_not_narrow_the_bands(spark):
     got = {r.doc_id: r for r in Q.quality(frame(spark, rows + copies + rare + [junk])).collect()}
     assert sorted(i for i, r in got.items() if not r.base_failed and not r.kept) == [900]
     assert sum(r.kept for r in got.values()) > 0.9 * (len(got) - 1)
+
+
+def test_slices_are_balanced_and_copies_count_once(spark):
+    docs = Q.prepared(frame(spark, corpus(), extra=False))
+    tables = Q.model(docs)
+    how = Q.deal(tables, 7)
+    held = np.zeros(7)
+    for t in tables[1:]:
+        rows = t.select("tongue", "key").toArrow()
+        np.add.at(held, how(rows.column("tongue").to_numpy().astype(np.int64), rows.column("key").to_numpy()), 1)
+    assert held.max() <= 1.2 * held.mean() and held.min() > 0
+    size = sum(len(Q.sent(tables, k, how).tables[4][0]) for k in range(7))
+    assert size == tables[4].count()
+    again = Q.taught(Q.prepared(frame(spark, corpus() + [(i, t, lang, s) for i, t, lang, s in corpus()[:20] * 3], extra=False)))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, Q.taught(docs).collect()))
