@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortmark.functions import sequence as S
+from cohortmark.operators import chain as G
 from cohortmark.operators import classify as C
 from cohortmark.operators import design as D
 from cohortmark.operators import diversity as V
@@ -571,6 +572,28 @@ def design_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.design_primer_pairs(s.withColumn("name", F.col("seq_id")), D.Design())
 
 
+_DIAGONAL = "ref_name, qry_name, ref, qry, minus, diag"
+
+
+@registered(f"""WITH {T.SEQUENCES}, w AS (SELECT name, seq_id, i - 1 AS pos, substr(seq, i::INT, 20) AS kmer FROM (SELECT *, unnest(range(1, length(seq) - 18)) AS i FROM seqs WHERE length(seq) >= 20)),
+w2 AS (SELECT *, reverse(translate(kmer, 'ACGT', 'TGCA')) AS back FROM w WHERE regexp_matches(kmer, '^[ACGT]+$')),
+once AS (SELECT name, least(kmer, back) AS word, min(seq_id) AS seq_id, min(pos) AS pos, bool_or(kmer > back) AS flip FROM w2 WHERE kmer <> back GROUP BY name, least(kmer, back) HAVING count(*) = 1),
+anc AS (SELECT *, x - y AS diag FROM (SELECT a.name AS ref_name, b.name AS qry_name, a.seq_id AS ref, b.seq_id AS qry, a.flip <> b.flip AS minus, a.pos AS x, CASE WHEN a.flip <> b.flip THEN -(b.pos + 20) ELSE b.pos END AS y
+  FROM once a JOIN once b ON a.word = b.word AND a.name < b.name)),
+g AS (SELECT *, lag(x) OVER (PARTITION BY {_DIAGONAL} ORDER BY x) AS before FROM anc),
+h AS (SELECT *, sum((before IS NULL OR x > before + 20)::INT) OVER (PARTITION BY {_DIAGONAL} ORDER BY x ROWS UNBOUNDED PRECEDING) AS run FROM g)
+SELECT ref_name, qry_name, ref, qry, minus, min(x)::BIGINT AS rs, (max(x) + 20)::BIGINT AS re, (min(x) - diag)::BIGINT AS ys, (max(x) + 20 - diag)::BIGINT AS ye FROM h GROUP BY {_DIAGONAL}, run""")
+def conserved_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact segments on either strand that sources share, from words that stand once in each."""
+    return G.segments(G.anchors(T.sequences(spark, sf_dir), 20), 20)
+
+
+@registered()
+def genome_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources aligned with each other through indels, on both strands. Chains are no SQL: tests rebuild every alignment from its numbers."""
+    return G.alignments(T.sequences(spark, sf_dir), 20, 60, 60)
+
+
 @registered()
 def conserved_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches that the records of a genome share with the benchmark texts."""
