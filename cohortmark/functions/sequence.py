@@ -43,6 +43,35 @@ def melting_temp(seq: Column) -> Column:
     return F.when(n < 14, 2.0 * at + 4.0 * gc).otherwise(64.9 + 41.0 * (gc - 16.4) / n)
 
 
+#: Unified nearest-neighbour enthalpies (kcal/mol) and entropies (cal/mol/K) of dinucleotides read 5' to 3'; a pair of neighbours on the other strand
+#: has the same. Then those of a terminal G or C, of a terminal A or T, and the entropy of symmetry.
+STACKS = {
+    "AA": (-7.9, -22.2), "AT": (-7.2, -20.4), "TA": (-7.2, -21.3), "CA": (-8.5, -22.7), "GT": (-8.4, -22.4),
+    "CT": (-7.8, -21.0), "GA": (-8.2, -22.2), "CG": (-10.6, -27.2), "GC": (-9.8, -24.4), "GG": (-8.0, -19.9),
+}
+TERMINAL_GC, TERMINAL_AT, SYMMETRY = (0.1, -2.8), (2.3, 4.1), -1.4
+#: Fixed value: the gas constant in cal/mol/K.
+GAS = 1.987
+
+
+def stacking(seq: Column, which: int) -> Column:
+    """Sum over neighbours and ends of the enthalpy (0) or the entropy (1) of an upper-case duplex of A, C, G and T; null for other codes."""
+    other = str.maketrans("ACGT", "TGCA")
+    both = STACKS | {k[::-1].translate(other): v for k, v in STACKS.items()}
+    value = F.create_map(*[F.lit(x) for k, v in sorted(both.items()) for x in (k, v[which])])
+    pairs = F.transform(F.sequence(F.lit(1), F.length(seq) - 1), lambda i: F.try_element_at(value, F.substring(seq, i, F.lit(2))))
+    end = lambda at: F.when(F.substring(seq, at, 1).isin("G", "C"), TERMINAL_GC[which]).otherwise(TERMINAL_AT[which])
+    total = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x) + end(1) + end(-1)
+    return F.when((F.length(seq) > 1) & seq.rlike("^[ACGT]+$"), total)
+
+
+def nearest_neighbour_temp(seq: Column, salt: float = 0.05, strands: float = 5e-8) -> Column:
+    """Melting temperature by stacking of neighbours, with monovalent ``salt`` and a total concentration of ``strands`` in mol/l. Null for other codes than A, C, G and T."""
+    own = seq == reverse_complement(seq)
+    entropy = stacking(seq, 1) + F.when(own, SYMMETRY).otherwise(0.0) + 0.368 * (F.length(seq) - 1) * F.log(F.lit(salt))
+    return 1000.0 * stacking(seq, 0) / (entropy + GAS * F.log(F.when(own, strands).otherwise(strands / 4))) - 273.15
+
+
 def has_run(seq: Column, longest: int) -> Column:
     """True if some base stands more than ``longest`` times in a row."""
     return F.upper(seq).rlike("|".join(f"{b}{{{longest + 1}}}" for b in "ACGT"))

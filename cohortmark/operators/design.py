@@ -1,20 +1,28 @@
-"""Design of candidate primer pairs by enumeration: every k-mer, filtered, joined by product size, ranked by penalty."""
+"""Design of candidate primer pairs by enumeration: every k-mer, filtered, joined by product size, ranked by penalty; with probes between them if asked for.
+
+A pair with a probe is a range join of three sides. It is not made as one: each forward primer first learns where the first probe behind it ends, so a pair is known to have
+one by a comparison, and only the best pairs then look for their best probe.
+"""
 
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortmark.functions.sequence import gc_percent, has_run, melting_temp, reverse_complement
+from cohortmark.functions.sequence import gc_percent, has_run, melting_temp, nearest_neighbour_temp, reverse_complement
 
 from .search import windows
+from .storage import ship
 
 
 @dataclass(frozen=True)
 class Design:
-    """Parameters and their defaults."""
+    """Parameters and their defaults. ``max_*`` are the longest runs of complementary bases allowed (None: any): within an oligo and its copies, within a pair, and those
+    that the 3' end takes part in."""
 
     num_return: int = 10
     size_min: int = 18
@@ -32,6 +40,23 @@ class Design:
     product_opt: int = 100
     product_max: int = 150
     poly_x: int = 3
+    probe: bool = False
+    probe_size_min: int = 13
+    probe_size_opt: int = 20
+    probe_size_max: int = 30
+    probe_tm_min: float = 68.0
+    probe_tm_opt: float = 69.0
+    probe_tm_max: float = 70.0
+    probe_gc_min: float = 30.0
+    probe_gc_opt: float = 55.0
+    probe_gc_max: float = 80.0
+    nearest_neighbours: bool = False
+    salt: float = 0.05
+    strands: float = 5e-8
+    max_self: int | None = None
+    max_self_end: int | None = None
+    max_pair: int | None = None
+    max_pair_end: int | None = None
 
 
 def boulder_input(names: DataFrame, design: Design = Design()) -> DataFrame:
@@ -40,42 +65,125 @@ def boulder_input(names: DataFrame, design: Design = Design()) -> DataFrame:
     return names.select("name", F.concat_ws("\n", F.concat(F.lit("SEQUENCE_ID="), F.col("name")), *map(F.lit, lines), F.lit("=")).alias("value"))
 
 
-def oligos(sequences: DataFrame, d: Design) -> DataFrame:
-    """Acceptable k-mers of all sizes with tm, gc and penalty; pos from 0."""
+def bonds(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each two oligos the longest run of bases of the first that pair with neighbouring ones of the second, and the longest that holds the first's 3' end.
+
+    All pairs at once, along each diagonal of the first against the second's reverse complement.
+    """
+    other = str.maketrans("ACGT", "TGCA")
+    n, m = max(map(len, a), default=0), max(map(len, b), default=0)
+    x, y = np.full((len(a), n), 1, np.uint8), np.full((len(a), m), 2, np.uint8)
+    for i, (p, q) in enumerate(zip(a, b, strict=True)):
+        x[i, n - len(p) :] = np.frombuffer(p.encode(), np.uint8)
+        y[i, : len(q)] = np.frombuffer(q[::-1].translate(other).encode(), np.uint8)
+    x[~np.isin(x, list(b"ACGT"))] = 1
+    most, end = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+    for s in range(1 - m, n):
+        run = np.zeros(len(a), np.int64)
+        for i in range(max(0, s), min(n, s + m)):
+            run = (run + 1) * (x[:, i] == y[:, i - s])
+            np.maximum(most, run, out=most)
+        if s + m >= n:
+            np.maximum(end, run, out=end)
+    return most, end
+
+
+def unbound(rows: DataFrame, a: str, b: str, most: int | None, end: int | None) -> DataFrame:
+    """Rows whose oligos ``a`` and ``b`` have no longer runs of complementary bases than allowed, the 3' ends of both looked at."""
+    if most is None and end is None:
+        return rows
+    ship(rows.sparkSession)
+
+    def step(batches):
+        for batch in batches:
+            x, y = batch.column(a).to_pylist(), batch.column(b).to_pylist()
+            (any1, end1), (_, end2) = bonds(x, y), bonds(y, x)
+            keep = np.ones(len(x), bool) if most is None else any1 <= most
+            if end is not None:
+                keep &= (end1 <= end) & (end2 <= end)
+            yield batch.filter(pa.array(keep))
+
+    return rows.mapInArrow(step, rows.schema)
+
+
+def oligos(sequences: DataFrame, d: Design, probe: bool = False) -> DataFrame:
+    """Acceptable k-mers of all sizes with tm, gc and penalty; pos from 0. Of forward strand; the bounds are those of primers or of probes."""
+    low, opt, high = (d.probe_size_min, d.probe_size_opt, d.probe_size_max) if probe else (d.size_min, d.size_opt, d.size_max)
+    tm_min, tm_opt, tm_max = (d.probe_tm_min, d.probe_tm_opt, d.probe_tm_max) if probe else (d.tm_min, d.tm_opt, d.tm_max)
+    gc_min, gc_max = (d.probe_gc_min, d.probe_gc_max) if probe else (d.gc_min, d.gc_max)
     out = None
-    for k in range(d.size_min, d.size_max + 1):
+    for k in range(low, high + 1):
         w = windows(sequences.select("name", "seq_id", F.upper("seq").alias("seq")), k).where(F.col("kmer").rlike("^[ACGT]+$"))
         out = w if out is None else out.union(w)
-    out = out.withColumn("n", F.length("kmer")).withColumn("gc", gc_percent(F.col("kmer"))).withColumn("tm", melting_temp(F.col("kmer")))
-    out = out.where(F.col("gc").between(d.gc_min, d.gc_max) & F.col("tm").between(d.tm_min, d.tm_max) & ~has_run(F.col("kmer"), d.poly_x))
-    return out.withColumn("penalty", F.abs(F.col("n") - d.size_opt) + F.abs(F.col("tm") - d.tm_opt))
+    tm = nearest_neighbour_temp(F.col("kmer"), d.salt, d.strands) if d.nearest_neighbours else melting_temp(F.col("kmer"))
+    out = out.withColumn("n", F.length("kmer")).withColumn("gc", gc_percent(F.col("kmer"))).withColumn("tm", tm)
+    out = out.where(F.col("gc").between(gc_min, gc_max) & F.col("tm").between(tm_min, tm_max) & ~has_run(F.col("kmer"), d.poly_x))
+    out = out.withColumn("penalty", F.abs(F.col("n") - opt) + F.abs(F.col("tm") - tm_opt))
+    return unbound(out, "kmer", "kmer", d.max_self, d.max_self_end)
+
+
+def _inside(pairs: DataFrame, probes: DataFrame, begin, end, reach: int) -> DataFrame:
+    """``pairs`` with the probes (ppos, pn and others) that lie in [begin, end), a stretch of less than ``reach`` bases: by bins."""
+    cells = F.array_distinct(F.array(F.floor(begin / reach), F.floor(end / reach)))
+    rows = pairs.withColumn("bin", F.explode(cells)).join(probes.withColumn("bin", F.floor(F.col("ppos") / reach)), ["name", "seq_id", "bin"])
+    return rows.where((F.col("ppos") >= begin) & (F.col("ppos") + F.col("pn") <= end)).drop("bin")
 
 
 def design_primer_pairs(sequences: DataFrame, design: Design = Design()) -> DataFrame:
     """The best pairs of each genome, in the columns of primer tables, with penalty; names are numbered by rank.
 
-    Thermodynamics beyond GC content and length is not modelled.
+    With ``probe``, only pairs that have room for an acceptable probe between their primers, each with its best one (least penalty, then the first, then the shortest).
+    Pairs whose primers bind each other more than allowed are passed over and the next best come up.
     """
     d = design
     found = oligos(sequences, d)
     left = found.select("name", "seq_id", F.col("pos").alias("lpos"), F.col("kmer").alias("lseq"), F.col("n").alias("ln"), F.col("tm").alias("ltm"), F.col("gc").alias("lgc"), F.col("penalty").alias("lpen"))
     right = found.select("name", "seq_id", F.col("pos").alias("rpos"), F.col("kmer").alias("rsite"), F.col("n").alias("rn"), F.col("tm").alias("rtm"), F.col("gc").alias("rgc"), F.col("penalty").alias("rpen"))
+    probes = None
+    if d.probe:
+        probes = oligos(sequences, d, probe=True).select("name", "seq_id", F.col("pos").alias("ppos"), F.col("n").alias("pn"), F.col("kmer").alias("pseq"), F.col("tm").alias("ptm"), F.col("gc").alias("pgc"), F.col("penalty").alias("ppen"))
+        ends = _inside(left.select("name", "seq_id", "lpos", "ln"), probes.select("name", "seq_id", "ppos", "pn"), F.col("lpos") + F.col("ln"), F.col("lpos") + d.product_max, d.product_max)
+        left = left.join(ends.groupBy("name", "seq_id", "lpos", "ln").agg(F.min(F.col("ppos") + F.col("pn")).alias("probe_end")), ["name", "seq_id", "lpos", "ln"])
     left = left.withColumn("bin", F.explode(F.array(F.floor(F.col("lpos") / d.product_max), F.floor(F.col("lpos") / d.product_max) + 1)))
     right = right.withColumn("bin", F.floor(F.col("rpos") / d.product_max))
     pairs = left.join(right, ["name", "seq_id", "bin"]).withColumn("size", F.col("rpos") + F.col("rn") - F.col("lpos"))
     pairs = pairs.where(F.col("size").between(d.product_min, d.product_max) & (F.col("rpos") >= F.col("lpos") + F.col("ln")))
+    if d.probe:
+        pairs = pairs.where(F.col("probe_end") <= F.col("rpos")).drop("probe_end")
     off = F.col("size") - d.product_opt
     pairs = pairs.withColumn("penalty", F.round(F.col("lpen") + F.col("rpen") + F.when(off < 0, -off * d.wt_lt).otherwise(off * d.wt_gt), 6))
-    pairs = top_n(pairs, "name", ["penalty", "seq_id", "lpos", "rpos", "ln", "rn"], d.num_return)
-    return pairs.select(
+    order = ["penalty", "seq_id", "lpos", "rpos", "ln", "rn"]
+    best = _best_unbound(pairs, order, d)
+    empty = {"pseq": F.lit(""), "ppos": F.lit(-1), "pn": F.lit(0), "ptm": F.lit(0.0), "pgc": F.lit(0.0)}
+    if d.probe:
+        inside = _inside(best, probes, F.col("lpos") + F.col("ln"), F.col("rpos"), d.product_max)
+        best = top_n(inside.drop("rank").withColumn("key", F.struct("name", *order)), "key", ["ppen", "ppos", "pn"], 1).drop("rank", "key")
+        best = top_n(best, "name", order, d.num_return)
+    else:
+        best = best.withColumns(empty)
+    return best.select(
         F.format_string("%s_primer_%05d", "name", "rank").alias("name"), F.col("size").cast("long").alias("size"),
         F.col("lseq").alias("forward_seq"), (F.col("lpos") + 1).cast("long").alias("forward_start"), F.col("ln").cast("long").alias("forward_length"), F.col("ltm").alias("forward_tm"), F.col("lgc").alias("forward_gc"),
         reverse_complement(F.col("rsite")).alias("reverse_seq"), (F.col("rpos") + 1).cast("long").alias("reverse_start"), F.col("rn").cast("long").alias("reverse_length"), F.col("rtm").alias("reverse_tm"), F.col("rgc").alias("reverse_gc"),
-        F.lit("").alias("internal_seq"), F.lit(0).cast("long").alias("internal_start"), F.lit(0).cast("long").alias("internal_length"), F.lit(0.0).alias("internal_tm"), F.lit(0.0).alias("internal_gc"),
+        F.col("pseq").alias("internal_seq"), (F.col("ppos") + 1).cast("long").alias("internal_start"), F.col("pn").cast("long").alias("internal_length"), F.col("ptm").alias("internal_tm"), F.col("pgc").alias("internal_gc"),
         F.col("seq_id").alias("source"), F.col("name").alias("sourcename"), "penalty",
     )
 
 
+def _best_unbound(pairs: DataFrame, order: list[str], d: Design) -> DataFrame:
+    """The ``num_return`` best pairs of each genome whose primers do not bind each other. Bonds are only looked for among the best; more are taken while a genome lacks some."""
+    if d.max_pair is None and d.max_pair_end is None:
+        return top_n(pairs, "name", order, d.num_return)
+    take = 4 * d.num_return
+    while True:
+        some = top_n(pairs, "name", order, take).withColumn("rseq", reverse_complement(F.col("rsite")))
+        free = unbound(some, "lseq", "rseq", d.max_pair, d.max_pair_end).drop("rank", "rseq")
+        lacking = free.groupBy("name").agg(F.count("*").alias("free")).join(some.groupBy("name").agg(F.count("*").alias("all")), "name", "right")
+        if lacking.where((F.coalesce("free", F.lit(0)) < d.num_return) & (F.col("all") == take)).isEmpty():
+            return top_n(free, "name", order, d.num_return)
+        take *= 4
+
+
 def top_n(rows: DataFrame, by: str, order: list[str], n: int) -> DataFrame:
     """The first n rows of each group, with their rank from 1."""
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= n)
