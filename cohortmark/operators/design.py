@@ -60,8 +60,8 @@ class Design:
 
 
 def boulder_input(names: DataFrame, design: Design = Design()) -> DataFrame:
-    """name, value: the parameters of a design request as key=value lines, one request for each genome."""
-    lines = [f"{k.upper()}={v}" for k, v in asdict(design).items()]
+    """name, value: the parameters of a design request as key=value lines, one request for each genome. Parameters that are not set are left out, yes and no are 1 and 0."""
+    lines = [f"{k.upper()}={int(v) if isinstance(v, bool) else v}" for k, v in asdict(design).items() if v is not None]
     return names.select("name", F.concat_ws("\n", F.concat(F.lit("SEQUENCE_ID="), F.col("name")), *map(F.lit, lines), F.lit("=")).alias("value"))
 
 

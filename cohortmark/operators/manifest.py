@@ -42,6 +42,12 @@ def lookup(manifest: DataFrame, name: str) -> DataFrame:
     return manifest.where(F.col("name") == name)
 
 
+def count(manifest: DataFrame) -> DataFrame:
+    """One row: how many genomes and how many different labels."""
+    labels = manifest.select(F.explode("groups").alias("g")).agg(F.count_distinct("g").alias("labels"))
+    return manifest.agg(F.count("*").alias("genomes")).crossJoin(labels)  # one row each
+
+
 def groups_union(old: Column, new: Column) -> Column:
     """Labels after an assignment: old and new ones, sorted. ``new`` is an array."""
     return F.array_sort(F.array_distinct(F.array_union(F.coalesce(old, F.array().cast("array<string>")), new)))

@@ -17,7 +17,9 @@ from cohortmark.operators import intervals as I
 from cohortmark.operators import manifest as M
 from cohortmark.operators import search as H
 from cohortmark.operators import sequences as Q
+from cohortmark.operators import star as K
 from cohortmark.operators import tiles as L
+from cohortmark.sources import listing as N
 from cohortmark.sources import readers as R
 from cohortmark.sources import writers as W
 
@@ -194,9 +196,28 @@ def scan_manifest_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_manifest_tab(spark, path).select("name", F.array_join("groups", ",").alias("groups"), "seqfile", "features", "filestem")
 
 
-@registered(f"WITH {T.MANIFEST} SELECT count(*) = 0 AS complete FROM man")
+@registered(f"WITH {T.MANIFEST} SELECT 'every' AS column_of, bool_and(seqfile IS NOT NULL) AS complete FROM man UNION ALL SELECT 'some', bool_and(features IS NOT NULL) FROM man")
 def has_primersearch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.has_primersearch(T.manifest(spark, sf_dir))
+    """With a report for every genome, and with one only for those that have features."""
+    m = T.manifest(spark, sf_dir)
+    every, some = (M.has_primersearch(m.withColumn("primersearch", F.col(c))) for c in ("seqfile", "features"))
+    return every.select(F.lit("every").alias("column_of"), "complete").union(some.select(F.lit("some"), "complete"))
+
+
+@registered(f"WITH {T.MANIFEST} SELECT count(*) AS genomes, (SELECT count(DISTINCT g) FROM (SELECT unnest(groups) AS g FROM man)) AS labels FROM man")
+def count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.count(T.manifest(spark, sf_dir))
+
+
+@registered("SELECT s_name AS stem FROM supplier WHERE s_suppkey % 2 = 1 OR s_suppkey % 10 = 0")
+def pending_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs of every other genome are written, those of every tenth broken: the rest is to do."""
+    s = T.read(spark, sf_dir, "supplier")
+    text = F.when(F.col("s_suppkey") % 10 == 0, F.lit('{"pairs": [1, 2')).otherwise(F.lit('{"pairs": [1, 2]}'))
+    path = T.scratch(spark, "outputs")
+    rows = s.where("s_suppkey % 2 = 0").select(F.concat("s_name", F.lit(".eprimer3")).alias("output"), text.alias("value"))
+    rows.repartition("output").write.partitionBy("output").text(path)
+    return N.pending(s.select(F.col("s_name").alias("stem")), N.outputs(spark, path), "eprimer3", "stem")
 
 
 @registered(f"WITH {T.MANIFEST} SELECT name FROM man WHERE features IS NOT NULL AND name NOT IN (SELECT s_name FROM supplier WHERE s_suppkey % 2 = 0)")
@@ -468,9 +489,20 @@ def marker_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.marker_pareto(_stats(spark, sf_dir)).select("primer", "n_nonunique", "dist_mean")
 
 
-@registered(f"WITH {_STATS} SELECT primer, printf('%.4f', dist_mean) AS dist_mean, n_unique AS \"unique\", n_nonunique AS nonunique FROM stats")
+#: Values have six decimals here; 1e-9 more makes ties of the fourth and second go up, as in the library's format.
+_SUMMARY = f"""{T.AMPLICONS}, {_PAIRS}, {_SHANNON}, st AS (SELECT primer, round(avg(dist), 6) AS m, round(stddev_samp(dist), 6) AS sd, round(min(dist), 6) AS lo, round(max(dist), 6) AS hi FROM prs GROUP BY 1),
+summary AS (SELECT sh.primer, coalesce(m, 0)::DOUBLE AS dist_mean, coalesce(sd, 0)::DOUBLE AS dist_sd, coalesce(lo, 0)::DOUBLE AS dist_min, coalesce(hi, 0)::DOUBLE AS dist_max, n_unique AS "unique", n_nonunique AS nonunique,
+  round(h, 6)::DOUBLE AS shannon_index, round(CASE WHEN n_unique > 1 THEN h / ln(n_unique) ELSE 0 END, 6)::DOUBLE AS shannon_evenness FROM sh LEFT JOIN st ON sh.primer = st.primer)"""
+
+
+def _rounded_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.pairwise_distance_stats(T.amplicons(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("dist_mean", "dist_sd", "dist_min", "dist_max", "shannon", "evenness")})
+
+
+@registered(f"""WITH {_SUMMARY} SELECT primer, printf('%.4f', dist_mean + 1e-9) AS dist_mean, printf('%.4f', dist_sd + 1e-9) AS dist_sd, printf('%.4f', dist_min + 1e-9) AS dist_min, printf('%.4f', dist_max + 1e-9) AS dist_max, "unique", nonunique,
+printf('%.2f', shannon_index + 1e-9) AS shannon_index, printf('%.2f', shannon_evenness + 1e-9) AS shannon_evenness FROM summary""")
 def write_distance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.distance_summary(_stats(spark, sf_dir)).select("primer", "dist_mean", "unique", "nonunique")
+    return W.distance_summary(_rounded_stats(spark, sf_dir))
 
 
 # Matching
@@ -604,19 +636,26 @@ def conserved_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Formats
 
 
+def _written(spark: SparkSession, primers: DataFrame, fmt: str) -> DataFrame:
+    """The lines of a file of primers."""
+    path = T.scratch(spark, fmt)
+    W.write_primers(primers, path, fmt)
+    return spark.read.text(path).select("value")
+
+
 @registered(f"WITH {T.PRIMERS} SELECT name || chr(9) || forward_seq || chr(9) || reverse_seq AS value FROM primers UNION ALL SELECT '# PRIMERS' UNION ALL SELECT '# Name       FWD        REV'")
 def write_primers_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.primers_tsv(T.primers(spark, sf_dir)).select("value")
+    return _written(spark, T.primers(spark, sf_dir), "tsv")
 
 
-@registered(f"WITH {T.PRIMERS} SELECT '>' || name || '_fwd' || chr(10) || forward_seq AS value FROM primers UNION ALL SELECT '>' || name || '_rev' || chr(10) || reverse_seq FROM primers")
+@registered(f"""WITH {T.PRIMERS} SELECT unnest(['>' || name || '_fwd', forward_seq, '>' || name || '_rev', reverse_seq]) AS value FROM primers""")
 def write_primers_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.primers_fasta(T.primers(spark, sf_dir)).select("value")
+    return _written(spark, T.primers(spark, sf_dir), "fasta")
 
 
 @registered(f"WITH {T.PRIMERS} SELECT source || chr(9) || '1' || chr(9) || '80' || chr(9) || name AS value FROM primers")
 def write_primers_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.primers_bed(T.primers(spark, sf_dir).withColumn("source_id", F.col("source"))).select("value")
+    return _written(spark, T.primers(spark, sf_dir).withColumn("source_id", F.col("source")), "bed")
 
 
 @registered(f"WITH {T.PRIMERS} SELECT name, forward_seq, reverse_seq, 100::BIGINT AS size, 1::BIGINT AS forward_start, 81::BIGINT AS reverse_start, 59.5::DOUBLE AS forward_tm, 45.0::DOUBLE AS reverse_gc FROM primers")
@@ -627,11 +666,14 @@ def scan_primers_eprimer3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_primers(spark, path + "/*", "eprimer3", noname=True).select("name", "forward_seq", "reverse_seq", "size", "forward_start", "reverse_start", "forward_tm", "reverse_gc")
 
 
-@registered(f"WITH {T.PRIMERS} SELECT name, forward_seq, reverse_seq, sourcename FROM primers")
+_ROUND = "name, forward_seq, reverse_seq, sourcename, 100::BIGINT AS size, 1::BIGINT AS forward_start, 81::BIGINT AS reverse_start, 59.5::DOUBLE AS forward_tm, 45.0::DOUBLE AS reverse_gc"
+
+
+@registered(f"WITH {T.PRIMERS} SELECT {_ROUND} FROM primers")
 def scan_primers_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = T.scratch(spark, "primers")
     W.write_primers(T.primers(spark, sf_dir), path, "json")
-    return spark.read.schema(R.PRIMER_SCHEMA).json(path).select("name", "forward_seq", "reverse_seq", "sourcename")
+    return R.scan_primers(spark, path, "json").select("name", "forward_seq", "reverse_seq", "sourcename", "size", "forward_start", "reverse_start", "forward_tm", "reverse_gc")
 
 
 @registered(f"WITH {T.SEQUENCES} SELECT seq_id, md5(seq) AS digest FROM seqs WHERE seq <> ''")
@@ -667,9 +709,8 @@ def _delta(spark: SparkSession, sf_dir: str) -> str:
     n = F.length("seq").cast("long")
     indels = F.when(F.col("ord") % 2 == 0, F.array(F.lit(3), F.lit(-4))).otherwise(F.array().cast("array<int>")).cast("array<bigint>")
     rows = s.select(F.col("name").alias("file"), F.col("ord").alias("header_no"), F.col("ord").alias("row_no"), F.col("name").alias("ref"), F.col("seq_id").alias("qry"), n.alias("ref_length"), n.alias("qry_length"), F.lit(1).alias("ref_start"), n.alias("ref_end"), F.lit(1).alias("qry_start"), n.alias("qry_end"), (F.col("ord") % 5).alias("errors"), (F.col("ord") % 5).alias("sim_errors"), F.lit(0).alias("stops"), indels.alias("indels"))
-    head = s.select(F.col("name").alias("file"), F.lit(-1).cast("long").alias("row_no"), F.concat(F.lit("in/"), "name", F.lit(".fas out/x.fas\nNUCMER")).alias("value")).distinct()
     path = T.scratch(spark, "delta")
-    W._text(head.union(W.delta_text(rows).select("file", "row_no", "value")), path, ["row_no"], ["file"])
+    W.write_delta(rows.withColumn("paths", F.concat(F.lit("in/"), "file", F.lit(".fas out/x.fas"))), path)
     return path
 
 
@@ -731,14 +772,14 @@ def scan_primers_primer3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT o_orderpriority AS target, 'c' || o_custkey AS primer_name, o_orderkey::BIGINT AS fwd_start, o_orderkey::BIGINT + 100 AS rev_end FROM orders")
 def scan_target_amplicons_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = T.read(spark, sf_dir, "orders")
+    """A file of one object for every hundred customers: their amplimers by target."""
+    o = T.read(spark, sf_dir, "orders").withColumn("file", F.floor(F.col("o_custkey") / 100))
     arm = lambda s: F.array(F.lit("ACGT"), s.cast("string"), s.cast("string"))
     amp = F.struct(arm(F.col("o_orderkey")).alias("_fwd"), arm(F.col("o_orderkey") + 100).alias("_rev"), F.lit(100).alias("_len"), F.lit("Amplimer 1").alias("_name"), F.lit("s").alias("_seqname"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("primer_name"), F.lit("f").alias("target"), F.lit("s").alias("target_fasta_id"))
-    # A file for each customer's amplimers, by target.
-    rows = o.groupBy("o_custkey", "o_orderpriority").agg(F.collect_list(amp).alias("a")).groupBy("o_custkey").agg(F.map_from_arrays(F.collect_list("o_orderpriority"), F.collect_list("a")).alias("m"))
+    rows = o.groupBy("file", "o_orderpriority").agg(F.collect_list(amp).alias("a")).groupBy("file").agg(F.map_from_arrays(F.collect_list("o_orderpriority"), F.collect_list("a")).alias("m"))
     path = T.scratch(spark, "amplicons")
-    rows.select(F.to_json("m").alias("value")).write.text(path)
-    return R.amplicon_rows(spark.read.text(path).select("value")).select("target", "primer_name", F.col("fwd.start").alias("fwd_start"), F.col("rev.end").alias("rev_end"))
+    rows.select("file", F.to_json("m").alias("value")).write.partitionBy("file").text(path)
+    return R.scan_target_amplicons_json(spark, path).select("target", "primer_name", F.col("fwd.start").alias("fwd_start"), F.col("rev.end").alias("rev_end"))
 
 
 @registered("SELECT n_name AS target, 'r' || n_nationkey AS report FROM nation")
@@ -759,11 +800,21 @@ def scan_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scan_features(spark, path, "gff").select("chrom", "start", "end")
 
 
-@registered(f"WITH {_STATS} SELECT primer, round(dist_mean, 4) AS dist_mean, n_unique::INT AS \"unique\" FROM stats")
+@registered(f"""WITH {T.INTERVALS} SELECT 'u' || chrom AS chrom, "start", "end" FROM iv""")
+def scan_features_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    iv = T.intervals(spark, sf_dir)
+    line = F.concat_ws("\t", F.concat(F.lit("u"), F.col("chrom").cast("string")), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("id"))
+    path = T.scratch(spark, "features") + ".bed"
+    iv.select(line.alias("value")).write.text(path)
+    return R.scan_features(spark, path).select("chrom", "start", "end")
+
+
+@registered(f"""WITH {_SUMMARY} SELECT primer, round(dist_mean, 4) AS dist_mean, round(dist_sd, 4) AS dist_sd, round(dist_min, 4) AS dist_min, round(dist_max, 4) AS dist_max,
+"unique"::INT AS "unique", nonunique::INT AS nonunique, round(shannon_index, 2) AS shannon_index, round(shannon_evenness, 2) AS shannon_evenness FROM summary""")
 def scan_distance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = T.scratch(spark, "distances")
-    W.write_distance_summary(_stats(spark, sf_dir), path)
-    return R.scan_distance_table(spark, path).select("primer", F.round("dist_mean", 4).alias("dist_mean"), "unique")
+    W.write_distance_summary(_rounded_stats(spark, sf_dir), path)
+    return R.scan_distance_table(spark, path)
 
 
 @registered(f"WITH {T.HEADS} SELECT amplicon_name AS seq_id, seq FROM amps")
@@ -793,10 +844,32 @@ def write_bedgenome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("seq_id string, length int").csv(path, sep="\t")
 
 
-@registered("SELECT s_name AS name, count(*) AS n FROM (SELECT s_name, unnest(['SEQUENCE_ID', 'NUM_RETURN', 'SIZE_MIN', 'SIZE_OPT', 'SIZE_MAX', 'WT_LT', 'WT_GT', 'TM_MIN', 'TM_OPT', 'TM_MAX', 'GC_MIN', 'GC_OPT', 'GC_MAX', 'PRODUCT_MIN', 'PRODUCT_OPT', 'PRODUCT_MAX', 'POLY_X', '=']) FROM supplier) GROUP BY 1")
+_REQUEST = """'NUM_RETURN=10', 'SIZE_MIN=18', 'SIZE_OPT=20', 'SIZE_MAX=22', 'WT_LT=1.0', 'WT_GT=1.0', 'TM_MIN=58.0', 'TM_OPT=59.0', 'TM_MAX=60.0', 'GC_MIN=30.0', 'GC_OPT=55.0', 'GC_MAX=80.0',
+'PRODUCT_MIN=50', 'PRODUCT_OPT=100', 'PRODUCT_MAX=150', 'POLY_X=3', 'PROBE=0', 'PROBE_SIZE_MIN=13', 'PROBE_SIZE_OPT=20', 'PROBE_SIZE_MAX=30', 'PROBE_TM_MIN=68.0', 'PROBE_TM_OPT=69.0', 'PROBE_TM_MAX=70.0',
+'PROBE_GC_MIN=30.0', 'PROBE_GC_OPT=55.0', 'PROBE_GC_MAX=80.0', 'NEAREST_NEIGHBOURS=0', 'SALT=0.05', 'STRANDS=5e-08', '='"""
+
+
+@registered(f"SELECT s_name AS name, unnest(['SEQUENCE_ID=' || s_name, {_REQUEST}]) AS value FROM supplier")
 def write_boulder_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = T.read(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
-    return W.boulder_lines(D.boulder_input(names)).groupBy("name").agg(F.count("*").alias("n"))
+    path = T.scratch(spark, "boulder")
+    W.write_boulder_input(D.boulder_input(names), path)
+    return spark.read.text(path).select("name", "value")
+
+
+@registered()
+def design_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best pairs of each record with a probe between them, none binding the other."""
+    d = D.Design(probe=True, probe_tm_min=58.0, probe_tm_opt=62.0, probe_tm_max=66.0, max_self=8, max_self_end=5, max_pair=6, max_pair_end=4)
+    return D.design_primer_pairs(T.sequences(spark, sf_dir).withColumn("name", F.col("seq_id")), d)
+
+
+@registered()
+def align_amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amplicons of 90 to 100 bases, aligned by primer."""
+    a = T.amplicons(spark, sf_dir)
+    short = F.substring(F.col("seq"), F.lit(1), (100 - F.pmod(F.xxhash64("amplicon_name"), F.lit(11))).cast("int"))
+    return K.align_amplicons(a.withColumn("seq", short))
 
 
 @registered(f"WITH {T.SEQUENCES}, {T.REGIONS} SELECT seq_id, a::BIGINT AS start, md5(substr(seq, a + 1, (b - a)::INT)) AS digest FROM regs")

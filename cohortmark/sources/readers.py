@@ -114,7 +114,13 @@ def scan_primers(spark: SparkSession, path: str, fmt: str = "eprimer3", noname:
 
 
 def scan_primers_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PRIMER_SCHEMA).json(path, multiLine=True)
+    """Pairs of JSON files that hold an array of objects, or an object on each line."""
+    kind = ",".join(f"{n}:{t}" for n, t in (f.split() for f in PRIMER_FIELDS))
+    text = F.col("value")
+    rows = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    one = F.from_json(text, f"array<struct<{kind}>>")
+    many = F.from_json(F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]")), f"array<struct<{kind}>>")
+    return _whole(spark, path).select(F.explode(F.when(text.rlike(r"^\s*\["), one).otherwise(many)).alias("p")).select("p.*")
 
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
@@ -240,5 +246,11 @@ def scan_features(spark: SparkSession, path: str, fmt: str | None = None) -> Dat
     return rows.select(F.col("c")[0].alias("chrom"), (F.col("c")[at[0]].cast("long") - at[2]).alias("start"), F.col("c")[at[1]].cast("long").alias("end"), "ord")
 
 
+#: The columns of distance tables that are no text.
+DISTANCES = {"dist_mean": "double", "dist_sd": "double", "dist_min": "double", "dist_max": "double", "unique": "int", "nonunique": "int", "shannon_index": "double", "shannon_evenness": "double"}
+
+
 def scan_distance_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, sep="\t", inferSchema=True)
+    """Distance tables by the names in their header; only that line is looked at for the schema."""
+    rows = spark.read.csv(path, header=True, sep="\t")
+    return rows.select(*[F.col(c).cast(DISTANCES.get(c, "string")).alias(c) for c in rows.columns])

@@ -71,12 +71,12 @@ def primers_eprimer3(primers: DataFrame, by: str = "sourcename") -> DataFrame:
     return primers.select(by, "name", block.alias("value"))
 
 
-def write_primers(primers: DataFrame, path: str, fmt: str = "json") -> None:
-    """Sorted by name, in one of the formats json, eprimer3, tsv, bed, and FASTA for any other name."""
+def write_primers(primers: DataFrame, path: str, fmt: str = "json", by: str = "sourcename") -> None:
+    """Sorted by name, reports in a folder for each ``by``, in one of the formats json, eprimer3, tsv, bed, and FASTA for any other name."""
     if fmt == "json":
         write_primers_json(primers, path)
     elif fmt in ("ep3", "eprimer3"):
-        _text(primers_eprimer3(primers), path, ["name"], ["sourcename"])
+        _text(primers_eprimer3(primers, by), path, ["name"], [by])
     elif fmt in ("tsv", "tab"):
         _text(primers_tsv(primers), path, ["k", "name"])
     elif fmt == "bed":
@@ -110,9 +110,11 @@ def classification_summary(groups: DataFrame, found: DataFrame, prefix: str) ->
 
 
 def write_classification(groups: DataFrame, found: DataFrame, primers: DataFrame, path: str) -> None:
-    """Primers of each label as JSON by label, and a summary with every label."""
+    """Primers of each label as JSON by label, from whole primer tables also as reports by label, and a summary with every label."""
     rows = found.join(primers.withColumnRenamed("name", "primer"), "primer").withColumnRenamed("primer", "name")
     rows.repartition("group").sortWithinPartitions("group", "name").write.partitionBy("group").mode("overwrite").json(f"{path}/primers")
+    if set(f"{arm}_seq" for arm in ("forward", "reverse", "internal")) <= set(rows.columns):  # whole primer tables: a report for each label as well
+        write_primers(rows, f"{path}/reports", "eprimer3", "group")
     classification_summary(groups, found, path).orderBy("Group").write.mode("overwrite").csv(f"{path}/summary", sep="\t", header=True)
 
 
@@ -156,4 +158,6 @@ def write_boulder_input(requests: DataFrame, path: str) -> None:
 
 
 def write_delta(rows: DataFrame, path: str) -> None:
-    _text(delta_text(rows), path, ["row_no"], ["file"])
+    """Alignment files by ``file``, each with its two head lines. Besides the columns of ``delta_text``, ``paths`` is what line one holds, the same in all rows of a file."""
+    head = rows.groupBy("file").agg(F.concat(F.first("paths"), F.lit("\nNUCMER")).alias("value")).select("file", F.lit(-1).cast("long").alias("row_no"), "value")
+    _text(head.union(delta_text(rows).select("file", F.col("row_no").cast("long"), "value")), path, ["row_no"], ["file"])
