@@ -589,7 +589,17 @@ def search_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.search_oligos(_oligos(spark, sf_dir), T.sequences(spark, sf_dir), 0.1).select("oligo", "strand", "seq_id", F.col("pos").cast("long").alias("pos"), "mismatches")
 
 
-@registered()
+@registered(f"""WITH {T.SEQUENCES}, b AS (SELECT item_id::VARCHAR AS name, {T.SEQ_SQL} AS seq FROM benchmark),
+arms AS (SELECT name, 'fwd' AS arm, substr(seq, 1, 20) AS o FROM b WHERE length(seq) >= 120
+  UNION ALL SELECT name, 'rev', reverse(translate(substr(seq, 101, 20), 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) FROM b WHERE length(seq) >= 120),
+strands AS (SELECT name, arm, '+' AS strand, o FROM arms UNION ALL SELECT name, arm, '-', reverse(translate(o, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) FROM arms),
+seeds AS (SELECT *, i * 6 AS a, substr(o, (i * 6 + 1)::INT, 6) AS kmer FROM (SELECT *, unnest(range(0, 3)) AS i FROM strands)),
+ks AS (SELECT seq_id, name AS target, seq, i - 1 AS p, substr(seq, i::INT, 6) AS kmer FROM (SELECT *, unnest(range(1, length(seq) - 4)) AS i FROM seqs WHERE length(seq) >= 6)),
+sites AS (SELECT DISTINCT seeds.name, arm, strand, seq_id, target, p - a AS pos, substr(seq, (p - a + 1)::INT, 20) AS site, o FROM ks JOIN seeds USING (kmer)
+  WHERE NOT contains(kmer, 'N') AND p >= a AND p - a + 20 <= length(seq)),
+found AS (SELECT DISTINCT name, arm, strand, seq_id, target, pos FROM sites WHERE hamming(site, o) <= 2)
+SELECT l.name AS primer_name, l.target, l.seq_id AS target_fasta_id, (r.pos + 20 - l.pos)::BIGINT AS length, l.arm AS fwd_oligo, (l.pos + 1)::BIGINT AS fwd_start, r.arm AS rev_oligo, (r.pos + 20)::BIGINT AS rev_end
+FROM found l JOIN found r ON l.name = r.name AND l.seq_id = r.seq_id AND l.arm <> r.arm WHERE l.strand = '+' AND r.strand = '-' AND r.pos + 20 - l.pos BETWEEN 40 AND 500""".replace("at AS (", "sites AS (").replace("FROM sites WHERE", "FROM sites WHERE"))
 def search_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs cut from the benchmark texts, searched in every document."""
     b = T.read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("name"), T.as_sequence(F.col("text")).alias("seq")).where(F.length("seq") >= 120)
