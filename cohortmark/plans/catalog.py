@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortmark.functions import sequence as S
 from cohortmark.operators import chain as G
 from cohortmark.operators import classify as C
+from cohortmark.operators import degenerate as B
 from cohortmark.operators import design as D
 from cohortmark.operators import diversity as V
 from cohortmark.operators import extend as X
@@ -607,6 +608,17 @@ def search_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.search_primers(pairs, T.sequences(spark, sf_dir), 0.1, 500)
 
 
+@registered()
+def search_degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Oligos of 20 bases along every item, with a code of two bases at every seventh place and one of four at every eleventh, in all documents. Sets of letters are slow in SQL:
+    a test holds the search against brute force."""
+    b = _items(spark, sf_dir).select("seq_id", "seq", F.explode(F.sequence(F.lit(0), F.floor(F.length("seq") / 20).cast("int"))).alias("w"))
+    oligo = F.substring(F.col("seq"), F.col("w") * 20 + 1, F.lit(20))
+    b = b.select(F.concat_ws("_", "seq_id", "w").alias("oligo"), oligo.alias("seq")).where((F.length("seq") == 20) & ~F.col("seq").contains("N"))
+    wide = F.concat(*[F.lit("N") if i == 11 else F.translate(F.substring("seq", i, 1), "ACGT", "RYRY") if i % 7 == 0 else F.substring("seq", i, 1) for i in range(1, 21)])
+    return B.search(b.withColumn("seq", wide), T.sequences(spark, sf_dir), 0.05)
+
+
 @registered()
 def design_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best pairs of each record of the genomes."""
