@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmark.functions.sequence import hamming, reverse_complement
@@ -26,33 +29,116 @@ def placed_windows(rows: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("kmer", F.substring(F.col("seq"), F.col("p") + 1, F.lit(k))).where(~F.col("kmer").contains("N"))
 
 
-def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1) -> DataFrame:
-    """(oligo, strand, seq_id, pos, mismatches): where each oligo (oligo, seq) lies with at most int(mismatch * length) mismatches.
+#: Candidates that a place of the text may have by chance, all oligos together, before seeds are made longer and laxer.
+PER_PLACE = 0.02
+#: Most words that an oligo's seeds are written out as, and most words that are sent to all tasks.
+NEAR_WORDS, SENT_WORDS = 4096, 1_000_000
+
+
+@dataclass(frozen=True)
+class Seeding:
+    """How oligos of ``n`` bases with ``m`` mismatches are seeded: stretches of ``k`` bases, the i-th of which may differ in ``lax[i]`` places.
+
+    ``words`` are written out for each oligo; ``candidates`` stand at a place of a random text by chance, for each oligo.
+    """
+
+    n: int
+    m: int
+    k: int
+    lax: tuple[int, ...]
 
-    An oligo with m allowed mismatches is cut into m + 1 seeds, one of which must match exactly: seeds join the windows of
-    their length, and candidates are compared in full with the bases around the window, which travel with it. Both strands; pos counts from 0 on
-    the forward strand.
+    @property
+    def words(self) -> int:
+        return sum(math.comb(self.k, i) * 4**i for j in self.lax for i in range(j + 1))
+
+    @property
+    def candidates(self) -> float:
+        return sum(math.comb(self.k, i) * 3**i for j in self.lax for i in range(j + 1)) / 4**self.k
+
+
+def seeding(n: int, m: int, oligos: int, per_place: float = PER_PLACE, sent_words: int = SENT_WORDS, most_words: int = NEAR_WORDS) -> Seeding:
+    """The seeding of ``oligos`` oligos (strands counted) with the fewest words that leaves a place ``per_place`` candidates. If all such have more than ``sent_words``
+    words, one with fewer words is taken that leaves a place less than one candidate, as a candidate is cheaper than a shuffle of the text; or else the one with the fewest candidates.
+
+    Of p stretches that may differ in j1, j2, ... places, m mismatches leave one within its bound if (j1 + 1) + (j2 + 1) + ... = m + 1. So m + 1 short stretches
+    must match exactly, or fewer and longer ones nearly: a stretch of ten bases with a mismatch has 31 words of bases among 4 ** 10, one of six bases one among 4 ** 6.
+    """
+    found = []
+    for p in range(m + 1, 0, -1):
+        more, extra = divmod(m + 1, p)
+        found.append(Seeding(n, m, n // p, tuple(more - (i >= extra) for i in range(p))))
+    found = [x for i, x in enumerate(found) if i == 0 or x.words <= most_words]
+    good = [x for x in found if x.candidates * oligos <= per_place]
+    best = min(good, key=lambda x: x.words) if good else min(found, key=lambda x: x.candidates)
+    light = [x for x in found if x.words * oligos <= sent_words and x.candidates * oligos < 1]
+    return best if best.words * oligos <= sent_words or not light else min(light, key=lambda x: x.candidates)
+
+
+def near_words(word: Column, lax: int) -> Column:
+    """All words of A, C, G, T and N that differ from ``word`` in at most ``lax`` places."""
+    found = F.array(word)
+
+    def changed(w: Column) -> Column:
+        at = lambda i: F.transform(F.array(*map(F.lit, "ACGTN")), lambda b: F.concat(F.substring(w, F.lit(1), i - 1), b, F.substring(w, i + 1, F.length(w))))
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.length(w)), at))
+
+    for _ in range(lax):
+        found = F.array_distinct(F.flatten(F.transform(found, changed)))
+    return found
+
+
+def seed_words(both: DataFrame, plan: list[Seeding]) -> DataFrame:
+    """(oligo, strand, oseq, n, m, at, word): the words of each oligo's seeds; letters that are no base are N in them."""
+    out = None
+    for x in plan:
+        rows, base = both.where((F.col("n") == x.n) & (F.col("m") == x.m)), F.regexp_replace("oseq", "[^ACGT]", "N")
+        parts = [F.struct(F.lit(i * x.k).alias("at"), near_words(F.substring(base, i * x.k + 1, x.k), j).alias("words")) for i, j in enumerate(x.lax)]
+        rows = rows.withColumn("x", F.explode(F.array(*parts))).withColumn("word", F.explode("x.words")).select("oligo", "strand", "oseq", "n", "m", "x.at", "word")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1, per_place: float = PER_PLACE, sent_words: int = SENT_WORDS) -> DataFrame:
+    """(oligo, strand, name, seq_id, pos, n, mismatches): where each oligo (oligo, seq) lies with at most int(mismatch * length) mismatches.
+
+    Seeds (``seeding``) are written out as words and join the words at every place of the text, in one pass for oligos of all lengths; candidates are compared
+    in full. The more oligos there are, the longer and laxer their seeds, so candidates do not grow with them. Few words are sent to the text; many meet it in a
+    shuffle, where a place takes only the bases with it that an oligo may cover. Both strands; pos counts from 0 on the forward strand. Letters match
+    themselves; an oligo with N needs a stretch, of m + 1 equal ones, that matches without N. An empty or null oligo or text has no place.
     """
-    plus = oligos.select("oligo", F.lit("+").alias("strand"), F.upper("seq").alias("oseq"))
+    plus = oligos.select("oligo", F.lit("+").alias("strand"), F.upper("seq").alias("oseq")).where("oseq <> ''")
     both = plus.union(plus.select("oligo", F.lit("-"), reverse_complement(F.col("oseq"))))
     both = both.withColumn("n", F.length("oseq")).withColumn("m", F.floor(F.lit(mismatch) * F.col("n") + 1e-9).cast("int"))
-    both = both.withColumn("size", F.floor(F.col("n") / (F.col("m") + 1)).cast("int"))
-    seeds = both.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m")))).withColumn("at", F.col("i") * F.col("size"))
-    seeds = seeds.withColumn("seed", F.substring("oseq", F.col("at") + 1, F.col("size"))).drop("i")
-    sizes = sorted(tuple(r) for r in seeds.groupBy("size").agg(F.max("n")).collect())  # a handful of lengths
-    texts = sequences.select("name", "seq_id", F.upper("seq").alias("seq"))
-    found = None
-    for k, longest in sizes:
-        w = placed_windows(pieces(texts, longest, longest + k, CHUNK, LARGE), k).withColumnRenamed("kmer", "seed")
-        hits = w.join(sized(seeds.where(F.col("size") == k)), "seed").withColumn("first", F.col("p") - F.col("at"))
-        hits = hits.where((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.length("seq")))
-        site = F.substring(F.col("seq"), F.col("first") + 1, F.col("n"))
-        hits = hits.withColumn("mismatches", hamming(F.col("oseq"), site).cast("int")).where("mismatches <= m")
-        hits = hits.select("oligo", "strand", "name", "seq_id", (F.col("offset") - F.col("lead") + F.col("first")).alias("pos"), "n", "mismatches")
-        found = hits if found is None else found.union(hits)
-    if found is None:
+    counts = sorted(tuple(r) for r in both.groupBy("n", "m").count().collect())  # a handful of lengths
+    if not counts:
         return oligos.select("oligo").limit(0).selectExpr("oligo", "'' strand", "'' name", "'' seq_id", "0 pos", "0 n", "0 mismatches")
-    return found.distinct()
+    total = sum(c for _, _, c in counts)
+    plan = [seeding(n, m, total, per_place, sent_words) for n, m, _ in counts]
+    longest, sizes = max(n for n, _, _ in counts), sorted({x.k for x in plan})
+    few = sum(x.words * c for x, (_, _, c) in zip(plan, counts, strict=True)) <= sent_words
+
+    rows = pieces(sequences.select("name", "seq_id", F.upper("seq").alias("seq")), longest, longest + sizes[-1], max(CHUNK, longest), max(LARGE, longest))
+    last = F.least(F.col("lead") + F.col("own"), F.length("seq") - sizes[0] + 1) - 1
+    rows = rows.where(last >= F.col("lead")).withColumn("bases", F.regexp_replace("seq", "[^ACGT]", "N"))
+    rows = rows.withColumn("p", F.explode(F.sequence(F.col("lead"), last)))
+    words = [F.substring(F.col("bases"), F.col("p") + 1, F.lit(k)) for k in sizes]
+    rows = rows.withColumn("word", words[0] if len(words) == 1 else F.explode(F.array(*words))).drop("bases")
+    if not few:
+        rows = rows.withColumn("skip", F.greatest(F.col("p") - longest, F.lit(0)))
+        rows = rows.withColumn("seq", F.substring(F.col("seq"), F.col("skip") + 1, F.col("p") - F.col("skip") + longest))
+        rows = rows.withColumn("p", F.col("p") - F.col("skip")).withColumn("lead", F.col("lead") - F.col("skip")).drop("skip")
+    seeds = seed_words(both, plan)
+    hits = rows.join(F.broadcast(seeds) if few else seeds.hint("merge"), "word").withColumn("first", F.col("p") - F.col("at"))
+    hits = hits.where((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.length("seq")))
+    hits = hits.withColumn("site", F.substring(F.col("seq"), F.col("first") + 1, F.col("n")))
+    most = max(m for _, m, _ in counts)
+    hits = hits.where(F.levenshtein("oseq", "site", most) >= 0)  # never more than the mismatches, and cheaper to bound
+    hits = hits.withColumn("mismatches", hamming(F.col("oseq"), F.col("site")).cast("int")).where("mismatches <= m")
+    size = F.floor(F.col("n") / (F.col("m") + 1)).cast("int")
+    part = lambda c, i: F.substring(F.col(c), i * size + 1, size)
+    whole = F.exists(F.sequence(F.lit(0), F.col("m")), lambda i: (part("oseq", i) == part("site", i)) & ~part("oseq", i).contains("N"))
+    hits = hits.where(~F.col("oseq").contains("N") | whole)
+    return hits.select("oligo", "strand", "name", "seq_id", (F.col("offset") - F.col("lead") + F.col("first")).alias("pos"), "n", "mismatches").distinct()
 
 
 def search_primers(primers: DataFrame, sequences: DataFrame, mismatch: float = 0.1, max_product: int = 5000) -> DataFrame:
