@@ -202,31 +202,43 @@ def scan_delta_intervals(spark: SparkSession, path: str, min_sim_errors: int = 0
     rows = scan_delta_lines(spark, path).where("kind = 'row'")
     from cohortmark.operators.intervals import alignment_quality_filter
 
-    out = rows.select("query", "subject", F.col("c")[0].cast("long").alias("start"), F.col("c")[1].cast("long").alias("end"), F.col("c")[5].cast("long").alias("sim_errors"))
+    number = lambda i: F.get("c", F.lit(i)).try_cast("long")  # noqa: E731  (filters may be tried in any order)
+    out = rows.select("query", "subject", number(0).alias("start"), number(1).alias("end"), number(5).alias("sim_errors"))
     return alignment_quality_filter(out, min_sim_errors, min_err_rate)
 
 
 def scan_delta_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of alignment files with their kind (paths, program, header, row, indel) and record numbers."""
-    rows = lines(spark, path).withColumn("c", F.split(F.trim("value"), "\\s+"))
-    order = Window.partitionBy("file").orderBy("ord")
-    run = order.rowsBetween(Window.unboundedPreceding, 0)
-    n = F.row_number().over(order)
+    """Lines of alignment files with their kind (paths, program, header, row, indel) and record numbers. What should be a number and is none is read as null.
+
+    Lines are counted within the split that they come from; counts of the splits before it are added (a row for each split), so a file is as many tasks as it has splits.
+    """
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    rows = numbered(rows).withColumn("n", F.col("ord") + 1).withColumn("c", F.split(F.trim("value"), "\\s+"))
     kind = F.when(F.col("n") == 1, "paths").when(F.col("n") == 2, "program").when(F.col("value").startswith(">"), "header").when(F.size("c") == 7, "row").otherwise("indel")
-    rows = rows.withColumn("n", n).withColumn("kind", kind)
-    rows = rows.withColumn("header_no", F.sum((F.col("kind") == "header").cast("int")).over(run)).withColumn("row_no", F.sum((F.col("kind") == "row").cast("int")).over(run))
-    first = F.first(F.when(F.col("n") == 1, F.col("c"))).over(run)
-    return rows.withColumn("paths", first).withColumn("query", filestem(F.col("paths")[0])).withColumn("subject", filestem(F.col("paths")[1]))
+    rows = rows.withColumn("kind", kind)
+    kinds, sums = ("header", "row"), lambda k: F.sum((F.col("kind") == k).cast("int"))
+    each = rows.groupBy(F.col("file").alias("__f"), F.col("block").alias("__b")).agg(*[sums(k).alias(f"__{k}") for k in kinds])
+    splits = Window.partitionBy("__f").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.select("__f", "__b", *[F.coalesce(F.sum(f"__{k}").over(splits), F.lit(0)).alias(f"__{k}") for k in kinds])
+    run = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"{k}_no": sums(k).over(run) for k in kinds})
+    rows = rows.join(sized(each), (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    rows = rows.withColumns({f"{k}_no": F.col(f"{k}_no") + F.col(f"__{k}") for k in kinds}).drop("__f", "__b", *[f"__{k}" for k in kinds])
+    first = rows.where("kind = 'paths'").select(F.col("file").alias("__f"), F.col("c").alias("paths"))
+    rows = rows.join(sized(first), F.col("file") == F.col("__f"), "left").drop("__f", "block")
+    return rows.withColumn("query", filestem(F.get("paths", F.lit(0)))).withColumn("subject", filestem(F.get("paths", F.lit(1))))
 
 
 def scan_delta_full(spark: SparkSession, path: str) -> DataFrame:
     """One row for each alignment: program, ref, qry, lengths, the seven numbers, and its indels in order, without the final 0."""
     rows = scan_delta_lines(spark, path)
-    heads = rows.where("kind = 'header'").select("file", "header_no", F.substring(F.col("c")[0], 2, 1_000_000).alias("ref"), F.col("c")[1].alias("qry"), F.col("c")[2].cast("long").alias("ref_length"), F.col("c")[3].cast("long").alias("qry_length"))
+    field = lambda i: F.get("c", F.lit(i))
+    length = lambda i: field(i).try_cast("long")
+    heads = rows.where("kind = 'header'").select("file", "header_no", F.substring(field(0), 2, 1_000_000).alias("ref"), field(1).alias("qry"), length(2).alias("ref_length"), length(3).alias("qry_length"))
     program = rows.where("kind = 'program'").select("file", F.col("value").alias("program"))
     names = ("ref_start", "ref_end", "qry_start", "qry_end", "errors", "sim_errors", "stops")
-    aligned = rows.where("kind = 'row'").select("file", "query", "subject", "header_no", "row_no", *[F.col("c")[i].cast("long").alias(x) for i, x in enumerate(names)])
-    indels = rows.where("kind = 'indel' and row_no > 0 and value <> '0' and trim(value) <> ''").groupBy("file", "row_no").agg(F.array_sort(F.collect_list(F.struct("n", F.col("value").cast("long").alias("v")))).alias("x"))
+    aligned = rows.where("kind = 'row'").select("file", "query", "subject", "header_no", "row_no", *[F.get("c", F.lit(i)).try_cast("long").alias(x) for i, x in enumerate(names)])
+    indels = rows.where("kind = 'indel' and row_no > 0 and value <> '0' and trim(value) <> ''").groupBy("file", "row_no").agg(F.array_sort(F.collect_list(F.struct("n", F.col("value").try_cast("long").alias("v")))).alias("x"))
     out = aligned.join(heads, ["file", "header_no"]).join(program, "file", "left").join(indels, ["file", "row_no"], "left")
     return out.withColumn("indels", F.coalesce(F.transform("x", lambda x: x["v"]), F.array().cast("array<bigint>"))).drop("x")
 

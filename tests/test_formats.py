@@ -134,6 +134,24 @@ def test_delta(spark, tmp_path):
     assert R.delta_equal(full, full).first()["equal"] and not R.delta_equal(full, full.limit(2)).first()["equal"]
 
 
+def test_delta_of_split_files(spark, tmp_path):
+    def put_file(f, n):
+        text = f"a/r{f}.fas b/q.fas\nNUCMER\n"
+        for h in range(n):
+            text += f">r{h} q{h} 1000 2000\n" + "".join(f"{i + 1} {i + 50} {h + 1} {h + 50} 5 5 0\n" + "".join(f"{k + 1}\n" for k in range(i % 4)) + "0\n" for i in range(h % 5))
+        put(tmp_path / f"f{f}.delta", text)
+        return [(f"r{f}", f"r{h}", i + 1, h + 1, list(range(1, i % 4 + 1))) for h in range(n) for i in range(h % 5)]
+
+    want = put_file(0, 60) + put_file(1, 1) + put_file(2, 9)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        got = R.scan_delta_full(spark, str(tmp_path / "*.delta"))
+        assert rows(got, "query", "ref", "ref_start", "qry_start", "indels") == sorted(want, key=repr)
+        assert R.scan_delta_intervals(spark, str(tmp_path / "*.delta")).where("query = 'r0'").count() == sum(x[0] == "r0" for x in want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_features_and_tables(spark, tmp_path):
     g = put(tmp_path / "x.gff", "##gff\nc\tp\tCDS\t11\t20\t.\t+\t0\tid\n")
     b = put(tmp_path / "x.bed", "c\t10\t20\tn\n")
