@@ -132,7 +132,7 @@ class Codec:
             for end, size in self.longest.iter(text):
                 start = end - size + 1
                 at[start] = (*at[start], size)
-        dead = 0  # bit i: no way on from place i
+        dead = None  # bit i: no way on from place i; made at the first such place
         out: list[str] = []
         tried: list[int] = []  # which length each piece of out is
         pos, k, fits = 0, len(at[0]) - 1, self.compatible
@@ -140,7 +140,7 @@ class Codec:
             sizes = at[pos]
             while k >= 0:
                 end = pos + sizes[k]
-                if not (dead and dead >> end & 1):
+                if dead is None or not dead[end >> 3] >> (end & 7) & 1:
                     piece = text[pos:end]
                     if not out or fits(out[-1], piece):
                         out.append(piece)
@@ -152,7 +152,9 @@ class Codec:
             else:
                 if not out:
                     raise ValueError("the model has no consistent segmentation")
-                dead |= 1 << pos
+                if dead is None:
+                    dead = bytearray((n >> 3) + 1)
+                dead[pos >> 3] |= 1 << (pos & 7)
                 pos -= len(out.pop())
                 k = tried.pop() - 1
         return out

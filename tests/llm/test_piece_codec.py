@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import sentencepiece
@@ -22,6 +23,19 @@ def test_codec_equals_library_on_random_texts():
         assert c.decode(ids) == sp.decode(ids)
 
 
+def test_unbroken_text_costs_in_proportion():
+    sp, c, rng = sentencepiece.SentencePieceProcessor(model_file=PATH), C.codec(PATH), random.Random(5)
+    text = "".join(rng.choice("thein") for _ in range(800_000))
+    c.encode(text[:1000])
+    took = []
+    for n in (100_000, 800_000):
+        began = time.process_time()
+        ids = c.encode(text[:n])
+        took.append(time.process_time() - began)
+    assert ids == sp.encode(text)
+    assert took[1] < 16 * took[0]
+
+
 def test_memory_of_chunks_is_bounded(monkeypatch):
     monkeypatch.setattr(C, "REMEMBERED", 50)
     monkeypatch.setattr(C, "REMEMBERED_PAIRS", 50)
