@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortmark.functions.sequence import hamming, reverse_complement
 
 from .sequences import pieces, sized
+from .storage import stored
 
 #: Bases of the pieces that long records are cut into, in two steps.
 CHUNK, LARGE = 200, 10_000
@@ -176,15 +177,22 @@ def screen_offtarget(primers: DataFrame, database: DataFrame, max_alignment: int
     return primers.join(offtarget_hits(oligos, database, max_alignment), "name", "left_anti")
 
 
-def conserved_blocks(sequences: DataFrame, k: int = 20, max_gap: int = 30, min_length: int = 50) -> DataFrame:
+def conserved_blocks(sequences: DataFrame, k: int = 20, max_gap: int = 30, min_length: int = 50, queries: DataFrame | None = None) -> DataFrame:
     """(query, subject, start, end, sstart, sim_errors): stretches that two genomes share on one diagonal.
 
     Anchors are k-mers that stand once in each genome, so a repeat costs no pairs. Anchors of one diagonal at most ``max_gap``
-    apart make a block; bases of a block that no anchor covers count as ``sim_errors``.
+    apart make a block; bases of a block that no anchor covers count as ``sim_errors``. ``queries`` (name, seq_id, seq) are those of the genomes, with all their
+    records, that are wanted as queries: then only their words are counted in the others, and no two other genomes are compared.
     """
-    w = windows(sequences.select("name", "seq_id", F.upper("seq").alias("seq")), k)
+    spelled = lambda rows: windows(rows.select("name", "seq_id", F.upper("seq").alias("seq")), k)
+    w = spelled(sequences)
+    if queries is not None:
+        w = w.join(sized(spelled(queries).select("kmer").distinct()), "kmer", "left_semi")
     once = w.groupBy("name", "kmer").agg(F.count("*").alias("n"), F.min("pos").alias("pos")).where("n = 1").drop("n")
-    a, b = once.select("kmer", F.col("name").alias("query"), F.col("pos").alias("qpos")), once.select("kmer", F.col("name").alias("subject"), F.col("pos").alias("spos"))
+    if queries is not None:
+        once = stored(once, "words")  # read on both sides of the join
+    own = once if queries is None else once.join(sized(queries.select("name").distinct()), "name", "left_semi")
+    a, b = own.select("kmer", F.col("name").alias("query"), F.col("pos").alias("qpos")), once.select("kmer", F.col("name").alias("subject"), F.col("pos").alias("spos"))
     anchors = a.join(b, "kmer").where("query <> subject").withColumn("diag", F.col("qpos") - F.col("spos"))
     order = Window.partitionBy("query", "subject", "diag").orderBy("qpos")
     before = F.lag("qpos").over(order) + k

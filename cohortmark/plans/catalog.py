@@ -652,7 +652,7 @@ def genome_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conserved_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches that the records of a genome share with the benchmark texts."""
     b = T.read(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("name"), F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("seq_id"), T.as_sequence(F.col("text")).alias("seq"))
-    return H.conserved_blocks(b.union(T.sequences(spark, sf_dir).select(F.col("seq_id").alias("name"), "seq_id", "seq"))).where("query like 'b%'")
+    return H.conserved_blocks(b.union(T.sequences(spark, sf_dir).select(F.col("seq_id").alias("name"), "seq_id", "seq")), queries=b)
 
 
 # Formats

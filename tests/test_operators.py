@@ -199,3 +199,17 @@ def test_argument_checks(spark):
     with pytest.raises(ValueError):
         M.group_members(man, "nope")
     assert M.pairwise_permutations(man).count() == 0 and M.lookup(man, "a").count() == 1
+
+
+def test_conserved_blocks_of_chosen_queries(spark, monkeypatch):
+    rng = random.Random(12)
+    shared, twice = dna(rng, 150), dna(rng, 80)
+    others = [(f"d{i}", f"d{i}", dna(rng, 20 + i) + shared + (twice if i % 2 else twice + dna(rng, 9) + twice) + dna(rng, 40)) for i in range(12)]
+    both = [("b1", "b1", shared[10:140] + twice), ("b2", "b2", dna(rng, 100))]
+    df = lambda x: spark.createDataFrame(x, "name string, seq_id string, seq string")
+    cols = ("query", "subject", "start", "end", "sstart", "sim_errors")
+    whole = rows(H.conserved_blocks(df(both + others)).where("query like 'b%'"), *cols)
+    kept, write = [], H.stored
+    monkeypatch.setattr(H, "stored", lambda x, name: kept.append(write(x, name)) or kept[-1])
+    assert rows(H.conserved_blocks(df(both + others), queries=df(both)), *cols) == whole and len(whole) >= 12
+    assert kept[0].where("name like 'd%'").join(kept[0].where("name like 'b%'"), "kmer", "left_anti").isEmpty()  # words that no query has are not counted
