@@ -1,7 +1,8 @@
 """Design of candidate primer pairs by enumeration: every k-mer, filtered, joined by product size, ranked by penalty; with probes between them if asked for.
 
-A pair with a probe is a range join of three sides. It is not made as one: each forward primer first learns where the first probe behind it ends, so a pair is known to have
-one by a comparison, and only the best pairs then look for their best probe.
+Oligos are found by running sums along pieces of the records (``fitting``), so that only acceptable ones become rows. A pair with a probe is a range join of three sides. It is
+not made as one: each forward primer learns in the same pass where the first probe behind it ends, so a pair is known to have one by a comparison, and only the best pairs then
+look for their best probe. Probes, which may be more than there are bases, are no rows of their own.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortmark.functions.sequence import gc_percent, has_run, melting_temp, nearest_neighbour_temp, reverse_complement
+from cohortmark.functions.sequence import gc_percent, melting_temp, nearest_neighbour_temp, reverse_complement
 
-from .search import windows
-from .storage import ship
+from . import tiles, words
+from .search import LARGE
+from .sequences import pieces, sized
+from .storage import ship, stored
 
 
 @dataclass(frozen=True)
@@ -106,20 +109,98 @@ def unbound(rows: DataFrame, a: str, b: str, most: int | None, end: int | None)
     return rows.mapInArrow(step, rows.schema)
 
 
-def oligos(sequences: DataFrame, d: Design, probe: bool = False) -> DataFrame:
-    """Acceptable k-mers of all sizes with tm, gc and penalty; pos from 0. Of forward strand; the bounds are those of primers or of probes."""
-    low, opt, high = (d.probe_size_min, d.probe_size_opt, d.probe_size_max) if probe else (d.size_min, d.size_opt, d.size_max)
-    tm_min, tm_opt, tm_max = (d.probe_tm_min, d.probe_tm_opt, d.probe_tm_max) if probe else (d.tm_min, d.tm_opt, d.tm_max)
-    gc_min, gc_max = (d.probe_gc_min, d.probe_gc_max) if probe else (d.gc_min, d.gc_max)
-    out = None
+def fitting(c: np.ndarray, d: Design, probe: bool) -> dict[int, np.ndarray]:
+    """For each size the places of a text (codes; 4 is no base) at which an acceptable oligo of it begins, whatever its temperature by nearest neighbours.
+
+    Bases are counted by running sums. An oligo binds its copy in more than m bases if a word of m + 1 and that word's reverse complement lie in it: for each place the nearest
+    end of two such words behind it is kept, so all sizes are decided by a comparison. Its 3' end is looked up backwards in the same way.
+    """
+    low, _, high, gc_min, gc_max, tm_min, tm_max, _ = _bounds(d, probe)
+    sums = lambda x: np.concatenate(([0], np.cumsum(x)))
+    gc, bad, n, most = sums((c == 1) | (c == 2)), sums(c > 3), len(c), d.poly_x + 1
+    same = np.ones(max(n - most + 1, 0), bool)
+    for j in range(1, most):
+        same &= c[: len(same)] == c[j : j + len(same)]
+    runs = sums(same)
+    out, never = {}, np.int64(1 << 60)
+    closed, open_end = np.full(n + 1, never), np.full(n + 1, -1)
+    if d.max_self is not None and d.max_self < min(high, words.WIDE):
+        ahead, back = words.spelled(c, d.max_self + 1)
+        for j in range(min(high - d.max_self - 1, len(ahead) - 1), -1, -1):  # the nearest last
+            at = np.flatnonzero((ahead[: len(ahead) - j] == back[j:]) | (back[: len(ahead) - j] == ahead[j:]))
+            closed[at] = at + j + d.max_self + 1
+        closed = np.minimum.accumulate(closed[::-1])[::-1]
+    tail = None if d.max_self_end is None else d.max_self_end + 1
+    if tail is not None and tail <= min(high, words.WIDE):
+        ahead, back = words.spelled(c, tail)
+        for j in range(min(high - tail, len(ahead) - 1), -1, -1):
+            at = np.flatnonzero(ahead[j:] == back[: len(back) - j])
+            open_end[at + j] = at
     for k in range(low, high + 1):
-        w = windows(sequences.select("name", "seq_id", F.upper("seq").alias("seq")), k).where(F.col("kmer").rlike("^[ACGT]+$"))
-        out = w if out is None else out.union(w)
+        p = np.arange(max(n - k + 1, 0))
+        g = np.arange(k + 1)
+        tm = 2.0 * (k - g) + 4.0 * g if k < 14 else 64.9 + 41.0 * (g - 16.4) / k
+        good = (100.0 * g / k >= gc_min) & (100.0 * g / k <= gc_max)
+        if not d.nearest_neighbours:
+            good &= (tm >= tm_min) & (tm <= tm_max)
+        p = p[(bad[k:] == bad[: len(p)]) & good[gc[k:] - gc[: len(p)]]]
+        if k >= most:
+            p = p[runs[p + k - most + 1] == runs[p]]
+        p = p[closed[p] > p + k]
+        if tail is not None and k >= tail:
+            p = p[open_end[p + k - tail] < p]
+        out[k] = p
+    return out
+
+
+def _bounds(d: Design, probe: bool):
+    """Sizes (least, best, most), bounds of gc, of the temperature, and its best."""
+    if probe:
+        return d.probe_size_min, d.probe_size_opt, d.probe_size_max, d.probe_gc_min, d.probe_gc_max, d.probe_tm_min, d.probe_tm_max, d.probe_tm_opt
+    return d.size_min, d.size_opt, d.size_max, d.gc_min, d.gc_max, d.tm_min, d.tm_max, d.tm_opt
+
+
+def _spelled_out(batches, by: list[str], d: Design, probe: bool, ends: bool):
+    for batch in batches:
+        seqs, own, offset = (batch.column(x).to_pylist() for x in ("seq", "own", "offset"))
+        text = "\n".join(seqs).encode("ascii", "replace")
+        c = words.CODES[np.frombuffer(text, np.uint8)]
+        begin = np.concatenate(([0], np.cumsum([len(s) + 1 for s in seqs])[:-1])).astype(np.int64)
+        found = fitting(c, d, probe)
+        first = np.full(len(c) + d.size_max + 1, np.int64(1 << 60))
+        if ends:
+            for k, p in sorted(fitting(c, d, True).items(), reverse=True):
+                first[p] = p + k
+            first = np.minimum.accumulate(first[::-1])[::-1]
+        for k, p in found.items():
+            row = np.searchsorted(begin, p, "right") - 1
+            at = p - begin[row]
+            keep = at < np.array(own, np.int64)[row]
+            p, row, at = p[keep], row[keep], at[keep]
+            cols = {x: batch.column(x).take(pa.array(row)) for x in by}
+            cols["pos"] = pa.array((at + np.array(offset, np.int64)[row]).astype(np.int32))
+            cols["kmer"] = pa.array([text[i : i + k].decode() for i in p.tolist()], pa.string())
+            if ends:  # within the record; that of a later one lies beyond its end
+                cols["probe_end"] = pa.array(first[p + k] - p + at + np.array(offset, np.int64)[row])
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+
+def oligos(sequences: DataFrame, d: Design, probe: bool = False, by: list[str] = ["name", "seq_id"], ends: bool = False) -> DataFrame:  # noqa: B006
+    """Acceptable k-mers of all sizes with tm, gc and penalty; pos from 0. Of forward strand; the bounds are those of primers or of probes. ``by``: columns of
+    ``sequences`` that go along. With ``ends``, ``probe_end`` is where the first acceptable probe behind the oligo ends, at most ``product_max`` from it (else later)."""
+    ship(sequences.sparkSession)
+    low, opt, high, gc_min, gc_max, tm_min, tm_max, tm_opt = _bounds(d, probe)
+    rows = pieces(sequences.select(*by, F.upper("seq").alias("seq")), 0, max(high, d.product_max if ends else 0), LARGE, 100 * LARGE)
+    rows = rows.select(*by, "offset", "own", "seq")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in by)
+    out = rows.mapInArrow(lambda b: _spelled_out(b, by, d, probe, ends), f"{kinds}, pos int, kmer string" + ", probe_end long" * ends)
     tm = nearest_neighbour_temp(F.col("kmer"), d.salt, d.strands) if d.nearest_neighbours else melting_temp(F.col("kmer"))
     out = out.withColumn("n", F.length("kmer")).withColumn("gc", gc_percent(F.col("kmer"))).withColumn("tm", tm)
-    out = out.where(F.col("gc").between(gc_min, gc_max) & F.col("tm").between(tm_min, tm_max) & ~has_run(F.col("kmer"), d.poly_x))
+    if d.nearest_neighbours:
+        out = out.where(F.col("tm").between(tm_min, tm_max))
     out = out.withColumn("penalty", F.abs(F.col("n") - opt) + F.abs(F.col("tm") - tm_opt))
-    return unbound(out, "kmer", "kmer", d.max_self, d.max_self_end)
+    longest = [x for x in (d.max_self, d.max_self_end) if x is not None and words.WIDE <= x < high]
+    return unbound(out, "kmer", "kmer", d.max_self, d.max_self_end) if longest else out
 
 
 def _inside(pairs: DataFrame, probes: DataFrame, begin, end, reach: int) -> DataFrame:
@@ -129,6 +210,19 @@ def _inside(pairs: DataFrame, probes: DataFrame, begin, end, reach: int) -> Data
     return rows.where((F.col("ppos") >= begin) & (F.col("ppos") + F.col("pn") <= end)).drop("bin")
 
 
+def _best_probes(sequences: DataFrame, inside: DataFrame, d: Design) -> DataFrame:
+    """in_name, in_id, start, end and the best probe in each stretch ``inside`` (name, seq_id, start, end): least penalty, then the first, then the shortest. Only the bases
+    of the stretches are looked at again."""
+    key = F.struct("name", "seq_id").alias("key")
+    cut = tiles.tiled(sequences.select(key, "seq").join(sized(inside.select(key).distinct()), "key", "left_semi"))
+    rows = tiles.regions(cut, inside.select(key, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")), "key")
+    rows = rows.select(F.col("key.name").alias("in_name"), F.col("key.seq_id").alias("in_id"), "start", "end", "seq")
+    by = ["in_name", "in_id", "start", "end"]
+    found = oligos(rows, d, True, by).withColumn("ppos", (F.col("pos") + F.col("start")).cast("int"))
+    best = F.min(F.struct(F.col("penalty"), "ppos", F.col("n").alias("pn"), F.col("kmer").alias("pseq"), F.col("tm").alias("ptm"), F.col("gc").alias("pgc"))).alias("x")
+    return found.groupBy(*by).agg(best).select(*by, "x.ppos", "x.pn", "x.pseq", "x.ptm", "x.pgc")
+
+
 def design_primer_pairs(sequences: DataFrame, design: Design = Design()) -> DataFrame:
     """The best pairs of each genome, in the columns of primer tables, with penalty; names are numbered by rank.
 
@@ -136,14 +230,14 @@ def design_primer_pairs(sequences: DataFrame, design: Design = Design()) -> Data
     Pairs whose primers bind each other more than allowed are passed over and the next best come up.
     """
     d = design
-    found = oligos(sequences, d)
-    left = found.select("name", "seq_id", F.col("pos").alias("lpos"), F.col("kmer").alias("lseq"), F.col("n").alias("ln"), F.col("tm").alias("ltm"), F.col("gc").alias("lgc"), F.col("penalty").alias("lpen"))
+    ends = d.probe and not d.nearest_neighbours
+    found = stored(oligos(sequences, d, ends=ends), "oligos")  # read as left and as right
+    left = found.select("name", "seq_id", F.col("pos").alias("lpos"), F.col("kmer").alias("lseq"), F.col("n").alias("ln"), F.col("tm").alias("ltm"), F.col("gc").alias("lgc"), F.col("penalty").alias("lpen"), *["probe_end"] * ends)
     right = found.select("name", "seq_id", F.col("pos").alias("rpos"), F.col("kmer").alias("rsite"), F.col("n").alias("rn"), F.col("tm").alias("rtm"), F.col("gc").alias("rgc"), F.col("penalty").alias("rpen"))
-    probes = None
-    if d.probe:
-        probes = oligos(sequences, d, probe=True).select("name", "seq_id", F.col("pos").alias("ppos"), F.col("n").alias("pn"), F.col("kmer").alias("pseq"), F.col("tm").alias("ptm"), F.col("gc").alias("pgc"), F.col("penalty").alias("ppen"))
-        ends = _inside(left.select("name", "seq_id", "lpos", "ln"), probes.select("name", "seq_id", "ppos", "pn"), F.col("lpos") + F.col("ln"), F.col("lpos") + d.product_max, d.product_max)
-        left = left.join(ends.groupBy("name", "seq_id", "lpos", "ln").agg(F.min(F.col("ppos") + F.col("pn")).alias("probe_end")), ["name", "seq_id", "lpos", "ln"])
+    if d.probe and not ends:  # temperatures by nearest neighbours are columns
+        probes = oligos(sequences, d, probe=True).select("name", "seq_id", F.col("pos").alias("ppos"), F.col("n").alias("pn"))
+        behind = _inside(left.select("name", "seq_id", "lpos", "ln"), probes, F.col("lpos") + F.col("ln"), F.col("lpos") + d.product_max, d.product_max)
+        left = left.join(behind.groupBy("name", "seq_id", "lpos", "ln").agg(F.min(F.col("ppos") + F.col("pn")).alias("probe_end")), ["name", "seq_id", "lpos", "ln"])
     left = left.withColumn("bin", F.explode(F.array(F.floor(F.col("lpos") / d.product_max), F.floor(F.col("lpos") / d.product_max) + 1)))
     right = right.withColumn("bin", F.floor(F.col("rpos") / d.product_max))
     pairs = left.join(right, ["name", "seq_id", "bin"]).withColumn("size", F.col("rpos") + F.col("rn") - F.col("lpos"))
@@ -156,9 +250,8 @@ def design_primer_pairs(sequences: DataFrame, design: Design = Design()) -> Data
     best = _best_unbound(pairs, order, d)
     empty = {"pseq": F.lit(""), "ppos": F.lit(-1), "pn": F.lit(0), "ptm": F.lit(0.0), "pgc": F.lit(0.0)}
     if d.probe:
-        inside = _inside(best, probes, F.col("lpos") + F.col("ln"), F.col("rpos"), d.product_max)
-        best = top_n(inside.drop("rank").withColumn("key", F.struct("name", *order)), "key", ["ppen", "ppos", "pn"], 1).drop("rank", "key")
-        best = top_n(best, "name", order, d.num_return)
+        best = stored(best, "best")
+        best = best.join(_best_probes(sequences, best.select("name", "seq_id", (F.col("lpos") + F.col("ln")).alias("start"), F.col("rpos").alias("end")).distinct(), d), [F.col("name") == F.col("in_name"), F.col("seq_id") == F.col("in_id"), F.col("lpos") + F.col("ln") == F.col("start"), F.col("rpos") == F.col("end")])
     else:
         best = best.withColumns(empty)
     return best.select(
@@ -171,17 +264,20 @@ def design_primer_pairs(sequences: DataFrame, design: Design = Design()) -> Data
 
 
 def _best_unbound(pairs: DataFrame, order: list[str], d: Design) -> DataFrame:
-    """The ``num_return`` best pairs of each genome whose primers do not bind each other. Bonds are only looked for among the best; more are taken while a genome lacks some."""
+    """The ``num_return`` best pairs of each genome whose primers do not bind each other. Bonds are only looked for among the best; more are taken of the genomes that lack some."""
     if d.max_pair is None and d.max_pair_end is None:
         return top_n(pairs, "name", order, d.num_return)
-    take = 4 * d.num_return
+    take, done = 4 * d.num_return, None
     while True:
-        some = top_n(pairs, "name", order, take).withColumn("rseq", reverse_complement(F.col("rsite")))
-        free = unbound(some, "lseq", "rseq", d.max_pair, d.max_pair_end).drop("rank", "rseq")
-        lacking = free.groupBy("name").agg(F.count("*").alias("free")).join(some.groupBy("name").agg(F.count("*").alias("all")), "name", "right")
-        if lacking.where((F.coalesce("free", F.lit(0)) < d.num_return) & (F.col("all") == take)).isEmpty():
-            return top_n(free, "name", order, d.num_return)
-        take *= 4
+        some = stored(top_n(pairs, "name", order, take), "some")
+        free = stored(unbound(some.withColumn("rseq", reverse_complement(F.col("rsite"))), "lseq", "rseq", d.max_pair, d.max_pair_end).drop("rank", "rseq"), "free")
+        counts = free.groupBy("name").agg(F.count("*").alias("free")).join(some.groupBy("name").agg(F.count("*").alias("all")), "name", "right")
+        lacking = sized(counts.where((F.coalesce("free", F.lit(0)) < d.num_return) & (F.col("all") == take)).select("name"))
+        left = free.join(lacking, "name", "left_anti")
+        done = left if done is None else done.union(left)
+        if lacking.isEmpty():
+            return top_n(done, "name", order, d.num_return)
+        pairs, take = pairs.join(lacking, "name", "left_semi"), take * 4
 
 
 def top_n(rows: DataFrame, by: str, order: list[str], n: int) -> DataFrame:

@@ -78,3 +78,17 @@ def test_pairs_with_probes_against_brute_force(spark, bound):
         want += [(f"{name}_primer_{k + 1:05d}", i + 1, a, j + 1, rc(b), q[3], q[1] + 1, p) for k, (p, i, j, _, _, a, b, q) in enumerate(sorted(pairs)[:4])]
     got = [(r.name, r.forward_start, r.forward_seq, r.reverse_start, r.reverse_seq, r.internal_seq, r.internal_start, r.penalty) for r in D.design_primer_pairs(s, d).orderBy("name").collect()]
     assert len(want) >= 4 and got == want
+
+
+def test_fitting_oligos_against_brute_force():
+    """Only acceptable oligos become rows: of a text without any there is none, whatever its length."""
+    rng, codes = random.Random(5), {"A": 0, "C": 1, "G": 2, "T": 3}
+    for case in range(12):
+        d = D.Design(probe_size_min=12, probe_size_max=22, probe_tm_min=40, probe_tm_max=60, gc_min=35, max_self=(None, 4, 5, 30)[case % 4], max_self_end=(3, None, 4, 2)[case % 4], poly_x=case % 3 + 2)
+        text = "".join(rng.choice("ACGTACGTACGTACGTACGTN") for _ in range(160))
+        tm = lambda x: 2.0 * sum(c in "AT" for c in x) + 4.0 * sum(c in "GC" for c in x) if len(x) < 14 else 64.9 + 41.0 * (sum(c in "GC" for c in x) - 16.4) / len(x)
+        alone = lambda x, d=d: (d.max_self is None or bond(x, x)[0] <= d.max_self) and (d.max_self_end is None or bond(x, x)[1] <= d.max_self_end)
+        fine = lambda x, d=d: "N" not in x and 30 <= 100.0 * sum(c in "GC" for c in x) / len(x) <= 80 and 40 <= tm(x) <= 60 and not any(b * (d.poly_x + 1) in x for b in "ACGT") and alone(x)
+        got = D.fitting(D.np.array([codes.get(x, 4) for x in text], D.np.uint8), d, True)
+        assert {k: p.tolist() for k, p in got.items()} == {k: [i for i in range(len(text) - k + 1) if fine(text[i : i + k])] for k in range(12, 23)}
+    assert sum(len(p) for p in D.fitting(D.np.zeros(100_000, D.np.uint8), D.Design(), False).values()) == 0
