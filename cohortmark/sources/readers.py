@@ -129,8 +129,15 @@ def _whole(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_primers_eprimer3(spark: SparkSession, path: str, noname: bool = False) -> DataFrame:
     """Pairs of design reports. Unless ``noname``, names are made from file and place; else they are those of the comment lines."""
-    rows = _whole(spark, path).select("file", F.posexplode(F.split("value", "PRODUCT SIZE:")).alias("i", "block"), F.split("value", "PRODUCT SIZE:").alias("all")).where("i > 0")
-    given = F.regexp_extract(F.get("all", F.col("i") - 1), r"#\s*(\S+)\s*\n\s*\d+\s*$", 1)
+    rows = spark.read.option("lineSep", "PRODUCT SIZE:").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    rows = numbered(rows).select("file", F.col("ord").cast("int").alias("i"), F.col("value").alias("block"))
+    if noname:  # the name stands at the end of the block before
+        given = F.regexp_extract("block", r"#\s*(\S+)\s*\n\s*\d+\s*$", 1)
+        before = rows.select(F.col("file").alias("__f"), (F.col("i") + 1).alias("__i"), given.alias("given"))
+        rows = rows.where("i > 0").join(before.hint("merge"), (F.col("file") == F.col("__f")) & (F.col("i") == F.col("__i")))
+    else:
+        rows = rows.where("i > 0").withColumn("given", F.lit(""))
+    given = F.col("given")
     made = F.format_string("%s_primer_%05d", filestem(F.col("file")), F.col("i"))
     cols = [(F.nullif(given, F.lit("")) if noname else made).alias("name"), F.regexp_extract("block", r"^\s*(\d+)", 1).cast("long").alias("size")]
     for arm, label in (("forward", "FORWARD PRIMER"), ("reverse", "REVERSE PRIMER"), ("internal", "INTERNAL OLIGO")):
@@ -143,9 +150,15 @@ def scan_primers_eprimer3(spark: SparkSession, path: str, noname: bool = False)
 
 def scan_primers_primer3(spark: SparkSession, path: str) -> DataFrame:
     """Pairs of key=value design output up to the line ``=``; a file without pairs has no rows."""
-    rows = _whole(spark, path).withColumn("m", F.expr("str_to_map(substring_index(regexp_replace(value, '\r', ''), '\n=', 1), '\n', '=')"))
-    rows = rows.withColumn("i", F.explode(F.transform(F.filter(F.map_keys("m"), lambda k: k.rlike(r"^PRIMER_PAIR_\d+_PENALTY$")), lambda k: F.regexp_extract(k, r"(\d+)", 1).cast("int"))))
-    key = lambda form: F.try_element_at("m", F.format_string(form, "i"))
+    rows = spark.read.text(path).select(F.regexp_replace("value", "\r", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    rows = numbered(rows)
+    last = rows.where(F.col("value").startswith("=") & (F.col("ord") > 0)).groupBy(F.col("file").alias("__f")).agg(F.min("ord").alias("end"))  # a row for each file
+    rows = rows.join(sized(last), F.col("file") == F.col("__f"), "left").where("end is null or ord < end")
+    label = F.substring_index("value", "=", 1)
+    rows = rows.select("file", F.regexp_extract(label, r"^PRIMER_(?:PAIR|LEFT|RIGHT)_(\d+)(?:_[A-Z_]+)?$", 1).alias("i"), F.regexp_replace(label, r"_\d+", "").alias("key"), F.expr("substring(value, length(substring_index(value, '=', 1)) + 2)").alias("text"))
+    taken = ["PRIMER_PAIR_PENALTY", "PRIMER_PAIR_PRODUCT_SIZE"] + [f"PRIMER_{x}{y}" for x in ("LEFT", "RIGHT") for y in ("", "_SEQUENCE", "_TM", "_GC_PERCENT")]
+    rows = rows.where(F.col("i") != "").groupBy("file", F.col("i").cast("int").alias("i")).agg(*[F.max(F.when(F.col("key") == x, F.col("text"))).alias(x) for x in taken]).where("PRIMER_PAIR_PENALTY is not null")
+    key = lambda form: F.col(form.replace("_%d", ""))
     cols = [F.format_string("%s_primer_%05d", filestem(F.col("file")), F.col("i") + 1).alias("name"), key("PRIMER_PAIR_%d_PRODUCT_SIZE").cast("long").alias("size")]
     for arm, label in (("forward", "LEFT"), ("reverse", "RIGHT")):
         place = F.split(key(f"PRIMER_{label}_%d"), ",")

@@ -191,3 +191,30 @@ def test_result_writers(spark, tmp_path):
     st = spark.createDataFrame([("p", 0.12345, 0.0, 0.0, 1.0, 2, 1, 0.6931, 1.0)], "primer string, dist_mean double, dist_sd double, dist_min double, dist_max double, n_unique long, n_nonunique long, shannon double, evenness double")
     W.write_distance_summary(st, str(tmp_path / "d"))
     assert rows(spark.read.text(str(tmp_path / "d")), "value")[1] == ("primer\tdist_mean\tdist_sd\tdist_min\tdist_max\tunique\tnonunique\tshannon_index\tshannon_evenness",)
+
+
+def test_design_files_are_read_in_splits(spark, tmp_path):
+    """No row holds a file, and no pair looks through the others."""
+    n = 60
+    arm = lambda label, i, seq: f"     {label}  {i:<10d} 20  59.50  50.00  {seq}"
+    ep3 = "\n".join("\n".join([f"# p{i}", f"{i + 1:<4d} PRODUCT SIZE: {100 + i}", arm("FORWARD PRIMER", i, "ACGT"), arm("REVERSE PRIMER", i + 5, "TTTT"), "\n"]) for i in range(n))
+    p3 = "SEQUENCE_ID=g\n" + "".join(f"PRIMER_PAIR_{i}_PENALTY=0.5\nPRIMER_LEFT_{i}={i},20\nPRIMER_RIGHT_{i}={i + 5},20\nPRIMER_LEFT_{i}_SEQUENCE=ACGT\nPRIMER_PAIR_{i}_PRODUCT_SIZE={100 + i}\n" for i in range(n)) + "=\nPRIMER_PAIR_99_PENALTY=1\n=\n"
+    put(tmp_path / "g.eprimer3", ep3)
+    put(tmp_path / "g.primer3", p3)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for fmt, noname, name in (("eprimer3", True, "p{0}"), ("eprimer3", False, "g_primer_{1:05d}"), ("primer3", False, "g_primer_{1:05d}")):
+            found = R.scan_primers(spark, str(tmp_path / f"*.{fmt}"), fmt, noname)
+            assert rows(found, "size", "name", "forward_start") == [(100 + i, name.format(i, i + 1), i) for i in range(n)]
+            assert spark.read.text(str(tmp_path / f"*.{fmt}")).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_large_design_files_by_line(spark, tmp_path, monkeypatch):
+    put(tmp_path / "g.eprimer3", "# p\n1    PRODUCT SIZE: 100\n")
+    put(tmp_path / "g.primer3", "PRIMER_PAIR_0_PENALTY=0.5\n=\n")
+    monkeypatch.setattr(R, "_whole", None)
+    assert R.scan_primers_eprimer3(spark, str(tmp_path / "*.eprimer3"), True).count() == R.scan_primers_primer3(spark, str(tmp_path / "*.primer3")).count() == 1
