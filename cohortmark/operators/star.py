@@ -7,6 +7,8 @@ aggregation by (primer, place). Then each row is spread to these columns by itse
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from . import align
 from .storage import ship, stored
 
 SALTS = 16
+GAPS = re.compile("-+")
+PLACES = pa.list_(pa.struct([("place", pa.int32()), ("n", pa.int32())]))
 
 
 def centres(amplicons: DataFrame) -> DataFrame:
@@ -24,37 +28,54 @@ def centres(amplicons: DataFrame) -> DataFrame:
     return each.groupBy("primer").agg(best)
 
 
+def _gaps(centre: str) -> list[tuple[int, int]]:
+    """(place, n) of each run of gaps: how many bases of the centre stand before it, and how long it is."""
+    found, before = [], 0
+    for gap in GAPS.finditer(centre):
+        n = gap.end() - gap.start()
+        found.append((gap.start() - before, n))
+        before += n
+    return found
+
+
 def _pairs(batches, scores: align.Scores):
     for batch in batches:
         found = align.aligned(batch.column("centre").to_pylist(), batch.column("seq").to_pylist(), scores)
+        gaps = pa.array([_gaps(x) for x, _, _ in found], PLACES)
         cols = [batch.column("primer"), batch.column("seq"), pa.array([x for x, _, _ in found], pa.string()), pa.array([y for _, y, _ in found], pa.string()), pa.array([s for *_, s in found], pa.int64())]
-        yield pa.RecordBatch.from_arrays(cols, names=["primer", "seq", "centre_row", "own_row", "score"])
+        yield pa.RecordBatch.from_arrays([*cols, gaps], names=["primer", "seq", "centre_row", "own_row", "score", "gaps"])
+
+
+def _widened(centre: str, own: str, wide: dict[int, int]) -> str:
+    """``own``, aligned with ``centre``, with ``wide[place]`` columns before each place of the centre."""
+    if not wide:
+        return own
+    had, row, at, gone = dict(_gaps(centre)), [], 0, 0
+    for place in sorted(wide):
+        n = had.get(place, 0)
+        end = place + gone + n
+        row += [own[at:end], "-" * (wide[place] - n)]
+        at, gone = end, gone + n
+    return "".join(row) + own[at:]
 
 
 def _spread(batches):
     """Rows with as many columns before each place of the centre as the primer's widest alignment has there."""
     for batch in batches:
-        out = []
-        for centre, own, gaps in zip(batch.column("centre_row").to_pylist(), batch.column("own_row").to_pylist(), batch.column("gaps").to_pylist(), strict=True):
-            wide, row, place, run = {g["place"]: g["n"] for g in gaps or ()}, [], 0, 0
-            for c, o in zip(centre + "\0", own + "\0", strict=True):
-                if c == "-":
-                    row.append(o)
-                    run += 1
-                else:
-                    row.append("-" * (wide.get(place, 0) - run) + (o if c != "\0" else ""))
-                    place, run = place + 1, 0
-            out.append("".join(row))
+        gaps = batch.column("wide")
+        ends, place, n = gaps.offsets.to_pylist(), gaps.values.field("place").to_pylist(), gaps.values.field("n").to_pylist()
+        rows = zip(batch.column("centre_row").to_pylist(), batch.column("own_row").to_pylist(), ends, ends[1:], strict=False)
+        out = [_widened(centre, own, dict(zip(place[a:b], n[a:b], strict=True))) for centre, own, a, b in rows]
         yield pa.RecordBatch.from_arrays([batch.column("primer"), batch.column("seq"), pa.array(out, pa.string())], names=["primer", "seq", "aligned"])
 
 
 def pair_alignments(amplicons: DataFrame, scores: align.Scores = align.Scores()) -> DataFrame:
-    """primer, seq, centre_row, own_row, score: each different sequence of a primer aligned with its centre."""
+    """primer, seq, centre_row, own_row, score, gaps: each different sequence of a primer aligned with its centre; gaps (place, n) of the centre, by its bases before them."""
     ship(amplicons.sparkSession)
     each = amplicons.select("primer", "seq").distinct()
     middle = centres(amplicons).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     each = each.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")).join(middle, ["primer", "salt"])
-    return each.select("primer", "seq", "centre").mapInArrow(lambda b: _pairs(b, scores), "primer string, seq string, centre_row string, own_row string, score long")
+    return each.select("primer", "seq", "centre").mapInArrow(lambda b: _pairs(b, scores), "primer string, seq string, centre_row string, own_row string, score long, gaps array<struct<place: int, n: int>>")
 
 
 def align_amplicons(amplicons: DataFrame, scores: align.Scores = align.Scores()) -> DataFrame:
@@ -63,10 +84,9 @@ def align_amplicons(amplicons: DataFrame, scores: align.Scores = align.Scores())
     A primer with one amplicon, or with equal ones, keeps its sequence. Equal sequences have equal rows.
     """
     pairs = stored(pair_alignments(amplicons, scores), "pairs")
-    runs = F.expr("regexp_extract_all(concat(centre_row, '.'), '(-*)[^-]', 1)")  # gaps before each place, and at the end
-    widest = pairs.where(F.col("centre_row").contains("-")).select("primer", F.posexplode(F.transform(runs, F.length)).alias("place", "n")).where("n > 0")
-    widest = widest.groupBy("primer", "place").agg(F.max("n").alias("n")).groupBy("primer").agg(F.collect_list(F.struct("place", "n")).alias("gaps"))
-    rows = pairs.join(widest, "primer", "left").select("primer", "seq", "centre_row", "own_row", "gaps")
+    widest = pairs.select("primer", F.explode("gaps").alias("x")).groupBy("primer", "x.place").agg(F.max("x.n").alias("n"))
+    widest = widest.groupBy("primer").agg(F.collect_list(F.struct("place", "n")).alias("wide"))
+    rows = pairs.join(widest, "primer", "left").select("primer", "seq", "centre_row", "own_row", "wide")
     rows = rows.mapInArrow(_spread, "primer string, seq string, aligned string")
     return amplicons.join(rows, ["primer", "seq"]).withColumn("seq", F.col("aligned")).select(amplicons.columns)
 

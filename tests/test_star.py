@@ -49,3 +49,18 @@ def test_distances_and_consensus_of_aligned_rows(spark):
     got = {(r.a, r.b): r.dist for r in diversity.pair_distances(out).collect()}
     assert {k: round(v, 9) for k, v in got.items()} == {("a", "b"): 0.1, ("a", "c"): 0.0, ("a", "d"): 0.1, ("b", "c"): 0.1, ("b", "d"): 0.2, ("c", "d"): 0.1}
     assert rows(star.consensus(out), "primer", "consensus") == [("p", "ACGTACGTAC")]
+
+
+def test_gaps_come_with_the_alignments(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame(family(rng, "p", 20, 80), "primer string, amplicon_name string, seq string")
+    for r in star.pair_alignments(df).collect():
+        want, place = [], 0
+        for c in r.centre_row:
+            if c != "-":
+                place += 1
+            elif want and want[-1][0] == place:
+                want[-1][1] += 1
+            else:
+                want.append([place, 1])
+        assert [[g.place, g.n] for g in r.gaps] == want
