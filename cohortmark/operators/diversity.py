@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortmark.functions.sequence import edit_distance, identity_distance, reverse_complement
+from cohortmark.functions.sequence import identity_distance, reverse_complement
 
-from . import tiles
+from . import align, tiles
 from .classify import MAX_AMPLICON, MIN_AMPLICON
+from .storage import ship
 
 
 def extract_amplicons(amplimers: DataFrame, primers: DataFrame, sequences: DataFrame, low: int = MIN_AMPLICON, high: int = MAX_AMPLICON) -> DataFrame:
@@ -27,12 +32,31 @@ def extract_amplicons(amplimers: DataFrame, primers: DataFrame, sequences: DataF
     return rows.select(F.col("primer_name").alias("primer"), "target", "idx", name.alias("amplicon_name"), "seq")
 
 
+def _edited(batches):
+    for batch in batches:
+        x, y = batch.column("x"), batch.column("y")
+        both = pa.compute.and_(x.is_valid(), y.is_valid())
+        rows = np.flatnonzero(both.to_numpy(zero_copy_only=False))
+        xs, ys = x.filter(both).to_pylist(), y.filter(both).to_pylist()
+        dist = np.full(len(x), np.nan)
+        dist[rows] = align.edit_distances(xs, ys) / np.maximum([max(len(a), len(b)) for a, b in zip(xs, ys, strict=True)], 1)
+        keep = [i for i, name in enumerate(batch.schema.names) if name not in ("x", "y")]
+        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(dist, from_pandas=True)], names=[*[batch.schema.names[i] for i in keep], "dist"])
+
+
+def measured(pairs: DataFrame, aligned: bool) -> DataFrame:
+    """``pairs`` with ``dist`` of their columns x and y in place of these: the part of places that differ, or the Levenshtein distance as a part of the longer length."""
+    if aligned:
+        return pairs.withColumn("dist", identity_distance(F.col("x"), F.col("y"))).drop("x", "y")
+    ship(pairs.sparkSession)
+    return pairs.mapInArrow(_edited, StructType([*[f for f in pairs.schema if f.name not in ("x", "y")], StructField("dist", DoubleType())]))
+
+
 def pair_distances(amplicons: DataFrame, aligned: bool = True) -> DataFrame:
     """primer, a, b, dist for each unordered pair of a primer's amplicons."""
     a = amplicons.select("primer", F.col("amplicon_name").alias("a"), F.col("seq").alias("x"))
     b = amplicons.select(F.col("primer").alias("p"), F.col("amplicon_name").alias("b"), F.col("seq").alias("y"))
-    measure = identity_distance if aligned else edit_distance
-    return a.join(b, (F.col("primer") == F.col("p")) & (F.col("a") < F.col("b"))).select("primer", "a", "b", measure(F.col("x"), F.col("y")).alias("dist"))
+    return measured(a.join(b, (F.col("primer") == F.col("p")) & (F.col("a") < F.col("b"))).select("primer", "a", "b", "x", "y"), aligned)
 
 
 def shannon_index(amplicons: DataFrame) -> DataFrame:
@@ -55,8 +79,8 @@ def pairwise_distance_stats(amplicons: DataFrame, aligned: bool = True) -> DataF
     """
     each = amplicons.groupBy("primer", "seq").agg(F.count("*").alias("c"))
     a, b = each.select("primer", F.col("seq").alias("x"), F.col("c").alias("cx")), each.select(F.col("primer").alias("p"), F.col("seq").alias("y"), F.col("c").alias("cy"))
-    measure = identity_distance if aligned else edit_distance
-    pairs = a.join(b, (F.col("primer") == F.col("p")) & (F.col("x") < F.col("y"))).select("primer", measure(F.col("x"), F.col("y")).alias("d"), (F.col("cx") * F.col("cy")).alias("w"))
+    pairs = a.join(b, (F.col("primer") == F.col("p")) & (F.col("x") < F.col("y"))).select("primer", "x", "y", (F.col("cx") * F.col("cy")).alias("w"))
+    pairs = measured(pairs, aligned).select("primer", F.col("dist").alias("d"), "w")
     same = each.where("c > 1").select("primer", F.lit(0.0).alias("d"), (F.col("c") * (F.col("c") - 1) / 2).cast("long").alias("w"))
     w, d = F.col("w"), F.col("d")
     stats = pairs.union(same).groupBy("primer").agg(F.sum("w").alias("n"), (F.sum(w * d) / F.sum("w")).alias("dist_mean"), F.sum(w * d * d).alias("dd"), F.min("d").alias("dist_min"), F.max("d").alias("dist_max"))

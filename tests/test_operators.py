@@ -213,3 +213,20 @@ def test_conserved_blocks_of_chosen_queries(spark, monkeypatch):
     monkeypatch.setattr(H, "stored", lambda x, name: kept.append(write(x, name)) or kept[-1])
     assert rows(H.conserved_blocks(df(both + others), queries=df(both)), *cols) == whole and len(whole) >= 12
     assert kept[0].where("name like 'd%'").join(kept[0].where("name like 'b%'"), "kmer", "left_anti").isEmpty()  # words that no query has are not counted
+
+
+def test_edit_distances_of_pairs_leave_the_row_interpreter(spark):
+    """A table of 100 by 100 cells for each pair is not worked through a cell at a time; nulls, empty and other letters count as Spark's levenshtein counts them."""
+    from pyspark.sql import functions as F
+
+    from cohortmark.operators import diversity
+
+    data = [("p", "a", "ACGTACGT"), ("p", "b", "CGTACG"), ("p", "c", ""), ("p", "d", None), ("p", "e", "é😀"), ("q", "f", ""), ("q", "g", ""), (None, "h", "A")]
+    df = spark.createDataFrame(data, "primer string, amplicon_name string, seq string")
+    seqs = df.select("amplicon_name", "seq")
+    got = diversity.pair_distances(df, aligned=False)
+    assert "levenshtein" not in got._jdf.queryExecution().optimizedPlan().toString()
+    both = got.join(seqs.toDF("a", "x"), "a").join(seqs.toDF("b", "y"), "b").withColumn("want", F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"), F.lit(1)))
+    assert got.count() == 11 and both.where(~F.col("dist").eqNullSafe(F.col("want"))).count() == 0
+    stats = {r.primer: r.dist_max for r in diversity.pairwise_distance_stats(df, aligned=False).collect()}
+    assert stats["p"] == 1.0 and stats["q"] == 0.0
