@@ -217,7 +217,7 @@ def pending_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("s_suppkey") % 10 == 0, F.lit('{"pairs": [1, 2')).otherwise(F.lit('{"pairs": [1, 2]}'))
     path = T.scratch(spark, "outputs")
     rows = s.where("s_suppkey % 2 = 0").select(F.concat("s_name", F.lit(".eprimer3")).alias("output"), text.alias("value"))
-    rows.repartition("output").write.partitionBy("output").text(path)
+    W.filed(W.by_file(rows, "output"), "output").text(path)
     return N.pending(s.select(F.col("s_name").alias("stem")), N.outputs(spark, path), "eprimer3", "stem")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortmark.operators.manifest import FIELDS, check_manifest_format
@@ -10,10 +10,22 @@ from cohortmark.operators.manifest import FIELDS, check_manifest_format
 from .readers import scan_manifest_json, scan_manifest_tab
 
 
+def by_file(rows: DataFrame, *partition: str) -> DataFrame:
+    """``rows`` dealt by the files that they go to. Files cost time by their number, which Spark does not see in the bytes: left to itself it lets one task write them all."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *partition)
+
+
+def filed(rows: DataFrame, *partition: str) -> DataFrameWriter:
+    """A writer of a file or more for each value of ``partition``. Tasks move their files into place themselves, the driver does not move one after another; a write that
+    failed leaves files but no _SUCCESS."""
+    return rows.write.partitionBy(*partition).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
 def _text(rows: DataFrame, path: str, order: list[str], partition: list[str] = ()) -> None:
     """Lines in order. Partitioned outputs are dealt by partition and sorted within; others are range-sorted as a whole."""
     if partition:
-        rows.repartition(*partition).sortWithinPartitions(*partition, *order).select(*partition, "value").write.partitionBy(*partition).mode("overwrite").text(path)
+        filed(by_file(rows, *partition).sortWithinPartitions(*partition, *order).select(*partition, "value"), *partition).mode("overwrite").text(path)
     else:
         rows.orderBy(*order).select("value").write.mode("overwrite").text(path)
 

@@ -218,3 +218,21 @@ def test_large_design_files_by_line(spark, tmp_path, monkeypatch):
     put(tmp_path / "g.primer3", "PRIMER_PAIR_0_PENALTY=0.5\n=\n")
     monkeypatch.setattr(R, "_whole", None)
     assert R.scan_primers_eprimer3(spark, str(tmp_path / "*.eprimer3"), True).count() == R.scan_primers_primer3(spark, str(tmp_path / "*.primer3")).count() == 1
+
+
+def test_many_small_files_are_written_by_many_tasks(spark, tmp_path):
+    import glob
+    import re
+
+    from cohortmark.operators import design
+    from cohortmark.sources import writers
+
+    path = str(tmp_path / "boulder")
+    names = spark.createDataFrame([(f"g{i}",) for i in range(40)], "name string")
+    writers.write_boulder_input(design.boulder_input(names), path)
+    found = glob.glob(f"{path}/name=*/part-*.txt")
+    assert len(found) == 40 and len({re.search(r"/part-(\d+)", x)[1] for x in found}) > 2
+    read = spark.read.text(path).select("name", "value")
+    assert read.count() == writers.boulder_lines(design.boulder_input(names)).count() and read.select("name").distinct().count() == 40
+    writers.write_boulder_input(design.boulder_input(names.where("name < 'g2'")), path)  # in place of what was there
+    assert spark.read.text(path).select("name").distinct().count() == names.where("name < 'g2'").count()
