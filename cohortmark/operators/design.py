@@ -99,12 +99,14 @@ def unbound(rows: DataFrame, a: str, b: str, most: int | None, end: int | None)
 
     def step(batches):
         for batch in batches:
-            x, y = batch.column(a).to_pylist(), batch.column(b).to_pylist()
+            each: dict[tuple[str, str], int] = {}  # repeats in a text give the same two oligos many times
+            at = [each.setdefault(k, len(each)) for k in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist(), strict=True)]
+            x, y = [k[0] for k in each], [k[1] for k in each]
             (any1, end1), (_, end2) = bonds(x, y), bonds(y, x)
             keep = np.ones(len(x), bool) if most is None else any1 <= most
             if end is not None:
                 keep &= (end1 <= end) & (end2 <= end)
-            yield batch.filter(pa.array(keep))
+            yield batch.filter(pa.array(keep[np.array(at, np.int64)]))
 
     return rows.mapInArrow(step, rows.schema)
 
@@ -238,16 +240,8 @@ def design_primer_pairs(sequences: DataFrame, design: Design = Design()) -> Data
         probes = oligos(sequences, d, probe=True).select("name", "seq_id", F.col("pos").alias("ppos"), F.col("n").alias("pn"))
         behind = _inside(left.select("name", "seq_id", "lpos", "ln"), probes, F.col("lpos") + F.col("ln"), F.col("lpos") + d.product_max, d.product_max)
         left = left.join(behind.groupBy("name", "seq_id", "lpos", "ln").agg(F.min(F.col("ppos") + F.col("pn")).alias("probe_end")), ["name", "seq_id", "lpos", "ln"])
-    left = left.withColumn("bin", F.explode(F.array(F.floor(F.col("lpos") / d.product_max), F.floor(F.col("lpos") / d.product_max) + 1)))
-    right = right.withColumn("bin", F.floor(F.col("rpos") / d.product_max))
-    pairs = left.join(right, ["name", "seq_id", "bin"]).withColumn("size", F.col("rpos") + F.col("rn") - F.col("lpos"))
-    pairs = pairs.where(F.col("size").between(d.product_min, d.product_max) & (F.col("rpos") >= F.col("lpos") + F.col("ln")))
-    if d.probe:
-        pairs = pairs.where(F.col("probe_end") <= F.col("rpos")).drop("probe_end")
-    off = F.col("size") - d.product_opt
-    pairs = pairs.withColumn("penalty", F.round(F.col("lpen") + F.col("rpen") + F.when(off < 0, -off * d.wt_lt).otherwise(off * d.wt_gt), 6))
     order = ["penalty", "seq_id", "lpos", "rpos", "ln", "rn"]
-    best = _best_unbound(pairs, order, d)
+    best = _best_unbound(left, right, order, d)
     empty = {"pseq": F.lit(""), "ppos": F.lit(-1), "pn": F.lit(0), "ptm": F.lit(0.0), "pgc": F.lit(0.0)}
     if d.probe:
         best = stored(best, "best")
@@ -263,21 +257,39 @@ def design_primer_pairs(sequences: DataFrame, design: Design = Design()) -> Data
     )
 
 
-def _best_unbound(pairs: DataFrame, order: list[str], d: Design) -> DataFrame:
-    """The ``num_return`` best pairs of each genome whose primers do not bind each other. Bonds are only looked for among the best; more are taken of the genomes that lack some."""
+def _paired(left: DataFrame, right: DataFrame, d: Design, parts: int | None = None) -> DataFrame:
+    """Pairs of oligos by product size, with penalty; with a probe between them if asked for. ``parts``: tasks that the bins are dealt to."""
+    left = left.withColumn("bin", F.explode(F.array(F.floor(F.col("lpos") / d.product_max), F.floor(F.col("lpos") / d.product_max) + 1)))
+    right = right.withColumn("bin", F.floor(F.col("rpos") / d.product_max))
+    if parts:
+        left, right = (x.repartition(parts, "name", "seq_id", "bin") for x in (left, right))
+    pairs = left.join(right, ["name", "seq_id", "bin"]).withColumn("size", F.col("rpos") + F.col("rn") - F.col("lpos"))
+    pairs = pairs.where(F.col("size").between(d.product_min, d.product_max) & (F.col("rpos") >= F.col("lpos") + F.col("ln")))
+    if d.probe:
+        pairs = pairs.where(F.col("probe_end") <= F.col("rpos")).drop("probe_end")
+    off = F.col("size") - d.product_opt
+    return pairs.withColumn("penalty", F.round(F.col("lpen") + F.col("rpen") + F.when(off < 0, -off * d.wt_lt).otherwise(off * d.wt_gt), 6))
+
+
+def _best_unbound(left: DataFrame, right: DataFrame, order: list[str], d: Design) -> DataFrame:
+    """The ``num_return`` best pairs of each genome whose primers do not bind each other. Bonds are first looked for among the best only; of the genomes that then lack some all
+    pairs are looked at, once. These have few oligos and many pairs, so their bins are dealt out by number: by their bytes one task would get them all."""
+    pairs = _paired(left, right, d)
     if d.max_pair is None and d.max_pair_end is None:
         return top_n(pairs, "name", order, d.num_return)
-    take, done = 4 * d.num_return, None
-    while True:
-        some = stored(top_n(pairs, "name", order, take), "some")
-        free = stored(unbound(some.withColumn("rseq", reverse_complement(F.col("rsite"))), "lseq", "rseq", d.max_pair, d.max_pair_end).drop("rank", "rseq"), "free")
-        counts = free.groupBy("name").agg(F.count("*").alias("free")).join(some.groupBy("name").agg(F.count("*").alias("all")), "name", "right")
-        lacking = sized(counts.where((F.coalesce("free", F.lit(0)) < d.num_return) & (F.col("all") == take)).select("name"))
-        left = free.join(lacking, "name", "left_anti")
-        done = left if done is None else done.union(left)
-        if lacking.isEmpty():
-            return top_n(done, "name", order, d.num_return)
-        pairs, take = pairs.join(lacking, "name", "left_semi"), take * 4
+    take, spark = 4 * d.num_return, left.sparkSession
+    kept = lambda rows: unbound(rows.withColumn("rseq", reverse_complement(F.col("rsite"))), "lseq", "rseq", d.max_pair, d.max_pair_end).drop("rseq")
+    some = stored(top_n(pairs, "name", order, take), "some")
+    free = stored(kept(some).drop("rank"), "free")
+    counts = free.groupBy("name").agg(F.count("*").alias("free")).join(some.groupBy("name").agg(F.count("*").alias("all")), "name", "right")
+    lacking = stored(counts.where((F.coalesce("free", F.lit(0)) < d.num_return) & (F.col("all") == take)).select("name"), "lacking")
+    if lacking.isEmpty():
+        return top_n(free, "name", order, d.num_return)
+    lacking = sized(lacking)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    rest = kept(_paired(left.join(lacking, "name", "left_semi"), right.join(lacking, "name", "left_semi"), d, parts))
+    rest = stored(top_n(rest, "name", order, d.num_return).drop("rank"), "rest")
+    return top_n(free.join(lacking, "name", "left_anti").unionByName(rest), "name", order, d.num_return)
 
 
 def top_n(rows: DataFrame, by: str, order: list[str], n: int) -> DataFrame:

@@ -92,3 +92,30 @@ def test_fitting_oligos_against_brute_force():
         got = D.fitting(D.np.array([codes.get(x, 4) for x in text], D.np.uint8), d, True)
         assert {k: p.tolist() for k, p in got.items()} == {k: [i for i in range(len(text) - k + 1) if fine(text[i : i + k])] for k in range(12, 23)}
     assert sum(len(p) for p in D.fitting(D.np.zeros(100_000, D.np.uint8), D.Design(), False).values()) == 0
+
+
+def test_genomes_that_lack_free_pairs_are_looked_at_once(spark, monkeypatch):
+    """Not again and again for four times as many pairs, each time made anew."""
+    import random
+    from dataclasses import replace
+
+    from cohortmark.operators import design as D
+
+    rng = random.Random(8)
+    data = [(f"g{i}", f"g{i}", "".join(rng.choice("ACGT") for _ in range(140))) for i in range(3)]
+    df = spark.createDataFrame(data, "name string, seq_id string, seq string")
+    d = D.Design(num_return=2, size_min=20, size_max=20, tm_min=40.0, tm_max=80.0, max_pair=3, max_pair_end=1)
+    loose = replace(d, num_return=10**6, max_pair=None, max_pair_end=None)
+    every = D.design_primer_pairs(df, loose).collect()
+    x, y = [r.forward_seq for r in every], [r.reverse_seq for r in every]
+    (most, end), (_, other) = D.bonds(x, y), D.bonds(y, x)
+    want: dict = {}
+    for r, ok in sorted(zip(every, (most <= 3) & (end <= 1) & (other <= 1), strict=True), key=lambda z: (z[0].sourcename, z[0].name)):
+        if ok and len(want.setdefault(r.sourcename, [])) < 2:
+            want[r.sourcename].append((r.forward_start, r.forward_length, r.reverse_start, r.reverse_length))
+    names, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda rows, name: names.append(name) or stored(rows, name))
+    got: dict = {}
+    for r in sorted(D.design_primer_pairs(df, d).collect(), key=lambda r: r.name):
+        got.setdefault(r.sourcename, []).append((r.forward_start, r.forward_length, r.reverse_start, r.reverse_length))
+    assert got == want and names.count("some") == 1 and names.count("rest") == 1
