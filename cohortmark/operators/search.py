@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortmark.functions.sequence import hamming, reverse_complement
 
+from . import places
 from .sequences import pieces, sized
 from .storage import stored
 
@@ -23,6 +24,24 @@ def windows(sequences: DataFrame, k: int, step: int = CHUNK) -> DataFrame:
     return rows.select("name", "seq_id", (F.col("offset") + F.col("p")).alias("pos"), "kmer")
 
 
+def windows_among(sequences: DataFrame, k: int, words: DataFrame) -> DataFrame:
+    """(name, seq_id, pos, kmer): the windows of k bases whose ``kmer`` is among ``words``, which are different and have no N. Few words are sent to the text."""
+    known = places.few(words.select("kmer"), SENT_WORDS)
+    if known is None:
+        return windows(sequences, k).join(words.hint("merge"), "kmer", "left_semi").select("name", "seq_id", "pos", "kmer")
+    rows = places.standing(pieces(sequences, 0, k - 1, LARGE, LARGE), known)
+    rows = rows.select("name", "seq_id", (F.col("start") + F.col("p")).alias("pos"), F.col("seq").alias("kmer"))
+    return rows.join(F.broadcast(words), "kmer", "left_semi").select("name", "seq_id", "pos", "kmer")
+
+
+def word_counts(sequences: DataFrame, k: int) -> DataFrame:
+    """(kmer, n): how often each word of k bases without N stands in the sequences."""
+    if k > places.COUNTED:
+        return windows(sequences, k).groupBy("kmer").agg(F.count("*").alias("n"))
+    rows = sequences.select("name", "seq_id", "seq")
+    return places.counted(pieces(rows, 0, k - 1, LARGE, LARGE), k).groupBy("kmer").agg(F.sum("n").alias("n"))
+
+
 def placed_windows(rows: DataFrame, k: int) -> DataFrame:
     """``pieces`` with ``p`` and ``kmer`` of each window without N that begins among a piece's own bases."""
     last = F.least(F.col("lead") + F.col("own"), F.length("seq") - k + 1) - 1
@@ -118,17 +137,22 @@ def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1
     longest, sizes = max(n for n, _, _ in counts), sorted({x.k for x in plan})
     few = sum(x.words * c for x, (_, _, c) in zip(plan, counts, strict=True)) <= sent_words
 
-    rows = pieces(sequences.select("name", "seq_id", F.upper("seq").alias("seq")), longest, longest + sizes[-1], max(CHUNK, longest), max(LARGE, longest))
-    last = F.least(F.col("lead") + F.col("own"), F.length("seq") - sizes[0] + 1) - 1
-    rows = rows.where(last >= F.col("lead")).withColumn("bases", F.regexp_replace("seq", "[^ACGT]", "N"))
-    rows = rows.withColumn("p", F.explode(F.sequence(F.col("lead"), last)))
-    words = [F.substring(F.col("bases"), F.col("p") + 1, F.lit(k)) for k in sizes]
-    rows = rows.withColumn("word", words[0] if len(words) == 1 else F.explode(F.array(*words))).drop("bases")
-    if not few:
+    texts, seeds = sequences.select("name", "seq_id", F.upper("seq").alias("seq")), seed_words(both, plan)
+    known = places.few(seeds.select("word").distinct(), sent_words) if few and sizes[0] else None
+    if known is not None:  # only the places at which a seed stands become rows
+        rows = pieces(texts, longest, longest + sizes[-1], max(LARGE, longest), max(LARGE, longest))
+        rows = places.standing(rows, known, longest, longest, "N")
+        rows = rows.withColumn("word", F.regexp_replace(F.expr("substring(seq, p + 1, k)"), "[^ACGT]", "N"))
+    else:
+        rows = pieces(texts, longest, longest + sizes[-1], max(CHUNK, longest), max(LARGE, longest))
+        last = F.least(F.col("lead") + F.col("own"), F.length("seq") - sizes[0] + 1) - 1
+        rows = rows.where(last >= F.col("lead")).withColumn("bases", F.regexp_replace("seq", "[^ACGT]", "N"))
+        rows = rows.withColumn("p", F.explode(F.sequence(F.col("lead"), last)))
+        words = [F.substring(F.col("bases"), F.col("p") + 1, F.lit(k)) for k in sizes]
+        rows = rows.withColumn("word", words[0] if len(words) == 1 else F.explode(F.array(*words))).drop("bases")
         rows = rows.withColumn("skip", F.greatest(F.col("p") - longest, F.lit(0)))
         rows = rows.withColumn("seq", F.substring(F.col("seq"), F.col("skip") + 1, F.col("p") - F.col("skip") + longest))
-        rows = rows.withColumn("p", F.col("p") - F.col("skip")).withColumn("lead", F.col("lead") - F.col("skip")).drop("skip")
-    seeds = seed_words(both, plan)
+        rows = rows.withColumn("start", F.col("offset") - F.col("lead") + F.col("skip")).withColumn("p", F.col("p") - F.col("skip"))
     hits = rows.join(F.broadcast(seeds) if few else seeds.hint("merge"), "word").withColumn("first", F.col("p") - F.col("at"))
     hits = hits.where((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.length("seq")))
     hits = hits.withColumn("site", F.substring(F.col("seq"), F.col("first") + 1, F.col("n")))
@@ -139,7 +163,7 @@ def search_oligos(oligos: DataFrame, sequences: DataFrame, mismatch: float = 0.1
     part = lambda c, i: F.substring(F.col(c), i * size + 1, size)
     whole = F.exists(F.sequence(F.lit(0), F.col("m")), lambda i: (part("oseq", i) == part("site", i)) & ~part("oseq", i).contains("N"))
     hits = hits.where(~F.col("oseq").contains("N") | whole)
-    return hits.select("oligo", "strand", "name", "seq_id", (F.col("offset") - F.col("lead") + F.col("first")).alias("pos"), "n", "mismatches").distinct()
+    return hits.select("oligo", "strand", "name", "seq_id", (F.col("start") + F.col("first")).alias("pos"), "n", "mismatches").distinct()
 
 
 def search_primers(primers: DataFrame, sequences: DataFrame, mismatch: float = 0.1, max_product: int = 5000) -> DataFrame:
@@ -168,7 +192,7 @@ def offtarget_hits(queries: DataFrame, database: DataFrame, max_alignment: int =
     known = known.union(known.select(reverse_complement(F.col("seq")))).select(F.lit("").alias("name"), F.lit("").alias("seq_id"), "seq")
     known = windows(known, k).select("kmer").distinct()
     own = queries.select("name", F.lit("").alias("seq_id"), F.upper("seq").alias("seq"))
-    return windows(own, k).join(sized(known), "kmer", "left_semi").select("name").distinct()
+    return windows_among(own, k, known).select("name").distinct()
 
 
 def screen_offtarget(primers: DataFrame, database: DataFrame, max_alignment: int = 15) -> DataFrame:
