@@ -403,7 +403,7 @@ def gc_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""WITH {T.SEQUENCES}, k AS (SELECT substr(seq, i::INT, 6) AS kmer FROM (SELECT seq, unnest(range(1, length(seq) - 4)) AS i FROM seqs WHERE length(seq) >= 6))
 SELECT kmer, count(*) AS n FROM k WHERE NOT contains(kmer, 'N') GROUP BY 1""")
 def kmer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.windows(T.sequences(spark, sf_dir), 6).groupBy("kmer").agg(F.count("*").alias("n"))
+    return H.word_counts(T.sequences(spark, sf_dir), 6)
 
 
 @registered("SELECT doc_id, regexp_extract(source || '/' || lang || '.' || doc_id || '.fasta', '([^/]*)\\.[^.]*$', 1) AS stem, source AS sourcename, printf('%s_primer_%05d', source, doc_id) AS name FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")
