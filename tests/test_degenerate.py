@@ -45,3 +45,16 @@ def test_words_of_a_seed(spark):
     by = {r.s: r for r in got}
     assert sorted(by["AR"].w) == ["AA", "AG", "AR"] and by["AR"].n == 3
     assert len(by["NY"].w) == by["NY"].n == 45 and by[""].w == [""]
+
+
+@pytest.mark.parametrize(("sent", "at_once"), [(1_000_000, 1_000_000), (1_000_000, 50), (100, 1_000_000)])
+def test_words_sent_or_joined_give_the_same_places(spark, monkeypatch, sent, at_once):
+    rng = random.Random(7)
+    monkeypatch.setattr(D, "AT_ONCE", at_once)
+    texts = [("r", "ACACACACAC" * 30), ("t", "".join(rng.choice("ACGT" * 9 + "RYNK") for _ in range(300))), ("x", "AC"), ("n", None)]
+    oligos = [("p", "ACRCACACYCAN"), ("q", "ACRCACACYCAN"), ("long", texts[1][1][10:60]), ("end", texts[1][1][-17:].replace("N", "A")), ("n", "NNNN")]
+    frame = spark.createDataFrame([("g", n, t) for n, t in texts], "name string, seq_id string, seq string")
+    got = D.search(spark.createDataFrame(oligos, "oligo string, seq string"), frame, 0.1, sent)
+    want = brute(oligos, [(n, t) for n, t in texts if t], 0.1)
+    assert rows(got, "oligo", "strand", "seq_id", "pos", "mismatches") == want and len(want) > 600
+    assert ("MapInArrow" in got._jdf.queryExecution().toString()) == (sent > 100)
