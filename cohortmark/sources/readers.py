@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortmark.functions.sequence import filestem
-from cohortmark.operators import scans, tiles
+from cohortmark.operators import places, tiles
 from cohortmark.operators.manifest import FIELDS
 from cohortmark.operators.sequences import sized
+from cohortmark.operators.storage import ship
 
 PRIMER_FIELDS = ["name string", "size long"] + [f"{arm}_{k}" for arm in ("forward", "reverse", "internal") for k in ("seq string", "start long", "length long", "tm double", "gc double")] + ["source string", "sourcename string"]
 PRIMER_SCHEMA = ", ".join(PRIMER_FIELDS)
@@ -73,23 +76,75 @@ def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_fasta_tiles(spark: SparkSession, path: str, size: int = tiles.SIZE) -> DataFrame:
-    """(name, seq_id, description, ord, tile, seq): records of any length as tiles, from their lines. Only numbers are sorted: a scan gives each line its record
-    and its place in it."""
+    """(name, seq_id, description, ord, tile, seq): records of any length as tiles, from their lines. Each split joins its lines to stretches of records; only what a split
+    leaves open (its records, the bases since the last one began, that one's title: a row for each split) goes on to the next."""
     rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    rows = numbered(rows.withColumn("value", F.trim(F.regexp_replace("value", "\r", ""))).where("value <> ''"))
+    rows = rows.withColumn("value", F.trim(F.regexp_replace("value", "\r", ""))).where("value <> ''")
     head = F.col("value").startswith(">")
-    rows = rows.withColumn("head", head).withColumn("seq", F.when(head, "").otherwise(F.regexp_replace("value", r"\s", "")))
-    steps = rows.select("file", F.col("ord").alias("at"), F.when(F.col("head"), 1).otherwise(0).alias("d"), F.length("seq").alias("d0"))
-    ends = steps.groupBy("file").agg((F.max("at") + 1).alias("at")).select("file", "at", F.lit(0), F.lit(0))
-    run = scans.depth(steps.union(ends), ["file"]).select(F.col("file").alias("__f"), F.col("start").alias("__at"), F.col("depth").alias("record"), F.col("first").alias("upto"))
-    rows = rows.join(run, (F.col("file") == F.col("__f")) & (F.col("ord") == F.col("__at"))).drop("__f", "__at")
-    title = F.expr("substring(value, 2)")
-    heads = rows.where("head").select(F.col("file").alias("__f"), F.col("record").alias("__r"), F.col("upto").alias("base"), F.regexp_extract(title, r"^\s*(\S*)", 1).alias("seq_id"), F.trim(title).alias("description"))
-    rows = rows.join(sized(heads), (F.col("file") == F.col("__f")) & (F.col("record") == F.col("__r")))
-    rows = rows.select(filestem(F.col("file")).alias("name"), "seq_id", "description", (F.col("record") - 1).cast("int").alias("ord"), (F.col("upto") - F.length("seq") - F.col("base")).alias("at"), "seq")
+    rows = rows.select("file", "block", F.when(head, F.expr("substring(value, 2)")).alias("title"), F.when(head, "").otherwise(F.regexp_replace("value", r"\s", "")).alias("seq"))
+    found, ends = _stretches(rows, False), _stretches(rows, True)
+    order = Window.partitionBy("file").orderBy("block")
+    upto, past = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("upto", F.sum("heads").over(upto)).withColumn("left", F.sum("at").over(Window.partitionBy("file", "upto").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)))
+    ends = ends.select(
+        F.col("file").alias("__f"), F.col("block").alias("__b"), (F.col("upto") - F.col("heads")).alias("before"),
+        F.coalesce(F.lag("left").over(order), F.lit(0)).alias("left"), F.last("title", ignorenulls=True).over(past).alias("open"),
+    )
+    rows = found.join(sized(ends), (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    at = F.col("at") + F.when(F.col("heads") == 0, F.col("left")).otherwise(0)
+    rows = rows.select("file", (F.col("before") + F.col("heads") - 1).alias("record"), F.coalesce("title", "open").alias("title"), at.alias("at"), "seq").where("record >= 0")
+    rows = rows.select(filestem(F.col("file")).alias("name"), F.regexp_extract("title", r"^\s*(\S*)", 1).alias("seq_id"), F.trim("title").alias("description"), F.col("record").cast("int").alias("ord"), "at", "seq")
     return tiles.laid(rows, ["name", "seq_id", "description", "ord"], size)
 
 
+def _stretches(rows: DataFrame, ends: bool) -> DataFrame:
+    """(file, block, heads, at, title, seq) of lines (file, block, title, seq) in the order of their splits: the lines of one record that stand together, ``heads`` records
+    having begun in the split, the last of them ``title``, ``at`` bases before (null and the bases since the split's begin, if none has). With ``ends`` the state at the
+    end of each split instead."""
+    ship(rows.sparkSession)
+    names = ["file", "block", "heads", "at", "title", "seq"]
+
+    def step(batches):
+        file = block = None
+        heads, at, title, out = 0, 0, None, []
+
+        def batched():
+            cols = zip(*out, strict=True) if out else [[]] * 6
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(cols, kinds, strict=True)], names=names)
+
+        for whole in batches:
+            for batch in places.slices(whole):
+                c, begin = places.points(batch.column("seq"))
+                text = c.tobytes().decode("ascii" if c.dtype == np.uint8 else "utf-32-le")
+                head = batch.column("title").is_valid().to_numpy(zero_copy_only=False)
+                files, blocks = batch.column("file").dictionary_encode(), batch.column("block").to_numpy()
+                which = files.indices.to_numpy()
+                new = np.concatenate(([True], (which[1:] != which[:-1]) | (blocks[1:] != blocks[:-1])))
+                cuts = np.flatnonzero(new | head)
+                for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows], strict=True):
+                    if new[x]:
+                        own = files.dictionary[int(which[x])].as_py(), int(blocks[x])
+                        if own != (file, block):
+                            if ends and file is not None:
+                                out.append((file, block, heads, at, title, None))
+                            (file, block), heads, at, title = own, 0, 0, None
+                    if head[x]:
+                        heads, at, title = heads + 1, 0, batch.column("title")[x].as_py()
+                    if not ends:
+                        out.append((file, block, heads, at, title, text[begin[x] : begin[y]]))
+                    at += int(begin[y] - begin[x])
+                if not ends:
+                    yield batched()
+                    out.clear()
+        if ends:
+            if file is not None:
+                out.append((file, block, heads, at, title, None))
+            yield batched()
+
+    return rows.mapInArrow(step, "file string, block long, heads long, at long, title string, seq string")
+
+
 def load_fasta_ids(spark: SparkSession, path: str) -> DataFrame:
     """(file, seq_id) of the first record of each file."""
     return scan_fasta(spark, path).where("ord = 0").select("file", "seq_id")

@@ -236,3 +236,23 @@ def test_many_small_files_are_written_by_many_tasks(spark, tmp_path):
     assert read.count() == writers.boulder_lines(design.boulder_input(names)).count() and read.select("name").distinct().count() == 40
     writers.write_boulder_input(design.boulder_input(names.where("name < 'g2'")), path)  # in place of what was there
     assert spark.read.text(path).select("name").distinct().count() == names.where("name < 'g2'").count()
+
+
+def test_fasta_tiles_of_a_record_over_many_splits(spark, tmp_path):
+    """No line is sorted or joined: a split's lines become stretches, and only a row for each split goes on."""
+    lines = lambda s: "".join(s[k : k + 10] + "\n" for k in range(0, len(s), 10))
+    long = "".join(random.Random(3).choice("ACGTé") for _ in range(995))
+    p = put(tmp_path / "g.fasta", "ACGT\nAC\n>a first one\n" + lines(long) + ">empty\n>b\nA C\nGT \n>a first one\n" + lines(long[::-1]) + "> \n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "120")
+    try:
+        found = R.scan_fasta_tiles(spark, p, 100)
+        got = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    whole = {}
+    for r in sorted(got, key=lambda r: r.tile):
+        whole[r.ord, r.seq_id, r.description] = whole.get((r.ord, r.seq_id, r.description), "") + r.seq
+    assert whole == {(0, "a", "a first one"): long, (1, "empty", "empty"): "", (2, "b", "b"): "ACGT", (3, "a", "a first one"): long[::-1], (4, "", ""): ""}
+    assert all(len(r.seq) == min(100, 995 - 100 * r.tile) for r in got if r.ord in (0, 3))
+    plan = found._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "monotonically_increasing_id" not in plan
