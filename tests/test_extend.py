@@ -67,3 +67,16 @@ def test_screen_rejects_what_only_an_extended_alignment_exceeds(spark):
     assert rows(screen_offtarget(pairs, database, 15), "name") == [("bad",), ("gone",), ("good",)]  # no exact word of 16
     assert rows(X.screen(pairs, database, 15), "name") == [("good",)]
     assert rows(X.screen(pairs, database.limit(0), 15), "name") == [("bad",), ("gone",), ("good",)]
+
+
+def test_words_sent_or_joined_give_the_same_alignments(spark, monkeypatch):
+    rng = random.Random(11)
+    text = "".join(rng.choice("ACGT" * 9 + "RN") for _ in range(500))
+    oligos = [(f"q{i}", "".join(c if rng.random() < 0.93 else rng.choice("ACGTN") for c in text[i * 9 : i * 9 + rng.choice([10, 11, 20, 33])])) for i in range(50)] + [("e", ""), ("n", None)]
+    own, database = spark.createDataFrame(oligos, "query string, seq string"), spark.createDataFrame([("d", text), ("x", text[::-1])], "seq_id string, seq string")
+    found = X.hits(own, database)
+    few = rows(found, *found.columns)
+    plan = found._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "aggregate(" not in plan and len(few) > 20
+    monkeypatch.setattr(X, "SENT_WORDS", 10)
+    assert few == rows(X.hits(own, database), *found.columns)
