@@ -44,6 +44,32 @@ def test_memory_of_chunks_is_bounded(monkeypatch):
     assert c.encode(text) == sp.encode(text) and len(c.chunks) <= 50 and len(c.chunks.old) <= 50
 
 
+def test_chunks_side_by_side_equal_the_library(monkeypatch):
+    monkeypatch.setattr(C, "AT_ONCE", 300)
+    monkeypatch.setattr(C, "TEXTS_AT_ONCE", 5000)
+    monkeypatch.setattr(C, "REMEMBERED", 400)
+    monkeypatch.setattr(C, "MEMO_BITS", 6)
+    sp, c, rng = sentencepiece.SentencePieceProcessor(model_file=PATH), C.Codec(PATH), random.Random(6)
+    parts = [sp.id_to_piece(i).replace("▁", " ") for i in range(259, 32000, 11)] + list("aaeell  \n\t\x00<>/=(){};▁日é\u0378\U00020000") + ["\U0001f44d\U0001f3fd"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(1500)]
+    texts += ["".join(rng.choice("abcdehilnorst ") for _ in range(rng.randint(0, 80))) for _ in range(1000)]
+    texts += [None, "", "a", "\x00", "a" * 63, "a" * 64, "a" * 65, "日" * 40, "the" * 21, " ", " " * 64, "\u0378" * 9]
+    assert list(c.encode_each(texts)) == [",".join(map(str, sp.encode(t or ""))) for t in texts]
+
+
+def test_new_chunks_cost_less_side_by_side():
+    c, rng = C.Codec(PATH), random.Random(7)
+    chunks = list({"▁" + "".join(rng.choice(("th", "ein", "er", "a", "kon", "ung", "e", "st")) for _ in range(rng.randint(2, 5))) + str(i) for i in range(20_000)})
+    took = []
+    for run in (lambda: [",".join(map(str, c.ids(c.split(x)))) for x in chunks], lambda: list(c.split_each(chunks))):
+        began = time.process_time()
+        found = run()
+        took.append(time.process_time() - began)
+        assert len(took) == 1 or found == before
+        before = found
+    assert took[1] < 0.7 * took[0]
+
+
 def test_queries_on_hard_rows(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     got = sorted(map(tuple, C.digests(frame(spark), PATH).collect()), key=repr)
