@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,13 +28,13 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("ord", F.struct("block", "i")).drop("block", "i")
 
 
-def numbered(rows: DataFrame) -> DataFrame:
-    """Rows of text files (``file``, ``block``: where the split that they come from begins) with ``ord``, their place in the file from 0. Only counts of the splits
-    are exchanged, no row."""
+def numbered(rows: DataFrame, **of_file: Callable[[Column], Column]) -> DataFrame:
+    """Rows of text files (``file``, ``block``: where the split that they come from begins) with ``ord``, their place in the file from 0, and columns that follow
+    from ``file``, made once for each split. Only counts of the splits are exchanged, no row."""
     rows = rows.withColumn("__i", F.monotonically_increasing_id())
     each = rows.groupBy(F.col("file").alias("__f"), F.col("block").alias("__b")).agg(F.min("__i").alias("__lo"), F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("__f").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))  # a row for each split
-    each = each.withColumn("__base", F.coalesce(before, F.lit(0)))
+    each = each.withColumn("__base", F.coalesce(before, F.lit(0))).withColumns({name: c(F.col("__f")) for name, c in of_file.items()})
     rows = rows.join(sized(each), (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
     return rows.withColumn("ord", F.col("__base") + F.col("__i") - F.col("__lo")).drop("__f", "__b", "__lo", "__n", "__base", "__i")
 
@@ -225,20 +227,23 @@ def scan_primers_primer3(spark: SparkSession, path: str) -> DataFrame:
 def scan_primersearch_report(spark: SparkSession, path: str, lengths: DataFrame | None = None) -> DataFrame:
     """Amplimers of search reports named <query>_ps_<target>, files or folders of parts. With ``lengths`` (target, target_length) the reverse primer's
     coordinates on the forward strand come too."""
-    rows = _whole(spark, path).select("file", F.explode(F.slice(F.split("value", "Primer name "), 2, 1_000_000_000)).alias("record"))
-    rows = rows.withColumn("primer_name", F.regexp_extract("record", r"^(\S+)", 1))
-    rows = rows.select("file", "primer_name", F.posexplode(F.split("record", r"(?m)^\s*Amplimer (?=\d)")).alias("i", "hit")).where("i > 0")
-    strand = lambda which, g: F.regexp_extract("hit", rf"(\S+) hits {which} strand at \[?(\d+)\]? with (\d+) mismatches", g)
-    named = lambda g: F.regexp_extract("file", r"([^/=]+)_ps_([^/]+?)(\.[^/.]+)?(/part-[^/]*)?$", g)
+    named = lambda g: lambda file: F.regexp_extract(file, r"([^/=]+)_ps_([^/]+?)(\.[^/.]+)?(/part-[^/]*)?$", g)
+    rows = spark.read.option("lineSep", "Primer name ").text(path).select(F.col("value").alias("record"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    rows = numbered(rows, query=named(1), target=named(2)).where("ord > 0")
+    rows = rows.select("query", "target", F.regexp_extract("record", r"^(\S+)", 1).alias("primer_name"), F.posexplode(F.split("record", r"(?m)^\s*Amplimer (?=\d)")).alias("i", "hit")).where("i > 0")
+    # a line's words: sequence, hits, strand's name, strand, at, place, with, number, mismatches; looked for at beginnings of words only
+    words = lambda which: F.split(F.regexp_extract("hit", rf"(?<!\S)\S++ hits {which} strand at \[?\d+\]? with \d+ mismatches", 0), " ")
+    word = lambda line, i: F.translate(F.coalesce(F.get(line, F.lit(i)), F.lit("")), "[]", "")
+    rows = rows.withColumns({"fwd": words("forward"), "rev": words("reverse")})
     out = rows.select(
-        named(1).alias("query"), named(2).alias("target"), "primer_name", F.col("i").alias("idx"),
+        "query", "target", "primer_name", F.col("i").alias("idx"),
         F.concat(F.lit("Amplimer "), F.regexp_extract("hit", r"^(\d+)", 1)).alias("amplimer"), F.regexp_extract("hit", r"Sequence: (\S+)", 1).alias("sequence"),
-        strand("forward", 1).alias("fwd_seq"), strand("forward", 2).cast("long").alias("fwd_start"), strand("forward", 3).cast("int").alias("fwd_mismatches"),
-        strand("reverse", 1).alias("rev_seq"), strand("reverse", 2).cast("long").alias("rev_pos"), strand("reverse", 3).cast("int").alias("rev_mismatches"),
+        F.get("fwd", F.lit(0)).alias("fwd_seq"), word("fwd", 5).cast("long").alias("fwd_start"), word("fwd", 7).cast("int").alias("fwd_mismatches"),
+        F.get("rev", F.lit(0)).alias("rev_seq"), word("rev", 5).cast("long").alias("rev_pos"), word("rev", 7).cast("int").alias("rev_mismatches"),
         F.regexp_extract("hit", r"Amplimer length: (\d+)", 1).cast("long").alias("length"),
     ).withColumn("fwd_end", F.col("fwd_start") + F.length("fwd_seq"))
     if lengths is not None:
-        out = out.join(lengths, "target").withColumn("rev_end", F.col("target_length") - F.col("rev_pos") + 1)
+        out = out.join(sized(lengths), "target").withColumn("rev_end", F.col("target_length") - F.col("rev_pos") + 1)
         out = out.withColumn("rev_start", F.col("rev_end") - F.length("rev_seq")).drop("target_length")
     return out
 

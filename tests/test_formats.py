@@ -110,6 +110,23 @@ def test_primersearch_report(spark, tmp_path):
     assert got == [("q", "t", "p1", 1, 11, 21, 100, 110, 100, 1), ("q", "t", "p1", 2, 200, 210, 486, 496, 297, 0)]
 
 
+def test_primersearch_report_is_read_in_splits(spark, tmp_path):
+    hit = lambda n, k: f"Amplimer {k + 1}\n\tSequence: S{n}  \n\t\n\t{'ACGT' * (1 + n % 3)} hits forward strand at {n + k} with {n % 2} mismatches\n\tTTTA hits reverse strand at [{n}] with 3 mismatches\n\tAmplimer length: {90 + k} bp\n"
+    for t in ("t", "u.v"):
+        put(tmp_path / f"q_ps_{t}.primersearch", "Amplimer 1\n of no primer\n" + "".join(f"\nPrimer name p{n}\n" + "".join(hit(n, k) for k in range(n % 4)) for n in range(80)))
+    lengths = spark.createDataFrame([("t", 500), ("u.v", 600)], "target string, target_length long")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = R.scan_primersearch_report(spark, str(tmp_path / "*.primersearch"), lengths)
+        assert got.rdd.getNumPartitions() > 10
+        found = rows(got, "query", "target", "primer_name", "idx", "amplimer", "sequence", "fwd_seq", "fwd_start", "fwd_end", "fwd_mismatches", "rev_seq", "rev_pos", "rev_mismatches", "rev_start", "rev_end", "length")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    long = lambda n: 4 * (1 + n % 3)
+    want = [("q", t, f"p{n}", k + 1, f"Amplimer {k + 1}", f"S{n}", "ACGT" * (1 + n % 3), n + k, n + k + long(n), n % 2, "TTTA", n, 3, size - n + 1 - 4, size - n + 1, 90 + k) for t, size in (("t", 500), ("u.v", 600)) for n in range(80) for k in range(n % 4)]
+    assert found == sorted(want, key=repr)
+
+
 def test_amplicon_json_and_index(spark, tmp_path):
     a = {"_fwd": ["AC", 1, 3], "_rev": ["GT", 50, 52], "_len": 52, "_name": "Amplimer 1", "_seqname": "S", "primer_name": "p", "target": "x.fas", "target_fasta_id": "S"}
     amps = R.scan_target_amplicons_json(spark, put(tmp_path / "a.json", json.dumps({"t1": [a], "t2": []})))
