@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortmark.functions.sequence import identity_distance, reverse_complement
+from cohortmark.functions.sequence import reverse_complement
 
 from . import align, tiles
 from .classify import MAX_AMPLICON, MIN_AMPLICON
-from .storage import ship
+from .storage import ship, stored
 
 
 def extract_amplicons(amplimers: DataFrame, primers: DataFrame, sequences: DataFrame, low: int = MIN_AMPLICON, high: int = MAX_AMPLICON) -> DataFrame:
@@ -32,6 +32,16 @@ def extract_amplicons(amplimers: DataFrame, primers: DataFrame, sequences: DataF
     return rows.select(F.col("primer_name").alias("primer"), "target", "idx", name.alias("amplicon_name"), "seq")
 
 
+def _with_dist(batch: pa.RecordBatch, dist: np.ndarray) -> pa.RecordBatch:
+    keep = [i for i, name in enumerate(batch.schema.names) if name not in ("x", "y")]
+    return pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(dist, from_pandas=True)], names=[*[batch.schema.names[i] for i in keep], "dist"])
+
+
+def _aligned(batches):
+    for batch in batches:
+        yield _with_dist(batch, align.aligned_distances(batch.column("x").to_pylist(), batch.column("y").to_pylist()))
+
+
 def _edited(batches):
     for batch in batches:
         x, y = batch.column("x"), batch.column("y")
@@ -40,16 +50,13 @@ def _edited(batches):
         xs, ys = x.filter(both).to_pylist(), y.filter(both).to_pylist()
         dist = np.full(len(x), np.nan)
         dist[rows] = align.edit_distances(xs, ys) / np.maximum([max(len(a), len(b)) for a, b in zip(xs, ys, strict=True)], 1)
-        keep = [i for i, name in enumerate(batch.schema.names) if name not in ("x", "y")]
-        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(dist, from_pandas=True)], names=[*[batch.schema.names[i] for i in keep], "dist"])
+        yield _with_dist(batch, dist)
 
 
 def measured(pairs: DataFrame, aligned: bool) -> DataFrame:
     """``pairs`` with ``dist`` of their columns x and y in place of these: the part of places that differ, or the Levenshtein distance as a part of the longer length."""
-    if aligned:
-        return pairs.withColumn("dist", identity_distance(F.col("x"), F.col("y"))).drop("x", "y")
     ship(pairs.sparkSession)
-    return pairs.mapInArrow(_edited, StructType([*[f for f in pairs.schema if f.name not in ("x", "y")], StructField("dist", DoubleType())]))
+    return pairs.mapInArrow(_aligned if aligned else _edited, StructType([*[f for f in pairs.schema if f.name not in ("x", "y")], StructField("dist", DoubleType())]))
 
 
 def pair_distances(amplicons: DataFrame, aligned: bool = True) -> DataFrame:
@@ -98,6 +105,7 @@ def single_sequence_passthrough(amplicons: DataFrame) -> DataFrame:
 
 def marker_scatter(stats: DataFrame) -> DataFrame:
     """Points and axis ranges of the plot of distance against non-unique amplicons."""
+    stats = stored(stats.select("primer", "n_unique", "n_nonunique", "dist_mean"), "stats")  # read twice
     ends = stats.agg((F.max("n_unique") * 1.2).alias("x_max"), (F.max("dist_mean") * 1.2).alias("y_max"))
     points = stats.select(F.col("n_nonunique").alias("x"), F.col("dist_mean").alias("y"), F.col("primer").alias("label"))
     return points.crossJoin(F.broadcast(ends)).withColumn("x_min", F.lit(-0.1)).withColumn("y_min", F.lit(-0.01))  # one row

@@ -180,6 +180,32 @@ def test_amplicons_and_diversity(spark):
     assert V.pair_distances(spark.createDataFrame([("p", "1", "A"), ("p", "2", "AC")], a.schema), aligned=False).first()["dist"] == 0.5
 
 
+def test_aligned_distances(monkeypatch):
+    from cohortmark.operators import align
+
+    monkeypatch.setattr(align, "CELLS", 40)
+    rng = random.Random(3)
+    pairs = [tuple("".join(rng.choice("ACG-é\U00020000") for _ in range(n)) for _ in "xy") for n in (1, 30, 2, 90, 7, 7, 40, 1) * 5]
+    assert align.aligned_distances(*map(list, zip(*pairs, strict=True))).tolist() == [1.0 - sum(a == b for a, b in zip(x, y, strict=True)) / len(x) for x, y in pairs]
+    assert align.aligned_distances([], []).tolist() == []
+    for y in ("AC", None):
+        with pytest.raises(ValueError, match="differ in length"):
+            align.aligned_distances(["A", "G"], ["A", y])
+
+
+def test_scatter_computes_its_stats_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    stats = spark.createDataFrame([("a", 2, 0, 0.1), ("b", 3, 1, 0.3)], "primer string, n_unique long, n_nonunique long, dist_mean double").mapInArrow(counted, "primer string, n_unique long, n_nonunique long, dist_mean double")
+    got = rows(V.marker_scatter(stats), "label", "x", "y", "x_min", "y_min")
+    assert got == [("a", 0, 0.1, -0.1, -0.01), ("b", 1, 0.3, -0.1, -0.01)] and seen.value == 2
+
+
 def test_pareto(spark):
     s = spark.createDataFrame([("a", 0, 0.1), ("b", 1, 0.3), ("c", 1, 0.2), ("d", 2, 0.3), ("e", 0, 0.1)], "primer string, n_nonunique int, dist_mean double")
     assert rows(V.marker_pareto(s), "primer") == [("a",), ("b",), ("e",)]
