@@ -119,3 +119,53 @@ def test_genomes_that_lack_free_pairs_are_looked_at_once(spark, monkeypatch):
     for r in sorted(D.design_primer_pairs(df, d).collect(), key=lambda r: r.name):
         got.setdefault(r.sourcename, []).append((r.forward_start, r.forward_length, r.reverse_start, r.reverse_length))
     assert got == want and names.count("some") == 1 and names.count("rest") == 1
+
+
+def test_pieces_give_the_pairs_of_whole_records(spark, monkeypatch):
+    """Only best pairs become rows, not oligos; borders of pieces, of letters and of pairs looked at at once change nothing."""
+    rng = random.Random(21)
+    data = [("g", "r1", dna(rng, 1500)), ("g", "r2", dna(rng, 700) + "N" * 20 + dna(rng, 500)), ("h", "r3", dna(rng, 900)), ("h", None, dna(rng, 300)), ("i", "r4", None), (None, "r5", dna(rng, 300))]
+    df = spark.createDataFrame(data, "name string, seq_id string, seq string")
+    names, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda rows, name: names.append(name) or stored(rows, name))
+    d = D.Design(num_return=5, probe=True, probe_tm_min=50.0, probe_tm_opt=55.0, probe_tm_max=62.0, tm_min=48, tm_max=58, max_self=7, max_self_end=4, max_pair=5, max_pair_end=3, size_max=20)
+    want = sorted(map(tuple, D.design_primer_pairs(df, d).collect()))
+    assert "oligos" not in names and {r[18] for r in want} == {"g", "h"} and len(want) == 10, want
+    rows = [("g" if n == "g" else "h", i, s, len(s), 0) for n, i, s in data[:3]]
+    whole, again = D._pairs_of(rows, d, None)
+    monkeypatch.setattr(D, "PAIRS", 50)
+    cut, _ = D._pairs_of(rows, d, None)
+    assert whole["lseq"] == cut["lseq"] and whole["penalty"].tolist() == cut["penalty"].tolist() and not again
+    monkeypatch.setattr(D, "LARGE", 230)
+    assert sorted(map(tuple, D.design_primer_pairs(df, d).collect())) == want
+
+
+def test_temperatures_of_arrays_are_those_of_columns(spark):
+    rng = random.Random(3)
+    text = dna(rng, 300) + "GAATTCGAATTC"
+    c = D.words.CODES[D.np.frombuffer(text.encode(), D.np.uint8)]
+    sums = D.np.concatenate(([0], D.np.cumsum((c == 1) | (c == 2))))
+    for nearest in (False, True):
+        d = D.Design(nearest_neighbours=nearest)
+        for k in (6, 13, 14, 22):
+            p = D.np.arange(len(text) - k + 1)
+            df = spark.createDataFrame([(i, text[i : i + k]) for i in p.tolist()], "i int, s string")
+            tm = S.nearest_neighbour_temp(F.col("s"), d.salt, d.strands) if nearest else S.melting_temp(F.col("s"))
+            want = df.select("i", S.gc_percent(F.col("s")), tm).orderBy("i").collect()
+            gc, tm = D.temperatures(c, sums, p, k, d)
+            assert gc.tolist() == [r[1] for r in want] and D.np.allclose(tm, [r[2] for r in want], 0, 1e-9)
+
+
+def test_bonds_by_words_that_texts_share():
+    rng = random.Random(9)
+    text = "".join(rng.choice("ACCGT") for _ in range(400))
+    c = D.words.CODES[D.np.frombuffer(text.encode(), D.np.uint8)]
+    a, b = (D.np.array([rng.randrange(370) for _ in range(500)]) for _ in "ab")
+    n, m = (D.np.array([rng.randrange(3, 25) for _ in range(500)]) for _ in "ab")
+    x, y = [text[i : i + k] for i, k in zip(a, n, strict=True)], [rc(text[i : i + k]) for i, k in zip(b, m, strict=True)]
+    for w in (3, 5, 8):
+        count = lambda size, w=w: D.np.maximum(size - w + 1, 0)
+        got = D._meet(D.words.ahead(c, w), a, count(n), b, count(m), 70)
+        assert got.tolist() == (D.bonds(x, y)[0] >= w).tolist()
+        end = D._meet(D.words.ahead(c, w), a + count(n) - 1, D.np.minimum(count(n), 1), b, count(m))
+        assert end.tolist() == (D.bonds(x, y)[1] >= w).tolist()
