@@ -3,20 +3,26 @@
 The centre of a primer is its most frequent sequence (ties: the longer, then the first in order). Every different sequence is aligned with it, an optimal global alignment
 with affine gaps, in batches of pairs wherever they lie. The most gaps that any alignment has before a place of the centre decide how many columns stand there: a small
 aggregation by (primer, place). Then each row is spread to these columns by itself. A primer with a third of all amplicons is many pairs in many tasks.
+
+Primers of few amplicons take none of these steps: their amplicons meet in one exchange, and each batch of whole primers is aligned and spread where it is.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import align
+from . import align, scans
+from .sequences import sized
 from .storage import ship, stored
 
-SALTS = 16
+#: Most amplicons of a primer that one task aligns.
+SALTS, FEW = 16, 2000
 GAPS = re.compile("-+")
 PLACES = pa.list_(pa.struct([("place", pa.int32()), ("n", pa.int32())]))
 
@@ -78,11 +84,73 @@ def pair_alignments(amplicons: DataFrame, scores: align.Scores = align.Scores())
     return each.select("primer", "seq", "centre").mapInArrow(lambda b: _pairs(b, scores), "primer string, seq string, centre_row string, own_row string, score long, gaps array<struct<place: int, n: int>>")
 
 
-def align_amplicons(amplicons: DataFrame, scores: align.Scores = align.Scores()) -> DataFrame:
+def _aligned_rows(seqs: list[str], begin: list[int], scores: align.Scores) -> list[str]:
+    """``seqs``, of which each primer has a run from one ``begin`` to the next, as rows of one length for each."""
+    groups, xs, ys = [], [], []
+    known = scores.match >= max(scores.mismatch, 0) and max(scores.open, scores.extend) <= 0  # nothing is better than a centre with itself
+    for s, e in zip(begin, [*begin[1:], len(seqs)], strict=True):
+        n = Counter(seqs[s:e])
+        centre = max(n, key=lambda t, n=n: (n[t], len(t), t.encode()))
+        others = [t for t in n if t != centre or not known]
+        groups.append((s, e, centre, others))
+        xs += [centre] * len(others)
+        ys += others
+    found, out = iter(align.aligned(xs, ys, scores)), []
+    for s, e, centre, others in groups:
+        rows = {centre: (centre, centre)} | {t: next(found)[:2] for t in others}
+        wide: dict[int, int] = {}
+        for x, _ in rows.values():
+            for place, n in _gaps(x):
+                wide[place] = max(wide.get(place, 0), n)
+        rows = {t: _widened(x, y, wide) for t, (x, y) in rows.items()}
+        out += [rows[t] for t in seqs[s:e]]
+    return out
+
+
+def _together(batches, scores: align.Scores):
+    """Rows sorted by primer with ``seq`` aligned; a primer that a batch may not hold whole waits for the next."""
+    held = None
+
+    def done(table: pa.Table):
+        begin = np.flatnonzero(scans.fresh_keys(table, ["primer"])).tolist()
+        rows = pa.array(_aligned_rows(table.column("seq").to_pylist(), begin, scores), pa.string())
+        return table.set_column(table.schema.get_field_index("seq"), "seq", rows).to_batches()
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        if table.num_rows:
+            last = int(np.flatnonzero(scans.fresh_keys(table, ["primer"]))[-1])
+            held = table.slice(last)
+            if last:
+                yield from done(table.slice(0, last))
+    if held is not None:
+        yield from done(held)
+
+
+def align_amplicons(amplicons: DataFrame, scores: align.Scores = align.Scores(), few: int = FEW) -> DataFrame:
     """``amplicons`` (primer, amplicon_name, seq) with ``seq`` as rows of one length for each primer, gaps as ``-``: input for distances and for alignment files.
 
-    A primer with one amplicon, or with equal ones, keeps its sequence. Equal sequences have equal rows.
+    A primer with one amplicon, or with equal ones, keeps its sequence. Equal sequences have equal rows. ``few``: most amplicons of a primer that one task aligns.
     """
+    ship(amplicons.sparkSession)
+    given = stored(amplicons.where("primer is not null and seq is not null"), "amplicons")
+    many = stored(given.groupBy("primer").agg(F.count("*").alias("n")).where(F.col("n") > few).select("primer"), "many")
+    if many.isEmpty():
+        return _near(given, scores)
+    many = sized(many)
+    return _near(given.join(many, "primer", "left_anti"), scores).unionByName(_spread_out(given.join(many, "primer", "left_semi"), scores))
+
+
+def _near(amplicons: DataFrame, scores: align.Scores) -> DataFrame:
+    """Aligned rows of primers of few amplicons."""
+    spark = amplicons.sparkSession  # few bytes and much work: by their bytes a few tasks would get them all
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return amplicons.repartition(parts, "primer").sortWithinPartitions("primer").mapInArrow(lambda b: _together(b, scores), amplicons.schema)
+
+
+def _spread_out(amplicons: DataFrame, scores: align.Scores) -> DataFrame:
+    """Aligned rows of primers of many amplicons: pairs, columns and rows are dealt out each by themselves."""
     pairs = stored(pair_alignments(amplicons, scores), "pairs")
     widest = pairs.select("primer", F.explode("gaps").alias("x")).groupBy("primer", "x.place").agg(F.max("x.n").alias("n"))
     widest = widest.groupBy("primer").agg(F.collect_list(F.struct("place", "n")).alias("wide"))

@@ -64,3 +64,30 @@ def test_gaps_come_with_the_alignments(spark):
             else:
                 want.append([place, 1])
         assert [[g.place, g.n] for g in r.gaps] == want
+
+
+def test_primers_of_few_amplicons_meet_once(spark, monkeypatch):
+    """Their pairs, columns and rows are no tables; primers of many amplicons are dealt out, with the same rows."""
+    rng = random.Random(3)
+    data = [x for i in range(12) for x in family(rng, f"p{i:02d}", i + 1, 50)] + [(None, "n", "ACGT"), ("p03", "none", None)]
+    data += [("p05", f"copy{i}", data[-3][2]) for i in range(4)]
+    df = spark.createDataFrame(data, "primer string, amplicon_name string, seq string")
+    names, stored = [], star.stored
+    monkeypatch.setattr(star, "stored", lambda rows, name: names.append(name) or stored(rows, name))
+    got = rows(star.align_amplicons(df), "primer", "amplicon_name", "seq")
+    assert names == ["amplicons", "many"] and len(got) == len(data) - 2
+    for few in (0, 6):
+        assert rows(star.align_amplicons(df, few=few), "primer", "amplicon_name", "seq") == got
+    assert names[-3:] == ["amplicons", "many", "pairs"]
+
+
+def test_primers_that_batches_cut():
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    data = [x for i in range(9) for x in family(rng, f"p{i}", 7, 40)]
+    table = pa.table({"primer": [x[0] for x in data], "amplicon_name": [x[1] for x in data], "seq": [x[2] for x in data]})
+    whole = pa.Table.from_batches(list(star._together(iter(table.to_batches()), align.Scores()))).to_pylist()
+    assert [r["seq"].replace("-", "") for r in whole] == [x[2] for x in data]
+    for size in (1, 4, 10):
+        assert pa.Table.from_batches(list(star._together(iter(table.to_batches(max_chunksize=size)), align.Scores()))).to_pylist() == whole
